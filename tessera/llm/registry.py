@@ -24,8 +24,14 @@ def op2_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenbin.encode_to_shards(spark, table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"), end_id=2)
 
 
+def op10_piece_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tessera.llm import piece
+
+    return piece.encode_documents(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_token_shards,)}
+    return {f.__name__: f for f in (op2_token_shards, op10_piece_encoding)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -31,14 +31,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm.shared import shared_folder
+from tessera.llm.units import LETTERS, UnitIds, gather, stops_apart
 
 #: Fixed values of the seekable format.
 SKIPPABLE_MAGIC, SEEKABLE_MAGIC, WITH_CHECKSUMS = 0x184D2A5E, 0x8F92EAB1, 0x80
 FRAME_IDS = 1 << 16
-#: Words whose ids a worker keeps; others are encoded again when they come.
-CACHED_WORDS = 200_000
 #: Words of Latin letters alone.
-PLAIN = r"^[A-Za-z\x{c0}-\x{d6}\x{d8}-\x{f6}\x{f8}-\x{ff}]+$"
+PLAIN = rf"^[{LETTERS}]+$"
 
 
 class WordEncoder:
@@ -58,8 +57,7 @@ class WordEncoder:
         self.closes = np.zeros(self.library.get_vocab_size(), dtype=bool)
         for token, i in self.library.get_vocab().items():
             self.closes[i] = token.endswith(mark)
-        self.known = pa.array([], pa.large_string())
-        self.known_ids, self.known_begins = np.zeros(0, "<u4"), np.zeros(1, np.int64)
+        self.units = UnitIds(self._library)
 
     def _library(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of each word, one after another, and where each begins."""
@@ -79,50 +77,16 @@ class WordEncoder:
         own = np.concatenate([lengths[plain], lengths[~plain]])
         return gather(np.concatenate(parts), np.concatenate([[0], np.cumsum(own)]), order, np.arange(len(words) + 1))
 
-    def _units(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        at = pc.index_in(words, value_set=self.known).to_numpy(zero_copy_only=False)
-        new = np.isnan(at.astype(float))
-        fresh = words.filter(pa.array(new))
-        ids, begins = self._library(fresh)
-        flat = np.concatenate([self.known_ids, ids])
-        all_begins = np.concatenate([self.known_begins, len(self.known_ids) + begins[1:]])
-        codes = np.where(new, len(self.known) + np.cumsum(new) - 1, np.nan_to_num(at.astype(float))).astype(np.int64)
-        out = gather(flat, all_begins, codes, np.arange(len(words) + 1))
-        if room := min(len(fresh), CACHED_WORDS - len(self.known)):
-            self.known = pa.concat_arrays([self.known, fresh.slice(0, room)])
-            self.known_ids = np.concatenate([self.known_ids, ids[: begins[room]]])
-            self.known_begins = all_begins[: len(self.known) + 1]
-        return out
-
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids, one text after another, and where each text begins."""
         texts = texts.cast(pa.large_string()).fill_null("")
         parts = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
         coded = pc.dictionary_encode(parts.flatten())
-        words = coded.dictionary
-        bare = pc.ascii_rtrim(words, ".,")
-        plain = pc.match_substring_regex(bare, PLAIN)
-        stops = pc.and_(plain, pc.not_equal(pc.binary_length(words), pc.binary_length(bare)))
-        ends = pc.replace_substring_regex(words.filter(stops), r"^[^.,]*", "")
-        units = pc.dictionary_encode(pa.concat_arrays([pc.if_else(plain, pc.ascii_lower(bare), words), ends]))
-        flat, begins = self._units(units.dictionary)
-        codes, n = units.indices.to_numpy(zero_copy_only=False), len(words)
-        pairs = np.full((n, 2), len(begins) - 1, dtype=np.int64)  # the last unit is empty
-        pairs[:, 0] = codes[:n]
-        pairs[stops.to_numpy(zero_copy_only=False), 1] = codes[n:]
-        flat, begins = gather(flat, np.append(begins, begins[-1]), pairs.ravel(), np.arange(n + 1) * 2)
+        flat, begins = stops_apart(coded.dictionary, PLAIN, True, self.units)
         where = parts.offsets.to_numpy()
         return gather(flat, begins, coded.indices.to_numpy(zero_copy_only=False), where - where[0])
 
 
-def gather(flat: np.ndarray, begins: np.ndarray, codes: np.ndarray, text_offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Concatenates flat[begins[c]:begins[c+1]] over the codes; where each text begins in the result."""
-    lengths = np.diff(begins)[codes] if len(codes) else np.zeros(0, np.int64)
-    ends = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int64)
-    at = np.repeat(begins[:-1][codes] - ends[:-1], lengths) + np.arange(ends[-1]) if len(codes) else np.zeros(0, np.int64)
-    return flat[at.astype(np.int64)], ends[text_offsets]
-
-
 class ShardWriter:
     """Builds one shard in memory; its size is that of one range of documents."""
 

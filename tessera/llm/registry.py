@@ -24,6 +24,13 @@ def op2_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenbin.encode_to_shards(spark, table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"), end_id=2)
 
 
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tessera.llm import decontam
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return decontam.find_contamination(docs, table(spark, sf_dir, "benchmark")).drop("text")
+
+
 def op10_piece_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tessera.llm import piece
 
@@ -31,8 +38,10 @@ def op10_piece_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_token_shards, op10_piece_encoding)}
+    return {f.__name__: f for f in (op2_token_shards, op5_decontamination, op10_piece_encoding)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    from tessera.llm import decontam
+
+    return {"op5_decontamination": decontam.SQL}

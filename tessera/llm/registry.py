@@ -18,6 +18,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tessera.llm import langid
+
+    return langid.predict(table(spark, sf_dir, "documents"))
+
+
 def op2_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tessera.llm import tokenbin
 
@@ -38,7 +44,7 @@ def op10_piece_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_token_shards, op5_decontamination, op10_piece_encoding)}
+    return {f.__name__: f for f in (op1_language_id, op2_token_shards, op5_decontamination, op10_piece_encoding)}
 
 
 def oracle_sql() -> dict[str, str]:

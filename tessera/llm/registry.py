@@ -30,6 +30,13 @@ def op2_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenbin.encode_to_shards(spark, table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"), end_id=2)
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tessera.llm import toxicity
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return toxicity.classify(docs, table(spark, sf_dir, "labels")).drop("text")
+
+
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tessera.llm import decontam
 
@@ -44,7 +51,7 @@ def op10_piece_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_language_id, op2_token_shards, op5_decontamination, op10_piece_encoding)}
+    return {f.__name__: f for f in (op1_language_id, op2_token_shards, op4_toxicity, op5_decontamination, op10_piece_encoding)}
 
 
 def oracle_sql() -> dict[str, str]:

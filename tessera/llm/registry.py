@@ -44,6 +44,12 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.find_contamination(docs, table(spark, sf_dir, "benchmark")).drop("text")
 
 
+def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tessera.llm import minhash
+
+    return minhash.classes(table(spark, sf_dir, "documents")).drop("text_hash")
+
+
 def op10_piece_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tessera.llm import piece
 
@@ -51,7 +57,7 @@ def op10_piece_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_language_id, op2_token_shards, op4_toxicity, op5_decontamination, op10_piece_encoding)}
+    return {f.__name__: f for f in (op1_language_id, op2_token_shards, op4_toxicity, op5_decontamination, op8_near_duplicates, op10_piece_encoding)}
 
 
 def oracle_sql() -> dict[str, str]:

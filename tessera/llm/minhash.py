@@ -244,4 +244,4 @@ def representatives(docs: DataFrame, least: float = LEAST) -> DataFrame:
     keep = saved(placed.where("doc_id = class_id").groupBy("doc_id").agg(F.min("text_hash").alias("own_hash")), "kept")
     named = docs.withColumn("__own_id", F.col("doc_id").cast("long")).withColumn("__own_hash", F.xxhash64(F.col("text").cast("string")))
     stay = named.where("__own_id IS NOT NULL").join(keep.withColumnRenamed("doc_id", "__own_id").withColumnRenamed("own_hash", "__own_hash"), ["__own_id", "__own_hash"], "left_semi").dropDuplicates(["__own_id", "__own_hash"])
-    return stay.union(named.where("__own_id IS NULL")).drop("__own_id", "__own_hash")
+    return stay.unionByName(named.where("__own_id IS NULL")).drop("__own_id", "__own_hash")

@@ -30,6 +30,12 @@ def op2_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenbin.encode_to_shards(spark, table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"), end_id=2)
 
 
+def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tessera.llm import sitetree
+
+    return sitetree.extract(table(spark, sf_dir, "pages"))
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tessera.llm import toxicity
 
@@ -57,7 +63,7 @@ def op10_piece_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_language_id, op2_token_shards, op4_toxicity, op5_decontamination, op8_near_duplicates, op10_piece_encoding)}
+    return {f.__name__: f for f in (op1_language_id, op2_token_shards, op3_html_text, op4_toxicity, op5_decontamination, op8_near_duplicates, op10_piece_encoding)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -50,6 +50,14 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.find_contamination(docs, table(spark, sf_dir, "benchmark")).drop("text")
 
 
+def op6_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from tessera.llm import annlsh
+
+    return annlsh.search(table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0)
+
+
 def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tessera.llm import minhash
 
@@ -63,7 +71,7 @@ def op10_piece_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_language_id, op2_token_shards, op3_html_text, op4_toxicity, op5_decontamination, op8_near_duplicates, op10_piece_encoding)}
+    return {f.__name__: f for f in (op1_language_id, op2_token_shards, op3_html_text, op4_toxicity, op5_decontamination, op6_nearest_vectors, op8_near_duplicates, op10_piece_encoding)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -58,12 +58,27 @@ def op6_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return annlsh.search(table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0)
 
 
+def op7_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from tessera.llm import licences
+
+    found = licences.scan(table(spark, sf_dir, "documents"))
+    return found.withColumn("licences", F.array_join(F.array_sort(F.map_keys("licences")), ",")).withColumn("dice", F.round("dice", 6))
+
+
 def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tessera.llm import minhash
 
     return minhash.classes(table(spark, sf_dir, "documents")).drop("text_hash")
 
 
+def op9_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tessera.llm import warc
+
+    return warc.derivatives(warc.responses(table(spark, sf_dir, "pages"))).drop("metadata", "conversion")
+
+
 def op10_piece_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tessera.llm import piece
 
@@ -71,10 +86,10 @@ def op10_piece_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_language_id, op2_token_shards, op3_html_text, op4_toxicity, op5_decontamination, op6_nearest_vectors, op8_near_duplicates, op10_piece_encoding)}
+    return {f.__name__: f for f in (op1_language_id, op2_token_shards, op3_html_text, op4_toxicity, op5_decontamination, op6_nearest_vectors, op7_licence_scan, op8_near_duplicates, op9_warc_derivatives, op10_piece_encoding)}
 
 
 def oracle_sql() -> dict[str, str]:
-    from tessera.llm import decontam
+    from tessera.llm import decontam, licences
 
-    return {"op5_decontamination": decontam.SQL}
+    return {"op5_decontamination": decontam.SQL, "op7_licence_scan": licences.SQL}

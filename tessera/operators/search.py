@@ -128,14 +128,16 @@ def hybrid_search(nodes: DataFrame, entities: DataFrame, sub_queries: DataFrame,
     Document labels are searched by text and vector, entity labels by name; labels of other kinds find nothing.
     """
     asked = sub_queries.withColumn("full", tx.query_string(F.col("text"), F.col("keywords")))
+    wanted = {r["label"] for r in sub_queries.select(F.explode("target_labels").alias("label")).distinct().limit(100).collect()}
+    none = [] if wanted & {*SEARCHABLE_LABELS, *ENTITY_LABELS} else list(SEARCHABLE_LABELS[:1])
     parts = []
-    for label in SEARCHABLE_LABELS:
+    for label in [x for x in SEARCHABLE_LABELS if x in wanted] + none:
         own = nodes.where(F.col("node_label") == label)
         mine = asked.where(F.array_contains("target_labels", label))
         lexical = bm25(own, mine.select("query_id", F.col("full").alias("text")), k)
         vector = vector_search(own, mine.where(F.col("vector").isNotNull()).select("query_id", "vector"), k)
         parts.append(merge_legs(lexical, vector, ["query_id", "node_id"]).withColumn("node_label", F.lit(label)))
-    for label in ENTITY_LABELS:
+    for label in [x for x in ENTITY_LABELS if x in wanted]:
         mine = asked.where(F.array_contains("target_labels", label)).select("query_id", tx.query_terms(F.col("text"), F.col("keywords")).alias("terms"))
         found = entity_lookup(entities.where(F.col("label") == label), mine, k)
         parts.append(found.select("query_id", "node_id", F.col("score").alias("bm25_score"), F.lit(None).cast("double").alias("vector_score"), F.lit(label).alias("node_label")))

@@ -56,8 +56,9 @@ def checked_edges(edges: DataFrame, nodes: DataFrame) -> DataFrame:
 
 def write_properties(nodes: DataFrame, updates: DataFrame, key: list[str]) -> DataFrame:
     """nodes with the updates set; an update without its node ends the job."""
-    marked = updates.join(nodes.select(*key).withColumn("is_node", F.lit(True)), key, "left").withColumn("is_node", F.assert_true(F.col("is_node").isNotNull(), F.lit("an update has no node"))).drop("is_node")
-    return upsert(nodes, marked, key)
+    found = updates.join(nodes.select(*key).withColumn("is_node", F.lit(True)), key, "left")
+    checked = F.when(F.col("is_node"), F.col(key[0])).otherwise(F.raise_error(F.lit("an update has no node")).cast(updates.schema[key[0]].dataType))
+    return upsert(nodes, found.withColumn(key[0], checked).drop("is_node"), key)
 
 
 def resume(nodes: DataFrame, mode: str = "all", sources: list[str] | None = None) -> DataFrame:

@@ -12,10 +12,12 @@ DIMENSIONS = 64
 
 def embed(text: Column, dimensions: int = DIMENSIONS) -> Column:
     """A unit vector of hashed token counts; null for a text without tokens."""
+    # each step is bound once as an array of one element: a lambda's outer expressions are evaluated for every element
+    bound = lambda c, f: F.element_at(F.transform(F.array(c), f), 1)
     slots = F.transform(tokens(text), lambda t: F.pmod(F.xxhash64(t), F.lit(dimensions)))
-    counts = F.transform(F.sequence(F.lit(0), F.lit(dimensions - 1)), lambda i: F.size(F.filter(slots, lambda s: s == i)).cast("double"))
-    length = F.sqrt(F.aggregate(counts, F.lit(0.0), lambda s, x: s + x * x))
-    return F.when(length > 0, F.transform(counts, lambda x: x / length))
+    counts = bound(slots, lambda s: F.transform(F.sequence(F.lit(0), F.lit(dimensions - 1)), lambda i: F.size(F.filter(s, lambda x: x == i)).cast("double")))
+    with_length = bound(counts, lambda c: F.struct(c.alias("c"), F.sqrt(F.aggregate(c, F.lit(0.0), lambda s, x: s + x * x)).alias("n")))
+    return bound(with_length, lambda w: F.when(w["n"] > 0, F.transform(w["c"], lambda x: x / w["n"])))
 
 
 def synthetic_plan(questions: DataFrame) -> DataFrame:

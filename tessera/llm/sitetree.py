@@ -41,6 +41,8 @@ INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em fo
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title noscript iframe xmp template noframes".split())
 ENDS = {"li": ("li", "ul ol menu"), "dt": ("dt dd", "dl"), "dd": ("dt dd", "dl"), "tr": ("tr td th", "table"), "td": ("td th", "tr table"), "th": ("td th", "tr table"), "option": ("option", "select")}
+# Elements that hold a page's text as a whole: never noise.
+WHOLE = frozenset("html body article main".split())
 # Styles that name a part of a page other than its text.
 PARTS_BY_TAG = frozenset("head nav footer aside form button select dialog menu svg object canvas audio video".split()) | RAW
 PARTS_BY_NAME = frozenset(
@@ -83,7 +85,7 @@ def walk(source: str, host: int, noise: frozenset | set = frozenset()) -> tuple[
             text = " ".join(html.unescape("".join(piece)).split())
             piece.clear()
             if text:
-                blocks.append((text, tuple(e.path for e in stack[1:] if e.tag not in INLINE), stack[-1].out, stack[-1].main))
+                blocks.append((text, tuple(e.path for e in stack[1:] if e.tag not in INLINE and e.tag not in WHOLE), stack[-1].out, stack[-1].main))
 
     def close(n: int) -> None:
         for e in stack[n:]:
@@ -162,7 +164,7 @@ def style_rows(pages: DataFrame) -> DataFrame:
                     host, source = host_of(url), source or ""
                     page = xxhash.xxh64_intdigest(source) - (1 << 63)
                     blocks, shapes = walk(source, host)
-                    rows = {(p, 2, xxhash.xxh64_intdigest(t) - (1 << 63)) for t, paths, _, _ in blocks for p in paths[2:]}
+                    rows = {(p, 2, xxhash.xxh64_intdigest(t) - (1 << 63)) for t, paths, _, _ in blocks for p in paths}
                     rows |= {(p, 1, s) for p, s in shapes}
                     rows |= {(p, 0, 0) for p, _ in shapes}
                     for p, k, f in rows:

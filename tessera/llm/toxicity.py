@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from tessera.llm.words import slices, split
 
-SAMPLE_ROWS, MOST_WORDS, FOLDS, ROUNDS, RIDGE = 10_000, 320, 5, 15, 0.05
+SAMPLE_ROWS, MOST_WORDS, FOLDS, ROUNDS, RIDGE = 16_000, 320, 5, 15, 0.05
 #: Standard deviations by which the texts of a category must differ in having a word.
 LEAST_DIFFERENCE = 4.0
 
@@ -87,14 +87,20 @@ def fit_logistic(rows: list[np.ndarray], dense: np.ndarray, y: np.ndarray, n_wor
 
 
 def best_threshold(p: np.ndarray, y: np.ndarray) -> float:
-    """The probability from which on a text counts as of the category: the best F1 over out-of-fold probabilities."""
+    """The probability from which on a text counts as of the category: the best F1 over out-of-fold probabilities.
+
+    Only cuts at which at least half of the taken texts are of the category count; without one, 0.5.
+    """
     if not len(y) or y.min() == y.max():
         return 0.5
     order = np.argsort(-p, kind="stable")
     p, hits = p[order], np.cumsum(y[order])
     f1 = 2 * hits / (np.arange(1, len(p) + 1) + hits[-1])
     f1[:-1][p[:-1] == p[1:]] = 0  # a cut can't part equal probabilities
+    f1[hits < 0.5 * np.arange(1, len(p) + 1)] = 0
     k = int(f1.argmax())
+    if not f1[k]:
+        return 0.5
     return float((p[k] + p[min(k + 1, len(p) - 1)]) / 2)
 
 

@@ -88,13 +88,13 @@ class WordEncoder:
 
 
 class ShardWriter:
-    """Builds one shard in memory; its size is that of one range of documents."""
+    """Writes one shard through write(bytes), frame by frame; the index and the seek table stay in memory until the end."""
 
-    def __init__(self, frame_ids: int = FRAME_IDS):
+    def __init__(self, write, frame_ids: int = FRAME_IDS):
         import zstandard
 
         self.press = zstandard.ZstdCompressor(level=1, write_checksum=True, write_content_size=True)
-        self.frame_ids, self.body, self.table, self.index, self.open, self.size = frame_ids, bytearray(), [], [], [], 0
+        self.write, self.frame_ids, self.table, self.index, self.open, self.size = write, frame_ids, [], [], [], 0
 
     def add(self, key: int | None, ids: np.ndarray) -> None:
         self.index.append((key or 0, key is None, len(self.table), self.size, len(ids)))
@@ -110,15 +110,15 @@ class ShardWriter:
 
     def _frame(self, raw: bytes) -> None:
         pressed = self.press.compress(raw)
-        self.body += pressed
+        self.write(pressed)
         self.table.append((len(pressed), len(raw), zlib.crc32(raw)))
 
-    def finish(self) -> bytes:
+    def finish(self) -> None:
         self._flush()
         self._frame(np.array(self.index, dtype="<i8").reshape(-1, 5).tobytes())
         entries = b"".join(struct.pack("<III", *x) for x in self.table)
         footer = struct.pack("<IBI", len(self.table), WITH_CHECKSUMS, SEEKABLE_MAGIC)
-        return bytes(self.body) + struct.pack("<II", SKIPPABLE_MAGIC, len(entries) + len(footer)) + entries + footer
+        self.write(struct.pack("<II", SKIPPABLE_MAGIC, len(entries) + len(footer)) + entries + footer)
 
 
 class ShardReader:
@@ -180,8 +180,15 @@ def write_shards(docs: DataFrame, tokenizer: str, folder: str, end_id: int, shar
 
         from tessera.llm.words import slices
 
-        encoder, out, total, docs_n = WordEncoder(tokenizer), ShardWriter(frame_ids), 0, 0
+        part = TaskContext.get().partitionId()
+        store, path = fs.FileSystem.from_uri(folder)
+        name, draft = f"part-{part:06d}.zst", f".part-{part:06d}-{uuid.uuid4().hex}"
+        encoder, total, docs_n = WordEncoder(tokenizer), 0, 0
+        file = out = None
         for batch in batches:
+            if out is None:
+                file = store.open_output_stream(f"{path}/{draft}")
+                out = ShardWriter(file.write, frame_ids)
             keys, texts = batch.column(0).to_pylist(), batch.column(1)
             for lo, hi in slices(texts, 8 << 20):
                 ids, begins = encoder.encode(texts.slice(lo, hi - lo))
@@ -190,14 +197,11 @@ def write_shards(docs: DataFrame, tokenizer: str, folder: str, end_id: int, shar
                     out.add(keys[lo + k], own)
                     total += len(own)
                 docs_n += hi - lo
-        if docs_n:
-            part = TaskContext.get().partitionId()
-            store, path = fs.FileSystem.from_uri(folder)
-            name, draft = f"{path}/part-{part:06d}.zst", f"{path}/.part-{part:06d}-{uuid.uuid4().hex}"
-            with store.open_output_stream(draft) as f:
-                f.write(out.finish())
-            store.move(draft, name)
-            yield pa.RecordBatch.from_pydict({"part": pa.array([part], pa.int64()), "name": [f"{folder}/part-{part:06d}.zst"], "n_docs": pa.array([docs_n], pa.int64()), "n_ids": pa.array([total], pa.int64())})
+        if out is not None:
+            out.finish()
+            file.close()
+            store.move(f"{path}/{draft}", f"{path}/{name}")
+            yield pa.RecordBatch.from_pydict({"part": pa.array([part], pa.int64()), "name": [f"{folder}/{name}"], "n_docs": pa.array([docs_n], pa.int64()), "n_ids": pa.array([total], pa.int64())})
 
     from pyarrow import fs
 

@@ -117,10 +117,11 @@ def test_token_shards_equal_the_library(spark, docs, hard, tmp_path):
 
 
 def test_token_shards_find_damage_and_take_an_empty_table(spark, empty):
-    writer = tokenbin.ShardWriter(4)
+    raw = bytearray()
+    writer = tokenbin.ShardWriter(raw.extend, 4)
     for k in range(5):
         writer.add(k, np.arange(3, dtype=np.uint32))
-    raw = bytearray(writer.finish())
+    writer.finish()
     reader = tokenbin.ShardReader(lambda at, n: bytes(raw[at : at + n]), len(raw))
     assert [reader.ids(i).tolist() for i in range(5)] == [[0, 1, 2]] * 5
     raw[reader.begins[1] + 12] ^= 0xFF

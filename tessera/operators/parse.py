@@ -96,41 +96,49 @@ def sections(pages: DataFrame, prefix: str = "") -> DataFrame:
 
     path, pos, position, level, heading, anchor, section_id, parent_id, breadcrumb.
     """
-    return _sections(headings(normalised(without_exports(lines(pages)))), prefix)
+    return located(pages, prefix)[0]
 
 
-def _sections(marked: DataFrame, prefix: str = "") -> DataFrame:
-    title = marked.where("level = 1").groupBy("path").agg(F.min_by("heading", "pos").alias("title"), F.min("pos").alias("title_pos"))
-    own = marked.where("level >= 2").select("path", "pos", "level", "heading")
-    first = marked.groupBy("path").agg(F.min(F.when(F.col("level") >= 2, F.col("pos"))).alias("first"), F.min(F.when((F.col("level") == 0) & (F.trim("line") != ""), F.col("pos"))).alias("content"))
-    overview = first.where(F.col("first").isNull() | (F.col("content") < F.col("first"))).select("path", F.lit(-1).alias("pos"), F.lit(2).alias("level"), F.lit("Overview").alias("heading"))
-    all_ = own.unionByName(overview)
-    # the parent of a heading is the nearest one before it of a smaller level
-    above = [F.last(F.when(F.col("level") == k, F.col("pos")), True).over(before()).alias(f"last{k}") for k in range(2, DEEPEST)]
-    base = F.when(tx.slugify(F.col("heading")) == "", "section").otherwise(tx.slugify(F.col("heading")))
-    seen = Window.partitionBy("path", "base").orderBy("pos")
-    placed = all_.select("*", *above, base.alias("base"), (F.row_number().over(by_page()) - 1).alias("position")).withColumn("n", F.row_number().over(seen) - 1)
-    parent = F.greatest(*[F.when(F.col("level") > k, F.col(f"last{k}")) for k in range(2, DEEPEST)])
-    named = placed.withColumn("anchor", F.when(F.col("n") == 0, F.col("base")).otherwise(F.concat_ws("-", "base", F.col("n").cast("string")))).withColumn("parent_pos", parent).drop("n", "base", *[f"last{k}" for k in range(2, DEEPEST)])
-    crumbs = named.withColumn("crumb", F.array("heading")).withColumn("up", F.col("parent_pos"))
-    heads = named.select("path", F.col("pos").alias("up"), F.col("heading").alias("up_heading"), F.col("parent_pos").alias("up_parent"))
-    for _ in range(DEEPEST - 2):  # at most four ancestors
-        crumbs = crumbs.join(heads, ["path", "up"], "left").withColumn("crumb", F.when(F.col("up_heading").isNotNull(), F.concat(F.array("up_heading"), "crumb")).otherwise(F.col("crumb"))).withColumn("up", F.col("up_parent")).drop("up_heading", "up_parent")
+def outlined(marked: DataFrame, prefix: str = "") -> DataFrame:
+    """The lines with the section that each stands in, and on headings its place in the outline; all windows share one partitioning.
+
+    A page with content before its first section gets a line of its own at -1, the Overview.  A section is open until a heading of its level or
+    a smaller one: the last heading of level k is an ancestor if none of a smaller level came after it.
+    """
+    page = Window.partitionBy("path")
+    is_section = F.col("level") >= 2
+    first, content = F.min(F.when(is_section, F.col("pos"))).over(page), F.min(F.when((F.col("level") == 0) & (F.trim("line") != ""), F.col("pos"))).over(page)
+    title = F.min(F.when(F.col("level") == 1, F.struct("pos", "heading"))).over(page)
+    fields = ["pos", "line", "mark", "fence_no", "fence", "level", "heading"]
+    overview = F.struct(*[v.cast(marked.schema[n].dataType).alias(n) for n, v in zip(fields, map(F.lit, (-1, "", False, 0, 0, 2, "Overview")), strict=True)])
+    told = marked.withColumn("title", F.coalesce(title["heading"], F.col("path"))).withColumn("opens", (F.col("pos") == F.min("pos").over(page)) & (first.isNull() | (content < first)))
+    rows = told.select("path", "title", F.explode(F.when(F.col("opens"), F.array(overview, F.struct(*fields))).otherwise(F.array(F.struct(*fields)))).alias("x")).select("path", "title", "x.*")
+    slug = tx.slugify(F.col("heading"))
+    base = F.when(is_section, F.when(slug == "", "section").otherwise(slug))
+    nth = F.row_number().over(Window.partitionBy("path", "base").orderBy("pos")) - 1
+    anchor = F.when(is_section, F.when(F.col("nth") == 0, F.col("base")).otherwise(F.concat_ws("-", "base", F.col("nth").cast("string"))))
     url = F.concat(F.lit(prefix), F.translate("path", "\\", "/"))
-    ids = named.select("path", F.col("pos").alias("parent_pos"), F.concat_ws("#", url, F.col("anchor")).alias("parent_id"))
-    return (
-        crumbs.drop("up").join(title, "path", "left").join(ids, ["path", "parent_pos"], "left")
-        .select("path", "pos", "position", "level", "heading", "anchor", F.concat_ws("#", url, F.col("anchor")).alias("section_id"), "parent_id", tx.breadcrumb(F.concat(F.array(F.coalesce("title", "path")), F.col("crumb"))).alias("breadcrumb"))
+    named = rows.withColumn("base", base).withColumn("nth", nth).withColumn("anchor", anchor).withColumn("own_id", F.when(is_section, F.concat_ws("#", url, F.col("anchor"))))
+    open_ = {k: f"open{k}" for k in range(2, DEEPEST)}
+    for k, name in open_.items():
+        named = named.withColumn(name, F.last(F.when(F.col("level") == k, F.struct("pos", "heading", "own_id")), True).over(before()))
+    above = {}
+    for k, name in open_.items():
+        later = [F.coalesce(F.col(f"{open_[j]}.pos"), F.lit(-2)) for j in range(2, k)]
+        newest = F.greatest(*later) if len(later) > 1 else later[0] if later else F.lit(-2)
+        above[k] = F.when((F.col("level") > k) & (F.col(f"{name}.pos") > newest), F.col(name))
+    crumb = F.concat(F.array("title"), F.filter(F.array(*[above[k]["heading"] for k in above]), lambda h: h.isNotNull()), F.array("heading"))
+    return named.select(
+        "path", *fields, "anchor", "own_id", F.when(is_section, tx.breadcrumb(crumb)).alias("breadcrumb"), F.when(is_section, F.coalesce(*[above[k]["own_id"] for k in reversed(above)])).alias("parent_id"),
+        F.when(is_section, F.sum(is_section.cast("int")).over(so_far()) - 1).cast("int").alias("position"), F.last("own_id", True).over(so_far()).alias("section_id"),
     )
 
 
 def located(pages: DataFrame, prefix: str = "") -> tuple[DataFrame, DataFrame]:
-    """The sections, and all lines with the position of the section that they stand in."""
-    marked = headings(normalised(without_exports(lines(pages))))
-    found = _sections(marked, prefix)
-    starts = found.select("path", F.col("pos").alias("section_pos"), "section_id")
-    last = F.last(F.when(F.col("level") >= 2, F.col("pos")), True).over(so_far())
-    return found, marked.withColumn("section_pos", F.coalesce(last, F.lit(-1))).join(starts, ["path", "section_pos"])
+    """The sections, and all lines with the section that they stand in."""
+    placed = outlined(headings(normalised(without_exports(lines(pages)))), prefix)
+    found = placed.where("level >= 2").select("path", "pos", "position", "level", "heading", "anchor", "section_id", "parent_id", "breadcrumb")
+    return found, placed.where("section_id IS NOT NULL").drop("own_id", "anchor", "breadcrumb", "parent_id", "position")
 
 
 def paragraphs(placed: DataFrame) -> DataFrame:

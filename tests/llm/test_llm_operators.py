@@ -377,7 +377,7 @@ def test_signatures_estimate_the_weighted_similarity():
 def test_likely_pairs_across_blocks(spark, monkeypatch):
     monkeypatch.setattr(minhash, "BLOCK", 3)
     members = [(bytes([i]), bytes([i]), bytes([i // 2] * minhash.SKETCH)) for i in range(12)]
-    rows = spark.createDataFrame([(0, 1, n, lab, s, bytes([0]), 12, 11) for n, lab, s in members], "band int, key long, node binary, label binary, sketch binary, largest binary, members long, outside long")
+    rows = spark.createDataFrame([(b, 7, n, lab, s, [9 if n[0] < 6 else n[0], 7], bytes([0]), 12, 11) for n, lab, s in members for b in (1, 0) if b or n[0] < 6], "band int, key long, node binary, label binary, sketch binary, bands array<long>, largest binary, members long, outside long")
     got = {(bytes(r["a"])[0], bytes(r["b"])[0]) for r in minhash.likely_pairs(rows).collect()}
     assert got == {(i, i + 1) for i in range(0, 12, 2)}
 

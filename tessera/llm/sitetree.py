@@ -5,8 +5,11 @@ class names, from the root).  A node's importance has two parts, each an entropy
 over the m pages that hold the node.  Presentation: the entropy of the sequences of
 child styles that the node has (one fixed sequence: 0).  Content: one less the mean
 entropy of its text blocks over pages (a block that is on c of m pages has log c /
-log m: a notice that stands on all of them 1, a text of one page 0).  Copies of one
-page count as one page for a block.  Branches of low importance are noise and are
+log m: a notice that stands on all of them 1, a text of one page 0).  Pages with the
+same text outside named parts count as one page, whatever their menus and adverts are.
+Blocks of article or main that stand on the same pages, and together are most of the
+article there, are one article and its near copies: each counts as on one page.
+Branches of low importance are noise and are
 cut out of each page, as are branches whose style names their part (menus, footers,
 forms, adverts, comments and the like): where every page has other links in its menu,
 no entropy tells it from text.  What is left inside article or main elements, or
@@ -32,6 +35,8 @@ from tessera.llm.words import slices
 
 #: Nodes on fewer pages of a host are never noise; importance from which on a node stays; share of presentation in it.
 LEAST_PAGES, LEAST_IMPORTANCE, PRESENTATION = 10, 0.3, 0.1
+#: Blocks that always come together are an article, not a notice, if they hold this share of the characters in article or main.
+ARTICLE_SHARE = 0.8
 #: So many noise nodes (8 bytes each) are sent to all tasks; more are joined with the pages instead.
 BROADCAST_NODES = 500_000
 SALTS = 32
@@ -154,42 +159,58 @@ def host_of(url: str | None) -> int:
 
 
 def style_rows(pages: DataFrame) -> DataFrame:
-    """node, kind (0: a page has it, 1: a child sequence, 2: a text block), feature and page of every page's own tree."""
+    """node, kind (0: a page has it, 1: a child sequence, 2: a text block), feature and page of every page's own tree.
+
+    Pages of a host with the same text have one page hash.  chars: of a block in article or main; total: of all of these.
+    """
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo, hi in slices(batch.column(1)):
-                nodes, kinds, features, of = [], [], [], []
+                nodes, kinds, features, of, chars, totals = [], [], [], [], [], []
                 for url, source in zip(batch.column(0).slice(lo, hi - lo).to_pylist(), batch.column(1).slice(lo, hi - lo).to_pylist(), strict=True):
                     host, source = host_of(url), source or ""
-                    page = xxhash.xxh64_intdigest(source) - (1 << 63)
                     blocks, shapes = walk(source, host)
-                    rows = {(p, 2, xxhash.xxh64_intdigest(t) - (1 << 63)) for t, paths, _, _ in blocks for p in paths}
-                    rows |= {(p, 1, s) for p, s in shapes}
-                    rows |= {(p, 0, 0) for p, _ in shapes}
-                    for p, k, f in rows:
+                    inside = {t for t, _, out, main in blocks if main and not out}
+                    page = xxhash.xxh64_intdigest(repr((host, sorted(inside or {t for t, _, out, _ in blocks if not out})))) - (1 << 63)
+                    rows = {(p, 2, xxhash.xxh64_intdigest(t) - (1 << 63), len(t) if main and not out else 0) for t, paths, out, main in blocks for p in paths}
+                    rows |= {(p, 1, s, 0) for p, s in shapes}
+                    rows |= {(p, 0, 0, 0) for p, _ in shapes}
+                    total = sum(map(len, inside))
+                    for p, k, f, c in rows:
                         nodes.append(p)
                         kinds.append(k)
                         features.append(f)
                         of.append(page)
-                yield pa.RecordBatch.from_pydict({"node": pa.array(nodes, pa.int64()), "kind": pa.array(kinds, pa.int8()), "feature": pa.array(features, pa.int64()), "page": pa.array(of, pa.int64())})
+                        chars.append(c)
+                        totals.append(total if c else 0)
+                yield pa.RecordBatch.from_pydict({"node": pa.array(nodes, pa.int64()), "kind": pa.array(kinds, pa.int8()), "feature": pa.array(features, pa.int64()), "page": pa.array(of, pa.int64()), "chars": pa.array(chars, pa.int64()), "total": pa.array(totals, pa.int64())})
 
-    return pages.select(F.col("url").cast("string"), F.col("html").cast("string")).mapInArrow(task, "node long, kind byte, feature long, page long")
+    return pages.select(F.col("url").cast("string"), F.col("html").cast("string")).mapInArrow(task, "node long, kind byte, feature long, page long, chars long, total long")
 
 
 def importance(pages: DataFrame) -> DataFrame:
     """node, pages, importance of every node of every host's tree."""
-    counted = style_rows(pages).groupBy("node", "kind", "feature").agg(F.count("*").alias("n"), F.min("page").alias("first"), F.max("page").alias("last"))
-    counted = counted.withColumn("c", F.when((F.col("kind") == 2) & (F.col("first") == F.col("last")), 1).otherwise(F.col("n")))
+    from tessera.llm.shared import saved
+
+    by_page = style_rows(pages).groupBy("node", "kind", "feature", "page").agg(F.max("chars").alias("chars"), F.max("total").alias("total"))
+    counted = by_page.groupBy("node", "kind", "feature").agg(F.count("*").alias("c"), F.bit_xor("page").alias("on"), F.max("chars").alias("chars"), F.avg("total").alias("total"))
+    counted = saved(counted, "style-counts")
+    # blocks that stand on the same pages and are most of the article there: copies of one article
+    repeated = counted.where("kind = 2 AND c > 1 AND chars > 0")
+    groups = repeated.groupBy("on", "c", "feature").agg(F.max("chars").alias("chars"), F.max("total").alias("total")).groupBy("on", "c").agg(F.sum("chars").alias("held"), F.max("total").alias("total"))
+    articles = groups.where(F.col("held") >= ARTICLE_SHARE * F.col("total")).select("on", "c")
+    copies = repeated.join(articles, ["on", "c"]).groupBy("node").agg(F.sum(F.log("c")).alias("copies"))
     # sum of c log c and so on: entropies follow when m is known
     sums = counted.groupBy("node").agg(
-        F.max(F.when(F.col("kind") == 0, F.col("n"))).alias("m"),
+        F.max(F.when(F.col("kind") == 0, F.col("c"))).alias("m"),
         F.sum(F.when(F.col("kind") == 1, F.col("c") * F.log("c"))).alias("shape_clogc"), F.sum(F.when(F.col("kind") == 1, F.col("c"))).alias("shape_c"),
-        F.avg(F.when(F.col("kind") == 2, F.log("c"))).alias("text_logc"),
-    )
+        F.sum(F.when(F.col("kind") == 2, F.log("c"))).alias("text_logc"), F.count(F.when(F.col("kind") == 2, 1)).alias("blocks"),
+    ).join(copies, "node", "left")
     logm = F.log(F.greatest(F.col("m"), F.lit(2)))
     shape = F.coalesce((F.log("shape_c") - F.col("shape_clogc") / F.col("shape_c")) / logm, F.lit(1.0))
-    text = F.coalesce(1 - F.col("text_logc") / logm, F.lit(1.0))
+    text_logc = (F.col("text_logc") - F.coalesce("copies", F.lit(0.0))) / F.nullif("blocks", F.lit(0))
+    text = F.coalesce(1 - text_logc / logm, F.lit(1.0))
     return sums.select("node", F.col("m").alias("pages"), (F.lit(PRESENTATION) * shape + F.lit(1 - PRESENTATION) * text).alias("importance"))
 
 

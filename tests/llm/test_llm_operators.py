@@ -167,6 +167,23 @@ def test_html_copies_of_one_page_keep_their_text(spark):
     assert [r["text"] for r in got] == ["one and the same page"]
 
 
+@pytest.mark.parametrize("advert", ["ad", "x7"])
+@pytest.mark.parametrize("articles", [1, 2])
+def test_html_near_copies_keep_their_text(spark, articles, advert):
+    text = [f"<h1>Title {k}</h1>" + "".join(f"<p>The article {k} tells in its paragraph {j} what it has to tell about things</p>" for j in range(6)) for k in range(articles)]
+    rows = [(i, "http://h.example/", f'<html><body><nav><a>menu {i}</a></nav><article>{text[i % articles]}<div class="{advert}">Buy {i}</div></article></body></html>') for i in range(30)]
+    got = {r["page_id"]: r["text"] for r in sitetree.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    for i in range(30):
+        kept = plain_article(f"<article>{text[i % articles]}</article>")
+        assert got[i] in (kept, f"{kept}\nBuy {i}") and ("Buy" in got[i]) == (advert == "x7")
+
+
+def test_html_notices_of_articles_are_still_cut(spark):
+    rows = [(i, "http://h.example/", f'<body><article><p>Some own text of page {i} {"w" * i}<div class="x1"><p>Follow this site<p>or write to it</div></article></body>') for i in range(30)]
+    got = {r["page_id"]: r["text"] for r in sitetree.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == {i: f"Some own text of page {i} {'w' * i}".strip() for i in range(30)}
+
+
 def test_html_importance_is_the_entropy(spark):
     pages = spark.createDataFrame([(i, "http://h.example/", f"<div class=a>same</div><div class=b>own {i}</div>") for i in range(16)], "page_id long, url string, html string")
     values = sorted({round(r["importance"], 6) for r in sitetree.importance(pages).collect() if r["pages"] == 16})

@@ -12,7 +12,11 @@ article there, are one article and its near copies: each counts as on one page.
 Branches of low importance are noise and are
 cut out of each page, as are branches whose style names their part (menus, footers,
 forms, adverts, comments and the like): where every page has other links in its menu,
-no entropy tells it from text.  What is left inside article or main elements, or
+no entropy tells it from text.  A class, id or role names a part if it is a part's name
+as a whole ("comments", "cookie-banner", "left-sidebar", but not "has-sidebar"), or has a
+word that means nothing else ("ad-slot").  Wholes (html, body, article, main), headings and
+inline elements are never named parts; ids count neither inside article and main nor on
+sections, where they are targets of links.  What is left inside article or main elements, or
 else in the body, is the text, block by block.
 
 Nulls: a null html is empty; a null url makes a host of its own.  A page without text
@@ -55,13 +59,33 @@ PARTS_BY_NAME = frozenset(
     "footer sidebar aside widget cookie cookies consent gdpr notice notices notification alert popup modal overlay newsletter subscribe subscription signup login "
     "comment comments disqus reply replies share sharing social related recommended search toolbar masthead skip".split()
 )
+# Of these, words that name a part wherever they stand in a name, as long as it doesn't begin with one of the states.
+CLEAR_NAMES = frozenset("ad ads adv advert adverts advertisement advertising sponsored navbar breadcrumb breadcrumbs pagination disqus gdpr newsletter".split())
+STATES = frozenset("has have no not with without is hide show open closed".split())
+# Words that may stand beside a part's name.
+BESIDE = frozenset("site top bottom left right main primary secondary global list links buttons bar box form posts icons".split())
 HEADERS = frozenset(["header", "masthead"])
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+NEVER_NAMED = WHOLE | HEADINGS | INLINE
 
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|</?([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*)>|</?([a-zA-Z][^\s/>]*)([^>]*)>", re.S)
 NAMES = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 SPLIT = re.compile(r"[\s_\-:]+")
 
 _paths: dict[tuple[int, str, str], int] = {}
+_named: dict[str, tuple[bool, bool]] = {}
+
+
+def part_of(name: str) -> tuple[bool, bool]:
+    """Whether a class, id or role names a part of a page; and a header."""
+    if (found := _named.get(name)) is None:
+        words = [w for w in SPLIT.split(name) if w]
+        part = bool(words) and words[0] not in STATES and (not CLEAR_NAMES.isdisjoint(words) or (not PARTS_BY_NAME.isdisjoint(words) and all(w in PARTS_BY_NAME or w in BESIDE for w in words)))
+        head = not HEADERS.isdisjoint(words) and all(w in HEADERS or w in BESIDE for w in words)
+        found = part, head
+        if len(_named) < 100_000:
+            _named[name] = found
+    return found
 
 
 def child_path(parent: int, tag: str, names: str) -> int:
@@ -130,9 +154,11 @@ def walk(source: str, host: int, noise: frozenset | set = frozenset()) -> tuple[
         names = " ".join(sorted(found.get("class", "").lower().split()))
         parent = stack[-1]
         path = child_path(parent.path, tag, names)
-        parts = set(SPLIT.split(" ".join(found.values()).lower())) if found else ()
         main = parent.main or tag in ("article", "main") or "main" in found.get("role", "").lower().split()
-        out = parent.out or tag in PARTS_BY_TAG or path in noise or (bool(parts) and not PARTS_BY_NAME.isdisjoint(parts)) or (not main and (tag == "header" or (bool(parts) and not HEADERS.isdisjoint(parts))))
+        out = parent.out or tag in PARTS_BY_TAG or path in noise or (not main and tag == "header")
+        if found and not out and tag not in NEVER_NAMED and "main" not in found.get("role", "").lower().split():
+            given = [part_of(n) for key, v in found.items() if key != "id" or not (main or tag == "section") for n in v.lower().split()]
+            out = any(part or (head and not main) for part, head in given)
         if tag not in INLINE:
             parent.children.append((tag, names))
         if tag in RAW:

@@ -184,6 +184,21 @@ def test_html_notices_of_articles_are_still_cut(spark):
     assert got == {i: f"Some own text of page {i} {'w' * i}".strip() for i in range(30)}
 
 
+@pytest.mark.parametrize("page", [
+    '<body class="has-sidebar"><p>Text', '<body class="nav-open"><div><p>Text</div>', '<html class="no-ads"><body><p>Text', '<body><main id="search" class="widget"><p>Text</main>',
+    '<body><article class="post comments-open"><p>Text</article>', '<body><article><section id="related-work"><p>Text</section></article>', '<body><section id="related-work"><p>Text</section>',
+    '<body><section id="search"><p>Text</section>', '<body><article><div id="comments"><p>Text</div></article>', '<body><h2 id="search" class="notice">Text</h2>', '<body><h1 class="header">Text</h1>',
+    '<body><div id="notice-period"><p>Text</div>', '<body><div class="with-sidebar"><p>Text</div>', '<body><div class="has-ads"><p>Text</div>', '<body><p>Te<b class="share">xt</b>', '<body><div role="main" class="widget"><p>Text</div>',
+])
+def test_html_names_leave_articles_alone(page):
+    assert sitetree.page_text(page, 0) == "Text"
+
+
+@pytest.mark.parametrize("part", ['class="ad"', 'class="x ad-slot"', 'id="comments"', 'class="comment-list"', 'class="cookie-banner"', 'class="left sidebar"', 'class="sidebar-left"', 'role="navigation"', 'role="search"', 'class="main-nav"', 'class="related-posts"', 'class="site-header"'])
+def test_html_names_still_cut_parts(part):
+    assert sitetree.page_text(f"<body><div {part}><p>Part</div><div class=\"story\"><p>Text</div></body>", 0) == "Text"
+
+
 def test_html_importance_is_the_entropy(spark):
     pages = spark.createDataFrame([(i, "http://h.example/", f"<div class=a>same</div><div class=b>own {i}</div>") for i in range(16)], "page_id long, url string, html string")
     values = sorted({round(r["importance"], 6) for r in sitetree.importance(pages).collect() if r["pages"] == 16})

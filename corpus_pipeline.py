@@ -20,9 +20,15 @@ def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def language_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents without any letters, whose language can't be told."""
+    """Drops documents without any letters, whose language can't be told; all others stay, whatever their score.
+
+    Where no document is labelled, the model has no languages and can't tell: only the letters count then.
+    """
     learn = docs.where(~langid.held_out(F.col("doc_id")) & F.col("doc_id").isNotNull())
-    return langid.identify(docs, langid.fit(learn)).where(F.col("lang_pred") != langid.UNKNOWN).select(*docs.columns)
+    model = langid.fit(learn)
+    if not model.languages:
+        return docs.where(F.coalesce(F.col("text").cast("string").rlike(r"\p{L}"), F.lit(False)))
+    return langid.identify(docs, model).where(F.col("lang_pred") != langid.UNKNOWN).select(*docs.columns)
 
 
 def near_duplicate_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -30,6 +30,8 @@ from tessera.llm.words import slices
 UNKNOWN = "und"
 SIZES = (5, 4, 3, 2, 1)
 SAMPLE_ROWS, MOST_WORDS, MOST_GRAMS = 6_000, 60_000, 60_000
+#: Letters of a long word whose n-grams are taken at once.
+PIECE = 64
 
 
 @dataclass
@@ -78,10 +80,20 @@ def fit(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS, most_words: int = M
                 for b in counted.filter(pc.not_equal(counted["key"], "")).rename_columns(["lang", "key", "n"]).to_batches():
                     yield b.cast(pa.schema([("lang", pa.string()), ("key", pa.string()), ("n", pa.int64())]))
 
+    def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # of a longer word, pieces that overlap so that each n-gram begins in the first PIECE letters of one
+        for batch in batches:
+            long = pc.greater(pc.utf8_length(batch.column(1)), PIECE)
+            yield batch.filter(pc.invert(long))
+            for row in batch.filter(long).to_pylist():
+                for lo in range(0, len(row["key"]), PIECE << 10):
+                    part = [row["key"][p : p + PIECE + max(SIZES) - 1] for p in range(lo, min(lo + (PIECE << 10), len(row["key"])), PIECE)]
+                    yield pa.RecordBatch.from_pydict({"lang": pa.array([row["lang"]] * len(part), pa.string()), "key": pa.array(part, pa.string()), "n": pa.array([row["n"]] * len(part), pa.int64())})
+
     # the n-grams of the sample's words and the words themselves, both bounded by the sample
     by_word = sample.mapInArrow(words, "lang string, key string, n long").groupBy("lang", "key").agg(F.sum("n").alias("n"))
-    place = F.explode(F.sequence(F.lit(1), F.least(F.length("key"), F.lit(64))))
-    starts = by_word.select("lang", "key", "n", place.alias("at"))
+    place = F.explode(F.sequence(F.lit(1), F.least(F.length("key"), F.lit(PIECE))))
+    starts = by_word.mapInArrow(pieces, "lang string, key string, n long").select("lang", "key", "n", place.alias("at"))
     sizes = starts.select("lang", "n", "key", "at", F.explode(F.array(*map(F.lit, SIZES))).alias("size")).where("at + size - 1 <= length(key)")
     by_gram = sizes.groupBy("lang", F.expr("substring(key, at, size)").alias("key")).agg(F.sum("n").alias("n"))
 

@@ -79,6 +79,17 @@ def test_language_backoff_goes_to_shorter_grams():
     assert langid.score_texts(m, pa.array(["w" * 3000]))[0] == ["a"]
 
 
+def test_language_counts_ngrams_of_whole_words(spark):
+    word = "ab" * 31 + "cdefghijk" + "ab" * 40 + "xyz"  # n-grams over and after the 64th letter
+    table = spark.createDataFrame([(1, f"{word} {word} pq", "a"), (2, "pq", "b")], HARD_SCHEMA + ", lang string")
+    got = langid.fit(table)
+    want = {w[p : p + k] for w in (word, "pq") for k in langid.SIZES for p in range(len(w) - k + 1)}
+    assert set(got.grams.to_pylist()) == want
+    counts = {g: sum(word[p : p + len(g)] == g for p in range(len(word))) for g in ("abab", "xyz")}
+    score = dict(zip(got.grams.to_pylist(), got.gram_scores[:, 0].tolist()))
+    assert abs(score["abab"] - score["xyz"] - np.log((2 * counts["abab"] + 0.5) / (2 * counts["xyz"] + 0.5))) < 1e-9
+
+
 def test_language_hard_cases(spark, hard, empty, docs):
     model = langid.fit(docs)
     got = langid.identify(hard, model)

@@ -44,6 +44,14 @@ def test_run_is_the_stages_in_order(spark):
     assert got == {r["doc_id"] for r in kept.collect()} and len(got) > 100
 
 
+def test_language_stage_without_labels_keeps_what_has_letters(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").withColumn("lang", F.lit(None).cast("string"))
+    table = docs.unionByName(spark.createDataFrame([(9001, "12345 !!", None, None, 1), (9002, None, None, None, 1), (9003, "\u00dcber", None, None, 1)], SCHEMA))
+    out = dict(corpus_pipeline.STAGES)["language_id"](spark, table, SF)
+    assert out.columns == table.columns
+    assert Counter(r["doc_id"] for r in out.collect()) == Counter(r["doc_id"] for r in table.collect() if any(c.isalpha() for c in r["text"] or ""))
+
+
 def test_empty_documents(spark):
     docs = spark.createDataFrame([], SCHEMA)
     for _, stage in corpus_pipeline.STAGES:

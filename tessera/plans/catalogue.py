@@ -726,7 +726,7 @@ def QA_answer_batch(s: SparkSession, d: str) -> DataFrame:
 
     docs = table(s, d, "documents")
     label = F.element_at(F.array(*map(F.lit, ("Section", "CodeBlock", "TableRow", "Callout"))), (F.col("doc_id") % 4 + 1).cast("int"))
-    nodes = docs.select(F.concat(F.lit("d"), F.col("doc_id").cast("string")).alias("node_id"), label.alias("node_label"), F.col("text").alias("indexed_text"), F.lit("").alias("raw_text"), models.embed(F.substring("text", 1, 400)).alias("embedding"), F.concat(F.lit("/"), "source").alias("url"), F.lit("").alias("anchor"), F.col("source").alias("breadcrumb"), F.lit("").alias("title"))
+    nodes = docs.select(F.concat(F.lit("d"), F.col("doc_id").cast("string")).alias("node_id"), label.alias("node_label"), F.col("text").alias("indexed_text"), F.lit("").alias("raw_text"), models.embed(F.col("text")).alias("embedding"), F.concat(F.lit("/"), "source").alias("url"), F.lit("").alias("anchor"), F.col("source").alias("breadcrumb"), F.lit("").alias("title"))
     named = table(s, d, "nation").select(F.concat(F.lit("Tool:"), "n_name").alias("node_id"), F.lit("Tool").alias("label"), F.col("n_name").alias("name"))
     asked = table(s, d, "benchmark").select(F.col("item_id").alias("query_id"), F.col("text").alias("question"))
     return qa.answer(nodes, named, asked).select("query_id", "answer", F.size("citations").alias("n_citations"), "no_results")

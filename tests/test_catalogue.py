@@ -4,6 +4,7 @@ import math
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 from tessera.plans.catalogue import ORACLE, QUERIES
 
@@ -40,3 +41,17 @@ def test_query_equals_sql(spark, duck, name):
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLE)))
 def test_query_without_sql_has_rows(spark, name):
     assert QUERIES[name](spark, SF).count() > 0
+
+
+def test_answers_embed_whole_texts(spark, monkeypatch, tmp_path):
+    from tessera.plans import models, qa
+
+    text = "word " * 100 + "needle in the last part"
+    spark.createDataFrame([(1, text, "en", "web")], "doc_id long, text string, lang string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    for name in ("nation", "benchmark"):
+        spark.read.parquet(f"{SF}/{name}.parquet").write.parquet(f"{tmp_path}/{name}.parquet")
+    seen, answer = [], qa.answer
+    monkeypatch.setattr(qa, "answer", lambda nodes, *rest: (seen.append(nodes), answer(nodes, *rest))[1])
+    QUERIES["QA_answer_batch"](spark, str(tmp_path))
+    want = spark.range(1).select(models.embed(F.lit(text)).alias("e")).first()["e"]
+    assert seen[0].first()["embedding"] == want

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.shared import saved
+from tessera.llm.shared import saved, tidy
 
 NEAREST, TABLES, RECALL, CELL = 20, 2, 0.96, 1.3
 #: Entries of a group at most, about, and the sampled queries that the fit compares with all rows.
@@ -120,7 +120,7 @@ def exact(queries: list[tuple[int, list[float]]], data: DataFrame, k: int = NEAR
         n = [len(h[0]) for h in held]
         yield pa.RecordBatch.from_pydict({"query_id": np.repeat(q_ids, n), "id": np.concatenate([h[0] for h in held]), "score": np.concatenate([h[1] for h in held])})
 
-    best = data.select("id", "vector").mapInArrow(task, "query_id long, id long, score double")
+    best = data.select("id", "vector").mapInArrow(tidy(task), "query_id long, id long, score double")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "id"))
     return best.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "id", "score")
 
@@ -164,7 +164,7 @@ def search(vectors: DataFrame, is_query: Column, k: int = NEAREST, recall: float
                     n = [len(f) for f in found]
                     yield pa.RecordBatch.from_pydict({"query_id": np.repeat(ids[lo : lo + 512], n), "t": pa.array(np.full(sum(n), t), pa.int32()), "cell": np.concatenate(found)})
 
-    placed = saved(data.select("id", "vector").mapInArrow(place, "id long, t int, cell long"), "placed")
+    placed = saved(data.select("id", "vector").mapInArrow(tidy(place), "id long, t int, cell long"), "placed")
     # cells with more entries than a group should hold are dealt over several
     large = saved(placed.groupBy("t", "cell").count().where(F.col("count") > GROUP // 2).select("t", "cell", F.ceil(F.col("count") / (GROUP // 2)).cast("int").alias("parts")), "large-cells")
     groups = max(1, math.ceil(placed.count() / tables / GROUP))
@@ -172,7 +172,7 @@ def search(vectors: DataFrame, is_query: Column, k: int = NEAREST, recall: float
     group = F.pmod(F.xxhash64("cell", "part"), F.lit(groups)).cast("int").alias("g")
     dealt = placed.join(large, ["t", "cell"], "left").withColumn("part", F.pmod(F.xxhash64("id"), parts).cast("int"))
     stored = dealt.join(data.select("id", "vector"), "id").select("t", group, "cell", "part", "id", "vector")
-    asked = queries.select("id", "vector").mapInArrow(probe, "query_id long, t int, cell long").join(large, ["t", "cell"], "left").withColumn("part", F.explode(F.sequence(F.lit(0), parts - 1)))
+    asked = queries.select("id", "vector").mapInArrow(tidy(probe), "query_id long, t int, cell long").join(large, ["t", "cell"], "left").withColumn("part", F.explode(F.sequence(F.lit(0), parts - 1)))
     sent_to = asked.select("query_id", "t", group, "cell", "part").groupBy("query_id", "t", "g").agg(F.collect_list(F.struct("cell", "part")).alias("cells"))  # a query's own probes
     asking = sent_to.join(queries.select(F.col("id").alias("query_id"), F.col("vector").alias("q")), "query_id").select("t", "g", "query_id", "cells", "q")
 

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.shared import shared_folder
+from tessera.llm.shared import shared_folder, tidy
 from tessera.llm.units import gather
 from tessera.llm.words import Words, shingles, slices, split, within
 
@@ -187,7 +187,7 @@ def corpus_counts(docs: DataFrame, uris: list[str], kinds: dict[str, set[int]])
                 if (some := np.flatnonzero(t)).size:
                     yield pa.RecordBatch.from_pydict({"block": pa.array(np.full(len(some), k), pa.int32()), "shingle": pa.array(sieves[k][w].keys[some].view(np.int64)), "n": pa.array(t[some])})
 
-    rows = docs.select(F.col("text").cast("string")).mapInArrow(task, "block int, shingle long, n long").groupBy("block", "shingle").agg(F.sum("n").alias("n"))
+    rows = docs.select(F.col("text").cast("string")).mapInArrow(tidy(task), "block int, shingle long, n long").groupBy("block", "shingle").agg(F.sum("n").alias("n"))
     out: dict[str, dict[int, int]] = {u: {} for u in uris}
     for r in rows.toLocalIterator():
         out[uris[r["block"]]][r["shingle"] & (1 << 64) - 1] = r["n"]
@@ -267,7 +267,7 @@ def scan(docs: DataFrame, uris: list[str], spans: bool = False) -> DataFrame:
                     new.append(pa.array([[{"start": int(a), "end": int(b)} for a, b in _runs(hit[words.offsets[t] : words.offsets[t + 1]])] for t in range(hi - lo)], pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))))
                 yield pa.RecordBatch.from_arrays([*part.columns, *new], names=[*part.schema.names, *own])
 
-    return kept.mapInArrow(task, schema)
+    return kept.mapInArrow(tidy(task), schema)
 
 
 def _runs(flags: np.ndarray) -> np.ndarray:

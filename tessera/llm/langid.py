@@ -25,6 +25,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tessera.llm.shared import tidy
 from tessera.llm.words import slices
 
 UNKNOWN = "und"
@@ -91,9 +92,9 @@ def fit(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS, most_words: int = M
                     yield pa.RecordBatch.from_pydict({"lang": pa.array([row["lang"]] * len(part), pa.string()), "key": pa.array(part, pa.string()), "n": pa.array([row["n"]] * len(part), pa.int64())})
 
     # the n-grams of the sample's words and the words themselves, both bounded by the sample
-    by_word = sample.mapInArrow(words, "lang string, key string, n long").groupBy("lang", "key").agg(F.sum("n").alias("n"))
+    by_word = sample.mapInArrow(tidy(words), "lang string, key string, n long").groupBy("lang", "key").agg(F.sum("n").alias("n"))
     place = F.explode(F.sequence(F.lit(1), F.least(F.length("key"), F.lit(PIECE))))
-    starts = by_word.mapInArrow(pieces, "lang string, key string, n long").select("lang", "key", "n", place.alias("at"))
+    starts = by_word.mapInArrow(tidy(pieces), "lang string, key string, n long").select("lang", "key", "n", place.alias("at"))
     sizes = starts.select("lang", "n", "key", "at", F.explode(F.array(*map(F.lit, SIZES))).alias("size")).where("at + size - 1 <= length(key)")
     by_gram = sizes.groupBy("lang", F.expr("substring(key, at, size)").alias("key")).agg(F.sum("n").alias("n"))
 
@@ -168,12 +169,12 @@ def identify(docs: DataFrame, model: LanguageModel) -> DataFrame:
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lo, hi in slices(batch.column(at), 4 << 20):
+            for lo, hi in slices(batch.column(at), 2 << 20):
                 part = batch.slice(lo, hi - lo)
                 langs, share = score_texts(sent.value, part.column(at))
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(langs, pa.string()), pa.array(share, pa.float64())], names=[*part.schema.names, "lang_pred", "score"])
 
-    return kept.mapInArrow(task, f"{kept.schema.toDDL()}, lang_pred string, score double")
+    return kept.mapInArrow(tidy(task), f"{kept.schema.toDDL()}, lang_pred string, score double")
 
 
 def predict(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> DataFrame:

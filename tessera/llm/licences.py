@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.decontam import Sieve
+from tessera.llm.shared import tidy
 from tessera.llm.units import gather
 from tessera.llm.words import shingles, slices, split
 
@@ -136,7 +137,7 @@ def scan(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, least: f
                     "doc_id": batch.column(0).slice(lo, hi - lo), "licences": pa.array([sorted(f.items()) for f in found], pa.map_(pa.string(), pa.float64())),
                     "n_licences": pa.array([len(f) for f in found], pa.int32()), "licence": pa.array([b[1] for b in best], pa.string()), "dice": pa.array([-b[0] + 0.0 for b in best], pa.float64())})
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string")).mapInArrow(task, "doc_id long, licences map<string,double>, n_licences int, licence string, dice double")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string")).mapInArrow(tidy(task), "doc_id long, licences map<string,double>, n_licences int, licence string, dice double")
 
 
 def _quoted(s: str) -> str:

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.shared import saved
+from tessera.llm.shared import saved, tidy
 from tessera.llm.words import Words, mix, powers, shingles, slices, split, within
 
 WIDTH, LEAST = 5, 0.8
@@ -151,7 +151,7 @@ def sign(docs: DataFrame) -> DataFrame:
                 node = pa.array([None if e else x.tobytes() for e, x in zip(empty, nodes, strict=True)], pa.binary())
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), batch.column(2).slice(lo, hi - lo), node, pa.ListArray.from_arrays(pa.array(np.arange(0, keys.size + 1, keys.shape[1]), pa.int32()), pa.array(keys.ravel()))], names=["doc_id", "text_hash", "node", "bands"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.xxhash64(F.col("text").cast("string")).alias("text_hash")).mapInArrow(task, "doc_id long, text_hash long, node binary, bands array<long>")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.xxhash64(F.col("text").cast("string")).alias("text_hash")).mapInArrow(tidy(task), "doc_id long, text_hash long, node binary, bands array<long>")
 
 
 def similarities(left: pa.Array, right: pa.Array, width: int = WIDTH) -> np.ndarray:
@@ -177,7 +177,7 @@ def payloads(docs: DataFrame, nodes: DataFrame) -> DataFrame:
                 yield part.filter(pa.array(same, pa.bool_()))
 
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where("doc_id IS NOT NULL AND text IS NOT NULL")
-    return nodes.join(texts, "doc_id").select("node", "text").mapInArrow(task, "node binary, text string")
+    return nodes.join(texts, "doc_id").select("node", "text").mapInArrow(tidy(task), "node binary, text string")
 
 
 def verified(pairs: DataFrame, texts: DataFrame, least: float = LEAST) -> DataFrame:
@@ -192,7 +192,7 @@ def verified(pairs: DataFrame, texts: DataFrame, least: float = LEAST) -> DataFr
 
     left = pairs.join(texts.withColumnRenamed("node", "b").withColumnRenamed("text", "text_b"), "b")
     both = left.join(texts.withColumnRenamed("node", "a").withColumnRenamed("text", "text_a"), "a")
-    return both.select("a", "b", "text_a", "text_b").mapInArrow(task, "a binary, b binary")
+    return both.select("a", "b", "text_a", "text_b").mapInArrow(tidy(task), "a binary, b binary")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -219,7 +219,7 @@ def sketches(texts: DataFrame) -> DataFrame:
                 made = mix(bag_signatures(runs, at, hi - lo, SKETCH).view(np.uint64).ravel()) >> np.uint64(56)
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.array([x.tobytes() for x in made.astype(np.uint8).reshape(hi - lo, -1)], pa.binary())], names=["node", "sketch"])
 
-    return texts.select("node", "text").mapInArrow(task, "node binary, sketch binary").dropDuplicates(["node"])
+    return texts.select("node", "text").mapInArrow(tidy(task), "node binary, sketch binary").dropDuplicates(["node"])
 
 
 def divided(buckets: DataFrame, labels: DataFrame) -> DataFrame:
@@ -282,7 +282,7 @@ def likely_pairs(inside: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], names=["a", "b"])
 
     dealt = left.union(right).repartition("band", "key", "i", "j").sortWithinPartitions("band", "key", "i", "j", "side")
-    return dealt.mapInArrow(task, "a binary, b binary").distinct()
+    return dealt.mapInArrow(tidy(task), "a binary, b binary").distinct()
 
 
 def classes(docs: DataFrame, least: float = LEAST) -> DataFrame:

@@ -17,6 +17,7 @@ Columns other than doc_id and text are not read.
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import re
 from collections.abc import Iterator
@@ -27,13 +28,16 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
+from tessera.llm.shared import tidy
 from tessera.llm.units import LETTERS, UnitIds, gather, stops_apart
 from tessera.llm.words import slices
 
 MARK = "▁"
-#: Cuts of up to so many characters are merged side by side.
-SIDE_BY_SIDE = 48
+#: Cuts of up to so many characters are merged side by side, and so many of them at a time.
+SIDE_BY_SIDE, SIDES = 48, 4096
 NONE = np.iinfo(np.int32).max
+#: Characters of which one that no text of a slice holds marks the cuts; where all are held, texts are cut one by one.
+GAPS = (0xE000, 0xF900)
 
 
 class PairTable:
@@ -163,18 +167,24 @@ class MergeVocabulary:
         for k, c in enumerate(cuts):
             by_width.setdefault(4 * -(-len(c) // 4) if len(c) <= SIDE_BY_SIDE else 0, []).append(k)
         for width, own in by_width.items():
-            for lo in range(0, len(own), 20_000):
-                part = own[lo : lo + 20_000]
+            for lo in range(0, len(own), SIDES):
+                part = own[lo : lo + SIDES]
                 for k, ids in zip(part, self.merge_side_by_side([cuts[k] for k in part]) if width else map(self.merge, [cuts[k] for k in part]), strict=True):
                     out[k] = ids
         return out
 
 
+@functools.lru_cache(maxsize=1)
+def vocabulary_of(path: str) -> MergeVocabulary:
+    """The vocabulary of a file, read once by a worker (about 25 MB)."""
+    return MergeVocabulary(path)
+
+
 class PieceEncoder:
     """Encodes Arrow batches of texts with one vocabulary."""
 
     def __init__(self, path: str):
-        self.vocabulary = MergeVocabulary(path)
+        self.vocabulary = vocabulary_of(path)
         self.units = UnitIds(self._checked)
         self.before = self.vocabulary.merge(MARK + "a")
 
@@ -191,11 +201,14 @@ class PieceEncoder:
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids without end ids, one text after another, and where each text begins."""
         texts = texts.cast(pa.large_string()).fill_null("")
-        gap = next(c for c in map(chr, range(0xE000, 0xF8FF)) if not pc.any(pc.match_substring(texts, c)).as_py())
+        gap = next((c for c in map(chr, range(*GAPS)) if not pc.any(pc.match_substring(texts, c)).as_py()), None)
         marked = pc.replace_substring(pc.if_else(pc.equal(texts, ""), "", pc.binary_join_element_wise(pa.scalar(" ", pa.large_string()), texts, pa.scalar("", pa.large_string()))), " ", MARK)
-        runs = pc.match_substring(marked, MARK * 2)
-        cut = pc.if_else(runs, pc.replace_substring_regex(pc.if_else(runs, marked, ""), f"([^{MARK}]){MARK}", f"\\1{gap}{MARK}"), pc.replace_substring(marked, MARK, gap + MARK))
-        parts = pc.split_pattern(cut, gap)
+        if gap is None:
+            parts = pa.array([re.split(f"(?<=[^{MARK}])(?={MARK})", t) for t in marked.to_pylist()], pa.large_list(pa.large_string()))
+        else:
+            runs = pc.match_substring(marked, MARK * 2)
+            cut = pc.if_else(runs, pc.replace_substring_regex(pc.if_else(runs, marked, ""), f"([^{MARK}]){MARK}", f"\\1{gap}{MARK}"), pc.replace_substring(marked, MARK, gap + MARK))
+            parts = pc.split_pattern(cut, gap)
         coded = pc.dictionary_encode(parts.flatten())
         flat, begins = stops_apart(coded.dictionary, f"^{MARK}[{LETTERS}]+$", False, self.units)
         where = parts.offsets.to_numpy()
@@ -212,7 +225,7 @@ def encode_documents(docs: DataFrame, model: str, keep_ids: bool = False, keep_t
         decimal = [str(i) for i in range(lib.get_piece_size())].__getitem__
         for batch in batches:
             first = True
-            for lo, hi in slices(batch.column(1), 8 << 20):
+            for lo, hi in slices(batch.column(1), 2 << 20):
                 texts = batch.column(1).slice(lo, hi - lo)
                 rows: dict[str, list] = {"n": [], "ids": [], "dec": [], "all": [], "text": []}
                 flat, begins = encoder.encode(texts)
@@ -234,15 +247,15 @@ def encode_documents(docs: DataFrame, model: str, keep_ids: bool = False, keep_t
                 out += [pa.array(rows["all"], pa.list_(pa.int32()))] * keep_ids + [pa.array(rows["text"])] * keep_text
                 yield pa.RecordBatch.from_arrays(out, names=[c.split()[0] for c in schema.split(", ")])
 
-    return docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text")).mapInArrow(task, schema)
+    return docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text")).mapInArrow(tidy(task), schema)
 
 
 def decode_documents(encoded: DataFrame, model: str) -> DataFrame:
     """doc_id and the text of an ids column (null ids: the empty text)."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lib = MergeVocabulary(model).library
+        lib = vocabulary_of(model).library
         for batch in batches:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([lib.decode(x) if x else "" for x in batch.column(1).to_pylist()], pa.string())], names=["doc_id", "text"])
 
-    return encoded.select(encoded["doc_id"].cast("long").alias("doc_id"), "ids").mapInArrow(task, "doc_id long, text string")
+    return encoded.select(encoded["doc_id"].cast("long").alias("doc_id"), "ids").mapInArrow(tidy(task), "doc_id long, text string")

@@ -35,6 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.llm.shared import saved, tidy
 from tessera.llm.words import slices
 
 #: Nodes on fewer pages of a host are never noise; importance from which on a node stays; share of presentation in it.
@@ -212,13 +213,11 @@ def style_rows(pages: DataFrame) -> DataFrame:
                         totals.append(total if c else 0)
                 yield pa.RecordBatch.from_pydict({"node": pa.array(nodes, pa.int64()), "kind": pa.array(kinds, pa.int8()), "feature": pa.array(features, pa.int64()), "page": pa.array(of, pa.int64()), "chars": pa.array(chars, pa.int64()), "total": pa.array(totals, pa.int64())})
 
-    return pages.select(F.col("url").cast("string"), F.col("html").cast("string")).mapInArrow(task, "node long, kind byte, feature long, page long, chars long, total long")
+    return pages.select(F.col("url").cast("string"), F.col("html").cast("string")).mapInArrow(tidy(task), "node long, kind byte, feature long, page long, chars long, total long")
 
 
 def importance(pages: DataFrame) -> DataFrame:
     """node, pages, importance of every node of every host's tree."""
-    from tessera.llm.shared import saved
-
     by_page = style_rows(pages).groupBy("node", "kind", "feature", "page").agg(F.max("chars").alias("chars"), F.max("total").alias("total"))
     counted = by_page.groupBy("node", "kind", "feature").agg(F.count("*").alias("c"), F.bit_xor("page").alias("on"), F.max("chars").alias("chars"), F.avg("total").alias("total"))
     counted = saved(counted, "style-counts")
@@ -254,13 +253,11 @@ def _texts(pages: DataFrame, noise_column: bool, sent) -> DataFrame:
                 texts = [page_text(s or "", host_of(u), frozenset(n or ()) if noise_column else shared) for u, s, n in zip(part.column(1).to_pylist(), part.column(2).to_pylist(), own, strict=True)]
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], names=["page_id", "url", "text", "n_chars"])
 
-    return pages.mapInArrow(task, "page_id long, url string, text string, n_chars long")
+    return pages.mapInArrow(tidy(task), "page_id long, url string, text string, n_chars long")
 
 
 def extract(pages: DataFrame, broadcast_nodes: int = BROADCAST_NODES) -> DataFrame:
     """page_id, url, text, n_chars of every page."""
-    from tessera.llm.shared import saved
-
     own = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
     noise = saved(noise_nodes(own), "noise")
     if noise.count() <= broadcast_nodes:
@@ -277,7 +274,7 @@ def extract(pages: DataFrame, broadcast_nodes: int = BROADCAST_NODES) -> DataFra
                 paths += found
             yield pa.RecordBatch.from_pydict({"row": pa.array(rows, pa.int64()), "node": pa.array(paths, pa.int64())})
 
-    held = keyed.select("row", "url", "html").mapInArrow(nodes, "row long, node long").withColumn("salt", F.pmod(F.hash("row"), F.lit(SALTS)))
+    held = keyed.select("row", "url", "html").mapInArrow(tidy(nodes), "row long, node long").withColumn("salt", F.pmod(F.hash("row"), F.lit(SALTS)))
     salted = noise.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     per_page = held.join(salted, ["node", "salt"]).groupBy("row").agg(F.collect_set("node").alias("noise"))  # a page's own nodes
     return _texts(keyed.join(per_page, "row", "left").select("page_id", "url", "html", "noise"), True, None)

@@ -30,7 +30,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm.shared import shared_folder
+from tessera.llm.shared import shared_folder, tidy
 from tessera.llm.units import LETTERS, UnitIds, gather, stops_apart
 
 #: Fixed values of the seekable format.
@@ -190,7 +190,7 @@ def write_shards(docs: DataFrame, tokenizer: str, folder: str, end_id: int, shar
                 file = store.open_output_stream(f"{path}/{draft}")
                 out = ShardWriter(file.write, frame_ids)
             keys, texts = batch.column(0).to_pylist(), batch.column(1)
-            for lo, hi in slices(texts, 8 << 20):
+            for lo, hi in slices(texts, 2 << 20):
                 ids, begins = encoder.encode(texts.slice(lo, hi - lo))
                 for k in range(hi - lo):
                     own = np.append(ids[begins[k] : begins[k + 1]], np.uint32(end_id))
@@ -208,7 +208,7 @@ def write_shards(docs: DataFrame, tokenizer: str, folder: str, end_id: int, shar
     store, path = fs.FileSystem.from_uri(folder)
     store.create_dir(path, recursive=True)
     ordered = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).repartitionByRange(shards, "doc_id").sortWithinPartitions("doc_id", "text")
-    rows = ordered.mapInArrow(task, "part long, name string, n_docs long, n_ids long").collect()  # one row for each shard
+    rows = ordered.mapInArrow(tidy(task), "part long, name string, n_docs long, n_ids long").collect()  # one row for each shard
     manifest, start = [], 0
     for r in sorted(rows, key=lambda r: r["part"]):
         manifest.append({"name": r["name"], "start": start, "n_docs": r["n_docs"], "n_ids": r["n_ids"]})
@@ -232,7 +232,7 @@ def read_shards(spark: SparkSession, manifest: list[dict]) -> DataFrame:
                     "n_tokens": pa.array(n, pa.int64()), "ids_crc32": pa.array(crc, pa.int64())})
 
     files = spark.createDataFrame([(m["name"], m["start"]) for m in manifest], "name string, start long").repartition(max(1, len(manifest)))
-    return files.mapInArrow(task, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return files.mapInArrow(tidy(task), "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
 def encode_to_shards(spark: SparkSession, docs: DataFrame, tokenizer: str, end_id: int = 2, folder: str | None = None, shards: int | None = None) -> DataFrame:

@@ -26,6 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.llm.shared import saved, tidy
 from tessera.llm.words import slices, split
 
 SAMPLE_ROWS, MOST_WORDS, FOLDS, ROUNDS, RIDGE = 16_000, 320, 5, 15, 0.05
@@ -135,9 +136,7 @@ def fit(docs: DataFrame, labels: DataFrame, categories: list[tuple[str, str]], s
                 sets = [np.unique(h[o[t] : o[t + 1]]).view(np.int64) for t in range(hi - lo)]
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.array(sets, pa.list_(pa.int64())), *[c.slice(lo, hi - lo) for c in batch.columns[2:]]], names=["doc_id", "words", *batch.schema.names[2:]])
 
-    bags = rows.select("doc_id", "text", *ys).mapInArrow(distinct_words, "doc_id long, words array<long>, " + ", ".join(f"{y} double" for y in ys))
-    from tessera.llm.shared import saved
-
+    bags = rows.select("doc_id", "text", *ys).mapInArrow(tidy(distinct_words), "doc_id long, words array<long>, " + ", ".join(f"{y} double" for y in ys))
     bags = saved(bags, "bags")
     # words that texts of a category have more often than others, in standard deviations
     sizes = bags.agg(F.count("*").alias("n"), *[F.sum(y).alias(y) for y in ys]).first()
@@ -197,7 +196,7 @@ def score(docs: DataFrame, chain: Chain) -> DataFrame:
                 p = score_texts(sent.value, part.column(at))
                 yield pa.RecordBatch.from_arrays([*part.columns, *[pa.array(p[:, k]) for k in range(len(names))]], names=[*part.schema.names, *names])
 
-    return kept.mapInArrow(task, ", ".join([kept.schema.toDDL(), *[f"{x} double" for x in names]]))
+    return kept.mapInArrow(tidy(task), ", ".join([kept.schema.toDDL(), *[f"{x} double" for x in names]]))
 
 
 #: The categories that the labels table has: texts of low quality first, whose probability the toxic one is given.

@@ -29,6 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.llm.shared import tidy
 from tessera.llm.sitetree import host_of, walk
 from tessera.llm.words import slices
 
@@ -125,7 +126,7 @@ def responses(pages: DataFrame, date: str = "1970-01-01T00:00:00Z") -> DataFrame
                 raw = [response(*x, date) for x in zip(*(c.to_pylist() for c in part.columns), strict=True)]
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(raw, pa.binary())], names=["page_id", "url", "record"])
 
-    return pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string"), F.col("html").cast("string")).mapInArrow(task, "page_id long, url string, record binary")
+    return pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string"), F.col("html").cast("string")).mapInArrow(tidy(task), "page_id long, url string, record binary")
 
 
 def derivatives(records: DataFrame) -> DataFrame:
@@ -146,7 +147,7 @@ def derivatives(records: DataFrame) -> DataFrame:
                 made = [pa.array([r.get(n) for r in rows], TYPES[f.split()[1]]) for n, f in zip(NAMES, FIELDS.split(", "), strict=True)]
                 yield pa.RecordBatch.from_arrays([*part.columns[: len(keys)], *made], names=[*keys, *NAMES])
 
-    return kept.mapInArrow(task, ", ".join(([kept.drop("record").schema.toDDL()] if keys else []) + [FIELDS]))
+    return kept.mapInArrow(tidy(task), ", ".join(([kept.drop("record").schema.toDDL()] if keys else []) + [FIELDS]))
 
 
 def write_warcs(derived: DataFrame, folder: str, pages_of_file: int = 20_000) -> DataFrame:
@@ -182,4 +183,4 @@ def write_warcs(derived: DataFrame, folder: str, pages_of_file: int = 20_000) ->
             finish()
         yield pa.RecordBatch.from_pydict({"file": pa.array([f for f, _ in files], pa.string()), "records": pa.array([k for _, k in files], pa.int64())})
 
-    return derived.select("metadata", "conversion").mapInArrow(task, "file string, records long")
+    return derived.select("metadata", "conversion").mapInArrow(tidy(task), "file string, records long")

@@ -21,7 +21,7 @@ _LOWER[65:91] += 32
 _IS_WORD = np.zeros(256, dtype=bool)
 _IS_WORD[48:58] = _IS_WORD[97:123] = _IS_WORD[128:] = True
 #: Bytes of text that are worked on at once: the arrays below take about forty times as much.
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -50,9 +50,10 @@ _cached: dict[int, np.ndarray] = {}
 
 
 def powers(base: int, n: int) -> np.ndarray:
+    """base ** 0 to base ** (n - 1) modulo 2**64; a worker keeps no more of them than a usual slice needs."""
     have = _cached.get(base)
     if have is None or len(have) < n:
-        have = _powers(base, max(n, SLICE_BYTES + 64))
+        have = _powers(base, min(2 * n, SLICE_BYTES + 64) if n <= SLICE_BYTES + 64 else n)
         if n <= SLICE_BYTES + 64:
             _cached[base] = have
     return have[:n]

@@ -482,3 +482,11 @@ def test_agenda_alone_equals_the_library():
     cuts = ["▁hello", "▁" + "ab" * 60, "▁▁▁x", "▁naïveté", "▁日本語", "▁a\x00b", "▁" + "é" * 20, "▁unbelievable", "▁" + "the" * 15]
     own = [v.merge(c) for c in cuts]
     assert own == v.merge_all(cuts) == v.library.encode([c[1:] for c in cuts])
+
+
+def test_pieces_of_texts_that_hold_every_mark_for_cuts(spark, monkeypatch):
+    monkeypatch.setattr(piece, "GAPS", (0xE000, 0xE002))
+    encoder = piece.PieceEncoder(public_tokenizers.path("piece_bpe_32k.model"))
+    texts = ["a  b  c ", "▁▁x y▁z ", "", " ", "plain words"]
+    flat, begins = encoder.encode(pa.array(texts))
+    assert [flat[begins[k] : begins[k + 1]].tolist() for k in range(len(texts))] == encoder.vocabulary.library.encode(texts)

@@ -6,8 +6,8 @@ its character n-grams, the longest size of which at least one is known: the mean
 of their log frequencies.  A text's language is the one with the largest sum.
 
 The model is fitted on a bounded sample of labelled rows (``sample_rows``, chosen
-by a hash of doc_id, so that every size of input behaves alike) and holds at most
-``most_words`` words and ``most_grams`` n-grams, the most frequent ones.
+by a hash of doc_id, so that every size of input behaves alike) and holds every word
+and n-gram of it.
 
 Nulls: a null text, or one without letters, is ``und`` with score 0; so is every text
 where no row is labelled.  A null doc_id is never held out nor learned from.  Ties go
@@ -30,7 +30,7 @@ from tessera.llm.words import slices
 
 UNKNOWN = "und"
 SIZES = (5, 4, 3, 2, 1)
-SAMPLE_ROWS, MOST_WORDS, MOST_GRAMS = 6_000, 60_000, 60_000
+SAMPLE_ROWS = 6_000
 #: Letters of a long word whose n-grams are taken at once.
 PIECE = 64
 
@@ -54,18 +54,17 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
-def _scores(counts: list, languages: list[str], most: int) -> tuple[pa.Array, np.ndarray]:
-    keys = sorted({r["key"] for r in counts})
-    at, lang = {k: i for i, k in enumerate(keys)}, {x: i for i, x in enumerate(languages)}
+def _scores(counts: pa.Table, languages: list[str]) -> tuple[pa.Array, np.ndarray]:
+    """The keys of counts (key, lang, n) in order, and their log frequency in each language."""
+    found = pc.unique(counts.column("key")).cast(pa.large_string())
+    keys = found.take(pc.sort_indices(found))
     n = np.zeros((len(keys), len(languages)))
-    for r in counts:
-        n[at[r["key"]], lang[r["lang"]]] = r["n"]
-    kept = np.sort(np.argsort(-n.sum(axis=1), kind="stable")[:most])
-    freq = np.log((n + 0.5) / (n.sum(axis=0) + 0.5 * max(len(keys), 1)))
-    return pa.array([keys[i] for i in kept], pa.large_string()), freq[kept]
+    row, column = (pc.index_in(counts.column(c).cast(pa.large_string()).combine_chunks(), value_set=v).to_numpy(zero_copy_only=False) for c, v in (("key", keys), ("lang", pa.array(languages, pa.large_string()))))
+    n[row, column] = counts.column("n").to_numpy()
+    return keys, np.log((n + 0.5) / (n.sum(axis=0) + 0.5 * max(len(keys), 1)))
 
 
-def fit(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS, most_words: int = MOST_WORDS, most_grams: int = MOST_GRAMS) -> LanguageModel:
+def fit(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS) -> LanguageModel:
     """A model from doc_id, text, lang; rows without text or lang are not used."""
     rows = labelled.where("text IS NOT NULL AND lang IS NOT NULL").select(F.col("doc_id").cast("string").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
     total = rows.count()
@@ -98,13 +97,9 @@ def fit(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS, most_words: int = M
     sizes = starts.select("lang", "n", "key", "at", F.explode(F.array(*map(F.lit, SIZES))).alias("size")).where("at + size - 1 <= length(key)")
     by_gram = sizes.groupBy("lang", F.expr("substring(key, at, size)").alias("key")).agg(F.sum("n").alias("n"))
 
-    def top(counts: DataFrame, most: int) -> list:
-        best = counts.groupBy("key").agg(F.sum("n").alias("all"), F.collect_list(F.struct("lang", "n")).alias("by")).orderBy(F.desc("all"), "key").limit(most)
-        return best.select("key", F.explode("by").alias("x")).select("key", "x.lang", "x.n").collect()
-
-    words_found, grams_found = top(by_word, most_words), top(by_gram, most_grams)
-    languages = sorted({r["lang"] for r in words_found})
-    return LanguageModel(languages, *_scores(words_found, languages, most_words), *_scores(grams_found, languages, most_grams))
+    found, grams = by_word.toArrow(), by_gram.toArrow()  # bounded by the sample
+    languages = sorted(pc.unique(found.column("lang")).to_pylist())
+    return LanguageModel(languages, *_scores(found, languages), *_scores(grams, languages))
 
 
 def backoff(model: LanguageModel, words: pa.Array) -> np.ndarray:
@@ -165,7 +160,7 @@ def identify(docs: DataFrame, model: LanguageModel) -> DataFrame:
     """The columns of docs, then lang_pred and score; columns of docs with these names give way."""
     kept = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c not in ("lang_pred", "score")])
     at = kept.columns.index("text")
-    sent = kept.sparkSession.sparkContext.broadcast(model)  # bounded by most_words and most_grams
+    sent = kept.sparkSession.sparkContext.broadcast(model)  # bounded by the sample
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -7,8 +7,8 @@ haven't seen the row, so that a later model sees them as it will on new texts.
 Folds are dealt by a hash of doc_id.
 
 The chain is fitted on a bounded sample of labelled rows (``sample_rows``, chosen
-by a hash of doc_id) and holds at most ``most_words`` words, those that
-texts of a category have most above what its share of all texts leads to expect.  Every text is scored.
+by a hash of doc_id) and knows every word that two of its texts share (a word of one
+text alone tells nothing of others).  Every text is scored.
 
 Nulls: a null text has no words and so the base rates; a null label is left out of its
 category's model.  Repeated doc_ids in labels: each row
@@ -23,15 +23,16 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.shared import saved, tidy
 from tessera.llm.words import slices, split
 
-SAMPLE_ROWS, MOST_WORDS, FOLDS, ROUNDS, RIDGE = 16_000, 320, 5, 15, 0.05
-#: Standard deviations by which the texts of a category must differ in having a word.
-LEAST_DIFFERENCE = 4.0
+SAMPLE_ROWS, FOLDS, RIDGE, EVIDENCE = 16_000, 5, 0.05, 4.0
+#: Steps of a fit at most, those it remembers, and the share of the first loss below which a step ends it.
+ROUNDS, MEMORY, CLOSE = 60, 6, 1e-3
 
 
 @dataclass
@@ -60,31 +61,80 @@ def sigmoid(z: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
-def fit_logistic(rows: list[np.ndarray], dense: np.ndarray, y: np.ndarray, n_words: int, rounds: int = ROUNDS, ridge: float = RIDGE) -> tuple[float, np.ndarray, np.ndarray]:
-    """Ridge logistic regression on word presence and dense columns, by Newton steps; the bias isn't penalised."""
+@dataclass
+class Bags:
+    """The words that some texts have, each once: text i has words[begins[i]:begins[i + 1]], numbers below ``size``."""
+
+    words: np.ndarray
+    begins: np.ndarray
+    size: int
+
+    def some(self, texts: np.ndarray) -> Bags:
+        lengths = np.diff(self.begins)[texts]
+        ends = np.concatenate([[0], np.cumsum(lengths)])
+        at = np.repeat(self.begins[texts] - ends[:-1], lengths) + np.arange(ends[-1])
+        return Bags(self.words[at], ends, self.size)
+
+    def sums(self, weights: np.ndarray) -> np.ndarray:
+        """The sum of its words' weights for each text."""
+        total = np.concatenate([[0.0], np.cumsum(weights[self.words])])
+        return total[self.begins[1:]] - total[self.begins[:-1]]
+
+    def spread(self, values: np.ndarray) -> np.ndarray:
+        """The sum of its texts' values for each word."""
+        return np.bincount(self.words, weights=np.repeat(values, np.diff(self.begins)), minlength=self.size)
+
+
+def fit_logistic(bags: Bags, dense: np.ndarray, y: np.ndarray, rounds: int = ROUNDS, ridge: float = RIDGE, evidence: float = EVIDENCE) -> tuple[float, np.ndarray, np.ndarray]:
+    """Ridge logistic regression on word presence and dense columns, by limited-memory quasi-Newton steps; the bias isn't penalised.
+
+    A word's penalty grows as the evidence that it has anything to do with y falls: with z the standard deviations by which the texts
+    of y differ from all in having it, (EVIDENCE / z) ** 4 times the ridge come on top.
+    """
     if not len(y) or y.min() == y.max():
         base = float(y.mean()) if len(y) else 0.0
-        return float(logit(np.array(base))), np.zeros(n_words), np.zeros(dense.shape[1])
-    x = np.zeros((len(y), 1 + n_words + dense.shape[1]))
-    x[:, 0] = 1
-    for i, r in enumerate(rows):
-        x[i, 1 + r] = 1
-    x[:, 1 + n_words :] = dense
-    penalty = np.full(x.shape[1], ridge)
+        return float(logit(np.array(base))), np.zeros(bags.size), np.zeros(dense.shape[1])
+    k = 1 + dense.shape[1]
+    wide = np.column_stack([np.ones(len(y)), dense])
+    often = np.bincount(bags.words, minlength=bags.size)
+    z = (bags.spread(y) - often * y.mean()) / np.sqrt(often * y.mean() + 1)
+    penalty = np.concatenate([np.full(k, ridge), ridge * (1 + (evidence / np.maximum(np.abs(z), 1e-2)) ** 4)])
     penalty[0] = 1e-6
-    w = np.zeros(x.shape[1])
-    loss = lambda w: float(np.logaddexp(0, x @ w).sum() - y @ (x @ w) + 0.5 * penalty @ w**2)
-    now = loss(w)
+
+    dot = lambda a, b: float((a * b).sum())  # noqa: E731 (one thread: products of long vectors otherwise wait for busy cores)
+
+    def loss(w: np.ndarray) -> tuple[float, np.ndarray]:
+        z = (wide * w[:k]).sum(axis=1) + bags.sums(w[k:])
+        error = sigmoid(z) - y
+        return float(np.logaddexp(0, z).sum()) - dot(y, z) + 0.5 * dot(penalty * w, w), np.concatenate([(wide * error[:, None]).sum(axis=0), bags.spread(error)]) + penalty * w
+
+    w, steps = np.zeros(k + bags.size), []
+    w[0] = logit(np.array(y.mean()))
+    first, slope = loss(w)
+    now = first
+    # the curvature at the start, by columns: what steps are measured by
+    scale = 1 / (penalty + y.mean() * (1 - y.mean()) * np.concatenate([(wide**2).sum(axis=0), often]))
     for _ in range(rounds):
-        p = sigmoid(x @ w)
-        step = np.linalg.solve((x * (p * (1 - p) + 1e-9)[:, None]).T @ x + np.diag(penalty), x.T @ (y - p) - penalty * w)
-        size = 1.0
-        while (new := loss(w + size * step)) > now and size > 1e-3:
+        move, back = -slope, []
+        for s, d, r in reversed(steps):
+            a = r * dot(s, move)
+            back.append(a)
+            move = move - a * d
+        move = move * scale
+        for (s, d, r), a in zip(steps, reversed(back), strict=True):
+            move = move + (a - r * dot(d, move)) * s
+        if dot(slope, move) >= 0:
+            move, steps = -slope * scale, []
+        size, fall = 1.0, dot(slope, move)
+        while (new := loss(w + size * move))[0] > now + 1e-4 * size * fall and size > 1e-6:
             size /= 2
-        if now - new < 1e-4 * abs(now) / 100:
+        if now - new[0] < CLOSE * first:
             break
-        w, now = w + size * step, new
-    return float(w[0]), w[1 : 1 + n_words], w[1 + n_words :]
+        s, d = size * move, new[1] - slope
+        if (along := dot(s, d)) > 0:
+            steps = [*steps[1 - MEMORY :], (s, d, 1 / along)]
+        w, (now, slope) = w + s, new
+    return float(w[0]), w[k:], w[1:k]
 
 
 def best_threshold(p: np.ndarray, y: np.ndarray) -> float:
@@ -105,18 +155,18 @@ def best_threshold(p: np.ndarray, y: np.ndarray) -> float:
     return float((p[k] + p[min(k + 1, len(p) - 1)]) / 2)
 
 
-def presence(words_hashes: np.ndarray, offsets: np.ndarray, hashes: np.ndarray) -> list[np.ndarray]:
+def presence(words_hashes: np.ndarray, offsets: np.ndarray, hashes: np.ndarray) -> Bags:
     """Which model words each text has, each once."""
+    n = len(offsets) - 1
     if not len(hashes):
-        return [np.zeros(0, np.int64)] * (len(offsets) - 1)
+        return Bags(np.zeros(0, np.int64), np.zeros(n + 1, np.int64), 0)
     at = np.minimum(np.searchsorted(hashes, words_hashes), len(hashes) - 1)
     ok = np.flatnonzero(hashes[at] == words_hashes)
-    text = np.searchsorted(offsets, ok, side="right") - 1
-    pair = np.unique(text * len(hashes) + at[ok])
-    return np.split(pair % len(hashes), np.searchsorted(pair // len(hashes), np.arange(1, len(offsets) - 1)))
+    pair = np.unique((np.searchsorted(offsets, ok, side="right") - 1) * len(hashes) + at[ok])
+    return Bags(pair % len(hashes), np.searchsorted(pair, np.arange(n + 1) * len(hashes)), len(hashes))
 
 
-def fit(docs: DataFrame, labels: DataFrame, categories: list[tuple[str, str]], sample_rows: int = SAMPLE_ROWS, most_words: int = MOST_WORDS, folds: int = FOLDS) -> Chain:
+def fit(docs: DataFrame, labels: DataFrame, categories: list[tuple[str, str]], sample_rows: int = SAMPLE_ROWS, folds: int = FOLDS) -> Chain:
     """A chain over ``categories``: (name, SQL condition on labels) in their order."""
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), *[F.expr(f"cast(({sql}) as double)").alias(f"y{k}") for k, (_, sql) in enumerate(categories)]).where("doc_id IS NOT NULL")
     total = known.count()
@@ -137,33 +187,25 @@ def fit(docs: DataFrame, labels: DataFrame, categories: list[tuple[str, str]], s
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.array(sets, pa.list_(pa.int64())), *[c.slice(lo, hi - lo) for c in batch.columns[2:]]], names=["doc_id", "words", *batch.schema.names[2:]])
 
     bags = rows.select("doc_id", "text", *ys).mapInArrow(tidy(distinct_words), "doc_id long, words array<long>, " + ", ".join(f"{y} double" for y in ys))
-    bags = saved(bags, "bags")
-    # words that texts of a category have more often than others, in standard deviations
-    sizes = bags.agg(F.count("*").alias("n"), *[F.sum(y).alias(y) for y in ys]).first()
-    n = max(sizes["n"], 1)
-    differs = [(F.col(y) - F.col("n") * ((sizes[y] or 0.0) / n)) / F.sqrt(F.col("n") * ((sizes[y] or 0.0) / n) + 1.0) for y in ys]
-    per_word = bags.select(F.explode("words").alias("word"), *[F.coalesce(F.col(y), F.lit(0.0)).alias(y) for y in ys]).groupBy("word").agg(F.count("*").alias("n"), *[F.sum(y).alias(y) for y in ys])
-    best = per_word.where("n >= 3").select("word", (F.greatest(*differs) if len(differs) > 1 else differs[0]).alias("d")).where(F.col("d") >= LEAST_DIFFERENCE).orderBy(F.desc("d"), "word").limit(most_words)
-    hashes = np.sort(np.array([r["word"] for r in best.collect()], dtype=np.int64).view(np.uint64))
-    data = []
-    for r in bags.withColumn("words", F.array_intersect("words", F.array(*[F.lit(int(x)) for x in hashes.view(np.int64)]).cast("array<bigint>"))).orderBy("doc_id").toLocalIterator():  # the bounded sample
-        h = np.array(r["words"], dtype=np.int64).view(np.uint64)
-        at = np.minimum(np.searchsorted(hashes, h), max(len(hashes) - 1, 0))
-        data.append((r["doc_id"], at[hashes[at] == h] if len(hashes) else np.zeros(0, np.int64), [r[y] for y in ys]))
-    fold = np.array([(d[0] * 2654435761 >> 7) % folds for d in data], dtype=np.int64)
-    sparse = [d[1] for d in data]
-    earlier, chain = np.zeros((len(data), 0)), Chain(hashes)
+    held = saved(bags, "bags").toArrow()  # the bounded sample
+    held = held.take(pc.sort_indices(held, sort_keys=[("doc_id", "ascending")]))
+    lists = held.column("words").combine_chunks()
+    hashes, words, often = np.unique(lists.flatten().to_numpy(zero_copy_only=False).view(np.uint64), return_inverse=True, return_counts=True)
+    shared, n = often[words] > 1, held.num_rows
+    begins = np.concatenate([[0], np.cumsum(shared)])[lists.offsets.to_numpy() - lists.offsets.to_numpy()[:1].sum()]
+    hashes, words = hashes[often > 1], (np.cumsum(often > 1) - 1).astype(np.int32)[words[shared]]
+    sample = Bags(words, begins, len(hashes))
+    fold = (held.column("doc_id").to_numpy() * 2654435761 >> 7) % folds
+    earlier, chain = np.zeros((n, 0)), Chain(hashes)
     for k, (name, _) in enumerate(categories):
-        y = np.array([np.nan if d[2][k] is None else d[2][k] for d in data], dtype=float)
-        have = ~np.isnan(y)
-        pick = lambda m: [sparse[i] for i in np.flatnonzero(m)]
-        out_of_fold = np.zeros(len(data))
+        y = held.column(ys[k]).to_numpy().astype(float)  # a null label is a nan
+        have, out_of_fold = ~np.isnan(y), np.zeros(n)
         for f in range(folds):
-            learn, rest = have & (fold != f), fold == f
-            b, w, c = fit_logistic(pick(learn), earlier[learn], y[learn], len(hashes))
-            out_of_fold[rest] = [b + w[x].sum() for x in pick(rest)]
-            out_of_fold[rest] += earlier[rest] @ c
-        chain.links.append(Link(name, *fit_logistic(pick(have), earlier[have], y[have], len(hashes))))
+            learn, rest = np.flatnonzero(have & (fold != f)), np.flatnonzero(fold == f)
+            bias, own, links = fit_logistic(sample.some(learn), earlier[learn], y[learn])
+            out_of_fold[rest] = bias + sample.some(rest).sums(own) + earlier[rest] @ links
+        own = np.flatnonzero(have)
+        chain.links.append(Link(name, *fit_logistic(sample.some(own), earlier[own], y[own])))
         chain.links[-1].threshold = best_threshold(sigmoid(out_of_fold[have]), y[have])
         earlier = np.column_stack([earlier, logit(sigmoid(out_of_fold))])
     return chain
@@ -172,12 +214,10 @@ def fit(docs: DataFrame, labels: DataFrame, categories: list[tuple[str, str]], s
 def score_texts(chain: Chain, texts: pa.Array) -> np.ndarray:
     """The probability of each category (columns) for each text."""
     words = split(texts)
-    rows = presence(words.hashes(), words.offsets, chain.hashes)
-    flat, n = np.concatenate([*rows, np.zeros(0, np.int64)]).astype(np.int64), len(rows)
-    at = np.repeat(np.arange(n), [len(r) for r in rows])
-    earlier = np.zeros((n, 0))
+    bags = presence(words.hashes(), words.offsets, chain.hashes)
+    earlier = np.zeros((len(texts), 0))
     for link in chain.links:
-        z = link.bias + np.bincount(at, weights=link.words[flat], minlength=n) + earlier @ link.chain
+        z = link.bias + bags.sums(link.words) + earlier @ link.chain
         earlier = np.column_stack([earlier, logit(sigmoid(z))])
     return sigmoid(earlier)
 
@@ -187,7 +227,7 @@ def score(docs: DataFrame, chain: Chain) -> DataFrame:
     names = [f"p_{x.name}" for x in chain.links]
     kept = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c not in names])
     at = kept.columns.index("text")
-    sent = kept.sparkSession.sparkContext.broadcast(chain)  # bounded by most_words
+    sent = kept.sparkSession.sparkContext.broadcast(chain)  # bounded by the sample: 24 bytes for each of its words
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -67,6 +67,54 @@ def test_language_accuracy_held_out(spark):
     assert all((zlib.crc32(str(r["doc_id"]).encode()) % 3 == 1) for r in got)
 
 
+def brute_language(learn, texts):
+    """Word-first backoff, one word at a time: (language, posterior) of each text."""
+    import regex
+
+    split = lambda t: regex.findall(r"\p{L}+", (t or "").lower())
+    words, grams = Counter(), Counter()
+    for text, lang in learn:
+        words.update((w, lang) for w in split(text))
+    for (w, lang), n in words.items():
+        for k in (5, 4, 3, 2, 1):
+            for p in range(len(w) - k + 1):
+                grams[w[p : p + k], lang] += n
+    langs = sorted({lang for _, lang in words})
+
+    def table(counts):
+        keys = {k for k, _ in counts}
+        sums = {x: sum(n for (_, y), n in counts.items() if y == x) for x in langs}
+        return {k: [np.log((counts[k, x] + 0.5) / (sums[x] + 0.5 * len(keys))) for x in langs] for k in keys}
+
+    known, parts, out = table(words), table(grams), []
+    for t in texts:
+        total = np.zeros(len(langs))
+        for w in split(t):
+            if w in known:
+                total += known[w]
+                continue
+            for k in (5, 4, 3, 2, 1):
+                if held := [parts[g] for p in range(len(w) - k + 1) if (g := w[p : p + k]) in parts]:
+                    total += np.mean(held, axis=0)
+                    break
+        out.append((langs[int(total.argmax())], 1 / np.exp(total - total.max()).sum()) if split(t) else ("und", 0.0))
+    return out
+
+
+def test_language_equals_brute_force(docs):
+    rows = docs.select("doc_id", "text", "lang").collect() + [(9001, "", None), (9002, None, None), (9003, "qqqq zzzz 12", None), (9001, "", None)]
+    learn = [(t, lang) for i, t, lang in rows if lang is not None and zlib.crc32(str(i).encode()) % 3 != 1]
+    table = docs.sparkSession.createDataFrame([tuple(r) for r in rows], HARD_SCHEMA + ", lang string")
+    got = Counter((r["doc_id"], r["lang_pred"], round(r["score"], 6)) for r in langid.predict(table).collect())
+    assert got == Counter((r[0], lang, round(p, 6)) for r, (lang, p) in zip(rows, brute_language(learn, [r[1] for r in rows])))
+
+
+def test_language_ties_go_to_the_first(spark):
+    rows = [(1, "aa bb", "x"), (3, "aa bb", "y"), (5, "aa", None), (5, "aa", None)]
+    got = langid.predict(spark.createDataFrame(rows, HARD_SCHEMA + ", lang string")).where("doc_id = 5").collect()
+    assert [(r["lang_pred"], r["score"]) for r in got] == [("x", 0.5)] * 2
+
+
 def test_language_backoff_goes_to_shorter_grams():
     def model(grams):
         keys = sorted(grams)
@@ -235,15 +283,64 @@ def test_toxicity_chain_passes_earlier_probabilities_on():
     assert np.allclose(p[:, 0], toxicity.sigmoid(np.array(2.0))) and np.allclose(p[:, 1], p[:, 0])
 
 
-def test_toxicity_logistic_is_the_optimum():
-    rng = np.random.default_rng(0)
-    rows = [np.flatnonzero(rng.random(6) < 0.4) for _ in range(300)]
-    y = np.array([float(rng.random() < toxicity.sigmoid(np.array(-1 + 2.0 * (0 in r)))) for r in rows])
-    b, w, _ = toxicity.fit_logistic(rows, np.zeros((300, 0)), y, 6, rounds=50, ridge=1.0)
-    z = np.array([b + w[r].sum() for r in rows])
-    e = y - toxicity.sigmoid(z)
-    gradient = np.array([sum(e[i] for i, r in enumerate(rows) if j in r) - w[j] for j in range(6)])
-    assert abs(e.sum()) < 0.05 and np.abs(gradient).max() < 0.05
+def plain_logistic(x, y, penalty):
+    """The same by Newton steps on a dense matrix whose first column is 1."""
+    w = np.zeros(x.shape[1])
+    for _ in range(60):
+        p = 1 / (1 + np.exp(-x @ w))
+        w = w + np.linalg.solve(x.T @ (x * (p * (1 - p))[:, None]) + np.diag(penalty), x.T @ (y - p) - penalty * w)
+    return w
+
+
+def plain_chain(rows, scored, folds=5):
+    """The classifier chain of (doc_id, text, labels), one text at a time: the probabilities of the texts to score."""
+    rows, bags = sorted(rows), [set(found_words(t)) for _, t, _ in sorted(rows)]
+    words = sorted(w for w, n in Counter(w for b in bags for w in b).items() if n > 1)
+    x = np.array([[1.0, *(float(w in b) for w in words)] for b in bags])
+    new = np.array([[1.0, *(float(w in set(found_words(t))) for w in words)] for t in scored])
+    fold = np.array([(i * 2654435761 >> 7) % folds for i, _, _ in rows])
+    logit = lambda p: np.log(np.clip(p, 1e-4, 1 - 1e-4) / (1 - np.clip(p, 1e-4, 1 - 1e-4)))
+
+    def fitted(m, y):
+        if y.min() == y.max():
+            return np.concatenate([[logit(y.mean())], np.zeros(m.shape[1] - 1)])
+        z = np.array([(y[m[:, k] > 0].sum() - (m[:, k] > 0).sum() * y.mean()) / np.sqrt((m[:, k] > 0).sum() * y.mean() + 1) for k in range(1, 1 + len(words))])
+        return plain_logistic(m, y, np.concatenate([[1e-6], 0.05 * (1 + (4 / np.maximum(abs(z), 0.01)) ** 4), np.full(m.shape[1] - 1 - len(words), 0.05)]))
+
+    out = []
+    for k in range(len(rows[0][2])):
+        y, oof = np.array([r[2][k] for r in rows], dtype=float), np.zeros(len(rows))
+        for f in range(folds):
+            oof[fold == f] = x[fold == f] @ fitted(x[fold != f], y[fold != f])
+        p = 1 / (1 + np.exp(-new @ fitted(x, y)))
+        out.append(p)
+        x, new = np.column_stack([x, logit(1 / (1 + np.exp(-oof)))]), np.column_stack([new, logit(p)])
+    return np.array(out).T
+
+
+def test_toxicity_equals_a_plain_chain(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "CLOSE", 1e-13)
+    monkeypatch.setattr(toxicity, "ROUNDS", 2000)
+    rng = np.random.default_rng(3)
+    words = [f"w{i}" for i in range(25)] + ["bad", "vile", "poor"]
+    rows = []
+    for i in range(90):
+        own = set(rng.choice(words, 8))
+        low, toxic = "poor" in own or rng.random() < 0.1, "bad" in own or ("vile" in own and "poor" in own) or rng.random() < 0.05
+        rows.append((i, " ".join([*sorted(own), f"only{i}"]), [float(low), float(toxic)]))
+    docs = spark.createDataFrame([r[:2] for r in rows], HARD_SCHEMA)
+    labels = spark.createDataFrame([(i, int(1 - y[0]), int(y[1])) for i, _, y in rows], "doc_id long, quality int, toxic int")
+    scored = {r["doc_id"]: (r["p_low_quality"], r["p_toxic"]) for r in toxicity.classify(docs, labels).collect()}
+    want = plain_chain(rows, [t for _, t, _ in rows])
+    assert np.allclose([scored[i] for i, _, _ in rows], want, atol=2e-3)
+
+
+def test_toxicity_ties_and_repeated_labels(spark):
+    docs = spark.createDataFrame([(i, f"{'bad' if i % 2 else 'good'} text {i // 4}") for i in range(40)] + [(100, "bad text"), (100, "bad text")], HARD_SCHEMA)
+    labels = spark.createDataFrame([(i, 1, i % 2) for i in range(40)] + [(3, 1, 1), (3, 1, 0)], "doc_id long, quality int, toxic int")
+    got = toxicity.classify(docs, labels).collect()
+    assert len(got) == 42 and len({r["p_toxic"] for r in got if r["text"] == "bad text"}) == 1
+    assert all(r["toxic_pred"] == (r["text"][:3] == "bad") for r in got)
 
 
 def test_toxicity_hard_cases(spark, hard, empty):

@@ -110,7 +110,7 @@ def test_language_equals_brute_force(docs):
 
 
 def test_language_ties_go_to_the_first(spark):
-    rows = [(1, "aa bb", "x"), (3, "aa bb", "y"), (5, "aa", None), (5, "aa", None)]
+    rows = [(1, "aa bb", "x"), (7, "aa bb", "y"), (5, "aa", None), (5, "aa", None)]
     got = langid.predict(spark.createDataFrame(rows, HARD_SCHEMA + ", lang string")).where("doc_id = 5").collect()
     assert [(r["lang_pred"], r["score"]) for r in got] == [("x", 0.5)] * 2
 

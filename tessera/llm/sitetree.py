@@ -5,29 +5,33 @@ class names, from the root).  A node's importance has two parts, each an entropy
 over the m pages that hold the node.  Presentation: the entropy of the sequences of
 child styles that the node has (one fixed sequence: 0).  Content: one less the mean
 entropy of its text blocks over pages (a block that is on c of m pages has log c /
-log m: a notice that stands on all of them 1, a text of one page 0).  Pages with the
+log m: a notice that stands on all of them 1, a text of one page 0); a block counts for
+the WITHIN nearest elements that hold it.  Outside article and main, where other links on each page
+keep a menu's entropy high, importance falls with the share of its characters that are links, over all pages of the host.
+The evidence of m pages is weighed against a prior of 1 that counts as PRIOR pages (PRIOR_INSIDE
+in article and main), at every m alike.  Pages with the
 same text outside named parts count as one page, whatever their menus and adverts are.
-Blocks of article or main that stand on the same pages, and together are most of the
-article there, are one article and its near copies: each counts as on one page.
-Branches of low importance are noise and are
-cut out of each page, as are branches whose style names their part (menus, footers,
-forms, adverts, comments and the like): where every page has other links in its menu,
-no entropy tells it from text.  A class, id or role names a part if it is a part's name
-as a whole ("comments", "cookie-banner", "left-sidebar", but not "has-sidebar"), or has a
-word that means nothing else ("ad-slot").  Wholes (html, body, article, main), headings and
-inline elements are never named parts; ids count neither inside article and main nor on
-sections, where they are targets of links.  What is left inside article or main elements, or
-else in the body, is the text, block by block.
+Blocks that stand on the same pages, and together are most of the text
+there, are one article and its near copies: each counts as on one page.
+Branches of low importance are noise and are cut out of each page.
+
+What HTML itself says about a part is taken as said: nav, aside, footer, form, script and the like, and the landmark
+roles.  So are, outside article and main, classes, ids and roles that are a part's name as a whole ("comments",
+"cookie-banner", "left-sidebar", but not "has-sidebar" or "ad-hoc"), as where a host has one page no tree can tell.  Inside
+article and main no id and no role but a landmark counts, and only a class that is one of INNER_NAMES, on an element that groups others.
+Wholes (html, body, article, main), headings and inline elements are never named parts.  What is left inside article or main
+elements, or else in the body, is the text, block by block.
 
 Nulls: a null html is empty; a null url makes a host of its own.  A page without text
 has the empty text.  Repeated rows each give a row; an empty table gives none; other
-columns are not read.
+columns are not read.  The time for a page grows with its length, however malformed or deep it is.
 """
 
 from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -38,57 +42,77 @@ from pyspark.sql import functions as F
 from tessera.llm.shared import saved, tidy
 from tessera.llm.words import slices
 
-#: Nodes on fewer pages of a host are never noise; importance from which on a node stays; share of presentation in it.
-LEAST_PAGES, LEAST_IMPORTANCE, PRESENTATION = 10, 0.3, 0.1
-#: Blocks that always come together are an article, not a notice, if they hold this share of the characters in article or main.
+#: Importance from which on a node stays; the share of presentation in it; pages that the prior counts as, outside and inside of articles.
+LEAST_IMPORTANCE, PRESENTATION, PRIOR, PRIOR_INSIDE = 0.3, 0.1, 1.0, 4.0
+#: Blocks that always come together are an article, not a notice, if they hold this share of the characters of the text.
 ARTICLE_SHARE = 0.8
-#: So many noise nodes (8 bytes each) are sent to all tasks; more are joined with the pages instead.
-BROADCAST_NODES = 500_000
+#: Elements above a block that it counts for, nearest first.
+WITHIN = 64
+#: So many noise nodes (about 70 bytes each in a worker) are sent to all tasks; more are joined with the pages instead, with the same result.
+BROADCAST_NODES = 100_000
 SALTS = 32
 
 # Fixed values of HTML.
 INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title noscript iframe xmp template noframes".split())
-ENDS = {"li": ("li", "ul ol menu"), "dt": ("dt dd", "dl"), "dd": ("dt dd", "dl"), "tr": ("tr td th", "table"), "td": ("td th", "tr table"), "th": ("td th", "tr table"), "option": ("option", "select")}
+ENDS = {k: (a.split(), b.split()) for k, a, b in (("li", "li", "ul ol menu"), ("dt", "dt dd", "dl"), ("dd", "dt dd", "dl"), ("tr", "tr td th", "table"), ("td", "td th", "tr table"), ("th", "td th", "tr table"), ("option", "option", "select"))}
 # Elements that hold a page's text as a whole: never noise.
 WHOLE = frozenset("html body article main".split())
-# Styles that name a part of a page other than its text.
-PARTS_BY_TAG = frozenset("head nav footer aside form button select dialog menu svg object canvas audio video".split()) | RAW
+# Elements and landmark roles that say that they are no text of the page; the last are so outside article and main alone.
+PARTS_BY_TAG = frozenset("head nav footer aside form button select svg object canvas audio video".split()) | RAW
+LANDMARKS = frozenset("navigation complementary contentinfo search form banner menu menubar alert dialog alertdialog".split())
+OUTER_TAGS = frozenset("header menu dialog".split())
+# Classes, ids and roles that name a part of a page other than its text, outside article and main.
 PARTS_BY_NAME = frozenset(
     "ad ads adv advert adverts advertisement advertising banner sponsor sponsored promo promotion nav navbar navigation menu breadcrumb breadcrumbs pagination pager "
-    "footer sidebar aside widget cookie cookies consent gdpr notice notices notification alert popup modal overlay newsletter subscribe subscription signup login "
+    "footer header sidebar aside widget cookie cookies consent gdpr notice notices notification alert popup modal overlay newsletter subscribe subscription signup login "
     "comment comments disqus reply replies share sharing social related recommended search toolbar masthead skip".split()
 )
-# Of these, words that name a part wherever they stand in a name, as long as it doesn't begin with one of the states.
-CLEAR_NAMES = frozenset("ad ads adv advert adverts advertisement advertising sponsored navbar breadcrumb breadcrumbs pagination disqus gdpr newsletter".split())
-STATES = frozenset("has have no not with without is hide show open closed".split())
 # Words that may stand beside a part's name.
-BESIDE = frozenset("site top bottom left right main primary secondary global list links buttons bar box form posts icons".split())
-HEADERS = frozenset(["header", "masthead"])
+BESIDE = frozenset("site page top bottom left right main primary secondary global list links buttons bar box form posts icons slot unit block wrapper container area zone".split())
+# Classes of advertisements, comments and the like inside article and main, and elements that may have them.
+INNER_NAMES = frozenset("ad ads advert adverts advertisement advertising ad-slot ad-box sponsored comments comment-list reader-comments share-buttons social-share newsletter newsletter-signup related-posts cookie-banner cookie-notice breadcrumbs pagination".split())
+GROUPING = frozenset("div section ul ol dl table figure details ins".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 NEVER_NAMED = WHOLE | HEADINGS | INLINE
 
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|</?([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*)>|</?([a-zA-Z][^\s/>]*)([^>]*)>", re.S)
-NAMES = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
+TAG = re.compile(r"</?([a-zA-Z][^\s/>]*)(?:((?:\"[^\"]*\"|'[^']*'|[^'\">])*+)>|([^>]*)>)")
+NAMES = re.compile(r"(?<![\w-])(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 SPLIT = re.compile(r"[\s_\-:]+")
 
 _paths: dict[tuple[int, str, str], int] = {}
-_named: dict[str, tuple[bool, bool]] = {}
+_named: dict[str, bool] = {}
 
 
-def part_of(name: str) -> tuple[bool, bool]:
-    """Whether a class, id or role names a part of a page; and a header."""
+def part_of(name: str) -> bool:
+    """Whether a class, id or role is the name of a part of a page as a whole."""
     if (found := _named.get(name)) is None:
-        words = [w for w in SPLIT.split(name) if w]
-        part = bool(words) and words[0] not in STATES and (not CLEAR_NAMES.isdisjoint(words) or (not PARTS_BY_NAME.isdisjoint(words) and all(w in PARTS_BY_NAME or w in BESIDE for w in words)))
-        head = not HEADERS.isdisjoint(words) and all(w in HEADERS or w in BESIDE for w in words)
-        found = part, head
+        words = [w for w in SPLIT.split(name) if w and not w.isdigit()]
+        found = not PARTS_BY_NAME.isdisjoint(words) and all(w in PARTS_BY_NAME or w in BESIDE for w in words)
         if len(_named) < 100_000:
             _named[name] = found
     return found
 
 
+def tokens(source: str) -> Iterator[tuple[int, int, str, str, bool]]:
+    """Begin, end, tag, attributes and whether it closes, of each tag; comments and declarations have no tag name."""
+    at, last = 0, source.rfind(">")
+    while (at := source.find("<", at)) >= 0:
+        end, tag, attributes, closes = 0, "", "", False
+        if source.startswith("<!--", at):
+            end = source.find("-->", at + 4) + 3
+            end = len(source) if end < 3 else end
+        elif at < last:
+            if source[at + 1] in "!?":
+                end = source.find(">", at) + 1
+            elif m := TAG.match(source, at):
+                end, tag, attributes, closes = m.end(), m[1].lower(), m[2] if m[2] is not None else m[3], source[at + 1] == "/"
+        if end:
+            yield at, end, tag, attributes, closes
+        at = end or at + 1
+
+
 def child_path(parent: int, tag: str, names: str) -> int:
     key = (parent, tag, names)
     if (h := _paths.get(key)) is None:
@@ -105,38 +129,69 @@ class Element:
         self.tag, self.path, self.out, self.main, self.children = tag, path, out, main, []
 
 
-def walk(source: str, host: int, noise: frozenset | set = frozenset()) -> tuple[list[tuple[str, tuple[int, ...], bool, bool]], list[tuple[int, int]]]:
-    """The blocks of a page, as (text, paths above, cut out, in main), and (path, hash of the child styles) of each element."""
-    root = Element("", host, False, False)
-    stack, blocks, shapes, piece = [root], [], [], []
+def named_part(tag: str, attributes: str, main: bool) -> tuple[str, bool, bool]:
+    """The class names of an element, whether it or what it stands in is main, and whether its names make it a part."""
+    found = {n.lower(): a or b or c for n, a, b, c in NAMES.findall(attributes)} if "=" in attributes else {}
+    classes, roles = found.get("class", "").lower().split(), found.get("role", "").lower().split()
+    main = main or tag in ("article", "main") or "main" in roles
+    if not found or tag in NEVER_NAMED or "main" in roles:
+        return " ".join(sorted(classes)), main, False
+    part = not LANDMARKS.isdisjoint(roles) or (not INNER_NAMES.isdisjoint(classes) and tag in GROUPING)
+    if not main and not part:
+        part = any(map(part_of, classes)) or any(map(part_of, roles)) or (tag != "section" and any(map(part_of, found.get("id", "").lower().split())))
+    return " ".join(sorted(classes)), main, part
+
+
+def walk(source: str, host: int, noise: frozenset | set = frozenset()) -> tuple[list[tuple[str, tuple[int, ...], bool, bool, float]], list[tuple[int, int, bool]]]:
+    """The blocks of a page, as (text, paths above, cut out, in main, share of links), and (path, hash of the child styles, in main) of each element."""
+    stack, blocks, shapes, piece = [Element("", host, False, False)], [], [], []
+    inner: list[int] = []  # places in the stack of elements that aren't inline
+    trail: list[int] = []  # the paths of those that aren't wholes
+    opened: Counter[str] = Counter()
+    linked = 0
 
     def flush() -> None:
+        nonlocal linked
         if piece:
-            text = " ".join(html.unescape("".join(piece)).split())
+            raw = "".join(piece)
+            text = " ".join(html.unescape(raw).split())
             piece.clear()
             if text:
-                blocks.append((text, tuple(e.path for e in stack[1:] if e.tag not in INLINE and e.tag not in WHOLE), stack[-1].out, stack[-1].main))
+                blocks.append((text, tuple(trail[-WITHIN:]), stack[-1].out, stack[-1].main, min(1.0, linked / max(len(raw.strip()), 1))))
+        linked = 0
 
     def close(n: int) -> None:
         for e in stack[n:]:
-            shapes.append((e.path, xxhash.xxh64_intdigest(repr(e.children)) - (1 << 63)))
+            opened[e.tag] -= 1
+            shapes.append((e.path, xxhash.xxh64_intdigest(repr(e.children)) - (1 << 63), e.main))
+        while inner and inner[-1] >= n:
+            if stack[inner.pop()].tag not in WHOLE:
+                trail.pop()
         del stack[n:]
 
+    def add(text: str) -> None:
+        nonlocal linked
+        if text:
+            piece.append(text)
+            if opened["a"]:
+                linked += len(text.strip())
+
     at = 0
-    while m := TOKEN.search(source, at):
-        if m.start() > at:
-            piece.append(source[at : m.start()])
-        at = m.end()
-        tag = (m[1] or m[3] or "").lower()
+    for begin, end, tag, attributes, closes in tokens(source):
+        if begin < at:
+            continue  # inside a script or the like
+        add(source[at:begin])
+        at = end
         if not tag:
             continue
-        if source[m.start() + 1] == "/":
+        if closes:
             if tag not in INLINE:
                 flush()
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k].tag == tag:
-                    close(k)
-                    break
+            if opened[tag] > 0:
+                n = len(stack) - 1
+                while stack[n].tag != tag:
+                    n -= 1
+                close(n)
             continue
         if tag in INLINE:
             if tag == "br":
@@ -145,29 +200,32 @@ def walk(source: str, host: int, noise: frozenset | set = frozenset()) -> tuple[
                 continue
         else:
             flush()
-            ends, scope = ENDS.get(tag, ("", ""))
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k].tag == "p" or stack[k].tag in ends.split():
-                    close(k)
-                elif stack[k].tag in scope.split() or (stack[k].tag not in INLINE and stack[k].tag not in ENDS):
+            ends, scope = ENDS.get(tag, ((), ()))
+            n = len(inner) - 1
+            while n >= 0:
+                above = stack[inner[n]].tag
+                if above == "p" or above in ends:
+                    close(inner[n])
+                elif above in scope or above not in ENDS:
                     break
-        found = {n.lower(): (a or b or c) for n, a, b, c in NAMES.findall(m[2] or m[4] or "")} if "=" in (m[2] or m[4] or "") else {}
-        names = " ".join(sorted(found.get("class", "").lower().split()))
+                n -= 1
         parent = stack[-1]
+        names, main, part = named_part(tag, attributes, parent.main)
         path = child_path(parent.path, tag, names)
-        main = parent.main or tag in ("article", "main") or "main" in found.get("role", "").lower().split()
-        out = parent.out or tag in PARTS_BY_TAG or path in noise or (not main and tag == "header")
-        if found and not out and tag not in NEVER_NAMED and "main" not in found.get("role", "").lower().split():
-            given = [part_of(n) for key, v in found.items() if key != "id" or not (main or tag == "section") for n in v.lower().split()]
-            out = any(part or (head and not main) for part, head in given)
+        out = parent.out or part or tag in PARTS_BY_TAG or path in noise or (not main and tag in OUTER_TAGS)
         if tag not in INLINE:
             parent.children.append((tag, names))
         if tag in RAW:
-            end = re.compile(rf"</{re.escape(tag)}\s*[^>]*>", re.I).search(source, at)
-            at = end.end() if end else len(source)
-        elif tag not in VOID and not (m[2] or m[4] or "").rstrip().endswith("/"):
+            found = re.compile(rf"</{re.escape(tag)}\s*[^>]*>", re.I).search(source, at)
+            at = found.end() if found else len(source)
+        elif tag not in VOID and not attributes.rstrip().endswith("/"):
+            if tag not in INLINE:
+                inner.append(len(stack))
+                if tag not in WHOLE:
+                    trail.append(path)
             stack.append(Element(tag, path, out, main))
-    piece.append(source[at:])
+            opened[tag] += 1
+    add(source[at:])
     flush()
     close(1)
     return blocks, shapes
@@ -175,7 +233,7 @@ def walk(source: str, host: int, noise: frozenset | set = frozenset()) -> tuple[
 
 def page_text(source: str, host: int, noise: frozenset | set = frozenset()) -> str:
     blocks, _ = walk(source, host, noise)
-    kept = [(t, main) for t, _, out, main in blocks if not out]
+    kept = [(t, main) for t, _, out, main, _ in blocks if not out]
     inside = [t for t, main in kept if main]
     return "\n".join(inside or [t for t, _ in kept])
 
@@ -185,50 +243,53 @@ def host_of(url: str | None) -> int:
     return xxhash.xxh64_intdigest((m[1] if m else "").lower()) - (1 << 63)
 
 
+STYLE_ROWS = pa.schema([("node", pa.int64()), ("kind", pa.int8()), ("feature", pa.int64()), ("page", pa.int64()), ("chars", pa.int64()), ("total", pa.int64()), ("size", pa.int64()), ("linked", pa.float64()), ("main", pa.bool_())])
+
+
 def style_rows(pages: DataFrame) -> DataFrame:
     """node, kind (0: a page has it, 1: a child sequence, 2: a text block), feature and page of every page's own tree.
 
-    Pages of a host with the same text have one page hash.  chars: of a block in article or main; total: of all of these.
+    Pages of a host with the same text have one page hash.  chars: of a block of the text that would be kept without the tree; total: of all
+    of these; size and linked: characters of a block and those in links; main: whether the node is in article or main.
     """
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo, hi in slices(batch.column(1)):
-                nodes, kinds, features, of, chars, totals = [], [], [], [], [], []
+                columns: list[list] = [[] for _ in STYLE_ROWS]
                 for url, source in zip(batch.column(0).slice(lo, hi - lo).to_pylist(), batch.column(1).slice(lo, hi - lo).to_pylist(), strict=True):
                     host, source = host_of(url), source or ""
                     blocks, shapes = walk(source, host)
-                    inside = {t for t, _, out, main in blocks if main and not out}
-                    page = xxhash.xxh64_intdigest(repr((host, sorted(inside or {t for t, _, out, _ in blocks if not out})))) - (1 << 63)
-                    rows = {(p, 2, xxhash.xxh64_intdigest(t) - (1 << 63), len(t) if main and not out else 0) for t, paths, out, main in blocks for p in paths}
-                    rows |= {(p, 1, s, 0) for p, s in shapes}
-                    rows |= {(p, 0, 0, 0) for p, _ in shapes}
-                    total = sum(map(len, inside))
-                    for p, k, f, c in rows:
-                        nodes.append(p)
-                        kinds.append(k)
-                        features.append(f)
-                        of.append(page)
-                        chars.append(c)
-                        totals.append(total if c else 0)
-                yield pa.RecordBatch.from_pydict({"node": pa.array(nodes, pa.int64()), "kind": pa.array(kinds, pa.int8()), "feature": pa.array(features, pa.int64()), "page": pa.array(of, pa.int64()), "chars": pa.array(chars, pa.int64()), "total": pa.array(totals, pa.int64())})
-
-    return pages.select(F.col("url").cast("string"), F.col("html").cast("string")).mapInArrow(tidy(task), "node long, kind byte, feature long, page long, chars long, total long")
+                    has_main = any(main and not out for _, _, out, main, _ in blocks)
+                    text = {t for t, _, out, main, _ in blocks if not out and main >= has_main}
+                    page = xxhash.xxh64_intdigest(repr((host, sorted(text)))) - (1 << 63)
+                    total = sum(map(len, text))
+                    rows = {(p, 2, xxhash.xxh64_intdigest(t) - (1 << 63), len(t) if not out and main >= has_main else 0, total if not out and main >= has_main else 0, len(t), share * len(t), main) for t, paths, out, main, share in blocks for p in paths}
+                    rows |= {(p, 1, s, 0, 0, 0, 0.0, main) for p, s, main in shapes}
+                    rows |= {(p, 0, 0, 0, 0, 0, 0.0, main) for p, _, main in shapes}
+                    for p, k, f, c, t, n, share, main in rows:
+                        for column, value in zip(columns, (p, k, f, page, c, t, n, share, main), strict=True):
+                            column.append(value)
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, STYLE_ROWS, strict=True)], schema=STYLE_ROWS)
+
+    schema = "node long, kind byte, feature long, page long, chars long, total long, size long, linked double, main boolean"
+    return pages.select(F.col("url").cast("string"), F.col("html").cast("string")).mapInArrow(tidy(task), schema)
 
 
 def importance(pages: DataFrame) -> DataFrame:
-    """node, pages, importance of every node of every host's tree."""
-    by_page = style_rows(pages).groupBy("node", "kind", "feature", "page").agg(F.max("chars").alias("chars"), F.max("total").alias("total"))
-    counted = by_page.groupBy("node", "kind", "feature").agg(F.count("*").alias("c"), F.bit_xor("page").alias("on"), F.max("chars").alias("chars"), F.avg("total").alias("total"))
+    """node, pages, importance (the entropies alone), linked (the share of its characters in links), main, of every node of every host's tree."""
+    of = ["chars", "total", "size", "linked", "main"]
+    by_page = style_rows(pages).groupBy("node", "kind", "feature", "page").agg(*[F.max(c).alias(c) for c in of])
+    counted = by_page.groupBy("node", "kind", "feature").agg(F.count("*").alias("c"), F.bit_xor("page").alias("on"), F.max("chars").alias("chars"), F.avg("total").alias("total"), F.sum("size").alias("size"), F.sum("linked").alias("linked"), F.max("main").alias("main"))
     counted = saved(counted, "style-counts")
-    # blocks that stand on the same pages and are most of the article there: copies of one article
+    # blocks that stand on the same pages and are most of the text there: copies of one article
     repeated = counted.where("kind = 2 AND c > 1 AND chars > 0")
     groups = repeated.groupBy("on", "c", "feature").agg(F.max("chars").alias("chars"), F.max("total").alias("total")).groupBy("on", "c").agg(F.sum("chars").alias("held"), F.max("total").alias("total"))
     articles = groups.where(F.col("held") >= ARTICLE_SHARE * F.col("total")).select("on", "c")
     copies = repeated.join(articles, ["on", "c"]).groupBy("node").agg(F.sum(F.log("c")).alias("copies"))
     # sum of c log c and so on: entropies follow when m is known
     sums = counted.groupBy("node").agg(
-        F.max(F.when(F.col("kind") == 0, F.col("c"))).alias("m"),
+        F.max(F.when(F.col("kind") == 0, F.col("c"))).alias("m"), F.max("main").alias("main"), F.sum("size").alias("size"), F.sum("linked").alias("linked"),
         F.sum(F.when(F.col("kind") == 1, F.col("c") * F.log("c"))).alias("shape_clogc"), F.sum(F.when(F.col("kind") == 1, F.col("c"))).alias("shape_c"),
         F.sum(F.when(F.col("kind") == 2, F.log("c"))).alias("text_logc"), F.count(F.when(F.col("kind") == 2, 1)).alias("blocks"),
     ).join(copies, "node", "left")
@@ -236,11 +297,15 @@ def importance(pages: DataFrame) -> DataFrame:
     shape = F.coalesce((F.log("shape_c") - F.col("shape_clogc") / F.col("shape_c")) / logm, F.lit(1.0))
     text_logc = (F.col("text_logc") - F.coalesce("copies", F.lit(0.0))) / F.nullif("blocks", F.lit(0))
     text = F.coalesce(1 - text_logc / logm, F.lit(1.0))
-    return sums.select("node", F.col("m").alias("pages"), (F.lit(PRESENTATION) * shape + F.lit(1 - PRESENTATION) * text).alias("importance"))
+    linked = F.coalesce(F.col("linked") / F.nullif("size", F.lit(0)), F.lit(0.0))
+    return sums.select("node", F.col("m").alias("pages"), (F.lit(PRESENTATION) * shape + F.lit(1 - PRESENTATION) * text).alias("importance"), linked.alias("linked"), "main")
 
 
 def noise_nodes(pages: DataFrame) -> DataFrame:
-    return importance(pages).where((F.col("pages") >= LEAST_PAGES) & (F.col("importance") < LEAST_IMPORTANCE)).select("node")
+    """The nodes whose importance is low when the evidence of their pages, the prior and, outside of articles, their links are counted together."""
+    prior = F.when(F.col("main"), PRIOR_INSIDE).otherwise(PRIOR)
+    weighed = (F.col("importance") * F.col("pages") + prior) / (F.col("pages") + prior)
+    return importance(pages).where(weighed * F.when(F.col("main"), 1.0).otherwise(1 - F.col("linked")) < LEAST_IMPORTANCE).select("node")
 
 
 def _texts(pages: DataFrame, noise_column: bool, sent) -> DataFrame:
@@ -269,7 +334,7 @@ def extract(pages: DataFrame, broadcast_nodes: int = BROADCAST_NODES) -> DataFra
         for batch in batches:
             rows, paths = [], []
             for row, url, source in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
-                found = {p for p, _ in walk(source or "", host_of(url))[1]}
+                found = {p for p, _, _ in walk(source or "", host_of(url))[1]}
                 rows += [row] * len(found)
                 paths += found
             yield pa.RecordBatch.from_pydict({"row": pa.array(rows, pa.int64()), "node": pa.array(paths, pa.int64())})

@@ -89,7 +89,7 @@ def derive(raw: bytes) -> dict[str, object]:
     except LookupError:
         page = payload.decode("utf-8", "replace")
     blocks, _ = walk(page, host_of(uri))
-    text = "\n".join(t for t, _, _, _ in blocks).encode()
+    text = "\n".join(t for t, *_ in blocks).encode()
     links = list(dict.fromkeys(urljoin_safe(uri, html.unescape(a or b or c)) for a, b, c in LINK.findall(page)))
     title = TITLE.search(page)
     ids = {t: f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{source_id} {t}')}>" for t in ("metadata", "conversion")}

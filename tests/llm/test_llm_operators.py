@@ -258,6 +258,36 @@ def test_html_names_still_cut_parts(part):
     assert sitetree.page_text(f"<body><div {part}><p>Part</div><div class=\"story\"><p>Text</div></body>", 0) == "Text"
 
 
+@pytest.mark.parametrize("inside", ['<h2 id="search">Text</h2>', '<h2 id="related-work">Text</h2>', '<p class="text-banner">Text</p>', '<section id="comment-on-method"><p>Text</section>', '<p class="ad-hoc">Text</p>', '<menu><li>Text</menu>', '<dialog open>Text</dialog>', '<header><p>Text</header>', '<div class="ad-hoc">Text</div>', '<ul><li><a href="x">Text</a></ul>'])
+def test_html_articles_keep_what_only_sounds_like_a_part(inside):
+    assert sitetree.page_text(f"<body><article>{inside}</article></body>", 0) == "Text"
+    assert sitetree.page_text('<body><div class="ad-hoc"><p>Text</div></body>', 0) == "Text"
+
+
+@pytest.mark.parametrize("part", ['<div class="ad">x</div>', '<section class="comments"><p>x</section>', "<nav>x</nav>", "<aside>x</aside>", '<div role="navigation">x</div>', '<form><p>x</form>', "<footer>x</footer>", '<ul class="share-buttons"><li>x</ul>'])
+def test_html_articles_lose_clear_parts(part):
+    assert sitetree.page_text(f"<body><article><p>Text</p>{part}</article></body>", 0) == "Text"
+
+
+@pytest.mark.parametrize("n", [3, 4, 9, 12])
+def test_html_hosts_of_a_few_pages(spark, n):
+    """A notice of every page and a menu that differs from page to page go on small hosts as on large ones."""
+    page = '<body><div class="x1"><p>Welcome to our site</div><div class="x2"><a href="/a">Menu {i}</a> <a href="/b">Other {i}</a></div><div class="x3"><p>Own text of page {i} with <a href="c">a link</a> in it<p>and more {i}</div></body>'
+    rows = [(i, "http://few.example/", page.format(i=i)) for i in range(n)] + [(100, "http://one.example/", page.format(i=100))]
+    got = {r["page_id"]: r["text"] for r in sitetree.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert all(got[i] == f"Own text of page {i} with a link in it\nand more {i}" for i in range(n))
+    assert got[100] == "Welcome to our site\nOwn text of page 100 with a link in it\nand more 100"
+
+
+@pytest.mark.parametrize("page", ["<a " * 350_000, '<p x="' * 170_000, "<div>x" * 170_000, "<b>" * 330_000 + "<hr>" * 10, "<!-- " * 200_000, "</div>" * 160_000, "<a>" * 300_000 + "</b>" * 10_000, "x < y " * 170_000, "&amp;" * 200_000, "<td><li>x" * 100_000, "<script>" * 120_000, '<p class="' * 100_000 + ">"])
+def test_html_time_grows_with_the_length_of_a_page(page):
+    import time
+
+    start = time.process_time()
+    sitetree.page_text(page, 0)
+    assert time.process_time() - start < 5
+
+
 def test_html_importance_is_the_entropy(spark):
     pages = spark.createDataFrame([(i, "http://h.example/", f"<div class=a>same</div><div class=b>own {i}</div>") for i in range(16)], "page_id long, url string, html string")
     values = sorted({round(r["importance"], 6) for r in sitetree.importance(pages).collect() if r["pages"] == 16})

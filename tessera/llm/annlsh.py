@@ -7,20 +7,23 @@ width w.  For a query, a neighbour of the correlation that neighbours have here
 a bounded sample of queries) falls into a cell with a probability that the projections
 of the query give; cells are visited in the order of that probability until their sum
 reaches what each of the tables owes to the wanted recall.  Candidates of all tables are
-scored exactly and merged.
+scored exactly and merged; a query that then has fewer neighbours than it can have meets all rows.
 
+K is the number of projections from which on more of them cost more (visited cells and scored rows, estimated
+on bounded samples of queries and rows): it grows with the rows where cells part them, without a limit.
 Equal vectors are one entry with its copies.  Cells with many entries are dealt over
-several groups, and queries go to each of them, so no group is unbounded; nothing is
-capped.  K grows with the logarithm of the number of rows.
+several groups, and the queries of a group over blocks that each meet the group's entries, so no task is unbounded;
+nothing is capped.
 
 Nulls: vectors that are null, empty, zero, or hold null or non-finite components, rows
-with a null id, and vectors of another length than the most frequent one take no part.
+with a null id, and vectors of another length than the most frequent one (with which they have no inner product) take no part.
 Of rows with one id the smallest vector takes part.  Ties go to the smaller id.
 """
 
 from __future__ import annotations
 
 import math
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -30,11 +33,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.shared import saved, tidy
+from tessera.llm.shared import saved, shared_folder, tidy
 
 NEAREST, TABLES, RECALL, CELL = 20, 2, 0.96, 1.3
-#: Entries of a group at most, about, and the sampled queries that the fit compares with all rows.
-GROUP, SAMPLED = 8192, 64
+#: Entries of a group and queries of a block at most, about.
+GROUP, ASKING = 8192, 4096
+#: The sampled queries that the fit compares with all rows, the sampled rows, and the rows that cost as much as one visited cell.
+SAMPLED, SAMPLED_ROWS, CELL_COST = 64, 2048, 10
+#: Of the probability that a table needn't find, the share that may go to cells that are left out before they are ordered.
+PRUNED = 0.25
 
 
 @dataclass
@@ -45,6 +52,7 @@ class Index:
     shifts: np.ndarray
     width: float
     owed: float
+    recall: float = 0.0  # measured on the sampled queries
 
     def cells(self, x: np.ndarray, table: int) -> np.ndarray:
         lifted = np.column_stack([x, np.sqrt(np.maximum(self.norm**2 - (x * x).sum(axis=1), 0))])
@@ -64,13 +72,15 @@ class Index:
                 edges = (np.arange(lo, hi + 2) * self.width - self.shifts[table, k] - mean) / (spread * math.sqrt(2))
                 axes.append(cells)
                 chances.append(np.diff([0.5 * math.erf(e) for e in edges]))
-            chance = chances[0]
-            for c in chances[1:]:
-                chance = np.multiply.outer(chance, c)
-            order = np.argsort(-chance, axis=None, kind="stable")
-            n = int(np.searchsorted(np.cumsum(chance.ravel()[order]), self.owed)) + 1
-            where = np.unravel_index(order[:n], chance.shape)
-            out.append(np.stack([a[w] for a, w in zip(axes, where, strict=True)], axis=1))
+            # axis by axis, without the least likely combinations: together they are a small share of what may be missed
+            chance, cells = np.ones(1), np.zeros((1, 0), dtype=np.int64)
+            for own, c in zip(axes, chances, strict=True):
+                chance = np.multiply.outer(chance, c).ravel()
+                order = np.argsort(-chance, kind="stable")
+                kept = np.cumsum(chance[order])
+                order = order[: int(np.searchsorted(kept, kept[-1] - PRUNED * (1 - self.owed) / len(axes))) + 1]
+                chance, cells = chance[order], np.column_stack([cells[order // len(own)], own[order % len(own)]])
+            out.append(cells[: int(np.searchsorted(np.cumsum(chance), self.owed)) + 1])
         return out
 
 
@@ -96,29 +106,44 @@ def matrix(column: pa.Array) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).astype(float).reshape(len(column), -1)
 
 
-def top(ids: np.ndarray, scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """The k best by score, then by smaller id."""
+def top(ids: np.ndarray, x: np.ndarray, q: np.ndarray, rough: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """The k best of the rows x by their product with q, then by smaller id.  rough: products whose last digits hang on how they were made."""
     if len(ids) > k:
-        least = np.partition(scores, len(scores) - k)[len(scores) - k]
-        some = np.flatnonzero(scores >= least)
-        ids, scores = ids[some], scores[some]
+        least = np.partition(rough, len(rough) - k)[len(rough) - k]
+        some = np.flatnonzero(rough >= least - 1e-9 * abs(least))
+        ids, x = ids[some], x[some]
+    scores = (x * q).sum(axis=1)
     order = np.lexsort((ids, -scores))[:k]
     return ids[order], scores[order]
 
 
-def exact(queries: list[tuple[int, list[float]]], data: DataFrame, k: int = NEAREST) -> DataFrame:
-    """query_id, id, score of each of a bounded list of queries against all data (id, vector), its own id left out."""
-    q_ids, q = np.array([x[0] for x in queries]), np.array([x[1] for x in queries], dtype=float)
+def exact(queries: DataFrame, data: DataFrame, k: int = NEAREST, own: bool = False, block: int = 512) -> DataFrame:
+    """query_id, rank, id, score: the k best of data (id, vector) for each of the queries (id, vector), without its own id unless asked for.
+
+    The queries are stored in blocks; each Arrow batch of data meets them block by block, so a task holds one of each.
+    """
+    spark = queries.sparkSession
+    folder = f"{shared_folder(spark)}/asked-{uuid.uuid4().hex}"
+    queries.select("id", "vector").write.option("maxRecordsPerFile", block).parquet(folder)
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = [(np.zeros(0, np.int64), np.zeros(0))] * len(q_ids)
+        from pyarrow import fs, parquet
+
+        store, path = fs.FileSystem.from_uri(folder)
+        files = sorted(f.path for f in store.get_file_info(fs.FileSelector(path)) if f.path.endswith(".parquet"))
         for batch in batches:
-            ids, scores = batch.column(0).to_numpy(), q @ matrix(batch.column(1)).T
-            for i, own in enumerate(q_ids):
-                other = ids != own
-                held[i] = top(np.concatenate([held[i][0], ids[other]]), np.concatenate([held[i][1], scores[i][other]]), k)
-        n = [len(h[0]) for h in held]
-        yield pa.RecordBatch.from_pydict({"query_id": np.repeat(q_ids, n), "id": np.concatenate([h[0] for h in held]), "score": np.concatenate([h[1] for h in held])})
+            ids, x = batch.column(0).to_numpy(), matrix(batch.column(1))
+            for f in files:
+                asked = parquet.read_table(f, filesystem=store).combine_chunks()
+                if not asked.num_rows or not len(ids):
+                    continue
+                found, qs = [], matrix(asked.column(1).combine_chunks())
+                for query, q, row in zip(asked.column(0).to_pylist(), qs, qs @ x.T, strict=True):
+                    best, scores = top(ids, x, q, row, k + 1)
+                    some = np.full(len(best), True) if own else best != query
+                    found.append((query, best[some][:k], scores[some][:k]))
+                n = [len(i) for _, i, _ in found]
+                yield pa.RecordBatch.from_pydict({"query_id": pa.array(np.repeat([q for q, _, _ in found], n), pa.int64()), "id": pa.array(np.concatenate([i for _, i, _ in found]), pa.int64()), "score": pa.array(np.concatenate([c for _, _, c in found]), pa.float64())})
 
     best = data.select("id", "vector").mapInArrow(tidy(task), "query_id long, id long, score double")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "id"))
@@ -127,15 +152,33 @@ def exact(queries: list[tuple[int, list[float]]], data: DataFrame, k: int = NEAR
 
 def fit(data: DataFrame, queries: DataFrame, tables: int = TABLES, recall: float = RECALL, cell: float = CELL, seed: int = 7) -> Index:
     stats = data.agg(F.count("*").alias("n"), F.max(F.sqrt(F.aggregate("vector", F.lit(0.0), lambda s, x: s + x * x))).alias("norm"), F.max(F.size("vector")).alias("size")).first()
-    norm, correlation = stats["norm"] or 1.0, 0.5
-    sample = [(r["id"], r["vector"]) for r in queries.orderBy(F.xxhash64("id"), "id").limit(SAMPLED).collect()]
-    if sample and stats["n"] > 1:
-        norms = {i: math.sqrt(sum(x * x for x in v)) for i, v in sample}
-        found = [r["score"] / (norms[r["query_id"]] * norm) for r in exact(sample, data).collect() if r["score"] > 0]
-        correlation = min(0.999, max(0.05, float(np.mean(found)))) if found else 0.5
-    k = min(6, max(3, round(math.log(max(stats["n"], 1) / 512 + 1, 4))))
-    rng = np.random.default_rng(seed)
-    return Index(norm, correlation, rng.normal(size=(tables, k, (stats["size"] or 1) + 1)), rng.uniform(0, cell * norm, size=(tables, k)), cell * norm, 1 - (1 - recall) ** (1 / tables))
+    norm, correlation, size = stats["norm"] or 1.0, 0.5, stats["size"] or 1
+    some = lambda rows, n: rows.select("id", "vector").orderBy(F.xxhash64("id"), "id").limit(n)
+    sample = saved(some(queries, SAMPLED), "sampled-queries")
+    asked = {r["id"]: np.array(r["vector"]) for r in sample.collect()}
+    near = exact(sample, data).join(data.select("id", "vector"), "id").collect() if asked else []  # 20 for each sampled query
+    if found := [r["score"] / (np.linalg.norm(asked[r["query_id"]]) * norm) for r in near if r["score"] > 0]:
+        correlation = min(0.999, max(0.05, float(np.mean(found))))
+    rows = np.array([r["vector"] for r in some(data, SAMPLED_ROWS).collect()], dtype=float).reshape(-1, size)
+    q, order = np.array(list(asked.values()), dtype=float).reshape(-1, size), {i: n for n, i in enumerate(asked)}
+    best, best_cost, k = None, math.inf, 1
+    while True:
+        rng = np.random.default_rng(seed)
+        index = Index(norm, correlation, rng.normal(size=(tables, k, size + 1)), rng.uniform(0, cell * norm, size=(tables, k)), cell * norm, 1 - (1 - recall) ** (1 / tables))
+        visits, scored, hits = 0, 0, np.zeros(len(near), bool)
+        for t in range(tables if len(q) else 0):
+            held, of_near = cell_key(index.cells(rows, t)), cell_key(index.cells(np.array([r["vector"] for r in near], dtype=float).reshape(-1, size), t))
+            for n, cells in enumerate(map(cell_key, index.probes(q, t))):
+                visits, scored = visits + len(cells), scored + int(np.isin(held, cells).sum())
+                mine = np.array([order[r["query_id"]] == n for r in near], bool)
+                hits[mine] |= np.isin(of_near[mine], cells)
+        index.recall = float(hits.mean()) if len(hits) else 1.0
+        cost = CELL_COST * visits + scored * stats["n"] / max(len(rows), 1)
+        if cost >= best_cost:
+            return best
+        best, best_cost, k = index, cost, k + 1
+        if not len(q):
+            return best
 
 
 def search(vectors: DataFrame, is_query: Column, k: int = NEAREST, recall: float = RECALL, tables: int = TABLES, vec_id: str = "vec_id", vector: str = "embedding") -> DataFrame:
@@ -174,7 +217,11 @@ def search(vectors: DataFrame, is_query: Column, k: int = NEAREST, recall: float
     stored = dealt.join(data.select("id", "vector"), "id").select("t", group, "cell", "part", "id", "vector")
     asked = queries.select("id", "vector").mapInArrow(tidy(probe), "query_id long, t int, cell long").join(large, ["t", "cell"], "left").withColumn("part", F.explode(F.sequence(F.lit(0), parts - 1)))
     sent_to = asked.select("query_id", "t", group, "cell", "part").groupBy("query_id", "t", "g").agg(F.collect_list(F.struct("cell", "part")).alias("cells"))  # a query's own probes
-    asking = sent_to.join(queries.select(F.col("id").alias("query_id"), F.col("vector").alias("q")), "query_id").select("t", "g", "query_id", "cells", "q")
+    sent_to = saved(sent_to, "probes")
+    # the queries of a group in blocks; its entries go to each of them
+    blocks = sent_to.groupBy("t", "g").agg(F.ceil(F.count("*") / ASKING).cast("int").alias("blocks"))
+    asking = sent_to.join(blocks, ["t", "g"]).join(queries.select(F.col("id").alias("query_id"), F.col("vector").alias("q")), "query_id").select("t", "g", F.pmod(F.xxhash64("query_id"), F.col("blocks")).cast("int").alias("b"), "query_id", "cells", "q")
+    stored = stored.join(blocks, ["t", "g"]).select("t", "g", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("b"), "cell", "part", "id", "vector")
 
     def rerank(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         out_q, out_id, out_score = [], [], []
@@ -189,17 +236,30 @@ def search(vectors: DataFrame, is_query: Column, k: int = NEAREST, recall: float
                 some = [np.arange(*at[key]) for c in cells if (key := (c["cell"], c["part"])) in at]
                 if some:
                     some = np.concatenate(some)
-                    best, score = top(ids[some], x[some] @ np.asarray(q), k + 1)
+                    best, score = top(ids[some], x[some], np.asarray(q), x[some] @ np.asarray(q), k + 1)
                     out_q.append(np.full(len(best), query))
                     out_id.append(best)
                     out_score.append(score)
         none = [np.zeros(0)]
         return pd.DataFrame({"query_id": np.concatenate(out_q or none).astype(np.int64), "id": np.concatenate(out_id or none).astype(np.int64), "score": np.concatenate(out_score or none)})
 
-    found = stored.groupBy("t", "g").cogroup(asking.groupBy("t", "g")).applyInPandas(rerank, "query_id long, id long, score double")
+    found = stored.groupBy("t", "g", "b").cogroup(asking.groupBy("t", "g", "b")).applyInPandas(rerank, "query_id long, id long, score double")
     found = found.groupBy("query_id", "id").agg(F.max("score").alias("score"))
     by_query = Window.partitionBy("query_id").orderBy(F.desc("score"), "id")
     best = found.withColumn("n", F.row_number().over(by_query)).where(F.col("n") <= k + 1).drop("n")
-    spread = best.join(data.select("id", "copies"), "id").select("query_id", F.explode("copies").alias("vec_id"), "score").where("vec_id <> query_id")
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-    return spread.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    copies = data.select("id", "copies")
+
+    def nearest(best: DataFrame) -> DataFrame:
+        spread = best.join(copies, "id").select("query_id", F.explode("copies").alias("vec_id"), "score").where("vec_id <> query_id")
+        rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
+        return spread.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+
+    near = saved(nearest(best), "nearest")
+    # queries whose cells hold too few rows: all rows
+    every = min(k, rows.count() - 1)
+    short = saved(queries.join(near.groupBy(F.col("query_id").alias("id")).count(), "id", "left").where(F.coalesce("count", F.lit(0)) < every).select("id", "vector"), "short")
+    if not short.limit(1).count():
+        return near
+    whole = near.join(short.select(F.col("id").alias("query_id")), "query_id", "left_anti")
+    again = nearest(exact(short, data, k + 1, own=True).drop("rank"))  # a query's own entry may have copies
+    return whole.unionByName(again)

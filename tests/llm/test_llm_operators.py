@@ -447,16 +447,45 @@ def test_nearest_copies_ties_and_bad_vectors(spark):
     bad = [(200, None), (220, []), (240, [0.0, 0.0, 0.0]), (260, [1.0, None, 0.0]), (280, [float("nan"), 1.0, 0.0]), (300, [float("inf"), 1.0, 0.0]), (320, [1.0, 2.0]), (None, [1.0, 1.0, 1.0])]
     table = spark.createDataFrame(rows + bad, "vec_id long, embedding array<float>").withColumn("score", F.lit(1)).withColumn("rank", F.lit("x"))
     got = defaultdict(list)
-    for r in annlsh.search(table, F.col("id") % 20 == 0, recall=0.9999).orderBy("query_id", "rank").collect():
+    for r in annlsh.search(table, F.col("id") % 20 == 0).orderBy("query_id", "rank").collect():
         got[r["query_id"]].append(r["vec_id"])
     want = {q: ids for q, ids, _ in brute_nearest(rows, 20)}
     assert got.keys() == want.keys()
     assert {q: v for q, v in got.items() if q < 100} == {q: v for q, v in want.items() if q < 100}
+    assert all(len(got[q]) == 20 for q in want)
     assert annlsh.search(table.limit(0), F.col("id") % 20 == 0).count() == 0
     alone = annlsh.search(spark.createDataFrame([(0, [1.0, 2.0])], "vec_id long, embedding array<float>"), F.col("id") % 20 == 0)
     assert alone.count() == 0
 
 
+@pytest.mark.parametrize("n", [2, 12, 21, 45])
+def test_nearest_finds_every_candidate_of_small_tables(spark, n):
+    rng = np.random.default_rng(n)
+    rows = [(i, [float(np.float32(x)) for x in rng.normal(size=8)]) for i in range(n)]
+    rows[n // 2] = (n // 2, rows[0][1])  # a copy of a query
+    got = defaultdict(list)
+    for r in annlsh.search(spark.createDataFrame(rows, "vec_id long, embedding array<float>"), F.col("id") % 20 == 0).orderBy("query_id", "rank").collect():
+        got[r["query_id"]].append((r["rank"], r["vec_id"]))
+    for q, ids, _ in brute_nearest(rows, 20):
+        assert [k for k, _ in got[q]] == list(range(1, min(20, n - 1) + 1))
+        if n <= 21:
+            assert [v for _, v in got[q]] == ids
+
+
+def test_nearest_blocks_of_queries_and_the_measured_recall(spark, monkeypatch):
+    rng = np.random.default_rng(1)
+    centres = rng.normal(size=(12, 16)) * 4
+    rows = [(i, [float(np.float32(x)) for x in centres[i % 12] + rng.normal(size=16)]) for i in range(1200)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    whole = Counter(map(tuple, annlsh.search(table, F.col("id") % 2 == 0).collect()))
+    monkeypatch.setattr(annlsh, "ASKING", 7)
+    monkeypatch.setattr(annlsh, "GROUP", 200)
+    assert Counter(map(tuple, annlsh.search(table, F.col("id") % 2 == 0).collect())) == whole  # 30 times the queries, in blocks
+    data = annlsh.entries(table).cache()
+    index = annlsh.fit(data, data.where("id % 20 = 0"))
+    assert index.recall >= 0.9 and index.projections.shape[1] >= 1
+
+
 # ---- 7 licences ---------------------------------------------------------------------------------
 
 def brute_licences(text):

@@ -30,6 +30,7 @@ def route(label: Column, raw_text: Column, crumb: Column, synthesized: Column, p
 
 
 def raw_representation(label: Column, raw_text: Column, language: Column, headers: Column, cells: Column, kind: Column, name: Column) -> Column:
+    raw_text = F.coalesce(raw_text, F.lit(""))
     return (
         F.when(label == "Section", raw_text)
         .when(label == "CodeBlock", F.concat(F.lit("["), F.coalesce(language, F.lit("code")), F.lit("]\n"), raw_text))

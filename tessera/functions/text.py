@@ -124,16 +124,16 @@ def graded_match(name: Column, terms: Column) -> Column:
 
 
 def citation_ids(answer: Column) -> Column:
-    """The numbers in [n] marks, each once, in the order in which they are first met."""
+    """The numbers in [n] marks, each once, in the order in which they are first met; one too large for a long is the largest long, so still out of range."""
     found = F.regexp_extract_all(F.coalesce(answer, F.lit("")), F.lit(r"\[(\d+)\]"), F.lit(1))
-    return F.filter(F.array_distinct(F.transform(found, lambda x: x.try_cast("int"))), lambda x: x.isNotNull())
+    return F.array_distinct(F.transform(found, lambda x: F.coalesce(x.try_cast("bigint"), F.lit(2**63 - 1))))
 
 
 def citation_check(answer: Column, evidence: Column, used: Column) -> Column:
     """ok, missing (used but not marked) and out_of_range (marked but not among the evidence)."""
     ids = citation_ids(answer)
     outside = F.filter(ids, lambda n: (n < 1) | (n > evidence))
-    missing = F.filter(used, lambda n: ~F.array_contains(ids, n))
+    missing = F.filter(F.transform(used, lambda n: n.cast("bigint")), lambda n: ~F.array_contains(ids, n))
     return F.struct(((F.size(outside) == 0) & (F.size(missing) == 0)).alias("ok"), missing.alias("missing"), outside.alias("out_of_range"))
 
 

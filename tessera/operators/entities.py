@@ -24,7 +24,7 @@ NAMED = [("MessageType", n, "en/agent-sdk/agent-loop.md", "message-types") for n
 def from_rows(rows: DataFrame, rules: DataFrame) -> DataFrame:
     """Entity rows that the rules find in table rows (node_id, section_id, path, pos order, headers, cells): label, name, description, permission_required, source_id, seq."""
     anchor = F.element_at(F.split("section_id", "#"), -1)
-    hit = rows.withColumn("row_anchor", anchor).join(F.broadcast(rules.limit(10_000)), "path").where((F.col("anchor").isNull() | (F.col("anchor") == F.col("row_anchor"))) & F.array_contains("first_headers", F.coalesce(F.try_element_at("headers", F.lit(1)), F.lit(""))))
+    hit = rows.withColumn("row_anchor", anchor).join(rules, "path").where((F.col("anchor").isNull() | (F.col("anchor") == F.col("row_anchor"))) & F.array_contains("first_headers", F.coalesce(F.try_element_at("headers", F.lit(1)), F.lit(""))))
     cell = lambda i: F.nullif(F.try_element_at("cells", F.lit(i)), F.lit(""))
     name = tx.first_code_or_text(F.try_element_at("cells", F.lit(1)))
     found = hit.select("label", name.alias("name"), cell(2).alias("description"), F.when(F.col("label") == "Tool", cell(3)).alias("permission_required"), F.when(F.col("source") == "row", F.col("node_id")).otherwise(F.col("section_id")).alias("source_id"), F.struct("place", "section_id", "table_position", "position").alias("seq"))
@@ -53,14 +53,17 @@ def named_entities(named: DataFrame, sections: DataFrame, first_sections: DataFr
 def mentions(sections: DataFrame, names: DataFrame) -> DataFrame:
     """section_id, name for each name that stands in a section's breadcrumb or text with no ASCII letter, digit or underscore beside it.
 
-    Sections and names are joined on the first word of a name (its first run of letters, digits and underscores), which such a section must hold; then the whole name is matched.
-    A name without any such character has the key '' and is matched with all sections, so it is found too.
+    Sections and names are joined on the first word of a name (its first run of letters, digits and underscores), or on its first character where it
+    has none; such a section must hold that too.  Only ids and keys meet there; the texts of the pairs found are fetched then, and the whole name is matched.
     """
     text = F.concat_ws("\n\n", F.nullif("breadcrumb", F.lit("")), F.nullif("text", F.lit("")))
-    words = F.array_distinct(F.concat(F.regexp_extract_all(F.col("whole"), F.lit("[A-Za-z0-9_]+"), F.lit(0)), F.array(F.lit(""))))
-    keyed = sections.select("section_id", text.alias("whole")).where("whole <> ''").select("section_id", "whole", F.explode(words).alias("first_word"))
-    listed = names.where("name <> ''").select("name", F.regexp_extract("name", "[A-Za-z0-9_]+", 0).alias("first_word")).distinct()
-    return keyed.join(listed, "first_word").where(tx.mentions(F.col("whole"), F.col("name"))).select("section_id", "name")
+    whole = sections.select("section_id", text.alias("whole")).where("whole <> ''")
+    keys = F.array_distinct(F.regexp_extract_all(F.col("whole"), F.lit(r"[A-Za-z0-9_]+|[^A-Za-z0-9_]"), F.lit(0)))
+    keyed = whole.select("section_id", F.explode(keys).alias("first_key"))
+    word = F.regexp_extract("name", "[A-Za-z0-9_]+", 0)
+    listed = names.where("name <> ''").select("name", F.when(word != "", word).otherwise(F.substring("name", 1, 1)).alias("first_key")).distinct()
+    pairs = keyed.join(listed, "first_key").select("section_id", "name").distinct()
+    return pairs.join(whole, "section_id").where(tx.mentions(F.col("whole"), F.col("name"))).select("section_id", "name")
 
 
 def mention_edges(sections: DataFrame, entities: DataFrame) -> DataFrame:

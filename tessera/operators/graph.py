@@ -8,32 +8,41 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.sources.shared import first_rows, saved
+
 ATOM_LABELS = ("Chunk", "CodeBlock", "Callout", "TableRow")
 CONTAINS = ("CONTAINS_CODE", "CONTAINS_TABLE_ROW", "CONTAINS_CALLOUT", "HAS_CHUNK")
 PATTERNS = ("siblings", "parent_page", "links", "defines", "navigates_to", "code_examples")
 
 
-def closure(edges: DataFrame, roots: DataFrame, depth: int) -> DataFrame:
-    """root, node_id, depth of everything at most ``depth`` containment steps (source_id, target_id) below the roots; a root itself has depth 0.
+def closure(edges: DataFrame, roots: DataFrame, depth: int | None = None) -> DataFrame:
+    """root, node_id, depth of everything below the roots by containment steps (source_id, target_id); a root itself has depth 0.
 
-    Section levels bound the depth, so the steps are unrolled joins on one pair of keys; a node that is met twice keeps its smallest depth.
+    With a depth (section levels bound one), so many steps are unrolled joins on one pair of keys.  Without, steps are made and written until none leads
+    to a new node; cycles end there too.  A node that is met twice keeps its smallest depth.
     """
     level = roots.select(F.col("node_id").alias("root"), "node_id", F.lit(0).alias("depth"))
-    levels = [level]
     steps = edges.select(F.col("source_id").alias("node_id"), "target_id")
-    for d in range(1, depth + 1):
-        level = level.join(steps, "node_id").select("root", F.col("target_id").alias("node_id"), F.lit(d).alias("depth"))
+    below = lambda level, d: level.join(steps, "node_id").select("root", F.col("target_id").alias("node_id"), F.lit(d).alias("depth"))
+    levels = [level]
+    if depth is not None:
+        for d in range(1, depth + 1):
+            levels.append(below(levels[-1], d))
+        return reduce(DataFrame.union, levels).groupBy("root", "node_id").agg(F.min("depth").alias("depth"))
+    while True:
+        seen = reduce(DataFrame.union, levels).select("root", "node_id")
+        level = saved(below(levels[-1], len(levels)).distinct().join(seen, ["root", "node_id"], "left_anti"), "level")
+        if not level.limit(1).count():
+            return reduce(DataFrame.union, levels)
         levels.append(level)
-    return reduce(DataFrame.union, levels).groupBy("root", "node_id").agg(F.min("depth").alias("depth"))
 
 
 def _capped(found: DataFrame, seeds: DataFrame, per_seed: int, order: list) -> DataFrame:
     """The first per_seed x (number of seeds) rows of the order."""
-    cap = per_seed * seeds.count()
-    return found.orderBy(*order).limit(cap)
+    return first_rows(found, [F.col(c) for c in order], per_seed * seeds.count())
 
 
 def expand_siblings(edges: DataFrame, nodes: DataFrame, seeds: DataFrame, per_seed: int = 3) -> DataFrame:
@@ -73,7 +82,7 @@ def expand_defines(edges: DataFrame, nodes: DataFrame, seeds: DataFrame, per_see
     return _capped(found, seeds, per_seed, ["seed_rank", "node_id"])
 
 
-def expand_code_examples(edges: DataFrame, nodes: DataFrame, seeds: DataFrame, per_seed: int = 3, language: str | None = None, depth: int = 5) -> DataFrame:
+def expand_code_examples(edges: DataFrame, nodes: DataFrame, seeds: DataFrame, per_seed: int = 3, language: str | None = None, depth: int | None = None) -> DataFrame:
     """Code blocks below sections that define or mention a seed entity: defined first, then nearest, then in order; each block once."""
     known = edges.where(F.col("type").isin("DEFINES", "MENTIONS"))
     parents = known.join(_seed_keys(nodes, seeds).withColumnRenamed("entity_id", "target_id"), "target_id").select("seed_id", "seed_rank", F.col("source_id").alias("root"), F.when(F.col("type") == "DEFINES", 0).otherwise(1).alias("mentioned"))
@@ -93,10 +102,12 @@ def expand(seeds: DataFrame, expansions: list[tuple[str, DataFrame]], total_cap:
     seeds: seed_rank, node_id, node_label; expansions: (pattern, rows of one of the functions above).
     """
     own = seeds.select("node_id", "node_label", F.lit(-1).alias("part"), F.col("seed_rank").cast("long").alias("place"), F.lit(None).cast("string").alias("expansion_origin"))
+    own = own.withColumn("place", F.struct(F.col("place").alias("a"), F.lit(0).cast("long").alias("b"), F.lit(0).cast("long").alias("c")))
     parts = [own]
     for i, (pattern, rows) in enumerate(expansions):
-        order = Window.orderBy(*[c for c in ("mentioned", "depth", "position") if c in rows.columns], *([] if "mentioned" in rows.columns else ["seed_rank"]), "node_id")  # a capped list of a few rows
-        parts.append(rows.select("node_id", "node_label", F.lit(i).alias("part"), F.row_number().over(order).cast("long").alias("place"), F.concat_ws(":", F.lit(pattern), F.col("seed_id").cast("string")).alias("expansion_origin")))
+        order = ("mentioned", "depth", "position") if "mentioned" in rows.columns else ("seed_rank",)
+        place = F.struct(*[(F.col(order[n]) if n < len(order) else F.lit(0)).cast("long").alias(c) for n, c in enumerate("abc")])
+        parts.append(rows.select("node_id", "node_label", F.lit(i).alias("part"), place.alias("place"), F.concat_ws(":", F.lit(pattern), F.col("seed_id").cast("string")).alias("expansion_origin")))
     union = reduce(DataFrame.unionByName, parts)
     first = union.groupBy("node_id", "node_label").agg(F.min(F.struct("part", "place", "expansion_origin")).alias("x")).select("node_id", "node_label", "x.*")
     added = first.where("part >= 0").orderBy("part", "place", "node_id").limit(total_cap)

@@ -17,6 +17,7 @@ CALLOUTS = ("Note", "Tip", "Info", "Warning", "Check")
 UNWRAPPED = ("Experiment", "Frame", "Tabs", "AccordionGroup", "CardGroup", "Steps", "RequestExample", "ResponseExample")
 TITLED = ("Tab", "Accordion", "Card", "Expandable", "Step")
 DATA_HEADERS = ("tool", "key", "event", "mode", "setting", "field", "parameter", "rule")
+OPEN_TAG = r"<[A-Z][^<>]*>"
 LINK = r"(?<!!)\[((?:[^\[\]]|`[^`]*`)*)\]\(\s*<?([^)\s>]*)>?(?:\s+\"[^\"]*\")?\s*\)"
 
 
@@ -36,7 +37,10 @@ def lines(pages: DataFrame) -> DataFrame:
     """path, pos, line, and fence: 1 on the lines of a fenced block (its marks too), with fence_no counting the marks so far."""
     text = F.regexp_replace(F.coalesce("text", F.lit("")), r"\r\n?", "\n")
     text = F.regexp_replace(text, r"(?is)<style\b[^>]*>.*?</style\s*>|<script\b[^>]*/>|<script\b[^>]*>.*?</script\s*>", "")
-    text = F.regexp_replace(text, r"(?<=<[A-Z][^<>]{0,400})\n\s*(?=[^<>]*>)", " ")  # an open tag stands on one line
+    # an open tag stands on one line: the tags and what is between them, apart and together again
+    tags = F.transform(F.regexp_extract_all(text, F.lit(OPEN_TAG), F.lit(0)), lambda t: F.regexp_replace(t, r"\s*\n\s*", " "))
+    whole = F.array_join(F.zip_with(F.split(text, OPEN_TAG), tags, lambda a, b: F.concat(a, F.coalesce(b, F.lit("")))), "")
+    text = F.when(F.rlike(text, F.lit(r"<[A-Z][^<>]*\n")), whole).otherwise(text)
     split = pages.withColumn("text", text).select("path", F.posexplode(F.split("text", "\n")).alias("pos", "line"))
     mark = F.rlike("line", F.lit(r"^\s*(```|~~~)"))
     counted = split.withColumn("mark", mark).withColumn("fence_no", F.sum(F.col("mark").cast("int")).over(so_far()))

@@ -5,14 +5,20 @@ Queries are rows, so one plan serves a whole batch of questions.
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Iterator
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tessera.functions import text as tx
 from tessera.functions.contexts import ENTITY_LABELS
-from tessera.functions.vectors import cosine
+from tessera.sources.shared import saved, shared_folder
 
 K1, B = 1.2, 0.75  # Robertson and Zaragoza 2009
 SEARCHABLE_LABELS = ("Section", "Chunk", "CodeBlock", "TableRow", "Callout")
@@ -29,27 +35,91 @@ def top_per(df: DataFrame, by: list[str], order: list[Column], k: int, rank: str
     return df.withColumn(rank, F.row_number().over(window)).where(F.col(rank) <= k)
 
 
-def bm25(nodes: DataFrame, queries: DataFrame, k: int = 50) -> DataFrame:
+def bm25(nodes: DataFrame, queries: DataFrame, k: int = 50, wanted: Column | None = None) -> DataFrame:
     """query_id, node_id, score, rank: the k best of nodes (node_id, indexed_text) for each query (query_id, text).
 
-    Only the queries' terms leave the scan of nodes; scores are rounded to six digits before they are ordered.
+    The texts are read once: the postings of the queries' terms, and for each node one without a term, are written and everything else is made of
+    them.  wanted: a condition on nodes; others count in the statistics but are not scored.  Scores are rounded to six digits before they are ordered.
+
+    Terms are taken apart for each query by what they can add at most (their weight for a node of no length).  A first pass scores by the rarer half of a query's terms; the k-th best
+    of these scores is a bound.  The common terms whose sum stays under it can't bring a node among the k best alone, so in the second pass only nodes with one of the
+    others are scored.
     """
     asked = queries.select("query_id", F.explode(F.array_distinct(tokens(F.col("text")))).alias("term"))
-    sized = nodes.where(F.coalesce("indexed_text", F.lit("")) != "").select("node_id", tokens(F.col("indexed_text")).alias("tokens")).withColumn("length", F.size("tokens"))
-    stats = sized.agg(F.count("*").alias("n"), F.avg("length").alias("mean")).first()
+    sized = nodes.where(F.coalesce("indexed_text", F.lit("")) != "").select("node_id", (F.lit(True) if wanted is None else F.coalesce(wanted, F.lit(False))).alias("wanted"), tokens(F.col("indexed_text")).alias("tokens"))
+    every = sized.select("node_id", "wanted", F.size("tokens").alias("length"), F.explode(F.concat(F.array(F.lit("")), F.col("tokens"))).alias("term"))
+    terms = asked.select("term").union(asked.sparkSession.range(1).select(F.lit("").alias("term"))).distinct()
+    postings = saved(every.join(terms, "term").groupBy("node_id", "wanted", "length", "term").agg(F.count("*").alias("tf")), "postings")
+    stats = postings.where("term = ''").agg(F.count("*").alias("n"), F.avg("length").alias("mean")).first()
     n, mean = stats["n"], stats["mean"] or 1.0
-    counts = sized.select("node_id", "length", F.explode("tokens").alias("term")).join(asked.select("term").distinct(), "term").groupBy("node_id", "length", "term").agg(F.count("*").alias("tf"))
-    df = counts.groupBy("term").agg(F.count("*").alias("df"))
+    counts = postings.where("term <> ''")
     idf = F.log(1 + (F.lit(float(n)) - F.col("df") + 0.5) / (F.col("df") + 0.5))
-    weight = idf * F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("length") / F.lit(mean)))
-    scored = counts.join(df, "term").select("node_id", "term", weight.alias("w")).join(asked, "term").groupBy("query_id", "node_id").agg(F.round(F.sum("w"), 6).alias("score"))
-    return top_per(scored, ["query_id"], [F.desc("score"), F.col("node_id")], k)
-
-
-def vector_search(nodes: DataFrame, queries: DataFrame, k: int = 50) -> DataFrame:
-    """query_id, node_id, score, rank: the k largest cosines of nodes (node_id, embedding) for a stated set of query vectors (query_id, vector)."""
-    scored = nodes.where(F.col("embedding").isNotNull()).join(queries).select("query_id", "node_id", F.round(cosine(F.col("embedding"), F.col("vector")), 6).alias("score"))
-    return top_per(scored.where("score IS NOT NULL"), ["query_id"], [F.desc("score"), F.col("node_id")], k)
+    weights = counts.groupBy("term").agg(F.count("*").alias("df"), F.max("tf").alias("most")).select("term", idf.alias("idf"), (idf * F.col("most") * (K1 + 1) / (F.col("most") + K1 * (1 - B))).alias("bound"))
+    scale = K1 * (1 - B + B * F.col("length") / F.lit(mean))
+    scored = counts.where("wanted").join(weights, "term").select("node_id", "term", (F.col("idf") * F.col("tf") * (K1 + 1) / (F.col("tf") + scale)).alias("w"))
+    # a query's terms from the one that adds least: cum is what a node without the rarer ones can have at most
+    by_bound = Window.partitionBy("query_id").orderBy("bound", "term")
+    ordered = saved(asked.join(weights, "term").withColumn("cum", F.sum("bound").over(by_bound)).withColumn("place", F.row_number().over(by_bound)).withColumn("terms", F.count("*").over(Window.partitionBy("query_id"))), "terms")
+    rare = scored.join(ordered.where("2 * place > terms").select("query_id", "term"), "term").groupBy("query_id", "node_id").agg(F.sum("w").alias("score"))
+    least = top_per(rare, ["query_id"], [F.desc("score"), F.col("node_id")], k).where(F.col("rank") == k).select("query_id", F.col("score").alias("least"))
+    cuts = saved(ordered.join(least, "query_id", "left").withColumn("alone", F.col("least").isNull() | (F.col("cum") >= F.col("least") - 1e-5)).select("query_id", "term", "alone"), "cuts")
+    met = scored.join(cuts, "term")
+    essential = met.where("alone").select("query_id", "node_id", "w")
+    # the common terms of nodes that have an essential one; nothing else of them leaves the join
+    common = met.where("NOT alone").select("query_id", "node_id", "w").join(essential.select("query_id", "node_id").distinct(), ["query_id", "node_id"], "left_semi")
+    total = essential.union(common).groupBy("query_id", "node_id").agg(F.round(F.sum("w"), 6).alias("score"))
+    return top_per(total, ["query_id"], [F.desc("score"), F.col("node_id")], k)
+
+
+def vector_search(nodes: DataFrame, queries: DataFrame, k: int = 50, block: int = 1024) -> DataFrame:
+    """query_id, node_id, score, rank: the k largest cosines of nodes (node_id, embedding) for a stated set of query vectors (query_id, vector).
+
+    The queries are written in blocks; each Arrow batch of nodes meets them block by block as a matrix product, of which only the best leave the
+    task.  Vectors without a length, with a null component or of another length than the query's have no cosine.
+    """
+    spark = nodes.sparkSession
+    usable = lambda c: F.col(c).isNotNull() & F.forall(c, lambda x: x.isNotNull())
+    folder = f"{shared_folder(spark)}/asked-{uuid.uuid4().hex}"
+    asked = queries.where(usable("vector")).select("query_id", F.col("vector").cast("array<double>").alias("vector"))
+    asked.write.option("maxRecordsPerFile", block).parquet(folder)
+    ids, keys = nodes.schema["node_id"].dataType, queries.schema["query_id"].dataType
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyarrow import fs, parquet
+
+        store, path = fs.FileSystem.from_uri(folder)
+        files = sorted(f.path for f in store.get_file_info(fs.FileSelector(path)) if f.path.endswith(".parquet"))
+        for batch in batches:
+            for size, of, x in by_length(batch.column(1)):
+                for f in files:
+                    table = parquet.read_table(f, filesystem=store).combine_chunks()
+                    for other, those, q in by_length(table.column(1).combine_chunks()) if table.num_rows else ():
+                        if other == size:
+                            row, column, score = best_cells(q @ x.T, k)
+                            yield pa.RecordBatch.from_arrays([table.column(0).combine_chunks().take(pa.array(those[row])), batch.column(0).take(pa.array(of[column])), pa.array(score)], names=["query_id", "node_id", "score"])
+
+    found = nodes.where(usable("embedding")).select("node_id", F.col("embedding").cast("array<double>").alias("embedding")).mapInArrow(task, T.StructType([T.StructField("query_id", keys), T.StructField("node_id", ids), T.StructField("score", T.DoubleType())]))
+    return top_per(found.withColumn("score", F.round("score", 6)), ["query_id"], [F.desc("score"), F.col("node_id")], k)
+
+
+def by_length(vectors: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """For each length that vectors have: the length, which they are, and those that aren't zero as rows of length 1."""
+    lengths = pc.list_value_length(vectors).to_numpy(zero_copy_only=False)
+    for size in np.unique(lengths[lengths > 0]).tolist():
+        of = np.flatnonzero(lengths == size)
+        x = vectors.take(pa.array(of)).flatten().to_numpy(zero_copy_only=False).reshape(len(of), size)
+        norm = np.sqrt((x * x).sum(axis=1))
+        yield size, of[norm > 0], x[norm > 0] / norm[norm > 0, None]
+
+
+def best_cells(scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Rows, columns and values of each row's k largest, and of all that equal the k-th when rounded."""
+    if scores.shape[1] > k:
+        least = np.partition(scores, scores.shape[1] - k, axis=1)[:, scores.shape[1] - k]
+        row, column = np.nonzero(scores >= least[:, None] - 2e-6)
+    else:
+        row, column = np.nonzero(np.ones(scores.shape, bool))
+    return row, column, scores[row, column]
 
 
 def entity_lookup(entities: DataFrame, queries: DataFrame, k: int = 50) -> DataFrame:
@@ -128,7 +198,8 @@ def hybrid_search(nodes: DataFrame, entities: DataFrame, sub_queries: DataFrame,
     Document labels are searched by text and vector, entity labels by name; labels of other kinds find nothing.
     """
     asked = sub_queries.withColumn("full", tx.query_string(F.col("text"), F.col("keywords")))
-    wanted = {r["label"] for r in sub_queries.select(F.explode("target_labels").alias("label")).distinct().limit(100).collect()}
+    labels = sub_queries.select(F.explode("target_labels").alias("label")).where(F.col("label").isin(*SEARCHABLE_LABELS, *ENTITY_LABELS))
+    wanted = {r["label"] for r in labels.distinct().collect()}  # of a closed list
     none = [] if wanted & {*SEARCHABLE_LABELS, *ENTITY_LABELS} else list(SEARCHABLE_LABELS[:1])
     parts = []
     for label in [x for x in SEARCHABLE_LABELS if x in wanted] + none:

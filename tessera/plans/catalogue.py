@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tessera.functions import contexts as cx
 from tessera.functions import text as tx
 from tessera.functions.vectors import cosine
+from tessera.sources.shared import saved
 from tessera.operators import audit, entities, evaluate, graph, parse, resolve, search, store
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -75,6 +76,11 @@ def _merged(s: SparkSession, d: str) -> DataFrame:
     return search.merge_legs(_lexical(s, d), _vectors(s, d), ["query_id", "node_id"])
 
 
+def _kept(s: SparkSession, d: str) -> DataFrame:
+    """The merged legs, written once: both the fusion and what comes after it read them."""
+    return saved(_merged(s, d), "legs")
+
+
 @query(f"{MERGED} SELECT * FROM legs")
 def H05_merge_legs(s: SparkSession, d: str) -> DataFrame:
     return _merged(s, d)
@@ -86,24 +92,23 @@ fused AS (SELECT query_id, node_id, round(sum(part), 9) AS rrf_score FROM parts
 ranked AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY rrf_score DESC, node_id) AS rank FROM fused) WHERE rank <= 40)"""
 
 
-def _fused(s: SparkSession, d: str) -> DataFrame:
-    return search.rrf(_merged(s, d), ["bm25_score", "vector_score"], ["query_id"], ["node_id"])
+def _fused(legs: DataFrame) -> DataFrame:
+    return search.rrf(legs, ["bm25_score", "vector_score"], ["query_id"], ["node_id"])
 
 
 @query(f"{RRF} SELECT query_id, node_id, rrf_score, rank FROM ranked")
 def J10_rrf_fuse(s: SparkSession, d: str) -> DataFrame:
-    return _fused(s, d).withColumn("rank", F.col("rank").cast("long"))
+    return _fused(_kept(s, d)).withColumn("rank", F.col("rank").cast("long"))
 
 
 @query(f"""WITH {BM25_CTE}, f AS (SELECT * FROM documents WHERE lang = 'en' AND starts_with(source, 'src1'))
 SELECT query_id, doc_id, score FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS rank FROM sc WHERE doc_id IN (SELECT doc_id FROM f)) WHERE rank <= 50""")
 def C08_bm25_filtered(s: SparkSession, d: str) -> DataFrame:
     docs = table(s, d, "documents")
-    kept = docs.where((F.col("lang") == "en") & F.startswith("source", F.lit("src1"))).select(F.col("doc_id").alias("node_id"))
-    nodes = docs.select(F.col("doc_id").alias("node_id"), F.col("text").alias("indexed_text"))
+    nodes = docs.select(F.col("doc_id").alias("node_id"), F.col("text").alias("indexed_text"), "lang", "source")
     asked = table(s, d, "benchmark").select(F.col("item_id").alias("query_id"), "text")
-    found = search.bm25(nodes, asked, 1_000_000_000).drop("rank").join(kept, "node_id", "left_semi")
-    return search.top_per(found, ["query_id"], [F.desc("score"), F.col("node_id")], 50).select("query_id", F.col("node_id").alias("doc_id"), "score")
+    found = search.bm25(nodes, asked, 50, (F.col("lang") == "en") & F.startswith("source", F.lit("src1")))
+    return found.select("query_id", F.col("node_id").alias("doc_id"), "score")
 
 
 @query(f"WITH {BM25_CTE} SELECT query_id, lex.doc_id, score, f.source FROM lex LEFT JOIN (SELECT * FROM documents WHERE starts_with(source, 'src1')) f ON lex.doc_id = f.doc_id")
@@ -139,8 +144,8 @@ SELECT query_id, node_id, node_label, rerank_score, row_number() OVER (PARTITION
 @query(BUDGET)
 def J12_rerank_budget(s: SparkSession, d: str) -> DataFrame:
     label = F.when(F.col("node_id") % 3 == 0, "Tool").otherwise("Section")
-    merged = _merged(s, d)
-    scored = _fused(s, d).drop("rank").join(merged, ["query_id", "node_id"]).select("query_id", "node_id", label.alias("node_label"), F.col("rrf_score").alias("rerank_score"), "bm25_score", F.lit(None).cast("string").alias("expansion_origin"))
+    legs = _kept(s, d)
+    scored = _fused(legs).drop("rank").join(legs, ["query_id", "node_id"]).select("query_id", "node_id", label.alias("node_label"), F.col("rrf_score").alias("rerank_score"), "bm25_score", F.lit(None).cast("string").alias("expansion_origin"))
     return search.rerank_budget(scored, ["query_id"]).select("query_id", "node_id", "node_label", "rerank_score", F.col("rank").cast("long").alias("rank"))
 
 
@@ -344,7 +349,7 @@ def _seeds(s: SparkSession, d: str) -> DataFrame:
     from pyspark.sql import Window
 
     some = table(s, d, "orders").where("o_orderstatus = 'P' AND o_orderpriority = '1-URGENT'")
-    return some.select(F.row_number().over(Window.orderBy("o_orderkey")).alias("seed_rank"), F.concat(F.lit("o"), F.col("o_orderkey").cast("string")).alias("node_id"), F.lit("CodeBlock").alias("node_label"))
+    return some.select(F.col("o_orderkey").alias("seed_rank"), F.concat(F.lit("o"), F.col("o_orderkey").cast("string")).alias("node_id"), F.lit("CodeBlock").alias("node_label"))
 
 
 @query(f"""WITH RECURSIVE {EDGES}, walk AS (SELECT 'r' || r_regionkey AS root, 'r' || r_regionkey AS node_id, 0 AS depth FROM region UNION ALL SELECT root, target_id, depth + 1 FROM walk JOIN edges ON source_id = node_id WHERE type IN ('HAS_SUBSECTION', 'CONTAINS_CODE'))
@@ -352,7 +357,7 @@ SELECT root, depth, count(*) AS n FROM walk GROUP BY ALL""")
 def KT1_closure_depths(s: SparkSession, d: str) -> DataFrame:
     edges, _ = _graph(s, d)
     roots = table(s, d, "region").select(F.concat(F.lit("r"), F.col("r_regionkey").cast("string")).alias("node_id"))
-    return graph.closure(edges.where(F.col("type").isin("HAS_SUBSECTION", "CONTAINS_CODE")), roots, 5).groupBy("root", "depth").agg(F.count("*").alias("n"))
+    return graph.closure(edges.where(F.col("type").isin("HAS_SUBSECTION", "CONTAINS_CODE")), roots).groupBy("root", "depth").agg(F.count("*").alias("n"))
 
 
 @query(f"""WITH {EDGES}, {SEEDS}, held AS (SELECT * FROM edges WHERE type = 'CONTAINS_CODE'),
@@ -368,7 +373,7 @@ SELECT seed_id, node_id, 'Page' AS node_label FROM f ORDER BY seed_rank, node_id
 def KT5_expand_parent_page(s: SparkSession, d: str) -> DataFrame:
     edges, _ = _graph(s, d)
     roots = table(s, d, "region").select(F.concat(F.lit("r"), F.col("r_regionkey").cast("string")).alias("node_id"))
-    pages = graph.closure(edges.where(F.col("type").isin("HAS_SUBSECTION", "CONTAINS_CODE")), roots, 5).select("node_id", F.col("root").alias("page_id"))
+    pages = graph.closure(edges.where(F.col("type").isin("HAS_SUBSECTION", "CONTAINS_CODE")), roots).select("node_id", F.col("root").alias("page_id"))
     return graph.expand_parent_page(pages, _seeds(s, d)).select("seed_id", "node_id", "node_label")
 
 
@@ -385,7 +390,7 @@ def _tool_seeds(s: SparkSession, d: str) -> DataFrame:
     from pyspark.sql import Window
 
     own = F.when(F.col("s_suppkey") % 2 == 0, F.concat(F.lit("s"), F.col("s_suppkey").cast("string"))).otherwise(F.col("s_name"))
-    return table(s, d, "supplier").where("s_acctbal > 5000").select(F.row_number().over(Window.orderBy("s_suppkey")).alias("seed_rank"), own.alias("node_id"), F.lit("Tool").alias("node_label"))
+    return table(s, d, "supplier").where("s_acctbal > 5000").select(F.col("s_suppkey").alias("seed_rank"), own.alias("node_id"), F.lit("Tool").alias("node_label"))
 
 
 @query(f"""WITH {EDGES}, {TOOL_SEEDS} SELECT seed_id, source_id AS node_id, 'Section' AS node_label FROM seeds JOIN edges ON target_id = entity_id WHERE type = 'DEFINES' ORDER BY seed_rank, source_id LIMIT (SELECT 3 * count(*) FROM seeds)""")

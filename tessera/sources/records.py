@@ -24,8 +24,10 @@ RECORD = T.StructType([T.StructField(n, t) for n, t in [
 def read_corpus(spark: SparkSession, root: str, pattern: str = "*.md") -> DataFrame:
     """path (below root) and text of every matching file."""
     files = spark.read.text(root, wholetext=True, recursiveFileLookup=True, pathGlobFilter=pattern)
-    base = root.rstrip("/").split("://")[-1].rstrip("/") + "/"
-    return files.select(F.element_at(F.split(F.col("_metadata.file_path"), base), -1).alias("path"), F.col("value").alias("text"))
+    base = root.rstrip("/").split("://")[-1].removeprefix("file:").rstrip("/") + "/"
+    at = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+    begins = F.locate(base, at)  # as it stands, no pattern
+    return files.select(F.when(begins > 0, F.substr(at, begins + len(base))).otherwise(at).alias("path"), F.col("value").alias("text"))
 
 
 def link_descriptions(index: DataFrame) -> DataFrame:

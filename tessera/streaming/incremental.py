@@ -16,19 +16,21 @@ def merge_batch(stored: DataFrame, batch: DataFrame) -> DataFrame:
     return store.upsert(stored, latest.join(actions.select("key"), "key"), ["key"])
 
 
-def ingest(spark: SparkSession, source: str, schema: str, target: str, checkpoint: str, key: str, text: str, per_trigger: int | None = None) -> int:
+def ingest(spark: SparkSession, source: str, schema: str, target: str, checkpoint: str, key: str, text: str, per_trigger: int | None = None, order: str | None = None) -> int:
     """Runs all files of source that the checkpoint hasn't seen through merge_batch; versions of the table lie beside each other under target, and the last is the table.
 
+    order: the source's column by which a batch's rows of one key follow each other; without one they follow the files' times, then names, then places in the file.
     Returns the number of the last version.  A batch that runs again writes its version again.
     """
     reader = spark.readStream.schema(schema)
     reader = reader.option("maxFilesPerTrigger", per_trigger) if per_trigger else reader
-    stream = reader.parquet(source).select(F.col(key).cast("string").alias("key"), F.col(text).alias("text"))
+    seq = F.struct("_metadata.file_modification_time", "_metadata.file_path", "_metadata.file_block_start", "_metadata.row_index") if order is None else F.col(order)
+    stream = reader.parquet(source).select(F.col(key).cast("string").alias("key"), F.col(text).alias("text"), seq.alias("seq"))
     empty = spark.createDataFrame([], "key string, text string, content_hash string, version long")
 
     def each(batch: DataFrame, number: int) -> None:
         before = empty if number == 0 else spark.read.parquet(f"{target}/v{number - 1}")
-        merged = merge_batch(before, batch.withColumn("seq", F.xxhash64("text")).withColumn("version", F.lit(number).cast("long")))
+        merged = merge_batch(before, batch.withColumn("version", F.lit(number).cast("long")))
         merged.select("key", "text", "content_hash", "version").write.mode("overwrite").parquet(f"{target}/v{number}")
 
     query = stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

@@ -22,11 +22,11 @@ from tessera.sources.shared import saved, shared_folder
 
 K1, B = 1.2, 0.75  # Robertson and Zaragoza 2009
 SEARCHABLE_LABELS = ("Section", "Chunk", "CodeBlock", "TableRow", "Callout")
-TOKEN = r"[\p{L}\p{N}_]+"
+NO_TOKEN = r"[^\p{L}\p{N}_]+"
 
 
 def tokens(text: Column) -> Column:
-    return F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(TOKEN), F.lit(0))
+    return F.array_remove(F.split(F.lower(F.coalesce(text, F.lit(""))), NO_TOKEN), "")
 
 
 def top_per(df: DataFrame, by: list[str], order: list[Column], k: int, rank: str = "rank") -> DataFrame:
@@ -41,7 +41,7 @@ def bm25(nodes: DataFrame, queries: DataFrame, k: int = 50, wanted: Column | Non
     The texts are read once: the postings of the queries' terms, and for each node one without a term, are written and everything else is made of
     them.  wanted: a condition on nodes; others count in the statistics but are not scored.  Scores are rounded to six digits before they are ordered.
 
-    Terms are taken apart for each query by what they can add at most (their weight for a node of no length).  A first pass scores by the rarer half of a query's terms; the k-th best
+    Terms are taken apart for each query by what they can add at most (the largest weight that they have).  A first pass scores by the rarer half of a query's terms; the k-th best
     of these scores is a bound.  The common terms whose sum stays under it can't bring a node among the k best alone, so in the second pass only nodes with one of the
     others are scored.
     """
@@ -54,12 +54,13 @@ def bm25(nodes: DataFrame, queries: DataFrame, k: int = 50, wanted: Column | Non
     n, mean = stats["n"], stats["mean"] or 1.0
     counts = postings.where("term <> ''")
     idf = F.log(1 + (F.lit(float(n)) - F.col("df") + 0.5) / (F.col("df") + 0.5))
-    weights = counts.groupBy("term").agg(F.count("*").alias("df"), F.max("tf").alias("most")).select("term", idf.alias("idf"), (idf * F.col("most") * (K1 + 1) / (F.col("most") + K1 * (1 - B))).alias("bound"))
+    weights = counts.groupBy("term").agg(F.count("*").alias("df")).select("term", idf.alias("idf"))
     scale = K1 * (1 - B + B * F.col("length") / F.lit(mean))
-    scored = counts.where("wanted").join(weights, "term").select("node_id", "term", (F.col("idf") * F.col("tf") * (K1 + 1) / (F.col("tf") + scale)).alias("w"))
+    scored = saved(counts.where("wanted").join(weights, "term").select("node_id", "term", (F.col("idf") * F.col("tf") * (K1 + 1) / (F.col("tf") + scale)).alias("w")), "weights")
+    bounds = scored.groupBy("term").agg(F.max("w").alias("bound"))
     # a query's terms from the one that adds least: cum is what a node without the rarer ones can have at most
     by_bound = Window.partitionBy("query_id").orderBy("bound", "term")
-    ordered = saved(asked.join(weights, "term").withColumn("cum", F.sum("bound").over(by_bound)).withColumn("place", F.row_number().over(by_bound)).withColumn("terms", F.count("*").over(Window.partitionBy("query_id"))), "terms")
+    ordered = saved(asked.join(bounds, "term").withColumn("cum", F.sum("bound").over(by_bound)).withColumn("place", F.row_number().over(by_bound)).withColumn("terms", F.count("*").over(Window.partitionBy("query_id"))), "terms")
     rare = scored.join(ordered.where("2 * place > terms").select("query_id", "term"), "term").groupBy("query_id", "node_id").agg(F.sum("w").alias("score"))
     least = top_per(rare, ["query_id"], [F.desc("score"), F.col("node_id")], k).where(F.col("rank") == k).select("query_id", F.col("score").alias("least"))
     cuts = saved(ordered.join(least, "query_id", "left").withColumn("alone", F.col("least").isNull() | (F.col("cum") >= F.col("least") - 1e-5)).select("query_id", "term", "alone"), "cuts")

@@ -158,24 +158,23 @@ def _quoted(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
 
-_WORDS = r"list_transform(regexp_extract_all(translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: coalesce(map_extract_value(spellings, x), x))"
-_SPELLINGS = "MAP {" + ", ".join(f"{_quoted(a)}: {_quoted(b)}" for a, b in SPELLINGS.items()) + "}"
+_WORDS = r"list_transform(regexp_extract_all(translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: CASE x " + " ".join(f"WHEN {_quoted(a)} THEN {_quoted(b)}" for a, b in SPELLINGS.items()) + " ELSE x END)"
 #: The same by joining all pairs of words.
 SQL = rf"""
-WITH s AS (SELECT {_SPELLINGS} AS spellings),
-templates AS (SELECT t, name, w, list_distinct(list_filter(w, lambda x: regexp_matches(x, '[0-9]'))) AS versions FROM (SELECT row_number() OVER () AS t, name, {_WORDS.format("notice")} AS w FROM (VALUES {", ".join(f"({_quoted(n)}, {_quoted(t)})" for n, t in TEMPLATES)}) AS v(name, notice), s)),
+WITH templates AS (SELECT t, name, w, list_distinct(list_filter(w, lambda x: regexp_matches(x, '[0-9]'))) AS versions FROM (SELECT row_number() OVER () AS t, name, {_WORDS.format("notice")} AS w FROM (VALUES {", ".join(f"({_quoted(n)}, {_quoted(t)})" for n, t in TEMPLATES)}) AS v(name, notice))),
 texts AS (SELECT row_number() OVER () AS row_id, doc_id, coalesce(text, '') AS text FROM documents),
 units AS (SELECT row_id, 0 AS kind, unnest([text]) AS unit FROM texts
   UNION ALL SELECT row_id, 1, unnest(string_split(text, chr(10) || chr(10))) FROM texts
   UNION ALL SELECT row_id, 2, unnest(string_split(text, chr(10))) FROM texts
   UNION ALL SELECT row_id, 3, unnest(string_split_regex(text, '[.!?;][ \t\r\n]|\n')) FROM texts
   UNION ALL SELECT row_id, 4, unnest(string_split_regex(text, '[.!?;][ \t\r\n]|\n\n')) FROM texts),
-unit_words AS (SELECT row_number() OVER () AS u, row_id, {_WORDS.format("unit")} AS w FROM units, s),
-unit_pairs AS (SELECT u, w[i] || ' ' || w[i + 1] AS pair, count(*) AS n FROM unit_words, unnest(range(1, len(w))) AS x(i) GROUP BY u, pair),
-template_pairs AS (SELECT t, w[i] || ' ' || w[i + 1] AS pair, count(*) AS n FROM templates, unnest(range(1, len(w))) AS x(i) GROUP BY t, pair),
-common AS (SELECT u, t, sum(least(a.n, b.n)) AS n FROM unit_pairs a JOIN template_pairs b USING (pair) GROUP BY u, t),
-scored AS (SELECT u, row_id, name, 2.0::DOUBLE * n / (len(unit_words.w) - 1 + len(templates.w) - 1) AS dice FROM common JOIN unit_words USING (u) JOIN templates USING (t) WHERE len(versions) = 0 OR list_has_all(unit_words.w, versions)),
-matched AS (SELECT row_id, arg_min(name, (-dice, name)) AS name, max(dice) AS dice FROM scored WHERE dice >= {LEAST} GROUP BY u, row_id),
+unit_words AS (SELECT row_number() OVER () AS u, row_id, {_WORDS.format("unit")} AS w FROM units),
+template_pairs AS (SELECT t, len(w) - 1 AS size, w[i] || ' ' || w[i + 1] AS pair, count(*) AS n FROM templates, unnest(range(1, len(w))) AS x(i) GROUP BY t, size, pair),
+unit_pairs AS (SELECT u, size, pair, count(*) AS n FROM (SELECT u, len(w) - 1 AS size, w[i] || ' ' || w[i + 1] AS pair FROM unit_words, unnest(range(1, len(w))) AS x(i)) WHERE pair IN (SELECT pair FROM template_pairs) GROUP BY u, size, pair),
+common AS (SELECT u, t, sum(least(a.n, b.n)) AS n, any_value(a.size + b.size) AS sizes FROM unit_pairs a JOIN template_pairs b ON a.pair = b.pair AND b.size * 1.2 >= a.size * 0.8 AND b.size * 0.8 <= a.size * 1.2 GROUP BY u, t),
+near AS (SELECT u, t, 2.0::DOUBLE * n / sizes AS dice FROM common WHERE 2.0::DOUBLE * n / sizes >= {LEAST}),
+scored AS (SELECT u, row_id, name, dice FROM near JOIN unit_words USING (u) JOIN templates USING (t) WHERE len(versions) = 0 OR list_has_all(unit_words.w, versions)),
+matched AS (SELECT row_id, arg_min(name, (-dice, name)) AS name, max(dice) AS dice FROM scored GROUP BY u, row_id),
 found AS (SELECT row_id, string_agg(DISTINCT name, ',' ORDER BY name) AS licences, CAST(count(DISTINCT name) AS INTEGER) AS n_licences, arg_min(name, (-dice, name)) AS licence, max(dice) AS dice FROM matched GROUP BY row_id)
 SELECT doc_id, coalesce(licences, '') AS licences, coalesce(n_licences, 0) AS n_licences, licence, round(coalesce(dice, 0), 6) AS dice FROM texts LEFT JOIN found USING (row_id)
 """

@@ -6,12 +6,13 @@ WARC-Concurrent-To.  Both keep the source's target URI and date
 leading ``Source-``, its payload and block digests, IP address and record headers that
 the derivative would otherwise lose.  The metadata record lists the HTTP status and
 headers, the title and the outgoing links; the conversion record is the page's visible
-text.  Identifiers are version-5 UUIDs of the source's identifier and the record type, so
+text, or a plain text as it is.  Bodies are put together from chunks and unpacked (gzip, deflate) first, the
+digests stay those of the source.  Identifiers are version-5 UUIDs of the source's identifier and the record type, so
 a task that runs again makes the same records.
 
-A record that is no response, or not well formed, gives no derivative but a row with its
+A record that is no response, or not well formed, or whose payload is no text (a PDF, an image, an unknown packing), gives no derivative but a row with its
 error.  Nulls: a null record gives an error row; a page with null url or html becomes a
-response with an empty target URI or payload.  Repeated rows give repeated records.
+response with an empty target URI or payload.  Repeated rows are one record given more than once: equal in all bytes, the identifier too.
 """
 
 from __future__ import annotations
@@ -22,6 +23,7 @@ import hashlib
 import html
 import re
 import uuid
+import zlib
 from collections.abc import Iterator
 from urllib.parse import urljoin
 
@@ -30,12 +32,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.shared import tidy
-from tessera.llm.sitetree import host_of, walk
+from tessera.llm.sitetree import RAW, host_of, tokens, walk
 from tessera.llm.words import slices
 
 VERSION = "WARC/1.1"
-LINK = re.compile(r"<a\s(?:[^>]*?\s)?href\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
-TITLE = re.compile(r"<title[^>]*>(.*?)(?:</title|\Z)", re.I | re.S)
+HREF = re.compile(r"(?<![\w-])href\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
+#: Media types with text, and those of it that are pages.
+PAGES = frozenset(["text/html", "application/xhtml+xml"])
+TEXTS = PAGES | {"text/plain"}
+#: Bytes of records that are worked on at once.
+RECORD_BYTES = 4 << 20
 CARRIED = ("WARC-Payload-Digest", "WARC-Block-Digest", "WARC-IP-Address", "WARC-Identified-Payload-Type")
 
 
@@ -82,18 +88,21 @@ def derive(raw: bytes) -> dict[str, object]:
     source_id, uri, date = headers.get("warc-record-id", ""), headers.get("warc-target-uri", ""), headers.get("warc-date", "")
     head, _, payload = block.partition(b"\r\n\r\n")
     status, *http = head.decode("iso-8859-1").split("\r\n")
-    kind = next((v for k, _, v in (x.partition(":") for x in http) if k.strip().lower() == "content-type"), "")
+    named = {k.strip().lower(): v.strip() for k, _, v in (x.partition(":") for x in http)}
+    body, kind = unpacked(payload, named), named.get("content-type", "")
+    media = kind.partition(";")[0].strip().lower() or ("application/octet-stream" if b"\0" in body[:1024] or body.startswith(b"%PDF-") else "text/html")
+    if media not in TEXTS:
+        raise ValueError(f"no text in {media}")
     charset = re.search(r"charset=\"?([\w.\-]+)", kind)
     try:
-        page = payload.decode(charset[1] if charset else "utf-8", "replace")
+        page = body.decode(charset[1] if charset else "utf-8", "replace")
     except LookupError:
-        page = payload.decode("utf-8", "replace")
-    blocks, _ = walk(page, host_of(uri))
-    text = "\n".join(t for t, *_ in blocks).encode()
-    links = list(dict.fromkeys(urljoin_safe(uri, html.unescape(a or b or c)) for a, b, c in LINK.findall(page)))
-    title = TITLE.search(page)
+        page = body.decode("utf-8", "replace")
+    title, hrefs = title_and_links(page) if media in PAGES else ("", [])
+    text = ("\n".join(t for t, *_ in walk(page, host_of(uri))[0]) if media in PAGES else page).encode()
+    links = list(dict.fromkeys(urljoin_safe(uri, html.unescape(x)) for x in hrefs))
     ids = {t: f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{source_id} {t}')}>" for t in ("metadata", "conversion")}
-    fields = [("source-status", status), *(("source-header", x) for x in http), ("title", html.unescape(title[1]) if title else ""), *(("outlink", x) for x in links)]
+    fields = [("source-status", status), *(("source-header", x) for x in http), ("title", html.unescape(title)), *(("outlink", x) for x in links)]
     body = "".join(f"{k}: {_line(v)}\r\n" for k, v in fields).encode()
     kept = [(f"Source-{n}", headers[n.lower()]) for n in CARRIED if n.lower() in headers]
     out: dict[str, object] = {"source_id": source_id, "source_digest": headers.get("warc-payload-digest", digest(payload)), "n_outlinks": len(links), "n_chars": len(text.decode())}
@@ -104,6 +113,52 @@ def derive(raw: bytes) -> dict[str, object]:
     return out
 
 
+def unpacked(payload: bytes, http: dict[str, str]) -> bytes:
+    """The body of a payload: its chunks put together, its packing undone.  http: headers, names in lower case."""
+    if "chunked" in http.get("transfer-encoding", "").lower():
+        parts, at = [], 0
+        while True:
+            end = payload.find(b"\r\n", at)
+            try:
+                size = int(payload[at:end].partition(b";")[0], 16) if end >= 0 else -1
+            except ValueError:
+                size = -1
+            if size < 0 or end + 2 + size > len(payload):
+                raise ValueError("a chunk is not whole")
+            if not size:
+                break
+            parts.append(payload[end + 2 : end + 2 + size])
+            at = end + 4 + size
+        payload = b"".join(parts)
+    for packing in reversed([x.strip().lower() for x in http.get("content-encoding", "").split(",")]):
+        try:
+            if packing in ("gzip", "x-gzip"):
+                payload = gzip.decompress(payload)
+            elif packing == "deflate":
+                payload = zlib.decompress(payload, zlib.MAX_WBITS if payload[:1] == b"x" else -zlib.MAX_WBITS)
+            elif packing not in ("", "identity"):
+                raise ValueError(f"unknown packing {packing}")
+        except (EOFError, OSError, zlib.error) as e:
+            raise ValueError(f"the {packing} body is not whole") from e
+    return payload
+
+
+def title_and_links(page: str) -> tuple[str, list[str]]:
+    """The first title and the targets of all links, in one pass; what stands in scripts and the like is none."""
+    title, links, skipped = None, [], 0
+    for begin, end, tag, attributes, closes in tokens(page):
+        if begin < skipped or closes:
+            continue
+        if tag in RAW:
+            close = re.compile(rf"</{re.escape(tag)}", re.I).search(page, end)
+            skipped = close.start() if close else len(page)
+            if tag == "title" and title is None:
+                title = page[end:skipped]
+        elif tag == "a" and (m := HREF.search(attributes)):
+            links.append(m[1] or m[2] or m[3] or "")
+    return title or "", links
+
+
 def urljoin_safe(base: str, link: str) -> str:
     try:
         return urljoin(base, link.strip())
@@ -136,8 +191,8 @@ def derivatives(records: DataFrame) -> DataFrame:
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lo in range(0, batch.num_rows, 500):
-                part = batch.slice(lo, 500)
+            for lo, hi in slices(batch.column(len(keys)), RECORD_BYTES):
+                part = batch.slice(lo, hi - lo)
                 rows = []
                 for raw in part.column(len(keys)).to_pylist():
                     try:

@@ -88,7 +88,7 @@ class Words:
 
 def slices(column: pa.Array, most: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
     """Bounds of consecutive rows that hold about ``most`` bytes at most; a longer text stands alone."""
-    column = column.cast(pa.large_string())
+    column = column.cast(pa.large_binary() if pa.types.is_binary(column.type) or pa.types.is_large_binary(column.type) else pa.large_string())
     ends = np.frombuffer(column.buffers()[1], dtype=np.int64)[column.offset : column.offset + len(column) + 1] if len(column) else np.zeros(1, np.int64)
     at = 0
     while at < len(column):

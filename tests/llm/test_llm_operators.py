@@ -645,6 +645,57 @@ def test_warc_derivatives_link_to_their_source(spark, tmp_path):
     assert warc.derivatives(made.limit(0)).count() == 0
 
 
+def warc_of(http, payload, kind="response", uri="http://h.example/"):
+    block = b"HTTP/1.1 200 OK\r\n" + "".join(f"{k}: {v}\r\n" for k, v in http).encode() + b"\r\n" + payload
+    return b"WARC/1.1\r\nWARC-Type: %s\r\nWARC-Record-ID: <urn:x>\r\nWARC-Target-URI: %s\r\nContent-Length: %d\r\n\r\n%s\r\n\r\n" % (kind.encode(), uri.encode(), len(block), block)
+
+
+def read_warc(raw):
+    """An independent reader: the records of a file as (headers, block), by email's parser."""
+    import email.parser
+    import io
+
+    f, out = io.BytesIO(raw), []
+    while line := f.readline():
+        assert line == b"WARC/1.1\r\n"
+        head = b""
+        while (line := f.readline()) != b"\r\n":
+            head += line
+        headers = email.parser.BytesParser().parsebytes(head + b"\r\n", headersonly=True)
+        out.append((headers, f.read(int(headers["Content-Length"]))))
+        assert f.read(4) == b"\r\n\r\n"
+    return out
+
+
+def test_warc_bodies_are_unpacked_and_others_named(spark):
+    import gzip
+
+    page = b"<title>T</title><p>one <a href='/x'>two</a><script>'<a href=/no>'</script>"
+    chunks = b"".join(b"%x;ext=1\r\n%s\r\n" % (len(c), c) for c in (page[:7], page[7:30], page[30:])) + b"0\r\n\r\n"
+    zipped = gzip.compress(page)
+    html_type = ("Content-Type", "text/html")
+    good = [warc_of([html_type], page), warc_of([html_type, ("Transfer-Encoding", "chunked")], chunks), warc_of([html_type, ("Content-Encoding", "gzip")], zipped), warc_of([html_type, ("content-encoding", "deflate")], zlib.compress(page)), warc_of([], page), warc_of([html_type, ("Content-Encoding", "gzip"), ("Transfer-Encoding", "chunked")], b"%x\r\n%s\r\n0\r\n\r\n" % (len(zipped), zipped))]
+    bad = [warc_of([("Content-Type", "application/pdf")], b"%PDF-1.4"), warc_of([], b"%PDF-1.4 x"), warc_of([("Content-Type", "image/png")], b"\x89PNG"), warc_of([html_type, ("Content-Encoding", "gzip")], zipped[:-9]), warc_of([html_type, ("Transfer-Encoding", "chunked")], chunks[:-12]), warc_of([html_type, ("Content-Encoding", "br")], page), warc_of([html_type], page, "request"), b"", None]
+    plain = warc_of([("Content-Type", "text/plain; charset=latin-1")], "é <b>".encode("latin-1"))
+    frame = spark.createDataFrame([(k, None if r is None else bytearray(r)) for k, r in enumerate([*good, *bad, plain])], "k int, record binary")
+    got = {r["k"]: r for r in warc.derivatives(frame).collect()}
+    for k in range(len(good)):
+        (meta, fields), (conv, text) = read_warc(bytes(got[k]["metadata"]) + bytes(got[k]["conversion"]))
+        assert text == b"one two" and b"title: T\r\n" in fields and fields.count(b"outlink:") == 1 and got[k]["error"] is None
+        assert meta["WARC-Refers-To"] == conv["WARC-Refers-To"] == "<urn:x>" and meta["WARC-Concurrent-To"] == conv["WARC-Record-ID"]
+        assert conv["WARC-Block-Digest"] == "sha1:" + __import__("base64").b32encode(hashlib.sha1(text).digest()).decode()
+    for k in range(len(good), len(good) + len(bad)):
+        assert got[k]["error"] and got[k]["metadata"] is None and got[k]["conversion"] is None
+    assert read_warc(bytes(got[len(good) + len(bad)]["conversion"]))[0][1].decode() == "é <b>"
+
+
+def test_warc_of_very_long_pages_and_repeated_rows(spark):
+    long = "<p>" + LONG * 6 + "<a " * 200_000
+    rows = [(1, "u", long), (1, "u", long), (2, "u", "<p>x")]
+    got = warc.derivatives(warc.responses(spark.createDataFrame(rows, "page_id long, url string, html string"))).collect()
+    assert len({bytes(r["conversion"]) for r in got if r["page_id"] == 1}) == 1 and sorted(r["n_chars"] for r in got)[0] == 1 and len({r["source_id"] for r in got}) == 2
+
+
 # ---- 10 pieces ----------------------------------------------------------------------------------
 
 def test_pieces_equal_the_library(docs, hard):

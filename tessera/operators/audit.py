@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tessera.operators import parse
+
 #: Markup that must not be left in a section's prose (fixed values).
 LEAKS = (r"<!--", r"</?[A-Z][A-Za-z]*", r"^\s*export\s+(const|function|default)", r"theme=\{", r"</?(div|span|img|p)\b")
 
@@ -47,3 +49,12 @@ def counts(edges: DataFrame, by: str = "type") -> DataFrame:
 def hits(text: Column, phrases: list[str]) -> Column:
     """The phrases that the lower-cased text holds."""
     return F.filter(F.array(*map(F.lit, phrases)), lambda p: F.contains(F.lower(text), p))
+
+
+def update_cards(pages: DataFrame, sections: DataFrame) -> DataFrame:
+    """path, cards, sections of the pages (path, text) whose update cards outside code aren't as many as their synthesized sections (path, synthesized)."""
+    opened = F.regexp_count("line", F.lit(r"<Update\b"))
+    cards = parse.lines(pages).where("fence = 0").groupBy("path").agg(F.sum(opened).cast("long").alias("cards"))
+    made = sections.where("synthesized").groupBy("path").agg(F.count("*").alias("sections"))
+    both = cards.join(made, "path", "full_outer").select("path", F.coalesce("cards", F.lit(0)).cast("long").alias("cards"), F.coalesce("sections", F.lit(0)).cast("long").alias("sections"))
+    return both.where("cards <> sections")

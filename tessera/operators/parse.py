@@ -17,7 +17,12 @@ CALLOUTS = ("Note", "Tip", "Info", "Warning", "Check")
 UNWRAPPED = ("Experiment", "Frame", "Tabs", "AccordionGroup", "CardGroup", "Steps", "RequestExample", "ResponseExample")
 TITLED = ("Tab", "Accordion", "Card", "Expandable", "Step")
 DATA_HEADERS = ("tool", "key", "event", "mode", "setting", "field", "parameter", "rule")
-OPEN_TAG = r"<[A-Z][^<>]*>"
+#: Attributes of a tag (up to 200 values): values in quotes or braces may hold angle brackets.
+ATTRIBUTES = r"(?:\"[^\"]*\"|'[^']*'|\{[^{}]*\}|[^<>\"'{}]++){0,400}+"
+OPEN_TAG = rf"<[A-Z]\w*{ATTRIBUTES}>"
+TAG_OVER_LINES = r"<[A-Z][^<>]*>"
+#: What marks the heading of an update card, and a title, after which a paragraph ends.
+UPDATE, TITLE = "<!--update-->", "<!--title-->"
 LINK = r"(?<!!)\[((?:[^\[\]]|`[^`]*`)*)\]\(\s*<?([^)\s>]*)>?(?:\s+\"[^\"]*\")?\s*\)"
 
 
@@ -38,8 +43,8 @@ def lines(pages: DataFrame) -> DataFrame:
     text = F.regexp_replace(F.coalesce("text", F.lit("")), r"\r\n?", "\n")
     text = F.regexp_replace(text, r"(?is)<style\b[^>]*>.*?</style\s*>|<script\b[^>]*/>|<script\b[^>]*>.*?</script\s*>", "")
     # an open tag stands on one line: the tags and what is between them, apart and together again
-    tags = F.transform(F.regexp_extract_all(text, F.lit(OPEN_TAG), F.lit(0)), lambda t: F.regexp_replace(t, r"\s*\n\s*", " "))
-    whole = F.array_join(F.zip_with(F.split(text, OPEN_TAG), tags, lambda a, b: F.concat(a, F.coalesce(b, F.lit("")))), "")
+    tags = F.transform(F.regexp_extract_all(text, F.lit(TAG_OVER_LINES), F.lit(0)), lambda t: F.regexp_replace(t, r"\s*\n\s*", " "))
+    whole = F.array_join(F.zip_with(F.split(text, TAG_OVER_LINES), tags, lambda a, b: F.concat(a, F.coalesce(b, F.lit("")))), "")
     text = F.when(F.rlike(text, F.lit(r"<[A-Z][^<>]*\n")), whole).otherwise(text)
     split = pages.withColumn("text", text).select("path", F.posexplode(F.split("text", "\n")).alias("pos", "line"))
     mark = F.rlike("line", F.lit(r"^\s*(```|~~~)"))
@@ -48,33 +53,63 @@ def lines(pages: DataFrame) -> DataFrame:
 
 
 def without_exports(marked: DataFrame) -> DataFrame:
-    """Lines that are in no top-level export: from a line that begins with export to the next line that begins with a closing bracket, or itself if it ends its statement."""
-    opens = (F.col("fence") == 0) & F.rlike("line", F.lit(r"^export\s+(const|let|var|function|default|class)\b"))
-    whole = F.rlike("line", F.lit(r";\s*$"))
+    """Lines that are in no top-level export and no top-level expression in braces.
+
+    One begins at a line that begins with export or, outside of these, with an opening brace.  It is that line alone if the line's brackets (outside of
+    strings) balance and it doesn't go on (with = or => or a comma at its end); else it ends at the next line that begins with a closing bracket.
+    An expression that never ends is text.
+    """
+    bare = F.regexp_replace("line", r"\"(?:[^\"\\]|\\.)*\"|'(?:[^'\\]|\\.)*'|`[^`]*`", "")
+    count = lambda pattern: F.regexp_count(bare, F.lit(pattern))
+    exports = F.rlike("line", F.lit(r"^export\s+(const|let|var|function|default|class|async|type|interface)\b"))
+    opens = (F.col("fence") == 0) & (exports | F.startswith("line", F.lit("{")))
+    whole = F.rlike("line", F.lit(r";\s*$")) & (count(r"[\[({]") <= count(r"[\])}]")) | ((count(r"[\[({]") == count(r"[\])}]")) & ~F.rlike(bare, F.lit(r"(=>?|,|\()\s*$")))
     closes = F.rlike("line", F.lit(r"^[})\]]"))
-    last_open = F.last(F.when(opens, F.col("pos")), True).over(so_far())
-    last_close = F.last(F.when(closes | (opens & whole), F.col("pos")), True).over(before())
-    inside = last_open.isNotNull() & (opens | (F.coalesce(last_close, F.lit(-1)) < last_open))
-    return marked.withColumn("inside", inside).where(~F.col("inside")).drop("inside")
+    after = by_page().rowsBetween(1, Window.unboundedFollowing)
+    ended = marked.withColumn("opens", opens & (exports | whole | F.max(closes).over(after))).withColumn("whole", whole)
+    last_open = F.last(F.when(F.col("opens"), F.col("pos")), True).over(so_far())
+    last_close = F.last(F.when(closes | (F.col("opens") & F.col("whole")), F.col("pos")), True).over(before())
+    inside = last_open.isNotNull() & (F.col("opens") | (F.coalesce(last_close, F.lit(-1)) < last_open))
+    return ended.withColumn("inside", inside).where(~F.col("inside")).drop("inside", "opens", "whole")
+
+
+def dedented(marked: DataFrame) -> DataFrame:
+    """Lines in component tags without the indentation that all lines of their innermost component share (also those of fenced blocks).
+
+    A line's depth is the components that are open before it, less those that it closes; a component's lines are those of a depth since the last line that
+    opened one of it.
+    """
+    tag = F.when(F.col("fence") == 1, "").otherwise(F.col("line"))
+    opened = F.regexp_count(tag, F.lit(OPEN_TAG)) - F.regexp_count(tag, F.lit(OPEN_TAG[:-1] + "(?<=/)>"))
+    closed = F.regexp_count(tag, F.lit(r"</[A-Z]\w*\s*>"))
+    deep = marked.withColumn("opened", opened).withColumn("closed", closed).withColumn("depth", F.coalesce(F.sum(F.col("opened") - F.col("closed")).over(before()), F.lit(0)))
+    at = F.col("depth") + F.greatest(F.col("opened") - F.col("closed"), F.lit(0)) - F.greatest(F.col("closed") - F.col("opened"), F.lit(0))
+    shown = (F.trim("line") != "") & (F.col("opened") == 0) & (F.col("closed") == 0)
+    indent = F.when(shown, F.length(F.regexp_extract("line", r"^[ \t]*", 0)))
+    level = Window.partitionBy("path", "at").orderBy("pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    placed = deep.withColumn("at", at).withColumn("indent", indent).withColumn("wrapper", F.max(F.when(F.col("opened") > F.col("closed"), F.col("pos"))).over(level))
+    common = F.coalesce(F.min("indent").over(Window.partitionBy("path", "at", "wrapper")), F.lit(0))
+    cut = F.when((F.col("at") > 0) & F.col("indent").isNotNull(), F.substr("line", F.col("common") + 1)).when((F.col("at") > 0) & ~shown, F.ltrim("line")).otherwise(F.col("line"))
+    return placed.withColumn("common", common).withColumn("line", cut).drop("opened", "closed", "depth", "at", "indent", "wrapper", "common")
 
 
 def normalised(marked: DataFrame) -> DataFrame:
     """Component tags outside code as Markdown or as the comments that later steps read."""
     line = F.col("line")
-    attribute = lambda name: rf"[^<>]*?\b{name}=[\"']([^\"'<>]*)[\"'][^<>]*"
+    attribute = lambda name: rf"[^<>]*?\b{name}=\{{?(?:\"([^\"]*)\"|'([^']*)')\}}?{ATTRIBUTES}"
     for tag in CALLOUTS:
-        line = F.regexp_replace(F.regexp_replace(line, rf"<{tag}\b[^<>]*>", f"<!--callout:{tag.lower()}-->"), rf"</{tag}\s*>", "<!--/callout-->")
+        line = F.regexp_replace(F.regexp_replace(line, rf"<{tag}\b{ATTRIBUTES}>", f"<!--callout:{tag.lower()}-->"), rf"</{tag}\s*>", "<!--/callout-->")
     for tag in TITLED:
-        line = F.regexp_replace(line, rf"<{tag}\b{attribute('title')}>", r"**$1**")
-    line = F.regexp_replace(line, rf"</?({'|'.join((*UNWRAPPED, *TITLED))})\b[^<>]*>", "")
-    line = F.regexp_replace(line, rf"<Update\b{attribute('label')}>", r"## $1")
+        line = F.regexp_replace(line, rf"<{tag}\b{attribute('title')}>", rf"**$1$2**{TITLE}")
+    line = F.regexp_replace(line, rf"</?({'|'.join((*UNWRAPPED, *TITLED))})\b{ATTRIBUTES}>", "")
+    line = F.regexp_replace(line, rf"<Update\b{attribute('label')}>", rf"## $1$2 {UPDATE}")
     line = F.regexp_replace(line, r"</Update\s*>", "")
-    line = F.regexp_replace(line, rf"<(?:ParamField|ResponseField)\b{attribute('(?:path|name|body)')}>", r"**`$1`**")
+    line = F.regexp_replace(line, rf"<(?:ParamField|ResponseField)\b{attribute('(?:path|name|body)')}>", r"**`$1$2`**")
     line = F.regexp_replace(line, r"</(?:ParamField|ResponseField)\s*>", "")
     line = F.regexp_replace(line, r"<CodeGroup\b[^<>]*>", "<!--codegroup-->")
     line = F.regexp_replace(line, r"</CodeGroup\s*>", "<!--/codegroup-->")
     line = F.regexp_replace(F.regexp_replace(line, r"</?(?:strong|b)>", "**"), r"</?(?:em|i)>", "*")
-    line = F.regexp_replace(F.regexp_replace(line, r"</?code>", "`"), rf"<a\b{attribute('href')}>(.*?)</a>", r"[$2]($1)")
+    line = F.regexp_replace(F.regexp_replace(line, r"</?code>", "`"), rf"<a\b{attribute('href')}>(.*?)</a>", r"[$3]($1$2)")
     line = F.regexp_replace(line, r"</?(?:p|span|div)\b[^<>]*>", "")
     return marked.withColumn("line", F.when(F.col("fence") == 1, F.col("line")).otherwise(line))
 
@@ -92,13 +127,13 @@ def headings(marked: DataFrame) -> DataFrame:
     found = F.regexp_extract("line", r"^ {0,3}(#{1,6})\s+\S", 1)
     level = F.when(F.col("fence") == 1, 0).otherwise(F.length(found))
     title = inline_text(F.regexp_replace(F.regexp_replace("line", r"^ {0,3}#{1,6}\s+", ""), r"\s+#+\s*$", ""))
-    return marked.withColumn("level", level).withColumn("heading", F.when(F.col("level") > 0, title))
+    return marked.withColumn("level", level).withColumn("heading", F.when(F.col("level") > 0, title)).withColumn("synthesized", (F.col("level") > 0) & F.contains("line", F.lit(UPDATE)))
 
 
 def sections(pages: DataFrame, prefix: str = "") -> DataFrame:
     """Sections (headings of level 2 to 6, and an Overview before the first where there is content).
 
-    path, pos, position, level, heading, anchor, section_id, parent_id, breadcrumb.
+    path, pos, position, level, heading, anchor, section_id, parent_id, breadcrumb, synthesized (the heading of an update card).
     """
     return located(pages, prefix)[0]
 
@@ -113,8 +148,8 @@ def outlined(marked: DataFrame, prefix: str = "") -> DataFrame:
     is_section = F.col("level") >= 2
     first, content = F.min(F.when(is_section, F.col("pos"))).over(page), F.min(F.when((F.col("level") == 0) & (F.trim("line") != ""), F.col("pos"))).over(page)
     title = F.min(F.when(F.col("level") == 1, F.struct("pos", "heading"))).over(page)
-    fields = ["pos", "line", "mark", "fence_no", "fence", "level", "heading"]
-    overview = F.struct(*[v.cast(marked.schema[n].dataType).alias(n) for n, v in zip(fields, map(F.lit, (-1, "", False, 0, 0, 2, "Overview")), strict=True)])
+    fields = ["pos", "line", "mark", "fence_no", "fence", "level", "heading", "synthesized"]
+    overview = F.struct(*[v.cast(marked.schema[n].dataType).alias(n) for n, v in zip(fields, map(F.lit, (-1, "", False, 0, 0, 2, "Overview", False)), strict=True)])
     told = marked.withColumn("title", F.coalesce(title["heading"], F.col("path"))).withColumn("opens", (F.col("pos") == F.min("pos").over(page)) & (first.isNull() | (content < first)))
     rows = told.select("path", "title", F.explode(F.when(F.col("opens"), F.array(overview, F.struct(*fields))).otherwise(F.array(F.struct(*fields)))).alias("x")).select("path", "title", "x.*")
     slug = tx.slugify(F.col("heading"))
@@ -140,16 +175,73 @@ def outlined(marked: DataFrame, prefix: str = "") -> DataFrame:
 
 def located(pages: DataFrame, prefix: str = "") -> tuple[DataFrame, DataFrame]:
     """The sections, and all lines with the section that they stand in."""
-    placed = outlined(headings(normalised(without_exports(lines(pages)))), prefix)
-    found = placed.where("level >= 2").select("path", "pos", "position", "level", "heading", "anchor", "section_id", "parent_id", "breadcrumb")
+    placed = outlined(headings(normalised(dedented(without_exports(lines(pages))))), prefix)
+    found = placed.where("level >= 2").select("path", "pos", "position", "level", "heading", "anchor", "section_id", "parent_id", "breadcrumb", "synthesized")
     return found, placed.where("section_id IS NOT NULL").drop("own_id", "anchor", "breadcrumb", "parent_id", "position")
 
 
+ITEM = r"^\s*([*+-]|\d{1,9}[.)])\s+(.*)$"
+
+
+def kinds(placed: DataFrame) -> DataFrame:
+    """The lines outside code and headings with their kind: item (of a list), more (of the item before it), code (indented by four, after an empty line), prose, blank, or other; and run,
+    the number of the list or code block that a line is part of.
+
+    A list goes on over empty lines to the next item or indented line; what is indented there is never code.  An indented block that looks like prose is prose.
+    """
+    plain = (F.col("fence") == 0) & (F.col("level") == 0)
+    blank, table = F.trim("line") == "", F.rlike("line", F.lit(r"^\s*\||^\s*<!--"))
+    item = plain & F.rlike("line", F.lit(ITEM)) & ~F.rlike("line", F.lit(r"^\s*([*_-]\s*){3,}$"))
+    indented = F.rlike("line", F.lit(r"^(?: {4}|\t)\s*\S"))
+    kind = F.when(~plain, "other").when(blank, "blank").when(item, "item").when(table, "other").when(F.rlike("line", F.lit(r"^\s")), F.when(indented, "deep").otherwise("shallow")).otherwise("flush")
+    first = placed.withColumn("kind", kind).withColumn("last", F.last(F.when(F.col("kind") != "blank", F.col("kind")), True).over(before())).withColumn("above", F.lag("kind", 1, "blank").over(by_page()))
+    # the last line that begins or ends a list: an item, or a line at the margin after an empty one, a heading, a fence or a table
+    ends = F.when(F.col("kind") == "item", True).when((F.col("kind") == "other") | ((F.col("kind") == "flush") & (F.col("above") == "blank")), False)
+    in_list = F.coalesce(F.last(ends, True).over(so_far()), F.lit(False))
+    named = first.withColumn("in_list", in_list).withColumn("kind", F.when(F.col("kind").isin("other", "blank", "item"), F.col("kind")).when(F.col("in_list"), "more").when(F.col("kind") == "deep", "deep").otherwise("prose"))
+    # an indented block begins after an empty line, a heading or another block, not within a paragraph
+    named = named.withColumn("before", F.lag("kind", 1, "blank").over(by_page()))
+    named = named.withColumn("block", F.sum((~F.col("kind").isin("deep", "blank")).cast("int")).over(so_far()))
+    opener = F.last(F.when((F.col("kind") == "deep") & (F.col("before") != "deep"), F.col("before")), True).over(so_far())
+    lists = F.sum(((F.col("kind") == "item") & ~F.coalesce(F.lag("in_list").over(by_page()), F.lit(False))).cast("int")).over(so_far())
+    told = named.withColumn("opener", opener).withColumn("run", F.when(F.col("kind").isin("item", "more"), lists).when(F.col("kind") == "deep", F.col("block")))
+    told = told.withColumn("kind", F.when(F.col("kind") != "deep", F.col("kind")).when(F.col("opener") == "prose", "prose").otherwise("code"))
+    return told.drop("last", "above", "in_list", "before", "block", "opener")
+
+
+def indented_blocks(placed: DataFrame) -> DataFrame:
+    """Indented blocks: path, section_id, pos, text without four columns of indentation, and whether it is prose."""
+    body = F.transform(F.sort_array(F.collect_list(F.struct("pos", "line"))), lambda x: F.regexp_replace(x["line"], r"^(?: {4}|\t)", ""))
+    rows = kinds(placed).where("kind = 'code'").groupBy("path", "section_id", "run").agg(F.min("pos").alias("pos"), F.array_join(body, "\n").alias("text"))
+    return rows.select("path", "section_id", "pos", "text", looks_like_prose(F.col("text")).alias("prose"))
+
+
+def lists(placed: DataFrame) -> DataFrame:
+    """Lists as flat text: path, section_id, pos, text.
+
+    A line for each item, two blanks for each level above it, then a dash, or in a list that begins with a number one more than the items closed before it.  Levels are the ranks
+    of the indentations of a list; further lines of an item are joined to it.
+    """
+    rows = kinds(placed).where("kind IN ('item', 'more')")
+    order = Window.partitionBy("path", "run").orderBy("pos")
+    item = F.col("kind") == "item"
+    mark, own = F.regexp_extract("line", ITEM, 1), F.when(item, F.regexp_extract("line", ITEM, 2)).otherwise(F.trim("line"))
+    numbered = rows.withColumn("nth", F.sum(item.cast("int")).over(order)).withColumn("own", inline_text(own)).withColumn("indent", F.when(item, F.length(F.regexp_extract("line", r"^\s*", 0)))).withColumn("mark", F.when(item, mark))
+    items = numbered.groupBy("path", "section_id", "run", "nth").agg(F.min("pos").alias("pos"), F.first("indent", True).alias("indent"), F.min_by("mark", "pos").alias("mark"), F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("pos", "own"))), lambda x: x["own"]), " ").alias("text"))
+    of_list = Window.partitionBy("path", "run")
+    ranked = items.withColumn("depth", F.dense_rank().over(of_list.orderBy("indent"))).withColumn("ordered", F.rlike(F.min_by("mark", "pos").over(of_list), F.lit(r"^\d")))
+    line = F.concat(F.repeat(F.lit("  "), F.col("depth") - 1), F.when(F.col("ordered"), F.concat((F.col("nth") - F.col("depth") + 1).cast("string"), F.lit(". "))).otherwise("- "), F.trim("text"))
+    return ranked.withColumn("line", line).groupBy("path", "section_id", "run").agg(F.min("pos").alias("pos"), F.sort_array(F.collect_list(F.struct("pos", "line"))).alias("ls")).select("path", "section_id", "pos", F.array_join(F.transform("ls", lambda x: x["line"]), "\n").alias("text"))
+
+
 def paragraphs(placed: DataFrame) -> DataFrame:
-    """Runs of prose lines: path, section_id, pos (of the first line), text."""
-    prose = (F.col("fence") == 0) & (F.col("level") == 0) & (F.trim("line") != "") & ~F.rlike("line", F.lit(r"^\s*\|")) & ~F.rlike("line", F.lit(r"^\s*<!--"))
-    runs = placed.withColumn("prose", prose).withColumn("run", F.sum((~F.col("prose")).cast("int")).over(so_far())).where("prose")
-    return runs.groupBy("path", "section_id", "run").agg(F.min("pos").alias("pos"), F.sort_array(F.collect_list(F.struct("pos", inline_text(F.col("line")).alias("t")))).alias("ls")).select("path", "section_id", "pos", F.array_join(F.transform("ls", lambda x: x["t"]), " ").alias("text"))
+    """What is text in a section, piece by piece: path, section_id, pos (of the first line), text.  Runs of prose lines, lists, and indented blocks that are prose."""
+    told = kinds(placed)
+    prose = F.col("kind") == "prose"
+    titled = F.contains(F.lag("line", 1, "").over(by_page()), F.lit(TITLE))
+    runs = told.withColumn("breaks", (~prose | titled).cast("int")).withColumn("run", F.sum("breaks").over(so_far())).where(prose)
+    plain = runs.groupBy("path", "section_id", "run").agg(F.min("pos").alias("pos"), F.sort_array(F.collect_list(F.struct("pos", inline_text(F.col("line")).alias("t")))).alias("ls")).select("path", "section_id", "pos", F.array_join(F.transform("ls", lambda x: x["t"]), " ").alias("text"))
+    return plain.unionByName(lists(placed)).unionByName(indented_blocks(placed).where("prose").drop("prose"))
 
 
 def section_text(placed: DataFrame) -> DataFrame:
@@ -158,13 +250,15 @@ def section_text(placed: DataFrame) -> DataFrame:
 
 
 def code_blocks(placed: DataFrame) -> DataFrame:
-    """Fenced blocks: node_id, section_id, position, language, text, preceding (the paragraph before it in its section), group_id."""
+    """Fenced and indented blocks: node_id, section_id, position, language, text, preceding (the paragraph before it in its section), group_id."""
     group = F.sum(F.rlike("line", F.lit("<!--codegroup-->")).cast("int")).over(so_far())
     open_ = group - F.sum(F.rlike("line", F.lit("<!--/codegroup-->")).cast("int")).over(so_far())
     inside = placed.withColumn("group_no", F.when(open_ > 0, group)).where("fence_no > 0 AND fence = 1").withColumn("block", F.ceil(F.col("fence_no") / 2))
     body = F.transform(F.filter(F.sort_array(F.collect_list(F.struct("pos", "mark", "line"))), lambda x: ~x["mark"]), lambda x: x["line"])
-    info = F.min_by(F.regexp_extract("line", r"^\s*(?:`{3,}|~{3,})\s*([^\s`{]*)", 1), "pos")
-    blocks = inside.groupBy("path", "block").agg(F.min("pos").alias("pos"), F.min_by("section_id", "pos").alias("section_id"), F.min_by("group_no", "pos").alias("group_no"), info.alias("language"), F.rtrim(F.array_join(body, "\n"), F.lit("\n")).alias("text"))
+    info = F.min_by(F.regexp_extract(F.regexp_replace("line", r"\btheme=\{[^}]*\}", ""), r"^\s*(?:`{3,}|~{3,})\s*([^\s`{]*)", 1), "pos")
+    fenced = inside.groupBy("path", "block").agg(F.min("pos").alias("pos"), F.min_by("section_id", "pos").alias("section_id"), F.min_by("group_no", "pos").alias("group_no"), info.alias("language"), F.rtrim(F.array_join(body, "\n"), F.lit("\n")).alias("text"))
+    indented = indented_blocks(placed).where("NOT prose").select("path", "pos", "section_id", F.lit(None).cast("long").alias("group_no"), F.lit("").alias("language"), F.rtrim("text", F.lit("\n")).alias("text"))
+    blocks = fenced.drop("block").unionByName(indented)
     order = Window.partitionBy("section_id").orderBy("pos")
     leads = paragraphs(placed).select("path", "section_id", "pos", F.col("text").alias("lead")).unionByName(blocks.select("path", "section_id", "pos"), allowMissingColumns=True)
     leads = leads.withColumn("preceding", F.coalesce(F.last("lead", True).over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(""))).where("lead IS NULL").select("section_id", "pos", "preceding")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tessera.functions import contexts as cx
 from tessera.functions import text as tx
 from tessera.functions.vectors import cosine
-from tessera.operators import entities, evaluate, parse, resolve, search, store
+from tessera.operators import audit, entities, evaluate, graph, parse, resolve, search, store
 from tessera.plans import enrich, models, qa
 from tessera.sources import records
 from tessera.streaming import incremental
@@ -111,6 +111,125 @@ def test_callouts_links_and_text(page):
     assert "empty" in kept and "first-part-1" not in kept  # a parent stays; a heading over nothing goes
 
 
+def parsed(spark, text):
+    import textwrap
+
+    found, placed = parse.located(spark.createDataFrame([("p.md", textwrap.dedent(text))], "path string, text string"))
+    return found.cache(), placed.cache()
+
+
+def test_nested_wrappers_and_their_indentation(spark):
+    found, placed = parsed(spark, """
+        # Source
+
+        ## Use
+
+        <Tabs>
+          <Tab title="a > b">
+            Prose before.
+
+            <CodeGroup>
+              ```python Python theme={null}
+              def f():
+                  pass
+              ```
+
+              ```ts
+              let x = {a: 1}
+              ```
+            </CodeGroup>
+
+            | Tool | What |
+            | - | - |
+            | `Read` | reads |
+
+            ## Inner
+            text
+          </Tab>
+        </Tabs>
+
+        After.
+        """)
+    rows = parse.code_blocks(placed).orderBy("pos").collect()
+    assert [(r["language"], r["text"], r["preceding"]) for r in rows] == [("python", "def f():\n    pass", "Prose before."), ("ts", "let x = {a: 1}", "Prose before.")] and rows[0]["group_id"] == rows[1]["group_id"] is not None
+    assert [r["cells"] for r in parse.table_rows(placed).collect()] == [["`Read`", "reads"]]
+    assert {r["anchor"] for r in found.collect()} == {"use", "inner"}
+    text = {r["section_id"].split("#")[1]: r["text"] for r in parse.section_text(placed).collect()}
+    assert text == {"use": "**a > b**".strip("*") + "\n\nProse before.", "inner": "text\n\nAfter."}
+
+
+@pytest.mark.parametrize("block", [
+    'export const Widget = ({platform = "all"}) => {\n  const values = {\n    one: "two"\n  };\n  return <div>{values.one}</div>;\n};', "export const Widget = () => {\n  return <>\n    {items.map(item => <span>{item.label}</span>)}\n  </>;\n};",
+    "export default Widget", "export const x = 5", 'export const s = "{";', "{/* a comment */}", "{\n  one,\n  two\n}", "export const list = [\n  1,\n];", "export const f = (\n  a\n) => a;"])
+def test_exports_and_expressions_go_and_what_follows_stays(spark, block):
+    found, placed = parsed(spark, f"# Source\n\n{block}\n\n## Real content\n\nKeep this paragraph.\n\n```js\nexport const y = {{\n{{a}}\n```\n")
+    assert [r["anchor"] for r in found.collect()] == ["real-content"]
+    assert [r["text"] for r in parse.section_text(placed).collect()] == ["Keep this paragraph."]
+    assert [r["text"] for r in parse.code_blocks(placed).collect()] == ["export const y = {\n{a}"]
+
+
+def test_braces_that_never_end_are_text(spark):
+    _, placed = parsed(spark, "## A\n\n{open and more\n\nlast")
+    assert [r["text"] for r in parse.section_text(placed).collect()] == ["{open and more\n\nlast"]
+
+
+def test_lists(spark):
+    _, placed = parsed(spark, """
+        ## Files
+
+        Intro:
+
+        * **One**: first
+          goes on
+          * two [x](/x)
+
+            more of two
+          * three
+
+        - four
+
+        Then.
+
+        1. a
+           - b
+        2. c
+        3) d
+        """)
+    assert [r["text"] for r in parse.lists(placed).orderBy("pos").collect()] == ["- One: first goes on\n  - two x more of two\n  - three\n- four", "1. a\n  1. b\n3. c\n4. d"]
+    assert [r["text"] for r in parse.paragraphs(placed).orderBy("pos").collect()][::2] == ["Intro:", "Then."] and parse.code_blocks(placed).count() == 0
+
+
+def test_indented_code_and_prose(spark):
+    _, placed = parsed(spark, """
+        ## A
+
+        Before it.
+
+            x = 1
+
+              y = 2
+
+        para
+            goes on
+
+            this line has many plain words in it.
+            and so does this second line of it.
+
+        * item
+
+            of the item with many words
+        """)
+    assert [(r["language"], r["text"], r["preceding"], r["position"]) for r in parse.code_blocks(placed).collect()] == [("", "x = 1\n\n  y = 2".replace("\n\n", "\n"), "Before it.", 0)]
+    assert [r["text"] for r in parse.paragraphs(placed).orderBy("pos").collect()] == ["Before it.", "para goes on", "this line has many plain words in it.\nand so does this second line of it.", "- item of the item with many words"]
+
+
+def test_update_cards_are_synthesized_sections(spark):
+    found, placed = parsed(spark, '# Log\n\n<Update label="2.1 > 2.0" description="x">\n  * one\n</Update>\n\n## Plain\n\nx\n')
+    assert {r["heading"]: r["synthesized"] for r in found.collect()} == {"2.1 > 2.0": True, "Plain": False}
+    frame = spark.createDataFrame([("p.md", '# Log\n\n<Update label="2.1 > 2.0" description="x">\n  * one\n</Update>\n\n## Plain\n\nx\n')], "path string, text string")
+    assert audit.update_cards(frame, found).collect() == [] and [tuple(r) for r in audit.update_cards(frame, found.where("NOT synthesized")).collect()] == [("p.md", 1, 0)]
+
+
 def test_page_header(spark, page):
     frame, _, _ = page
     index = spark.createDataFrame([("https://h/docs/en/bare.md", "from the index")], "url string, description string")

@@ -43,7 +43,7 @@ df AS (SELECT term, count(*) AS df FROM post GROUP BY term),
 sc AS (SELECT query_id, doc_id, round(sum(ln(1 + (n - df + 0.5) / (df + 0.5)) * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * length / mean))), 6) AS score FROM post JOIN df USING (term) JOIN q USING (term), st GROUP BY ALL),
 lex AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS rank FROM sc) WHERE rank <= 50)"""
 VECTOR_CTE = """
-vq AS (SELECT vec_id AS query_id, embedding AS vector FROM embeddings WHERE vec_id < (SELECT count(*) FROM benchmark)),
+vq AS (SELECT vec_id AS query_id, embedding AS vector FROM embeddings WHERE vec_id IN (SELECT item_id FROM benchmark)),
 vs AS (SELECT query_id, vec_id, round(list_cosine_similarity(embedding::DOUBLE[], vector::DOUBLE[]), 6) AS score FROM embeddings, vq),
 vec AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM vs) WHERE rank <= 50)"""
 
@@ -55,8 +55,8 @@ def _lexical(s: SparkSession, d: str) -> DataFrame:
 
 def _vectors(s: SparkSession, d: str) -> DataFrame:
     nodes = table(s, d, "embeddings").select(F.col("vec_id").alias("node_id"), "embedding")
-    n = table(s, d, "benchmark").count()
-    return search.vector_search(nodes, nodes.where(F.col("node_id") < n).select(F.col("node_id").alias("query_id"), F.col("embedding").alias("vector")))
+    asked = nodes.join(table(s, d, "benchmark").select(F.col("item_id").alias("node_id")).distinct(), "node_id", "left_semi")  # the vector of each item
+    return search.vector_search(nodes, asked.select(F.col("node_id").alias("query_id"), F.col("embedding").alias("vector")))
 
 
 @query(f"WITH {BM25_CTE} SELECT query_id, doc_id, score, rank FROM lex")
@@ -199,10 +199,9 @@ def B24_anchor_unique(s: SparkSession, d: str) -> DataFrame:
     return parts.withColumn("n", n).select("p_partkey", "p_brand", F.when(F.col("n") == 0, F.col("base")).otherwise(F.concat_ws("-", "base", F.col("n").cast("string"))).alias("anchor"))
 
 
-@query(f"SELECT doc_id, {SLUG.format('left(text, 60)')} AS slug, regexp_replace(lower(left(text, 60)), '[^a-z0-9]', '', 'g') AS loose FROM documents")
+@query(f"SELECT doc_id, {SLUG.format('text')} AS slug, regexp_replace(lower(text), '[^a-z0-9]', '', 'g') AS loose FROM documents")
 def I01_slugs(s: SparkSession, d: str) -> DataFrame:
-    head = F.substring("text", 1, 60)
-    return table(s, d, "documents").select("doc_id", tx.slugify(head).alias("slug"), tx.loose_key(head).alias("loose"))
+    return table(s, d, "documents").select("doc_id", tx.slugify(F.col("text")).alias("slug"), tx.loose_key(F.col("text")).alias("loose"))
 
 
 @query("SELECT doc_id, sha256(text) AS content_hash, left(sha256(source || '#' || lang || '|' || doc_id || '|row'), 16) AS node_id FROM documents")
@@ -271,13 +270,13 @@ def I26_route_nodes(s: SparkSession, d: str) -> DataFrame:
     return p.select("doc_id", "label", cx.route(F.col("label"), F.col("raw_text"), F.col("breadcrumb"), F.col("synthesized"), F.col("preceding")).alias("route"))
 
 
-@query(f"""WITH n AS (SELECT doc_id, {LABEL} AS label, text, lang, source, {CRUMB} AS crumb FROM documents WHERE doc_id % 4 < 2),
+@query(f"""WITH n AS (SELECT doc_id, CASE doc_id % 2 WHEN 0 THEN 'Section' ELSE 'CodeBlock' END AS label, text, lang, source, {CRUMB} AS crumb FROM documents),
 c AS (SELECT *, CASE WHEN label = 'CodeBlock' THEN trim('[' || lang || ': example] In ' || crumb || '. ' || left(text, 200)) WHEN doc_id % 20 = 0 THEN '[changelog entry] Release notes for ' || string_split(crumb, ' > ')[-1] || '.'
  ELSE trim('[' || source || ' — ' || string_split(crumb, ' > ')[-1] || '] Subsection of "' || array_to_string(string_split(crumb, ' > ')[:-2], ' > ') || '". ' || trim(left(text, 120))) END AS context FROM n)
 SELECT doc_id, label, context, context || chr(10) || chr(10) || CASE WHEN label = 'CodeBlock' THEN '[' || lang || ']' || chr(10) || text ELSE text END AS indexed_text FROM c""")
 def I25_indexed_text(s: SparkSession, d: str) -> DataFrame:
     c = F.col
-    p = _payloads(s, d).where("doc_id % 4 < 2")
+    p = _payloads(s, d).withColumn("label", F.when(c("doc_id") % 2 == 0, "Section").otherwise("CodeBlock"))
     context = cx.template(c("label"), cx.section_template(c("breadcrumb"), c("source"), c("raw_text"), c("synthesized")), cx.code_template(c("lang"), c("breadcrumb"), F.substring("preceding", 1, 200)))
     none = F.array().cast("array<string>")
     shown = cx.raw_representation(c("label"), c("raw_text"), c("lang"), none, none, c("source"), c("source"))
@@ -287,13 +286,14 @@ def I25_indexed_text(s: SparkSession, d: str) -> DataFrame:
 PHRASES = "[" + ", ".join(f"'{p}'" for p in cx.FORBIDDEN_PHRASES) + "]"
 
 
-@query(f"""WITH c AS (SELECT doc_id, CASE doc_id % 5 WHEN 0 THEN 'The ' || left(text, 100) WHEN 1 THEN left(text, 5) WHEN 2 THEN left(text, 900) WHEN 3 THEN left(text, 80) || ' in the documentation' ELSE left(text, 200) END AS context FROM documents)
+@query(f"""WITH c AS (SELECT doc_id, CASE doc_id % 5 WHEN 0 THEN 'The ' || text WHEN 3 THEN text || ' in the documentation' ELSE text END AS context FROM documents UNION ALL SELECT item_id, CASE item_id % 2 WHEN 0 THEN 'The ' || text ELSE text END FROM benchmark)
 SELECT doc_id, CASE WHEN length(context) < 10 THEN 'too short' WHEN length(context) > 600 THEN 'too long' WHEN trim(regexp_replace(context, '\\s+', ' ', 'g')) = '' THEN 'empty'
  WHEN regexp_replace(lower(string_split(trim(regexp_replace(context, '\\s+', ' ', 'g')), ' ')[1]), '[:,.;!?]+$', '') IN ('this', 'the', 'a', 'an') THEN 'opener' WHEN len(list_filter({PHRASES}, lambda p: contains(lower(context), p))) > 0 THEN 'phrase' END AS error FROM c""")
 def I27_context_validation(s: SparkSession, d: str) -> DataFrame:
     i, t = F.col("doc_id") % 5, F.col("text")
-    context = F.when(i == 0, F.concat(F.lit("The "), F.substring(t, 1, 100))).when(i == 1, F.substring(t, 1, 5)).when(i == 2, F.substring(t, 1, 900)).when(i == 3, F.concat(F.substring(t, 1, 80), F.lit(" in the documentation"))).otherwise(F.substring(t, 1, 200))
-    return table(s, d, "documents").select("doc_id", cx.context_error(context).alias("error"))
+    context = F.when(i == 0, F.concat(F.lit("The "), t)).when(i == 3, F.concat(t, F.lit(" in the documentation"))).otherwise(t)
+    items = table(s, d, "benchmark").select(F.col("item_id").alias("doc_id"), F.when(F.col("item_id") % 2 == 0, F.concat(F.lit("The "), t)).otherwise(t).alias("context"))
+    return table(s, d, "documents").select("doc_id", context.alias("context")).union(items).select("doc_id", cx.context_error(F.col("context")).alias("error"))
 
 
 @query("""WITH c AS (SELECT c_custkey, c_name, n_name, CASE c_custkey % 4 WHEN 0 THEN n_name || ': baseline' WHEN 1 THEN n_name || ' without' WHEN 2 THEN n_name || ': near ' || 'KENYA' ELSE n_name || ': plain' END AS context FROM customer JOIN nation ON c_nationkey = n_nationkey)
@@ -346,8 +346,6 @@ def _graph(s: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
 
 
 def _seeds(s: SparkSession, d: str) -> DataFrame:
-    from pyspark.sql import Window
-
     some = table(s, d, "orders").where("o_orderstatus = 'P' AND o_orderpriority = '1-URGENT'")
     return some.select(F.col("o_orderkey").alias("seed_rank"), F.concat(F.lit("o"), F.col("o_orderkey").cast("string")).alias("node_id"), F.lit("CodeBlock").alias("node_label"))
 
@@ -383,12 +381,38 @@ def KT6_expand_links(s: SparkSession, d: str) -> DataFrame:
     return graph.expand_targets(edges, nodes, _seeds(s, d), ("LINKS_TO", "LINKS_TO_PAGE")).select("seed_id", "node_id", "node_label")
 
 
+@query(f"""WITH {SEEDS}, e AS (SELECT DISTINCT 'o' || l_orderkey AS source_id, 's' || l_suppkey AS target_id FROM lineitem)
+SELECT node_id AS seed_id, target_id AS node_id, 'Tool' AS node_label FROM seeds JOIN e ON source_id = node_id ORDER BY seed_rank, target_id LIMIT (SELECT 3 * count(*) FROM seeds)""")
+def KT7_expand_navigates_to(s: SparkSession, d: str) -> DataFrame:
+    edges, nodes = _graph(s, d)
+    key = lambda prefix, column: F.concat(F.lit(prefix), F.col(column).cast("string"))
+    table_links = table(s, d, "lineitem").select(F.lit("NAVIGATES_TO").alias("type"), key("o", "l_orderkey").alias("source_id"), key("s", "l_suppkey").alias("target_id"))
+    return graph.expand_targets(edges.union(table_links), nodes, _seeds(s, d), ("NAVIGATES_TO",)).select("seed_id", "node_id", "node_label")
+
+
+@query("SELECT 's' || l_suppkey AS entity_id, min('p' || l_partkey) AS section_id FROM lineitem GROUP BY 1")
+def D13_first_definition(s: SparkSession, d: str) -> DataFrame:
+    key = lambda prefix, column: F.concat(F.lit(prefix), F.col(column).cast("string"))
+    return entities.first_definition(table(s, d, "lineitem").select(F.lit("DEFINES").alias("type"), key("p", "l_partkey").alias("source_id"), key("s", "l_suppkey").alias("target_id")))
+
+
+@query("""WITH n AS (SELECT n_nationkey, n_name, r_name, n_nationkey % 2 = 0 AS by_anchor FROM nation JOIN region ON n_regionkey = r_regionkey),
+sec AS (SELECT DISTINCT mktsegment.r_name AS path, lower(n_name) AS anchor FROM n mktsegment WHERE n_nationkey IN (SELECT s_nationkey FROM supplier))
+SELECT 'MessageType' AS label, n_name AS name, r_name || '#' || lower(n_name) AS source_id FROM n WHERE by_anchor AND (r_name, lower(n_name)) IN (SELECT path, anchor FROM sec)
+UNION ALL SELECT 'Provider', n_name, f.source_id FROM n LEFT JOIN (SELECT path, min(path || '#' || anchor) AS source_id FROM sec GROUP BY path) f ON f.path = n.r_name WHERE NOT by_anchor""")
+def L05_named_entities(s: SparkSession, d: str) -> DataFrame:
+    nations = table(s, d, "nation").join(table(s, d, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    by_anchor = F.col("n_nationkey") % 2 == 0
+    named = nations.select(F.when(by_anchor, "MessageType").otherwise("Provider").alias("label"), F.col("n_name").alias("name"), F.col("r_name").alias("path"), F.when(by_anchor, F.lower("n_name")).alias("anchor"))
+    held = nations.join(table(s, d, "supplier").select(F.col("s_nationkey").alias("n_nationkey")), "n_nationkey", "left_semi")
+    sections = held.select(F.col("r_name").alias("path"), F.lower("n_name").alias("anchor"), F.concat("r_name", F.lit("#"), F.lower("n_name")).alias("section_id"))
+    return entities.named_entities(named, sections, sections.groupBy("path").agg(F.min("section_id").alias("section_id")))
+
+
 TOOL_SEEDS = "seeds AS (SELECT row_number() OVER (ORDER BY s_suppkey) AS seed_rank, CASE WHEN s_suppkey % 2 = 0 THEN 's' || s_suppkey ELSE s_name END AS seed_id, 's' || s_suppkey AS entity_id FROM supplier WHERE s_acctbal > 5000)"
 
 
 def _tool_seeds(s: SparkSession, d: str) -> DataFrame:
-    from pyspark.sql import Window
-
     own = F.when(F.col("s_suppkey") % 2 == 0, F.concat(F.lit("s"), F.col("s_suppkey").cast("string"))).otherwise(F.col("s_name"))
     return table(s, d, "supplier").where("s_acctbal > 5000").select(F.col("s_suppkey").alias("seed_rank"), own.alias("node_id"), F.lit("Tool").alias("node_label"))
 
@@ -457,14 +481,15 @@ def E03_dedupe_first(s: SparkSession, d: str) -> DataFrame:
     return store.dedupe_first(table(s, d, "events").select("user_id", "event_type", "event_id", "value"), ["user_id", "event_type"], "event_id")
 
 
-STORED = "stored AS (SELECT doc_id, sha256(CASE WHEN doc_id % 4 = 0 THEN text || '!' ELSE text END) AS content_hash, lang AS context, n_chars FROM documents WHERE doc_id % 5 <> 0), incoming AS (SELECT doc_id, sha256(text) AS content_hash, n_chars + 1 AS n_chars FROM documents WHERE doc_id % 3 <> 0)"
+STORED = "stored AS (SELECT doc_id, sha256(CASE WHEN doc_id % 4 = 0 THEN text || '!' ELSE text END) AS content_hash, lang AS context, n_chars FROM documents WHERE doc_id IN (SELECT doc_id FROM labels)), incoming AS (SELECT doc_id, sha256(text) AS content_hash, n_chars + 1 AS n_chars FROM documents)"
 
 
 def _versions(s: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     docs = table(s, d, "documents")
     changed = F.when(F.col("doc_id") % 4 == 0, F.concat("text", F.lit("!"))).otherwise(F.col("text"))
-    stored = docs.where("doc_id % 5 <> 0").select("doc_id", tx.content_hash(changed).alias("content_hash"), F.col("lang").alias("context"), "n_chars")
-    return stored, docs.where("doc_id % 3 <> 0").select("doc_id", tx.content_hash(F.col("text")).alias("content_hash"), (F.col("n_chars") + 1).alias("n_chars"))
+    labelled = table(s, d, "labels").select("doc_id").distinct()  # the documents that have been stored before
+    stored = docs.join(labelled, "doc_id", "left_semi").select("doc_id", tx.content_hash(changed).alias("content_hash"), F.col("lang").alias("context"), "n_chars")
+    return stored, docs.select("doc_id", tx.content_hash(F.col("text")).alias("content_hash"), (F.col("n_chars") + 1).alias("n_chars"))
 
 
 @query(f"WITH {STORED} SELECT i.doc_id, CASE WHEN s.content_hash IS NULL THEN 'merge_all' WHEN s.content_hash = i.content_hash THEN 'skip_nodes' ELSE 'replace' END AS action FROM incoming i LEFT JOIN stored s USING (doc_id)")
@@ -479,13 +504,17 @@ def M02_upsert(s: SparkSession, d: str) -> DataFrame:
     return store.upsert(stored, incoming, ["doc_id"])
 
 
-@query("WITH gone AS (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'P') SELECT 'node' AS kind, count(*) AS n FROM orders WHERE o_orderkey NOT IN (SELECT * FROM gone) UNION ALL SELECT 'edge', count(*) FROM lineitem WHERE l_orderkey NOT IN (SELECT * FROM gone)")
+@query("""WITH gone AS (SELECT 'c' || c_custkey AS id FROM customer WHERE c_acctbal < 0 UNION ALL SELECT 'o' || o_orderkey FROM orders JOIN customer ON o_custkey = c_custkey WHERE c_acctbal < 0)
+SELECT 'node' AS kind, id FROM (SELECT 'c' || c_custkey AS id FROM customer UNION ALL SELECT 'o' || o_orderkey FROM orders) WHERE id NOT IN (SELECT id FROM gone)
+UNION ALL SELECT 'edge', 'o' || l_orderkey || '>p' || l_partkey || '.' || l_linenumber FROM lineitem WHERE 'o' || l_orderkey NOT IN (SELECT id FROM gone)""")
 def M05_subtree_delete(s: SparkSession, d: str) -> DataFrame:
-    orders = table(s, d, "orders")
-    nodes = orders.select(F.col("o_orderkey").alias("node_id"))
-    edges = table(s, d, "lineitem").select(F.col("l_orderkey").alias("source_id"), (F.col("l_partkey") + 1_000_000_000_000).alias("target_id"))
-    kept, left = store.delete_subtree(nodes, edges, orders.where("o_orderstatus = 'P'").select(F.col("o_orderkey").alias("node_id")))
-    return kept.agg(F.count("*").alias("n")).select(F.lit("node").alias("kind"), "n").union(left.agg(F.count("*").alias("n")).select(F.lit("edge").alias("kind"), "n"))
+    key = lambda prefix, column: F.concat(F.lit(prefix), F.col(column).cast("string"))
+    customers = table(s, d, "customer")
+    nodes = customers.select(key("c", "c_custkey").alias("node_id"), key("c", "c_custkey").alias("page_id")).union(table(s, d, "orders").select(key("o", "o_orderkey"), key("c", "o_custkey")))
+    edges = table(s, d, "lineitem").select(key("o", "l_orderkey").alias("source_id"), key("p", "l_partkey").alias("target_id"), "l_linenumber")
+    gone = graph.subtree(nodes, customers.where("c_acctbal < 0").select(key("c", "c_custkey").alias("page_id")))
+    kept, left = store.delete_subtree(nodes, edges, gone)
+    return kept.select(F.lit("node").alias("kind"), F.col("node_id").alias("id")).union(left.select(F.lit("edge"), F.concat("source_id", F.lit(">"), "target_id", F.lit("."), F.col("l_linenumber").cast("string"))))
 
 
 @query("SELECT d.doc_id, d.lang, coalesce(l.quality::VARCHAR, d.source) AS source FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id")
@@ -582,17 +611,24 @@ def P04_edge_counts(s: SparkSession, d: str) -> DataFrame:
     return audit.counts(resolve.link_edges(resolved, sections))
 
 
-@query(r"""SELECT page_id, regexp_extract(html, '<h1>(.*?)</h1>', 1) AS title, coalesce(nullif(regexp_extract(html, '<title>(.*?)</title>', 1), ''), 'missing') AS description, starts_with(url, 'http://') OR contains(url, '/de/') AS volatile FROM pages""")
+@query("""WITH p AS (SELECT doc_id, 'd' || doc_id || '.md' AS path, 'u/d' || doc_id || '.md' AS url, '# T ' || source || chr(10) || chr(10) || CASE WHEN doc_id % 2 = 0 THEN '> about ' || lang || chr(10) ELSE '' END || '## Text' || chr(10) || text AS text FROM documents),
+i AS (SELECT DISTINCT doc_id FROM labels)
+SELECT path, url, 'T ' || p_source.source AS title, CASE WHEN i.doc_id IS NOT NULL THEN 'labelled ' || i.doc_id WHEN p.doc_id % 2 = 0 THEN 'about ' || p_source.lang ELSE '' END AS description,
+ CASE WHEN i.doc_id IS NOT NULL THEN 'index' WHEN p.doc_id % 2 = 0 THEN 'blockquote' ELSE 'missing' END AS description_source, starts_with(path, 'd1') AS volatile, sha256(text) AS content_hash
+FROM p JOIN (SELECT doc_id, source, lang FROM documents) p_source USING (doc_id) LEFT JOIN i ON p.doc_id = i.doc_id""")
 def B20_page_header(s: SparkSession, d: str) -> DataFrame:
-    p = table(s, d, "pages")
-    return p.select("page_id", F.regexp_extract("html", "<h1>(.*?)</h1>", 1).alias("title"), F.coalesce(F.nullif(F.regexp_extract("html", "<title>(.*?)</title>", 1), F.lit("")), F.lit("missing")).alias("description"), (F.startswith("url", F.lit("http://")) | F.contains("url", F.lit("/de/"))).alias("volatile"))
+    path = F.concat(F.lit("d"), F.col("doc_id").cast("string"), F.lit(".md"))
+    quote = F.when(F.col("doc_id") % 2 == 0, F.concat(F.lit("> about "), "lang", F.lit("\n"))).otherwise("")
+    pages = table(s, d, "documents").select(path.alias("path"), F.concat(F.lit("# T "), "source", F.lit("\n\n"), quote, F.lit("## Text\n"), "text").alias("text"))
+    index = table(s, d, "labels").select(F.concat(F.lit("u/"), path).alias("url"), F.concat(F.lit("labelled "), F.col("doc_id").cast("string")).alias("description")).distinct()
+    return parse.page_header(pages, index, ("d1",), "u/")
 
 
-@query(r"""WITH p AS (SELECT item_id AS line_no, '- [x](https://e.org/' || item_id % 25 || '): ' || left(regexp_replace(text, '\s+', ' ', 'g'), 40) AS line FROM benchmark) SELECT regexp_extract(line, '^\s*-\s*\[[^\]]*\]\(([^)\s]+)\):\s*(.+?)\s*$', 1) AS url, arg_max(regexp_extract(line, '^\s*-\s*\[[^\]]*\]\(([^)\s]+)\):\s*(.+?)\s*$', 2), line_no) AS description FROM p GROUP BY 1""")
+@query(r"""WITH p AS (SELECT item_id AS line_no, '- [x](https://e.org/' || item_id % 25 || '): ' || regexp_replace(text, '\s+', ' ', 'g') AS line FROM benchmark) SELECT regexp_extract(line, '^\s*-\s*\[[^\]]*\]\(([^)\s]+)\):\s*(.+?)\s*$', 1) AS url, arg_max(regexp_extract(line, '^\s*-\s*\[[^\]]*\]\(([^)\s]+)\):\s*(.+?)\s*$', 2), line_no) AS description FROM p GROUP BY 1""")
 def A03_link_descriptions(s: SparkSession, d: str) -> DataFrame:
     from tessera.sources.records import link_descriptions
 
-    line = F.concat(F.lit("- [x](https://e.org/"), (F.col("item_id") % 25).cast("string"), F.lit("): "), F.substring(F.regexp_replace("text", r"\s+", " "), 1, 40))
+    line = F.concat(F.lit("- [x](https://e.org/"), (F.col("item_id") % 25).cast("string"), F.lit("): "), F.regexp_replace("text", r"\s+", " "))
     return link_descriptions(table(s, d, "benchmark").select(F.col("item_id").alias("line_no"), line.alias("line")))
 
 
@@ -665,11 +701,11 @@ def E11_label_source_counts(s: SparkSession, d: str) -> DataFrame:
     return table(s, d, "documents").groupBy("lang", "source").agg(F.count("*").alias("n"))
 
 
-@query("""WITH p AS (SELECT a.label, list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]) AS c FROM embeddings a JOIN embeddings b ON b.vec_id = a.vec_id + 10 AND a.label = b.label) SELECT label, count(*) AS n, round(avg(c), 6) AS mean, round(quantile_cont(c, 0.5), 6) AS median FROM p GROUP BY label""")
+@query("""WITH p AS (SELECT a.label, list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]) AS c FROM embeddings a JOIN embeddings b ON b.vec_id = a.vec_id + 1) SELECT label, count(*) AS n, round(avg(c), 6) AS mean, round(quantile_cont(c, 0.5), 6) AS median FROM p GROUP BY label""")
 def E12_pair_cosines(s: SparkSession, d: str) -> DataFrame:
     e = table(s, d, "embeddings")
-    b = e.select((F.col("vec_id") - 10).alias("vec_id"), "label", F.col("embedding").alias("other"))
-    return e.join(b, ["vec_id", "label"]).withColumn("c", cosine(F.col("embedding"), F.col("other"))).groupBy("label").agg(F.count("*").alias("n"), F.round(F.avg("c"), 6).alias("mean"), F.round(F.median("c"), 6).alias("median"))
+    b = e.select((F.col("vec_id") - 1).alias("vec_id"), F.col("embedding").alias("other"))  # each vector with the next
+    return e.join(b, "vec_id").withColumn("c", cosine(F.col("embedding"), F.col("other"))).groupBy("label").agg(F.count("*").alias("n"), F.round(F.avg("c"), 6).alias("mean"), F.round(F.median("c"), 6).alias("median"))
 
 
 @query("SELECT len(embedding) AS dimensions, count(*) AS n, round(avg(sqrt(list_dot_product(embedding::DOUBLE[], embedding::DOUBLE[]))), 6) AS mean_norm FROM embeddings GROUP BY 1")

@@ -9,9 +9,10 @@ shingles; a match fixes where the window would begin, which must lie within the
 document (length and positional bounds); then all words of the window are
 compared, first as hashes, then as bytes.
 
-Items come in blocks of a bounded number of words; a block is an index in the
-shared folder, and a task goes through the blocks one at a time for each Arrow
-batch, so memory holds one block and nothing is shuffled but the counts.
+Items are cut into pieces that overlap by all but one word of a window, and dealt into blocks of about
+a bounded number of words.  Tasks write each block's windows, count its shingles in all documents and write its index, in the
+shared folder; nothing of the items passes through the driver.  A task goes through the blocks one at a time for each Arrow
+batch, so memory holds one block and nothing is shuffled but the pieces and the counts.
 
 Nulls: null text has no words (n_hit 0, no items); an item with null item_id counts
 as the id ''.  Equal items or equal document rows each count and stay; an item_id is
@@ -28,17 +29,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.shared import shared_folder, tidy
+from tessera.llm.shared import saved, shared_folder, tidy
 from tessera.llm.units import gather
 from tessera.llm.words import Words, shingles, slices, split, within
 
 WIDTH = 10
 SHINGLE = 3
-#: Words of the items of a block: its index takes about 200 bytes for each.
-BLOCK_WORDS = 1_000_000
+#: Words of the items of a block, about: its index takes about 200 bytes for each; and of a piece of an item.
+BLOCK_WORDS, PIECE_WORDS = 1_000_000, 20_000
 _BITS = 22
 
 
@@ -61,7 +63,7 @@ class Sieve:
 
 
 def item_windows(ids: list[str], texts: pa.Array, width: int = WIDTH) -> dict[str, np.ndarray]:
-    """The windows of some items: item, width, word hashes (0 after the width) and joined words."""
+    """The windows of some items: item (a place in ids), width, word hashes (0 after the width); the joined words and the ids as bytes and their bounds."""
     words = split(texts)
     h, n = words.hashes(), np.diff(words.offsets)
     item, begin, size = [], [], []
@@ -77,7 +79,11 @@ def item_windows(ids: list[str], texts: pa.Array, width: int = WIDTH) -> dict[st
     inside = np.arange(width) < size[:, None]
     hashes = np.where(inside, h[np.minimum(cells, max(len(h) - 1, 0))] if len(h) else np.uint64(0), np.uint64(0))
     text = [b" ".join(words.word(i) for i in range(b, b + s)) for b, s in zip(begin.tolist(), size.tolist(), strict=True)]
-    return {"item": np.array(ids, dtype=object)[item] if len(item) else np.zeros(0, object), "size": size, "hashes": hashes, "text": np.array(text, dtype=object)}
+    names = [i.encode() for i in ids]
+    out = {"item": item, "size": size, "hashes": hashes}
+    for name, parts in (("text", text), ("id", names)):
+        out |= {f"{name}_bytes": np.frombuffer(b"".join(parts), dtype=np.uint8), f"{name}_at": np.concatenate([[0], np.cumsum([len(x) for x in parts], dtype=np.int64)]).astype(np.int64)}
+    return out
 
 
 def window_shingles(hashes: np.ndarray, size: int) -> np.ndarray:
@@ -91,40 +97,64 @@ def shingles_at(hashes: np.ndarray, j: int, w: int) -> np.ndarray:
     return shingles(flat, w)[::w] if len(flat) else np.zeros(0, np.uint64)
 
 
-@functools.lru_cache(maxsize=1)
-def load_block(uri: str) -> dict:
+def _read(uri: str) -> dict[str, np.ndarray]:
+    from pyarrow import fs
+
+    store, path = fs.FileSystem.from_uri(uri)
+    with store.open_input_file(path) as f, np.load(io.BytesIO(f.read())) as z:
+        return {k: z[k] for k in z.files}
+
+
+def _write(uri: str, arrays: dict[str, np.ndarray]) -> None:
+    """Whole or absent: a task that runs again writes a draft and renames it."""
     from pyarrow import fs
 
+    raw = io.BytesIO()
+    np.savez(raw, **arrays)
     store, path = fs.FileSystem.from_uri(uri)
-    with store.open_input_file(path) as f:
-        with np.load(io.BytesIO(f.read()), allow_pickle=True) as z:
-            block = {k: z[k] for k in z.files}
+    draft = f"{path}.{uuid.uuid4().hex}"
+    with store.open_output_stream(draft) as f:
+        f.write(raw.getvalue())
+    store.move(draft, path)
+
+
+@functools.lru_cache(maxsize=1)
+def load_block(uri: str) -> dict:
+    block: dict = _read(uri)
     block["sieves"] = {w: Sieve(block["prefix"][block["kind"] == w]) for w in range(1, SHINGLE + 1)}
     for w, sieve in block["sieves"].items():
         own = np.flatnonzero(block["kind"] == w)
         order = own[np.argsort(block["prefix"][own], kind="stable")]
         block[f"order{w}"] = order
         block[f"begins{w}"] = np.append(np.searchsorted(block["prefix"][order], sieve.keys), len(order)) if len(sieve.keys) else np.zeros(1, np.int64)
+    for name in ("text", "id"):
+        raw, at = block[f"{name}_bytes"].tobytes(), block[f"{name}_at"].tolist()
+        block[name] = [raw[a:b] for a, b in zip(at[:-1], at[1:], strict=True)]
+    block["ids"] = np.array([i.decode() for i in block["id"]], dtype=object)
     return block
 
 
-def store_block(uri: str, windows: dict[str, np.ndarray], counts: dict[int, int]) -> None:
-    """Chooses the rarest shingle of each window as its prefix and stores the index."""
+@functools.lru_cache(maxsize=1)
+def load_sieves(uri: str) -> dict[int, Sieve]:
+    """The shingles of a block's windows, by their words."""
+    windows, found = _read(uri), {}
+    for size in np.unique(windows["size"]):
+        found.setdefault(min(SHINGLE, int(size)), []).append(window_shingles(windows["hashes"][windows["size"] == size], int(size)).ravel())
+    return {w: Sieve(np.concatenate(x)) for w, x in found.items()}
+
+
+def index_of(windows: dict[str, np.ndarray], shingle: np.ndarray, count: np.ndarray) -> dict[str, np.ndarray]:
+    """The windows with the rarest shingle of each as its prefix, by how often documents hold the shingles (sorted; others never)."""
     n = len(windows["size"])
     prefix, offset, kind = np.zeros(n, np.uint64), np.zeros(n, np.int64), np.zeros(n, np.int64)
     for size in np.unique(windows["size"]):
         own = windows["size"] == size
         s = window_shingles(windows["hashes"][own], int(size))
-        often = np.vectorize(lambda x: counts.get(int(x), 0), otypes=[np.int64])(s)
+        at = np.minimum(np.searchsorted(shingle, s), max(len(shingle) - 1, 0))
+        often = np.where(shingle[at] == s, count[at], 0) if len(shingle) else np.zeros(s.shape, np.int64)
         place = np.lexsort((s, often), axis=1)[:, 0] if s.size else np.zeros(0, np.int64)
         prefix[own], offset[own], kind[own] = s[np.arange(len(s)), place], place, min(SHINGLE, size)
-    from pyarrow import fs
-
-    raw = io.BytesIO()
-    np.savez(raw, prefix=prefix, offset=offset, kind=kind, **windows)
-    store, path = fs.FileSystem.from_uri(uri)
-    with store.open_output_stream(path) as f:
-        f.write(raw.getvalue())
+    return windows | {"prefix": prefix, "offset": offset, "kind": kind}
 
 
 def candidates(words: Words, h: np.ndarray, block: dict) -> tuple[np.ndarray, np.ndarray]:
@@ -159,75 +189,95 @@ def verified(words: Words, start: np.ndarray, window: np.ndarray, block: dict) -
     return out
 
 
-def corpus_counts(docs: DataFrame, uris: list[str], kinds: dict[str, set[int]]) -> dict[str, dict[int, int]]:
-    """How often all documents together hold each shingle of each block's windows (bounded by the block)."""
+def pieces_of(items: DataFrame, width: int = WIDTH, piece_words: int = PIECE_WORDS) -> DataFrame:
+    """item_id, text (lower-cased) of the items in pieces of a bounded number of words; each window of an item is in one of them."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyarrow import fs
-
-        sieves = []
-        for k, uri in enumerate(uris):
-            store, path = fs.FileSystem.from_uri(uri)
-            with store.open_input_file(path) as f, np.load(io.BytesIO(f.read())) as z:
-                sieves.append({w: Sieve(z[f"s{w}"]) for w in kinds[uri]})
-        totals = [{w: np.zeros(len(s.keys), np.int64) for w, s in x.items()} for x in sieves]
         for batch in batches:
-            for lo, hi in slices(batch.column(0)):
-                words = split(batch.column(0).slice(lo, hi - lo))
-                h = words.hashes()
-                for w in range(1, SHINGLE + 1):
-                    if any(w in x for x in sieves):
-                        s, ok = shingles(h, w), within(words.offsets, w)
-                        s = s[ok]
-                        for x, t in zip(sieves, totals, strict=True):
-                            if w in x:
-                                t[w] += np.bincount(x[w].find(s)[1], minlength=len(t[w]))
-        for k, x in enumerate(totals):
-            for w, t in x.items():
-                if (some := np.flatnonzero(t)).size:
-                    yield pa.RecordBatch.from_pydict({"block": pa.array(np.full(len(some), k), pa.int32()), "shingle": pa.array(sieves[k][w].keys[some].view(np.int64)), "n": pa.array(t[some])})
-
-    rows = docs.select(F.col("text").cast("string")).mapInArrow(tidy(task), "block int, shingle long, n long").groupBy("block", "shingle").agg(F.sum("n").alias("n"))
-    out: dict[str, dict[int, int]] = {u: {} for u in uris}
-    for r in rows.toLocalIterator():
-        out[uris[r["block"]]][r["shingle"] & (1 << 64) - 1] = r["n"]
-    return out
+            for lo, hi in slices(batch.column(1)):
+                words = split(batch.column(1).slice(lo, hi - lo))
+                ids, texts = [], []
+                for t, item in enumerate(batch.column(0).slice(lo, hi - lo).to_pylist()):
+                    a, b = int(words.offsets[t]), int(words.offsets[t + 1])
+                    for at in range(a, max(a + 1, b - width + 1), piece_words) if a < b else ():
+                        ids.append(item)
+                        texts.append(words.raw[words.starts[at] : words.ends[min(at + piece_words + width - 1, b) - 1]].tobytes().decode())
+                yield pa.RecordBatch.from_pydict({"item_id": pa.array(ids, pa.string()), "text": pa.array(texts, pa.string())})
 
+    own = items.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item_id"), F.col("text").cast("string").alias("text")).where("text IS NOT NULL")
+    return own.mapInArrow(tidy(task), "item_id string, text string")
 
-def build_index(docs: DataFrame, items: DataFrame, width: int = WIDTH, block_words: int = BLOCK_WORDS) -> list[str]:
+
+def corpus_counts(docs: DataFrame, uris: list[str]) -> DataFrame:
+    """block, shingle, n: how often all documents together hold each shingle of each block's windows; one pass over them."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k, uri in enumerate(uris):
+                sieves = load_sieves(uri)
+                totals = {w: np.zeros(len(s.keys), np.int64) for w, s in sieves.items()}
+                for lo, hi in slices(batch.column(0)):
+                    words = split(batch.column(0).slice(lo, hi - lo))
+                    h = words.hashes()
+                    for w, sieve in sieves.items():
+                        totals[w] += np.bincount(sieve.find(shingles(h, w)[within(words.offsets, w)])[1], minlength=len(sieve.keys))
+                for w, t in totals.items():
+                    if (some := np.flatnonzero(t)).size:
+                        yield pa.RecordBatch.from_pydict({"block": pa.array(np.full(len(some), k), pa.int32()), "shingle": pa.array(sieves[w].keys[some].view(np.int64)), "n": pa.array(t[some])})
+
+    return docs.select(F.col("text").cast("string")).mapInArrow(tidy(task), "block int, shingle long, n long").groupBy("block", "shingle").agg(F.sum("n").alias("n"))
+
+
+def build_index(docs: DataFrame, items: DataFrame, width: int = WIDTH, block_words: int = BLOCK_WORDS, piece_words: int = PIECE_WORDS) -> list[str]:
     """Stores the blocks of items in the shared folder; their URIs."""
     from pyarrow import fs
 
     base = f"{shared_folder(docs.sparkSession)}/items-{uuid.uuid4().hex}"
     store, path = fs.FileSystem.from_uri(base)
     store.create_dir(path, recursive=True)
-    uris: list[str] = []
-
-    def close(ids: list[str], texts: list[str]) -> None:
-        windows = item_windows(ids, pa.array(texts, pa.string()), width)
-        uri = f"{base}/block-{len(uris)}.npz"
-        kinds: dict[int, list[np.ndarray]] = {}
-        for size in np.unique(windows["size"]):
-            kinds.setdefault(min(SHINGLE, int(size)), []).append(window_shingles(windows["hashes"][windows["size"] == size], int(size)).ravel())
-        raw = io.BytesIO()
-        np.savez(raw, **{f"s{w}": np.unique(np.concatenate(x)) for w, x in kinds.items()})
-        with store.open_output_stream(f"{path}/block-{len(uris)}.npz-shingles") as f:
-            f.write(raw.getvalue())
-        counts = corpus_counts(docs, [f"{uri}-shingles"], {f"{uri}-shingles": set(kinds)})
-        store_block(uri, windows, counts[f"{uri}-shingles"])
-        uris.append(uri)
-
-    ids, texts, size = [], [], 0
-    for r in items.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item_id"), F.col("text").cast("string").alias("text")).where("text IS NOT NULL").toLocalIterator():
-        ids.append(r["item_id"])
-        texts.append(r["text"])
-        size += len(r["text"]) // 4 + 1
-        if size >= block_words:
-            close(ids, texts)
-            ids, texts, size = [], [], 0
-    if ids:
-        close(ids, texts)
-    return uris
+    pieces = saved(pieces_of(items, width, piece_words), "pieces")
+    chars = pieces.agg(F.sum(F.length("text"))).first()[0] or 0
+    if not chars:
+        return []
+    blocks = max(1, -(-chars // (5 * block_words)))
+    keyed = pieces.withColumn("block", F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)).cast("int"))
+
+    def by_block(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa.Table]]:
+        """The rows of each block of a task, which come one block after another."""
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            at = batch.schema.get_field_index("block")
+            b = batch.column(at).to_numpy()
+            cuts = [0, *(np.flatnonzero(b[1:] != b[:-1]) + 1).tolist(), len(b)] if len(b) else []
+            for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
+                if held and held[0].column(at)[0].as_py() != int(b[lo]):
+                    yield held[0].column(at)[0].as_py(), pa.Table.from_batches(held)
+                    held = []
+                held.append(batch.slice(lo, hi - lo))
+        if held:
+            yield held[0].column(held[0].schema.get_field_index("block"))[0].as_py(), pa.Table.from_batches(held)
+
+    def windows_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block, rows in by_block(batches):
+            _write(f"{base}/windows-{block}.npz", item_windows(rows.column("item_id").to_pylist(), rows.column("text").combine_chunks(), width))
+            yield pa.RecordBatch.from_pydict({"block": pa.array([block], pa.int32())})
+
+    def index_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block, rows in by_block(batches):
+            counted = rows.filter(pc.is_valid(rows.column("shingle")))
+            shingle, n = counted.column("shingle").to_numpy().view(np.uint64), counted.column("n").to_numpy()
+            order = np.argsort(shingle)
+            _write(f"{base}/index-{block}.npz", index_of(_read(f"{base}/windows-{block}.npz"), shingle[order], n[order]))
+            yield pa.RecordBatch.from_pydict({"block": pa.array([block], pa.int32())})
+
+    dealt = lambda df: df.repartition(blocks, "block").sortWithinPartitions("block")
+    made = saved(dealt(keyed).mapInArrow(tidy(windows_task), "block int"), "blocks")
+    numbers = sorted(r["block"] for r in made.collect())  # one row for each block
+    counts = corpus_counts(docs, [f"{base}/windows-{b}.npz" for b in numbers])
+    named = counts.withColumn("block", F.element_at(F.array(*map(F.lit, numbers)), F.col("block") + 1))
+    every = made.select("block", F.lit(None).cast("long").alias("shingle"), F.lit(None).cast("long").alias("n"))
+    saved(dealt(named.unionByName(every)).mapInArrow(tidy(index_task), "block int"), "blocks")
+    return [f"{base}/index-{b}.npz" for b in numbers]
 
 
 def scan(docs: DataFrame, uris: list[str], spans: bool = False) -> DataFrame:
@@ -242,29 +292,35 @@ def scan(docs: DataFrame, uris: list[str], spans: bool = False) -> DataFrame:
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lo, hi in slices(batch.column(at)):
-                part = batch.slice(lo, hi - lo)
-                words = split(part.column(at))
-                h, total = words.hashes(), int(words.offsets[-1])
-                edge = np.zeros(total + 1, np.int64)
-                of, pairs = words.text_of(), set()
-                for uri in uris:
-                    block = load_block(uri)
-                    start, window = candidates(words, h, block)
+            bounds = list(slices(batch.column(at)))
+            edges: list[np.ndarray | None] = [None] * len(bounds)
+            held: list[set[tuple[int, str]]] = [set() for _ in bounds]
+            # the blocks outside: each is read once for a batch
+            for uri in uris:
+                block = load_block(uri)
+                for n, (lo, hi) in enumerate(bounds):
+                    words = split(batch.column(at).slice(lo, hi - lo))
+                    start, window = candidates(words, words.hashes(), block)
                     ok = verified(words, start, window, block)
                     start, window = start[ok], window[ok]
-                    np.add.at(edge, start, 1)
-                    np.add.at(edge, start + block["size"][window], -1)
-                    pairs.update(zip(of[start].tolist(), block["item"][window].tolist(), strict=True))
-                hit = np.cumsum(edge[:-1]) > 0
+                    if len(start):
+                        if edges[n] is None:
+                            edges[n] = np.zeros(int(words.offsets[-1]) + 1, np.int32)
+                        np.add.at(edges[n], start, 1)
+                        np.add.at(edges[n], start + block["size"][window], -1)
+                        held[n].update(zip(words.text_of()[start].tolist(), block["ids"][block["item"][window]].tolist(), strict=True))
+            for (lo, hi), edge, pairs in zip(bounds, edges, held, strict=True):
+                part = batch.slice(lo, hi - lo)
+                offsets = split(part.column(at)).offsets
+                hit = np.zeros(int(offsets[-1]), bool) if edge is None else np.cumsum(edge[:-1]) > 0
                 before = np.concatenate([[0], np.cumsum(hit)])
-                n_hit = before[words.offsets[1:]] - before[words.offsets[:-1]]
+                n_hit = before[offsets[1:]] - before[offsets[:-1]]
                 items: list[list[str]] = [[] for _ in range(hi - lo)]
                 for t, item in pairs:
                     items[t].append(item)
-                new = [pa.array(np.diff(words.offsets), pa.int64()), pa.array(n_hit, pa.int64()), pa.array([len(x) for x in items], pa.int64()), pa.array([hashlib.sha256(",".join(sorted(x)).encode()).hexdigest() for x in items]), pa.array(n_hit > 0)]
+                new = [pa.array(np.diff(offsets), pa.int64()), pa.array(n_hit, pa.int64()), pa.array([len(x) for x in items], pa.int64()), pa.array([hashlib.sha256(",".join(sorted(x)).encode()).hexdigest() for x in items]), pa.array(n_hit > 0)]
                 if spans:
-                    new.append(pa.array([[{"start": int(a), "end": int(b)} for a, b in _runs(hit[words.offsets[t] : words.offsets[t + 1]])] for t in range(hi - lo)], pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))))
+                    new.append(pa.array([[{"start": int(a), "end": int(b)} for a, b in _runs(hit[offsets[t] : offsets[t + 1]])] for t in range(hi - lo)], pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))))
                 yield pa.RecordBatch.from_arrays([*part.columns, *new], names=[*part.schema.names, *own])
 
     return kept.mapInArrow(tidy(task), schema)

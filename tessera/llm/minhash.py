@@ -15,7 +15,8 @@ the bucket however large; verified links form components.  In buckets that then
 several components, the members outside the largest are compared with a second hub,
 another one in each bucket.  What still is apart meets all other members by longer
 signatures, in blocks within a task, and exactly where these agree as those of similar
-texts do.  So two similar texts that share a bucket don't stay apart.
+texts do.  So two texts of similarity 0.8 that share no bucket (15 pairs in a million), or share one but no hub and have unusual
+signatures (one pair in 90,000), may stay apart; all other links are found, however large a bucket is.
 
 Nulls and texts without words are alone in their class; a null doc_id takes no part
 and keeps a null class.  Repeated rows, also of one doc_id, are members like others.
@@ -286,7 +287,10 @@ def likely_pairs(inside: DataFrame) -> DataFrame:
 
 
 def classes(docs: DataFrame, least: float = LEAST) -> DataFrame:
-    """doc_id, text_hash, class_id (smallest doc_id of the class), class_size, for every row of docs (doc_id, text)."""
+    """doc_id, text_hash, class_id (smallest doc_id of the class), class_size, for every row of docs (doc_id, text); and label, which no two classes share.
+
+    Two classes have one class_id only where rows with one doc_id have unlike texts.
+    """
     signed = saved(sign(docs), "signed")
     nodes = saved(signed.where("node IS NOT NULL AND doc_id IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("n"), F.first("bands").alias("bands")), "nodes")
     rows = nodes.select("node", F.posexplode("bands").alias("band", "key"))
@@ -316,20 +320,25 @@ def classes(docs: DataFrame, least: float = LEAST) -> DataFrame:
     if more.limit(1).count():
         labels = saved(components(edges.union(more)), "components")
     of_class = saved(labels.join(nodes.select("node", "doc_id", "n"), "node"), "members").groupBy("label").agg(F.min("doc_id").alias("class_id"), F.sum("n").alias("class_size"))
-    by_node = saved(labels.join(saved(of_class, "classes"), "label").select("node", "class_id", "class_size"), "linked")
-    by_node = saved(nodes.select("node", "doc_id", "n").join(by_node, "node", "left").select("node", F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("class_size", "n").alias("class_size")), "classes")
+    by_node = saved(labels.join(saved(of_class, "classes"), "label").select("node", "label", "class_id", "class_size"), "linked")
+    by_node = saved(nodes.select("node", "doc_id", "n").join(by_node, "node", "left").select("node", F.coalesce("label", "node").alias("label"), F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("class_size", "n").alias("class_size")), "classes")
     alone = F.col("node").isNull() | F.col("doc_id").isNull()
-    placed = signed.where(~alone).select("doc_id", "text_hash", "node").join(by_node, "node").select("doc_id", "text_hash", "class_id", "class_size")
-    return placed.union(signed.where(alone).select("doc_id", "text_hash", F.col("doc_id").alias("class_id"), F.lit(1).cast("long").alias("class_size")))
+    placed = signed.where(~alone).select("doc_id", "text_hash", "node").join(by_node, "node").select("doc_id", "text_hash", "class_id", "class_size", "label")
+    lone = F.concat_ws(" ", "doc_id", "text_hash").cast("binary")
+    return placed.union(signed.where(alone).select("doc_id", "text_hash", F.col("doc_id").alias("class_id"), F.lit(1).cast("long").alias("class_size"), lone.alias("label")))
 
 
 def representatives(docs: DataFrame, least: float = LEAST) -> DataFrame:
-    """The rows of docs of which one stays for each class: that of its smallest doc_id.
+    """The rows of docs of which one stays for each class: that of its smallest doc_id, and of the smallest text hash where rows of the class share that.
 
-    Rows with a null doc_id stay; of rows with one doc_id and one class, that of the smallest text hash.
+    Rows with a null doc_id stay; of rows equal in doc_id and text one does.  All columns stay, whatever they are called.
     """
     placed = classes(docs, least).where("doc_id IS NOT NULL")
-    keep = saved(placed.where("doc_id = class_id").groupBy("doc_id").agg(F.min("text_hash").alias("own_hash")), "kept")
-    named = docs.withColumn("__own_id", F.col("doc_id").cast("long")).withColumn("__own_hash", F.xxhash64(F.col("text").cast("string")))
-    stay = named.where("__own_id IS NOT NULL").join(keep.withColumnRenamed("doc_id", "__own_id").withColumnRenamed("own_hash", "__own_hash"), ["__own_id", "__own_hash"], "left_semi").dropDuplicates(["__own_id", "__own_hash"])
-    return stay.unionByName(named.where("__own_id IS NULL")).drop("__own_id", "__own_hash")
+    own_id, own_hash = "own_id", "own_hash"
+    while {own_id.lower(), own_hash.lower()} & {c.lower() for c in docs.columns}:
+        own_id, own_hash = own_id + "_", own_hash + "_"
+    first = placed.groupBy("label").agg(F.min(F.struct(F.col("doc_id").alias(own_id), F.col("text_hash").alias(own_hash))).alias("first"))
+    keep = saved(first.select("first.*").distinct(), "kept")
+    named = docs.withColumn(own_id, F.col("doc_id").cast("long")).withColumn(own_hash, F.xxhash64(F.col("text").cast("string")))
+    stay = named.where(F.col(own_id).isNotNull()).join(keep, [own_id, own_hash], "left_semi").dropDuplicates([own_id, own_hash])
+    return stay.unionByName(named.where(F.col(own_id).isNull())).drop(own_id, own_hash)

@@ -70,7 +70,7 @@ def op7_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tessera.llm import minhash
 
-    return minhash.classes(table(spark, sf_dir, "documents")).drop("text_hash")
+    return minhash.classes(table(spark, sf_dir, "documents")).drop("text_hash", "label")
 
 
 def op9_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:

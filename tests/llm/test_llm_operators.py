@@ -587,6 +587,16 @@ def test_near_duplicates_equal_brute_force(spark, docs, hard):
     assert minhash.classes(table.limit(0)).count() == 0
 
 
+def test_representatives_of_clashing_columns_and_shared_ids(spark):
+    long = " ".join(f"a{i}" for i in range(30))
+    rows = [(1, long), (1, "quite another text than the first one is"), (2, long + " more"), (3, "quite another text than the first one is"), (4, ""), (4, "!!"), (4, ""), (None, "")]
+    frame = spark.createDataFrame([(i, t, k) for k, (i, t) in enumerate(rows)], "doc_id long, text string, own_id int").withColumn("Own_Hash", F.lit("x")).withColumn("label", F.lit("y")).withColumn("class_id", F.lit(7))
+    got = minhash.representatives(frame)
+    assert got.columns == frame.columns
+    kept = [(r["doc_id"], r["text"]) for r in got.collect()]
+    assert Counter(kept) == Counter([(1, long), (1, rows[1][1]), (4, ""), (4, "!!"), (None, "")])
+
+
 def test_signatures_estimate_the_weighted_similarity():
     rng = np.random.default_rng(5)
     vocabulary = [f"w{i}" for i in range(300)]

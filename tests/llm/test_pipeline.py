@@ -52,6 +52,23 @@ def test_language_stage_without_labels_keeps_what_has_letters(spark):
     assert Counter(r["doc_id"] for r in out.collect()) == Counter(r["doc_id"] for r in table.collect() if any(c.isalpha() for c in r["text"] or ""))
 
 
+def test_stages_take_nulls_long_texts_and_clashing_columns(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").where("doc_id < 30")
+    rows = [(9001, None), (9002, ""), (9003, "long " + " ".join(f"w{i % 997}x" for i in range(60_000))), (9004, "clean and short"), (9004, "clean and short"), (None, "no id here")]
+    table = docs.unionByName(spark.createDataFrame([(i, t, None, None, 1) for i, t in rows], SCHEMA))
+    names = ["score", "lang_pred", "toxic_pred", "p_toxic", "n_hit", "contaminated", "class_id", "own_id", "others", "Score2", "held_out"]
+    for name in names:
+        table = table.withColumn(name, F.concat(F.lit(name), F.col("doc_id").cast("string")))
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, table, SF)
+        assert out.columns == table.columns and dict(out.dtypes) == dict(table.dtypes)
+        kept = out.collect()
+        assert all(r[n] == (None if r["doc_id"] is None else f"{n}{r['doc_id']}") for r in kept for n in names)
+        ids = {r["doc_id"] for r in kept}
+        assert {9003, 9004, None} <= ids and ({9001, 9002} <= ids) == (name != "language_id")
+    assert corpus_pipeline.STAGES[-1][1](spark, table, SF).count() == table.count()
+
+
 def test_empty_documents(spark):
     docs = spark.createDataFrame([], SCHEMA)
     for _, stage in corpus_pipeline.STAGES:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,10 +15,21 @@ from tessera.llm.shared import saved
 ORACLE_SQL = None
 
 
+def filtered(docs: DataFrame, operator: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """The rows of docs that the operator leaves of (doc_id, text, lang), with all columns of docs, whatever they are called.
+
+    The other columns go along in one struct, so that none clashes with what the operator adds.
+    """
+    own = [c for c in ("doc_id", "text", "lang") if c in docs.columns]
+    rest = [c for c in docs.columns if c not in own]
+    packed = docs.select(*own, F.struct(*[F.col(f"`{c}`") for c in rest] or [F.lit(0).alias("none")]).alias("others"))
+    return operator(packed).select(*[F.col(c) if c in own else F.col(f"others.`{c}`").alias(c) for c in docs.columns])
+
+
 def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that the classifier chain takes as toxic."""
-    scored = toxicity.classify(docs, table(spark, sf_dir, "labels"))
-    return scored.where(~F.coalesce("toxic_pred", F.lit(False))).select(*docs.columns)
+    labels = table(spark, sf_dir, "labels")
+    return filtered(docs, lambda d: toxicity.classify(d, labels).where(~F.coalesce("toxic_pred", F.lit(False))))
 
 
 def language_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -28,17 +41,18 @@ def language_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     model = langid.fit(learn)
     if not model.languages:
         return docs.where(F.coalesce(F.col("text").cast("string").rlike(r"\p{L}"), F.lit(False)))
-    return langid.identify(docs, model).where(F.col("lang_pred") != langid.UNKNOWN).select(*docs.columns)
+    return filtered(docs, lambda d: langid.identify(d, model).where(F.col("lang_pred") != langid.UNKNOWN))
 
 
 def near_duplicate_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one document of each near-duplicate class."""
-    return minhash.representatives(docs).select(*docs.columns)
+    return filtered(docs, minhash.representatives)
 
 
 def contamination_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that hold a window of a benchmark item."""
-    return decontam.find_contamination(docs, table(spark, sf_dir, "benchmark")).where("NOT contaminated").select(*docs.columns)
+    items = table(spark, sf_dir, "benchmark")
+    return filtered(docs, lambda d: decontam.find_contamination(d, items).where("NOT contaminated"))
 
 
 def piece_encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

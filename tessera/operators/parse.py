@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from tessera.functions import text as tx
+from tessera.sources.shared import saved
 
 DEEPEST = 6
 # Component tags of the pages and first headers of data tables.
@@ -188,7 +189,10 @@ def kinds(placed: DataFrame) -> DataFrame:
     the number of the list or code block that a line is part of.
 
     A list goes on over empty lines to the next item or indented line; what is indented there is never code.  An indented block that looks like prose is prose.
+    The lines are written once: paragraphs, lists and blocks all read them.  Lines that have their kind stay as they are.
     """
+    if "kind" in placed.columns:
+        return placed
     plain = (F.col("fence") == 0) & (F.col("level") == 0)
     blank, table = F.trim("line") == "", F.rlike("line", F.lit(r"^\s*\||^\s*<!--"))
     item = plain & F.rlike("line", F.lit(ITEM)) & ~F.rlike("line", F.lit(r"^\s*([*_-]\s*){3,}$"))
@@ -206,7 +210,7 @@ def kinds(placed: DataFrame) -> DataFrame:
     lists = F.sum(((F.col("kind") == "item") & ~F.coalesce(F.lag("in_list").over(by_page()), F.lit(False))).cast("int")).over(so_far())
     told = named.withColumn("opener", opener).withColumn("run", F.when(F.col("kind").isin("item", "more"), lists).when(F.col("kind") == "deep", F.col("block")))
     told = told.withColumn("kind", F.when(F.col("kind") != "deep", F.col("kind")).when(F.col("opener") == "prose", "prose").otherwise("code"))
-    return told.drop("last", "above", "in_list", "before", "block", "opener")
+    return saved(told.drop("last", "above", "in_list", "before", "block", "opener"), "lines")
 
 
 def indented_blocks(placed: DataFrame) -> DataFrame:
@@ -241,7 +245,7 @@ def paragraphs(placed: DataFrame) -> DataFrame:
     titled = F.contains(F.lag("line", 1, "").over(by_page()), F.lit(TITLE))
     runs = told.withColumn("breaks", (~prose | titled).cast("int")).withColumn("run", F.sum("breaks").over(so_far())).where(prose)
     plain = runs.groupBy("path", "section_id", "run").agg(F.min("pos").alias("pos"), F.sort_array(F.collect_list(F.struct("pos", inline_text(F.col("line")).alias("t")))).alias("ls")).select("path", "section_id", "pos", F.array_join(F.transform("ls", lambda x: x["t"]), " ").alias("text"))
-    return plain.unionByName(lists(placed)).unionByName(indented_blocks(placed).where("prose").drop("prose"))
+    return plain.unionByName(lists(told)).unionByName(indented_blocks(told).where("prose").drop("prose"))
 
 
 def section_text(placed: DataFrame) -> DataFrame:
@@ -251,6 +255,7 @@ def section_text(placed: DataFrame) -> DataFrame:
 
 def code_blocks(placed: DataFrame) -> DataFrame:
     """Fenced and indented blocks: node_id, section_id, position, language, text, preceding (the paragraph before it in its section), group_id."""
+    placed = kinds(placed)
     group = F.sum(F.rlike("line", F.lit("<!--codegroup-->")).cast("int")).over(so_far())
     open_ = group - F.sum(F.rlike("line", F.lit("<!--/codegroup-->")).cast("int")).over(so_far())
     inside = placed.withColumn("group_no", F.when(open_ > 0, group)).where("fence_no > 0 AND fence = 1").withColumn("block", F.ceil(F.col("fence_no") / 2))

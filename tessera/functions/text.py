@@ -123,6 +123,11 @@ def graded_match(name: Column, terms: Column) -> Column:
     )
 
 
+def entity_label(entity_id: Column) -> Column:
+    """The label in front of an entity's id (all of it where it has none)."""
+    return F.substring_index(entity_id, ":", 1)
+
+
 def citation_ids(answer: Column) -> Column:
     """The numbers in [n] marks, each once, in the order in which they are first met; one too large for a long is the largest long, so still out of range."""
     found = F.regexp_extract_all(F.coalesce(answer, F.lit("")), F.lit(r"\[(\d+)\]"), F.lit(1))

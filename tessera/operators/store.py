@@ -54,6 +54,12 @@ def checked_edges(edges: DataFrame, nodes: DataFrame) -> DataFrame:
     return edges.join(keys.withColumnRenamed("node_id", "source_id"), "source_id", "left_semi").join(keys.withColumnRenamed("node_id", "target_id"), "target_id", "left_semi")
 
 
+def hydrated(rows: DataFrame, nodes: DataFrame, columns: list[str]) -> DataFrame:
+    """rows (node_id and more) with the payload columns of their nodes; null where a node isn't there.  Only rows' ids and these columns are shuffled."""
+    own = [c for c in rows.columns if c not in columns]
+    return rows.select(*own).join(nodes.select("node_id", *columns), "node_id", "left")
+
+
 def write_properties(nodes: DataFrame, updates: DataFrame, key: list[str]) -> DataFrame:
     """nodes with the updates set; an update without its node ends the job."""
     found = updates.join(nodes.select(*key).withColumn("is_node", F.lit(True)), key, "left")

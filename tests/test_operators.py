@@ -230,6 +230,37 @@ def test_update_cards_are_synthesized_sections(spark):
     assert audit.update_cards(frame, found).collect() == [] and [tuple(r) for r in audit.update_cards(frame, found.where("NOT synthesized")).collect()] == [("p.md", 1, 0)]
 
 
+def test_hydration_labels_and_citations_out_of_range(spark):
+    nodes = spark.createDataFrame([("Tool:a:b", "text", "u"), ("x", "more", None)], "node_id string, indexed_text string, url string")
+    rows = spark.createDataFrame([("Tool:a:b", "s1", "old"), ("gone", "s2", "old")], "node_id string, seed_id string, url string")
+    got = store.hydrated(rows, nodes, ["indexed_text", "url"]).select("node_id", "seed_id", "indexed_text", "url", tx.entity_label(F.col("node_id")).alias("label"))
+    assert {tuple(r) for r in got.collect()} == {("Tool:a:b", "s1", "text", "u", "Tool"), ("gone", "s2", None, None, "gone")}
+    check = one(spark, tx.citation_check(F.lit("a [1] b [99999999999999999999999]"), F.lit(2), F.array(F.lit(1))))
+    assert not check["ok"] and check["missing"] == [] and check["out_of_range"] == [2**63 - 1]
+
+
+@pytest.mark.parametrize("text", ["<Card\n  title='" + "x" * 1000 + "'\n  href=\"/a\">\nbody\n</Card>\n"])
+def test_open_tags_of_any_length_stand_on_one_line(spark, text):
+    assert [r["line"] for r in parse.lines(spark.createDataFrame([("p", text)], "path string, text string")).orderBy("pos").collect()] == ["<Card title='" + "x" * 1000 + "' href=\"/a\">", "body", "</Card>", ""]
+
+
+def test_all_rules_and_labels_count(spark):
+    rules = spark.createDataFrame([(i, f"p{i}.md", None, ["tool"], "Tool", "row") for i in range(10_001)], entities.RULE_SCHEMA)
+    rows = spark.createDataFrame([(f"r{i}", "s", f"p{i}.md", 0, 0, ["tool"], [f"n{i}"]) for i in (0, 10_000)], "node_id string, section_id string, path string, table_position int, position int, headers array<string>, cells array<string>")
+    assert {r["name"] for r in entities.from_rows(rows, rules).collect()} == {"n0", "n10000"}
+    edges = spark.createDataFrame([(f"n{i}", f"n{i + 1}") for i in range(9)] + [("n9", "n3")], "source_id string, target_id string")
+    roots = spark.createDataFrame([("n0",)], "node_id string")
+    assert {r["node_id"]: r["depth"] for r in graph.closure(edges, roots).collect()} == {f"n{i}": i for i in range(10)}  # deeper than sections go, and with a cycle
+
+
+def test_hybrid_search_finds_wanted_labels_among_many(spark):
+    nodes = spark.createDataFrame([("a", "Section", "alpha beta", [1.0, 0.0])], "node_id string, node_label string, indexed_text string, embedding array<double>")
+    none = spark.createDataFrame([], "node_id string, label string, name string")
+    labels = [f"Other{i}" for i in range(300)] + ["Section"]
+    asked = spark.createDataFrame([(1, "alpha", labels, [], [1.0, 0.0])], "query_id int, text string, target_labels array<string>, keywords array<string>, vector array<double>")
+    assert [r["node_id"] for r in search.hybrid_search(nodes, none, asked).collect()] == ["a"]
+
+
 def test_page_header(spark, page):
     frame, _, _ = page
     index = spark.createDataFrame([("https://h/docs/en/bare.md", "from the index")], "url string, description string")

@@ -22,6 +22,7 @@ import os
 import struct
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,6 +37,8 @@ from tessera.llm.units import LETTERS, UnitIds, gather, stops_apart
 #: Fixed values of the seekable format.
 SKIPPABLE_MAGIC, SEEKABLE_MAGIC, WITH_CHECKSUMS = 0x184D2A5E, 0x8F92EAB1, 0x80
 FRAME_IDS = 1 << 16
+#: Text of a shard at most, about; with few texts there are as many shards as shuffle partitions.
+SHARD_BYTES = 256 << 20
 #: Words of Latin letters alone.
 PLAIN = rf"^[{LETTERS}]+$"
 
@@ -94,10 +97,10 @@ class ShardWriter:
         import zstandard
 
         self.press = zstandard.ZstdCompressor(level=1, write_checksum=True, write_content_size=True)
-        self.write, self.frame_ids, self.table, self.index, self.open, self.size = write, frame_ids, [], [], [], 0
+        self.write, self.frame_ids, self.table, self.index, self.open, self.size = write, frame_ids, [], array("q"), [], 0
 
     def add(self, key: int | None, ids: np.ndarray) -> None:
-        self.index.append((key or 0, key is None, len(self.table), self.size, len(ids)))
+        self.index.extend((key or 0, key is None, len(self.table), self.size, len(ids)))
         self.open.append(ids)
         self.size += len(ids)
         if self.size >= self.frame_ids:
@@ -238,5 +241,7 @@ def read_shards(spark: SparkSession, manifest: list[dict]) -> DataFrame:
 def encode_to_shards(spark: SparkSession, docs: DataFrame, tokenizer: str, end_id: int = 2, folder: str | None = None, shards: int | None = None) -> DataFrame:
     """Writes the documents as shards and reads them back."""
     folder = folder or f"{shared_folder(spark)}/tokens-{uuid.uuid4().hex}"
-    shards = shards or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if not shards:
+        size = docs.agg(F.sum(F.octet_length(F.col("text").cast("string")))).first()[0] or 0
+        shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // SHARD_BYTES))
     return read_shards(spark, write_shards(docs, tokenizer, folder, end_id, shards))

@@ -175,6 +175,16 @@ def test_token_shards_equal_the_library(spark, docs, hard, tmp_path):
     assert shard.find(-5) == []
 
 
+def test_token_shards_follow_the_size_of_the_texts(spark, docs, hard, monkeypatch):
+    monkeypatch.setattr(tokenbin, "SHARD_BYTES", 20_000)
+    path = public_tokenizers.path("word_bpe_49k.json")
+    clash = hard.withColumn("n_tokens", F.lit("x")).withColumn("ids_crc32", F.lit("x"))
+    few = tokenbin.encode_to_shards(spark, clash, path, shards=1).collect()
+    many = tokenbin.encode_to_shards(spark, clash, path)
+    assert many.rdd.getNumPartitions() > 8 or many.count() == len(few)
+    assert Counter(map(tuple, many.collect())) == Counter(map(tuple, few)) and len(few) == len(HARD)
+
+
 def test_token_shards_find_damage_and_take_an_empty_table(spark, empty):
     raw = bytearray()
     writer = tokenbin.ShardWriter(raw.extend, 4)

@@ -85,11 +85,29 @@ def op10_piece_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece.encode_documents(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
 
 
+def op11_reversed_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tessera.llm import revsearch
+
+    return revsearch.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tessera.llm import whitening
+
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tessera.llm import tokencount
+
+    return tokencount.count(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_language_id, op2_token_shards, op3_html_text, op4_toxicity, op5_decontamination, op6_nearest_vectors, op7_licence_scan, op8_near_duplicates, op9_warc_derivatives, op10_piece_encoding)}
+    return {f.__name__: f for f in (op1_language_id, op2_token_shards, op3_html_text, op4_toxicity, op5_decontamination, op6_nearest_vectors, op7_licence_scan, op8_near_duplicates, op9_warc_derivatives, op10_piece_encoding, op11_reversed_search, op12_whitening, op13_token_counts)}
 
 
 def oracle_sql() -> dict[str, str]:
-    from tessera.llm import decontam, licences
+    from tessera.llm import decontam, licences, revsearch
 
-    return {"op5_decontamination": decontam.SQL, "op7_licence_scan": licences.SQL}
+    return {"op5_decontamination": decontam.SQL, "op7_licence_scan": licences.SQL, "op11_reversed_search": revsearch.SQL}

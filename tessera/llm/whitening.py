@@ -19,6 +19,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -207,7 +208,7 @@ def usable(df: DataFrame, vector: str) -> DataFrame:
 
 def matrices(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """For each length of the vectors of a batch: which they are, and their whole numbers."""
-    lengths = pa.compute.list_value_length(column).to_numpy(zero_copy_only=False)
+    lengths = pc.list_value_length(column).to_numpy(zero_copy_only=False)
     for size in np.unique(lengths).tolist():
         of = np.flatnonzero(lengths == size)
         c = column.take(pa.array(of)).flatten().to_numpy(zero_copy_only=False).astype(float).reshape(len(of), size)

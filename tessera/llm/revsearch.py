@@ -21,6 +21,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -92,7 +93,7 @@ def item_blocks(items: DataFrame, block_bytes: int = BLOCK_BYTES) -> tuple[DataF
         block, size = TaskContext.get().partitionId() << 32, 0
         for batch in batches:
             numbers = []
-            for length in (x.as_py() or 0 for x in pa.compute.binary_length(batch.column(1))):
+            for length in (x.as_py() or 0 for x in pc.binary_length(batch.column(1))):
                 if size and size + length > block_bytes:
                     block, size = block + 1, 0
                 size += length

@@ -6,6 +6,8 @@ page.  Pages are (path, text); every result carries path and line positions.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
@@ -17,14 +19,27 @@ DEEPEST = 6
 CALLOUTS = ("Note", "Tip", "Info", "Warning", "Check")
 UNWRAPPED = ("Experiment", "Frame", "Tabs", "AccordionGroup", "CardGroup", "Steps", "RequestExample", "ResponseExample")
 TITLED = ("Tab", "Accordion", "Card", "Expandable", "Step")
+FIELDS = ("ParamField", "ResponseField")
+DROPPED = ("Hero",)
+INLINE = {"strong": "**", "b": "**", "em": "*", "i": "*", "code": "`", "a": "", "span": ""}
 DATA_HEADERS = ("tool", "key", "event", "mode", "setting", "field", "parameter", "rule")
-#: Attributes of a tag (up to 200 values): values in quotes or braces may hold angle brackets.
-ATTRIBUTES = r"(?:\"[^\"]*\"|'[^']*'|\{[^{}]*\}|[^<>\"'{}]++){0,400}+"
-OPEN_TAG = rf"<[A-Z]\w*{ATTRIBUTES}>"
-TAG_OVER_LINES = r"<[A-Z][^<>]*>"
+#: What stands in braces in a tag: other braces in it (so deep), and strings, which may hold any.
+BRACES = 8
 #: What marks the heading of an update card, and a title, after which a paragraph ends.
 UPDATE, TITLE = "<!--update-->", "<!--title-->"
 LINK = r"(?<!!)\[((?:[^\[\]]|`[^`]*`)*)\]\(\s*<?([^)\s>]*)>?(?:\s+\"[^\"]*\")?\s*\)"
+FENCE = r"^[ \t]*(`{3,}|~{3,})(.*)$"
+QUOTED = r"\"[^\"]*+\"|'[^']*+'"
+
+
+def _braced(depth: int) -> str:
+    inner = r"[^{}\"'`]++|\"(?:[^\"\\]|\\.)*+\"|'(?:[^'\\]|\\.)*+'|`(?:[^`\\]|\\.)*+`"
+    return rf"\{{(?:{inner}{'|' + _braced(depth - 1) if depth else ''})*+\}}"
+
+
+#: A tag: its attributes are in quotes or braces, which may hold angle brackets and line ends, or plain; of any number and length.
+TAG = rf"</[A-Za-z][\w.]*\s*>|<[A-Za-z][\w.]*(?=[\s/>])(?:[^<>\"'{{}}]++|{QUOTED}|{_braced(BRACES)})*+>"
+ATTRIBUTE = rf"[A-Za-z_:][\w:.\-]*(?:\s*=\s*(?:{QUOTED}|{_braced(BRACES)}|[^\s\"'{{}}<>/]+))?"
 
 
 def by_page() -> WindowSpec:
@@ -39,80 +54,248 @@ def before() -> WindowSpec:
     return by_page().rowsBetween(Window.unboundedPreceding, -1)
 
 
-def lines(pages: DataFrame) -> DataFrame:
-    """path, pos, line, and fence: 1 on the lines of a fenced block (its marks too), with fence_no counting the marks so far."""
-    text = F.regexp_replace(F.coalesce("text", F.lit("")), r"\r\n?", "\n")
+def _spans(of: str = "a int, b int, closed boolean") -> Column:
+    return F.array().cast(f"array<struct<{of.replace(' int', ':int').replace(' boolean', ':boolean')}>>")
+
+
+def fence_spans(lines: Column) -> Column:
+    """The fenced blocks of an array of lines as spans (a, b, closed), marks included: a fold over the lines that could be marks.
+
+    What is carried is the open mark: a block ends at a bare mark of the same character, as long at least, or with the last line.  Other marks inside are text.
+    """
+    marks = F.filter(F.transform(lines, lambda x, i: F.struct(i.alias("at"), F.regexp_extract(x, FENCE, 1).alias("run"), F.regexp_extract(x, FENCE, 2).alias("info"))), lambda m: m["run"] != "")
+
+    def step(s: Column, m: Column) -> Column:
+        opens = (s["open"] < 0) & ~(F.startswith(m["run"], F.lit("`")) & F.contains(m["info"], F.lit("`")))
+        closes = (s["open"] >= 0) & F.startswith(m["run"], s["run"]) & (F.trim(m["info"]) == "")
+        ended = F.concat(s["spans"], F.array(F.struct(s["open"].alias("a"), m["at"].alias("b"), F.lit(True).alias("closed"))))
+        return F.when(opens, F.struct(m["at"].alias("open"), m["run"].alias("run"), s["spans"].alias("spans"))).when(closes, F.struct(F.lit(-1).alias("open"), F.lit("").alias("run"), ended.alias("spans"))).otherwise(s)
+
+    last = lambda s: F.when(s["open"] < 0, s["spans"]).otherwise(F.concat(s["spans"], F.array(F.struct(s["open"].alias("a"), (F.size(lines) - 1).alias("b"), F.lit(False).alias("closed")))))
+    return F.aggregate(marks, F.struct(F.lit(-1).alias("open"), F.lit("").alias("run"), _spans().alias("spans")), step, last)
+
+
+def by_span(lines: Column, spans: Column, plain: Callable[[Column], Column], fenced: Callable[[Column, Column, Column], Column]) -> Column:
+    """plain(lines) of what is before, between and after the spans, and fenced(lines, span, number from 1) of each, in order; both give arrays."""
+    n, m = F.size(lines), F.size(spans)
+
+    def part(k: Column) -> Column:
+        span = F.get(spans, k)
+        begin = F.when(k > 0, F.get(spans, k - 1)["b"] + 1).otherwise(0)
+        before = plain(F.slice(lines, begin + 1, F.greatest(F.coalesce(span["a"], n) - begin, F.lit(0))))
+        return F.when(k < m, F.concat(before, fenced(F.slice(lines, span["a"] + 1, span["b"] - span["a"] + 1), span, k + 1))).otherwise(before)
+
+    return F.flatten(F.transform(F.sequence(F.lit(0), m), part))
+
+
+def _lines(text: Column) -> Column:
+    """The lines of a page without style and script elements and what a page begins with between two lines of dashes."""
+    text = F.regexp_replace(F.coalesce(text, F.lit("")), r"\r\n?", "\n")
     text = F.regexp_replace(text, r"(?is)<style\b[^>]*>.*?</style\s*>|<script\b[^>]*/>|<script\b[^>]*>.*?</script\s*>", "")
-    # an open tag stands on one line: the tags and what is between them, apart and together again
-    tags = F.transform(F.regexp_extract_all(text, F.lit(TAG_OVER_LINES), F.lit(0)), lambda t: F.regexp_replace(t, r"\s*\n\s*", " "))
-    whole = F.array_join(F.zip_with(F.split(text, TAG_OVER_LINES), tags, lambda a, b: F.concat(a, F.coalesce(b, F.lit("")))), "")
-    text = F.when(F.rlike(text, F.lit(r"<[A-Z][^<>]*\n")), whole).otherwise(text)
-    split = pages.withColumn("text", text).select("path", F.posexplode(F.split("text", "\n")).alias("pos", "line"))
-    mark = F.rlike("line", F.lit(r"^\s*(```|~~~)"))
-    counted = split.withColumn("mark", mark).withColumn("fence_no", F.sum(F.col("mark").cast("int")).over(so_far()))
-    return counted.withColumn("fence", (F.col("mark") | (F.col("fence_no") % 2 == 1)).cast("int"))
-
-
-def without_exports(marked: DataFrame) -> DataFrame:
-    """Lines that are in no top-level export and no top-level expression in braces.
-
-    One begins at a line that begins with export or, outside of these, with an opening brace.  It is that line alone if the line's brackets (outside of
-    strings) balance and it doesn't go on (with = or => or a comma at its end); else it ends at the next line that begins with a closing bracket.
-    An expression that never ends is text.
+    return F.split(F.regexp_replace(text, r"\A---[ \t]*\n(?:(?!---[ \t]*(?:\n|\z))[^\n]*+\n)*+---[ \t]*(?:\n|\z)", ""), "\n")
+
+
+def lines(pages: DataFrame) -> DataFrame:
+    """path, pos, line, and fence: 1 on the lines of a fenced block, mark: whether it is one of its marks, fence_no: the block's number from 1 (else 0)."""
+    row = lambda line, fence, mark, no: F.struct(line.alias("line"), F.lit(fence).alias("fence"), mark.alias("mark"), no.cast("int").alias("fence_no"))
+    plain = lambda ls: F.transform(ls, lambda x: row(x, 0, F.lit(False), F.lit(0)))
+    fenced = lambda ls, span, no: F.transform(ls, lambda x, i: row(x, 1, (i == 0) | (span["closed"] & (i == span["b"] - span["a"])), no))
+    told = pages.select("path", _lines(F.col("text")).alias("ls")).withColumn("spans", fence_spans(F.col("ls")))
+    return told.select("path", F.posexplode(by_span(F.col("ls"), F.col("spans"), plain, fenced)).alias("pos", "x")).select("path", "pos", "x.*")
+
+
+STRINGS = r"\"(?:[^\"\\]|\\.)*+\"|'(?:[^'\\]|\\.)*+'|`(?:[^`\\]|\\.)*+`|/\*.*?\*/|(?<!:)//.*$"
+
+
+def statement_spans(lines: Column, fences: Column) -> Column:
+    """Top-level exports and expressions in braces as spans of lines: a fold with the depth of brackets and the quote that is open.
+
+    One begins outside of code at a line that begins with export, or with a brace.  It ends with the first line after which its brackets balance, no template literal or comment is open,
+    and the statement doesn't go on (with an operator, comma or bracket at the line's end or an operator or brace at the next one's begin).  An expression that doesn't end before the next
+    heading or export is text.  An export that doesn't ends at its first line of a closing brace alone, else before its first empty line.
+    """
+
+    def told(line: Column, quote: str) -> Column:
+        """What a line that begins within the quote does: depth, goes (on), and the quote that is open at its end."""
+        shut = {"": F.lit(True), "`": F.rlike(line, F.lit(r"^(?:[^`\\]|\\.)*+`")), "*": F.contains(line, F.lit("*/"))}[quote]
+        rest = {"": line, "`": F.regexp_replace(line, r"^(?:[^`\\]|\\.)*+`", ""), "*": F.regexp_replace(line, r"^.*?\*/", "")}[quote]
+        bare = F.regexp_replace(rest, STRINGS, "")
+        own = F.regexp_replace(bare, r"(?:`|/\*).*$", "")
+        depth = F.regexp_count(own, F.lit(r"[\[({]")) - F.regexp_count(own, F.lit(r"[\])}]"))
+        inside = F.substring(F.replace(F.regexp_extract(bare, r"`|/\*", 0), F.lit("/*"), F.lit("*")), 1, 1)
+        value = lambda a, b, c: F.struct(a.cast("int").alias("depth"), b.alias("goes"), c.alias("quote"))
+        return F.when(shut, value(depth, F.rlike(own, F.lit(r"(?:=>?|[,(&|?:+])\s*$")), inside)).otherwise(value(F.lit(0), F.lit(True), F.lit(quote)))
+
+    def line(x: Column, i: Column) -> Column:
+        code = F.exists(fences, lambda s: (i >= s["a"]) & (i <= s["b"]))
+        is_ = lambda pattern: ~code & F.rlike(x, F.lit(pattern))
+        return F.struct(
+            i.alias("at"), code.alias("code"), is_(r"^export\s+(const|let|var|function|default|class|async|type|interface)\b").alias("export"), is_(r"^\{").alias("brace"), is_(r"^#{1,6}\s").alias("heading"),
+            is_(r"^\};?\s*$").alias("close"), (~code & (F.trim(x) == "")).alias("blank"), F.rlike(F.coalesce(F.get(lines, i + 1), F.lit("")), F.lit(r"^\s*(?:[.?&|+]|\{)")).alias("more"),
+            told(x, "").alias("plain"), told(x, "`").alias("template"), told(x, "*").alias("comment"),
+        )
+
+    state = lambda kind, depth, quote, a, close, blank, spans: F.struct(kind.alias("kind"), depth.alias("depth"), quote.alias("quote"), a.alias("a"), close.alias("close"), blank.alias("blank"), spans.alias("spans"))
+    none, zero = F.lit(-1), F.lit(0)
+    outside = lambda spans: state(zero, zero, F.lit(""), none, none, none, spans)
+    add = lambda spans, a, b: F.concat(spans, F.array(F.struct(a.alias("a"), b.alias("b"))))
+
+    def given_up(s: Column, end: Column) -> Column:
+        """The spans when a statement didn't end before the line ``end``."""
+        last = F.when(s["close"] >= 0, s["close"]).when(s["blank"] >= 0, s["blank"] - 1).otherwise(end - 1)
+        return F.when(s["kind"] == 1, add(s["spans"], s["a"], last)).otherwise(s["spans"])
+
+    def begin(spans: Column, x: Column) -> Column:
+        kind = F.when(x["export"], 1).otherwise(2)
+        i = x["plain"]
+        whole = (i["depth"] <= 0) & ~i["goes"] & (i["quote"] == "") & ~(x["export"] & x["more"])
+        return F.when(~(x["export"] | x["brace"]), outside(spans)).when(whole, outside(add(spans, x["at"], x["at"]))).otherwise(state(kind, i["depth"], i["quote"], x["at"], none, none, spans))
+
+    def step(s: Column, x: Column) -> Column:
+        i = F.when(s["quote"] == "`", x["template"]).when(s["quote"] == "*", x["comment"]).otherwise(x["plain"])
+        depth = s["depth"] + i["depth"]
+        ends = (depth <= 0) & ~i["goes"] & (i["quote"] == "") & ~((s["kind"] == 1) & x["more"])
+        first = lambda name: F.when((s[name] < 0) & x[name], x["at"]).otherwise(s[name])
+        within = F.when(x["code"], s).when(ends, outside(add(s["spans"], s["a"], x["at"]))).otherwise(state(s["kind"], depth, i["quote"], s["a"], first("close"), first("blank"), s["spans"]))
+        stops = (s["quote"] == "") & (x["heading"] | x["export"])
+        return F.when(s["kind"] == 0, begin(s["spans"], x)).when(stops, begin(given_up(s, x["at"]), x)).otherwise(within)
+
+    empty = _spans("a int, b int")
+    found = F.aggregate(F.transform(lines, line), outside(empty), step, lambda s: F.when(s["kind"] == 0, s["spans"]).otherwise(given_up(s, F.size(lines))))
+    return F.when(F.exists(lines, lambda x: F.rlike(x, F.lit(r"^(?:export\s|\{)"))), found).otherwise(empty)
+
+
+def attribute(pairs: Column, *names: str) -> Column:
+    """The value of the first of the names in a tag's attributes (name=value), without quotes and braces; true for one without a value, null for none or an empty one."""
+
+    def value(name: str) -> Column:
+        own = F.get(F.filter(pairs, lambda p: F.regexp_extract(p, r"^[\w:.\-]+", 0) == name), 0)
+        text = F.regexp_extract(own, r"(?s)^[\w:.\-]+\s*=\s*(?:\{\s*)?([\"'`]?)(.*?)\1\s*\}?$", 2)
+        return F.when(F.contains(own, F.lit("=")), F.regexp_replace(text, r"\s*\n\s*", " ")).when(own.isNotNull(), "true")
+
+    found = [value(n) for n in names]
+    return F.get(F.filter(F.array(*found), lambda v: v != ""), 0)
+
+
+#: Columns of what tags say, by the attributes that say it.
+SAID = {"title": ("title",), "field": ("path", "name", "body"), "type": ("type",), "required": ("required",), "label": ("label",), "description": ("description",), "href": ("href",), "image": ("data-path", "src"), "alt": ("alt",)}
+
+
+def tokens(pages: DataFrame) -> DataFrame:
+    """path, k, kind (text, tag or fence), s: pages in pieces, with starts where a piece begins a line, tag's name, and whether it opens or closes (a matched pair), and opener: the tag that a close belongs to.
+
+    The opening and closing tags of a name are matched by the running depth: a close belongs to the last open of its depth if no other close does.  Others are text.
+    """
+    piece = lambda kind, x, starts: F.struct(F.lit(kind).alias("kind"), x.alias("s"), starts.alias("starts"))
+
+    def plain(ls: Column) -> Column:
+        text = F.concat(F.array_join(ls, "\n"), F.lit("\n"))
+        between, tags = F.split(text, TAG), F.regexp_extract_all(text, F.lit(TAG), F.lit(0))
+        parts = F.transform(between, lambda x, i: F.array(piece("text", x, i == 0), piece("tag", F.coalesce(F.get(tags, i), F.lit("")), F.lit(False))))
+        return F.when(F.size(ls) > 0, F.flatten(parts)).otherwise(F.array().cast("array<struct<kind:string,s:string,starts:boolean>>"))
+
+    fenced = lambda ls, span, no: F.array(piece("fence", F.concat(F.array_join(ls, "\n"), F.lit("\n")), F.lit(True)))
+    rows = pages.select("path", F.posexplode(by_span(F.col("ls"), F.col("spans"), plain, fenced)).alias("k", "x")).select("path", "k", "x.*").where("kind <> 'tag' OR s <> ''")
+    known = (*CALLOUTS, *UNWRAPPED, *TITLED, *FIELDS, *DROPPED, *INLINE, "CodeGroup", "Update", "div", "p", "img")
+    name = F.when(F.col("kind") == "tag", F.regexp_extract("s", r"^</?([\w.]+)", 1))
+    named = rows.withColumn("name", F.when(name.isin(*known), name)).withColumn("alone", F.col("name").isNotNull() & (F.endswith("s", F.lit("/>")) | (F.col("name") == "img")))
+    paired = F.col("name").isNotNull() & ~F.col("alone")
+    told = named.withColumn("step", F.when(~paired, 0).when(F.startswith("s", F.lit("</")), -1).otherwise(1))
+    of_name = Window.partitionBy("path", "name").orderBy("k")
+    level = told.withColumn("level", F.sum("step").over(of_name.rowsBetween(Window.unboundedPreceding, Window.currentRow)) + F.when(F.col("step") < 0, 1).otherwise(0)).withColumn("is_step", F.col("step") != 0)
+    of_level = Window.partitionBy("path", "name", "level", "is_step").orderBy("k")
+    matched = level.withColumn("opens", (F.col("step") == 1) & (F.lead("step").over(of_level) == -1)).withColumn("closes", (F.col("step") == -1) & (F.lag("step").over(of_level) == 1)).withColumn("opener", F.when(F.col("step") == -1, F.lag("s").over(of_level)))
+    return matched.select("path", "k", "kind", "s", "starts", "name", "alone", F.coalesce("opens", F.lit(False)).alias("opens"), F.coalesce("closes", F.lit(False)).alias("closes"), "opener")
+
+
+def _rewritten() -> Column:
+    """What stands in the place of a known tag; of a close, what its opener says."""
+    name, opens, closes, alone, empty = (F.col(c) for c in ("name", "opens", "closes", "alone", "empty"))
+    join = lambda *parts: F.concat(*[x if isinstance(x, Column) else F.lit(x) for x in parts])
+    lead = F.when(F.col("lead") != "", join("\n\n**", F.col("lead"), "**\n\n")).otherwise("\n\n")
+    card = join("\n\n## ", F.coalesce("label", F.lit("")), f" {UPDATE}\n\n", F.coalesce("description", F.lit("")), "\n\n")
+    quoted = lambda c: F.replace(F.coalesce(c, F.lit("")), F.lit('"'), F.lit("&quot;"))
+    mark = F.lit("")
+    for n, m in INLINE.items():
+        mark = F.when(name == n, m).otherwise(mark)
+    out = F.when(name == "img", join('<!--image path="', quoted("image"), '" alt="', quoted("alt"), '"-->'))
+    out = out.when(alone & name.isin(*FIELDS), lead).when(alone & name.isin(*TITLED, *UNWRAPPED, *DROPPED), "").when(~(opens | closes), F.col("s"))
+    out = out.when(name.isin(*CALLOUTS), F.when(opens, join("\n\n<!--callout:", F.lower(name), "-->\n")).otherwise("\n<!--/callout-->\n\n"))
+    out = out.when(name == "CodeGroup", F.when(opens, "\n\n<!--codegroup-->\n").otherwise("\n<!--/codegroup-->\n\n"))
+    out = out.when(name == "Update", F.when(opens, card).otherwise("\n\n"))
+    out = out.when(name.isin(*FIELDS), F.when(opens, lead).otherwise("\n\n"))
+    out = out.when(name.isin(*TITLED), F.when(closes, "\n\n").when(F.col("title").isNotNull(), join("\n\n**", F.col("title"), f"**{TITLE}\n\n")).when(name == "Step", "\n\n1. ").otherwise("\n\n"))
+    out = out.when(name == "p", F.when(empty, "").otherwise("\n\n"))
+    out = out.when(name == "a", F.when(empty | F.col("href").isNull(), "").when(opens, "[").otherwise(join("](", F.col("href"), ")")))
+    return out.when(name.isin(*INLINE), F.when(empty, "").otherwise(mark)).otherwise("")
+
+
+def components(pages: DataFrame) -> DataFrame:
+    """path, text: pages (path, ls and spans: lines and fenced blocks) with their component tags as Markdown or as the comments that later steps read.
+
+    Every tag is rewritten where it stands; what it does to its body goes by running counts over the pieces: a body goes with a dropped component; it loses the indentation that
+    the lines right in it share (those of fenced blocks too); a step without a title is an item of a list, and its lines are indented.
     """
-    bare = F.regexp_replace("line", r"\"(?:[^\"\\]|\\.)*\"|'(?:[^'\\]|\\.)*'|`[^`]*`", "")
-    count = lambda pattern: F.regexp_count(bare, F.lit(pattern))
-    exports = F.rlike("line", F.lit(r"^export\s+(const|let|var|function|default|class|async|type|interface)\b"))
-    opens = (F.col("fence") == 0) & (exports | F.startswith("line", F.lit("{")))
-    whole = F.rlike("line", F.lit(r";\s*$")) & (count(r"[\[({]") <= count(r"[\])}]")) | ((count(r"[\[({]") == count(r"[\])}]")) & ~F.rlike(bare, F.lit(r"(=>?|,|\()\s*$")))
-    closes = F.rlike("line", F.lit(r"^[})\]]"))
-    after = by_page().rowsBetween(1, Window.unboundedFollowing)
-    ended = marked.withColumn("opens", opens & (exports | whole | F.max(closes).over(after))).withColumn("whole", whole)
-    last_open = F.last(F.when(F.col("opens"), F.col("pos")), True).over(so_far())
-    last_close = F.last(F.when(closes | (F.col("opens") & F.col("whole")), F.col("pos")), True).over(before())
-    inside = last_open.isNotNull() & (F.col("opens") | (F.coalesce(last_close, F.lit(-1)) < last_open))
-    return ended.withColumn("inside", inside).where(~F.col("inside")).drop("inside", "opens", "whole")
-
-
-def dedented(marked: DataFrame) -> DataFrame:
-    """Lines in component tags without the indentation that all lines of their innermost component share (also those of fenced blocks).
-
-    A line's depth is the components that are open before it, less those that it closes; a component's lines are those of a depth since the last line that
-    opened one of it.
+    order = Window.partitionBy("path").orderBy("k")
+    running = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    count = lambda what: F.sum(F.when(what & F.col("opens"), 1).when(what & F.col("closes"), -1).otherwise(0)).over(running)
+    name, text = F.col("name"), F.col("kind") == "text"
+    block = name.isNotNull() & ~name.isin(*INLINE)
+    said = F.when(F.col("kind") == "tag", F.regexp_extract_all(F.regexp_replace(F.coalesce("opener", "s"), r"^<[\w.]+", ""), F.lit(ATTRIBUTE), F.lit(0)))
+    told = tokens(pages).withColumn("pairs", said)
+    told = told.select("*", *[attribute(F.col("pairs"), *names).alias(c) for c, names in SAID.items()]).drop("pairs")
+    field, kind, required = F.concat(F.lit("`"), "field", F.lit("`")), F.concat(F.lit("("), "type", F.lit(")")), F.when(F.col("required") == "true", "**required**")
+    told = told.withColumn("loose", F.coalesce((name == "Step") & F.col("title").isNull(), F.lit(False))).withColumn("lead", F.concat_ws(" ", field, kind, required))
+    told = told.withColumn("depth", count(F.coalesce(block, F.lit(False)))).withColumn("steps", count(F.col("loose"))).withColumn("gone", count(F.coalesce(name.isin(*DROPPED), F.lit(False))) > 0)
+    # the lines of a piece that begin in it, and the least indentation of those that aren't blank; the last of a text is the begin of a tag's line
+    parts = F.split("s", "\n")
+    begins = lambda x, i: (F.col("starts") | (i > 0)) & (F.trim(x) != "")
+    least = F.array_min(F.filter(F.transform(parts, lambda x, i: F.when(begins(x, i), F.length(F.regexp_extract(x, r"^[ \t]*", 0)))), lambda n: n.isNotNull()))
+    told = told.withColumn("least", F.when(F.col("kind") != "tag", least)).withColumn("wrapper", F.max(F.when(F.coalesce(block, F.lit(False)) & F.col("opens"), F.col("k"))).over(Window.partitionBy("path", "depth").orderBy("k").rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    told = told.withColumn("common", F.when(F.col("depth") > 0, F.min("least").over(Window.partitionBy("path", "depth", "wrapper"))).otherwise(0))
+    inline = F.coalesce(name.isin(*INLINE, "p"), F.lit(False))
+    told = told.withColumn("after_open", F.lag(inline & F.col("opens"), 1, False).over(order)).withColumn("before_close", F.lead(inline & F.col("closes"), 1, False).over(order))
+    blank = text & (F.trim(F.regexp_replace("s", r"\s", "")) == "")
+    told = told.withColumn("empty", F.when(F.col("opens"), F.lead(blank, 1, False).over(order) & F.lead(F.col("closes") & inline, 2, False).over(order)).when(F.col("closes"), F.lag(blank, 1, False).over(order) & F.lag(F.col("opens") & inline, 2, False).over(order)).otherwise(False))
+    last = F.size(parts) - 1
+    pad = F.repeat(F.lit("   "), F.greatest("steps", F.lit(0)).cast("int"))
+    cut = lambda x, i: F.when(~(F.col("starts") | (i > 0)), x).when((F.trim(x) == "") & (text & (i == last)), F.when(F.col("depth") > 0, "").otherwise(x)).when(F.trim(x) == "", x).otherwise(F.concat(pad, F.substr(x, F.coalesce("common", F.lit(0)) + 1)))
+    body = F.array_join(F.transform(parts, cut), "\n")
+    body = F.when(text & F.col("after_open"), F.regexp_replace(body, r"^\s+", "")).otherwise(body)
+    body = F.when(text & F.col("before_close"), F.regexp_replace(body, r"\s+$", "")).otherwise(body)
+    out = F.when(F.col("gone") | (F.coalesce(name.isin(*DROPPED), F.lit(False)) & (F.col("opens") | F.col("closes"))), "").when(F.col("kind") != "tag", body).when(name.isNull(), F.col("s")).otherwise(_rewritten())
+    whole = told.select("path", "k", out.alias("out")).groupBy("path").agg(F.sort_array(F.collect_list(F.struct("k", "out"))).alias("x"))
+    return whole.select("path", F.regexp_replace(F.array_join(F.transform("x", lambda r: r["out"]), ""), r"\n\z", "").alias("text"))
+
+
+#: A line of a paragraph; and a paragraph over a line of = or -, which makes it a heading.
+NO_PARAGRAPH = r" {0,3}(?:>|#{1,6}(?:\s|$)|[*+-](?:\s|$)|\d{1,9}[.)]\s|\||<!--|(?:=+|-+)[ \t]*$)| {4}|\t"
+SETEXT = rf"(?m)(?:\A|(?<=\n\n))(?:(?!{NO_PARAGRAPH})[^\n]*\S[^\n]*+\n)++ {{0,3}}(?:=+|-+)[ \t]*$"
+
+
+def underlined(text: Column) -> Column:
+    """A text with its underlined headings as headings behind number signs, each with as many lines as before."""
+    title = lambda m: F.regexp_replace(F.trim(F.regexp_replace(m, r"\n[^\n]*\z", "")), r"\s*\n\s*", " ")
+    heading = lambda m: F.concat(F.when(F.rlike(m, F.lit(r"=[ \t]*\z")), "# ").otherwise("## "), title(m), F.repeat(F.lit("\n"), F.regexp_count(m, F.lit("\n"))))
+    made = F.zip_with(F.split(text, SETEXT), F.transform(F.regexp_extract_all(text, F.lit(SETEXT), F.lit(0)), heading), lambda a, b: F.concat(a, F.coalesce(b, F.lit(""))))
+    return F.when(F.rlike(text, F.lit(r"(?m)^ {0,3}(?:=+|-+)[ \t]*$")), F.array_join(made, "")).otherwise(text)
+
+
+def normalised(pages: DataFrame) -> DataFrame:
+    """path, text: pages as plain Markdown: without top-level exports and expressions, component tags and underlined headings.
+
+    A page without a tag keeps its lines, so that a line's pos is its place in the page.
     """
-    tag = F.when(F.col("fence") == 1, "").otherwise(F.col("line"))
-    opened = F.regexp_count(tag, F.lit(OPEN_TAG)) - F.regexp_count(tag, F.lit(OPEN_TAG[:-1] + "(?<=/)>"))
-    closed = F.regexp_count(tag, F.lit(r"</[A-Z]\w*\s*>"))
-    deep = marked.withColumn("opened", opened).withColumn("closed", closed).withColumn("depth", F.coalesce(F.sum(F.col("opened") - F.col("closed")).over(before()), F.lit(0)))
-    at = F.col("depth") + F.greatest(F.col("opened") - F.col("closed"), F.lit(0)) - F.greatest(F.col("closed") - F.col("opened"), F.lit(0))
-    shown = (F.trim("line") != "") & (F.col("opened") == 0) & (F.col("closed") == 0)
-    indent = F.when(shown, F.length(F.regexp_extract("line", r"^[ \t]*", 0)))
-    level = Window.partitionBy("path", "at").orderBy("pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    placed = deep.withColumn("at", at).withColumn("indent", indent).withColumn("wrapper", F.max(F.when(F.col("opened") > F.col("closed"), F.col("pos"))).over(level))
-    common = F.coalesce(F.min("indent").over(Window.partitionBy("path", "at", "wrapper")), F.lit(0))
-    cut = F.when((F.col("at") > 0) & F.col("indent").isNotNull(), F.substr("line", F.col("common") + 1)).when((F.col("at") > 0) & ~shown, F.ltrim("line")).otherwise(F.col("line"))
-    return placed.withColumn("common", common).withColumn("line", cut).drop("opened", "closed", "depth", "at", "indent", "wrapper", "common")
-
-
-def normalised(marked: DataFrame) -> DataFrame:
-    """Component tags outside code as Markdown or as the comments that later steps read."""
-    line = F.col("line")
-    attribute = lambda name: rf"[^<>]*?\b{name}=\{{?(?:\"([^\"]*)\"|'([^']*)')\}}?{ATTRIBUTES}"
-    for tag in CALLOUTS:
-        line = F.regexp_replace(F.regexp_replace(line, rf"<{tag}\b{ATTRIBUTES}>", f"<!--callout:{tag.lower()}-->"), rf"</{tag}\s*>", "<!--/callout-->")
-    for tag in TITLED:
-        line = F.regexp_replace(line, rf"<{tag}\b{attribute('title')}>", rf"**$1$2**{TITLE}")
-    line = F.regexp_replace(line, rf"</?({'|'.join((*UNWRAPPED, *TITLED))})\b{ATTRIBUTES}>", "")
-    line = F.regexp_replace(line, rf"<Update\b{attribute('label')}>", rf"## $1$2 {UPDATE}")
-    line = F.regexp_replace(line, r"</Update\s*>", "")
-    line = F.regexp_replace(line, rf"<(?:ParamField|ResponseField)\b{attribute('(?:path|name|body)')}>", r"**`$1$2`**")
-    line = F.regexp_replace(line, r"</(?:ParamField|ResponseField)\s*>", "")
-    line = F.regexp_replace(line, r"<CodeGroup\b[^<>]*>", "<!--codegroup-->")
-    line = F.regexp_replace(line, r"</CodeGroup\s*>", "<!--/codegroup-->")
-    line = F.regexp_replace(F.regexp_replace(line, r"</?(?:strong|b)>", "**"), r"</?(?:em|i)>", "*")
-    line = F.regexp_replace(F.regexp_replace(line, r"</?code>", "`"), rf"<a\b{attribute('href')}>(.*?)</a>", r"[$3]($1$2)")
-    line = F.regexp_replace(line, r"</?(?:p|span|div)\b[^<>]*>", "")
-    return marked.withColumn("line", F.when(F.col("fence") == 1, F.col("line")).otherwise(line))
+    told = pages.select("path", _lines(F.col("text")).alias("ls")).withColumn("spans", fence_spans(F.col("ls"))).withColumn("statements", statement_spans(F.col("ls"), F.col("spans")))
+    kept = F.filter("ls", lambda x, i: ~F.exists("statements", lambda s: (i >= s["a"]) & (i <= s["b"])))
+    told = told.select("path", F.when(F.size("statements") > 0, kept).otherwise(F.col("ls")).alias("ls"))
+    tagged = F.exists("ls", lambda x: F.rlike(x, F.lit(r"</?[A-Za-z]")))
+    rewritten = components(told.where(tagged).withColumn("spans", fence_spans(F.col("ls"))))
+    every = told.where(~tagged).select("path", F.array_join("ls", "\n").alias("text")).unionByName(rewritten)
+    plain = lambda ls: F.when(F.size(ls) > 0, F.array(underlined(F.array_join(ls, "\n")))).otherwise(F.array().cast("array<string>"))
+    told = every.withColumn("ls", F.split("text", "\n")).withColumn("spans", fence_spans(F.col("ls")))
+    marked = F.array_join(by_span(F.col("ls"), F.col("spans"), plain, lambda ls, span, no: ls), "\n")
+    return told.select("path", F.when(F.rlike("text", F.lit(r"(?m)^ {0,3}(?:=+|-+)[ \t]*$")), marked).otherwise(F.col("text")).alias("text"))
 
 
 def inline_text(text: Column) -> Column:
@@ -176,52 +359,77 @@ def outlined(marked: DataFrame, prefix: str = "") -> DataFrame:
 
 def located(pages: DataFrame, prefix: str = "") -> tuple[DataFrame, DataFrame]:
     """The sections, and all lines with the section that they stand in."""
-    placed = outlined(headings(normalised(dedented(without_exports(lines(pages))))), prefix)
+    placed = outlined(headings(lines(normalised(pages))), prefix)
     found = placed.where("level >= 2").select("path", "pos", "position", "level", "heading", "anchor", "section_id", "parent_id", "breadcrumb", "synthesized")
     return found, placed.where("section_id IS NOT NULL").drop("own_id", "anchor", "breadcrumb", "parent_id", "position")
 
 
 ITEM = r"^\s*([*+-]|\d{1,9}[.)])\s+(.*)$"
+RULE = r"^ {0,3}(?:(?:\*[ \t]*){3,}|(?:-[ \t]*){3,}|(?:_[ \t]*){3,})$"
+QUOTE = r"^ {0,3}>"
+CALLOUT, CALLOUT_END, IMAGE = "<!--callout:([a-z]+)-->", "<!--/callout-->", r"^\s*<!--image path=\"([^\"]*)\" alt=\"([^\"]*)\"-->"
 
 
 def kinds(placed: DataFrame) -> DataFrame:
-    """The lines outside code and headings with their kind: item (of a list), more (of the item before it), code (indented by four, after an empty line), prose, blank, or other; and run,
-    the number of the list or code block that a line is part of.
+    """The lines outside code and headings with their kind: item (of a list), more (of the item before it), code (indented by four, after an empty line), quote, rule, image, prose, blank, or other;
+    run, the number of the list, quote or code block that a line is part of; and callout, the number of the callout that it stands in.
 
-    A list goes on over empty lines to the next item or indented line; what is indented there is never code.  An indented block that looks like prose is prose.
-    The lines are written once: paragraphs, lists and blocks all read them.  Lines that have their kind stay as they are.
+    A list goes on over empty lines to the next item or indented line; what is indented there is never code.  A quote goes on with the lines of a paragraph that stand right under it.
+    An indented block that looks like prose is prose.  The lines are written once: paragraphs, lists and blocks all read them.  Lines that have their kind stay as they are.
     """
     if "kind" in placed.columns:
         return placed
     plain = (F.col("fence") == 0) & (F.col("level") == 0)
     blank, table = F.trim("line") == "", F.rlike("line", F.lit(r"^\s*\||^\s*<!--"))
-    item = plain & F.rlike("line", F.lit(ITEM)) & ~F.rlike("line", F.lit(r"^\s*([*_-]\s*){3,}$"))
+    rule, quote = F.rlike("line", F.lit(RULE)), F.rlike("line", F.lit(QUOTE))
+    item = plain & F.rlike("line", F.lit(ITEM)) & ~rule
     indented = F.rlike("line", F.lit(r"^(?: {4}|\t)\s*\S"))
-    kind = F.when(~plain, "other").when(blank, "blank").when(item, "item").when(table, "other").when(F.rlike("line", F.lit(r"^\s")), F.when(indented, "deep").otherwise("shallow")).otherwise("flush")
-    first = placed.withColumn("kind", kind).withColumn("last", F.last(F.when(F.col("kind") != "blank", F.col("kind")), True).over(before())).withColumn("above", F.lag("kind", 1, "blank").over(by_page()))
-    # the last line that begins or ends a list: an item, or a line at the margin after an empty one, a heading, a fence or a table
-    ends = F.when(F.col("kind") == "item", True).when((F.col("kind") == "other") | ((F.col("kind") == "flush") & (F.col("above") == "blank")), False)
+    special = F.when(F.rlike("line", F.lit(IMAGE)), "image").when(quote, "quote").when(rule, "rule")
+    kind = F.when(~plain, "other").when(blank, "blank").when(special.isNotNull(), special).when(item, "item").when(table, "other").when(F.rlike("line", F.lit(r"^\s")), F.when(indented, "deep").otherwise("shallow")).otherwise("flush")
+    first = placed.withColumn("kind", kind).withColumn("owner", F.last(F.when(~F.col("kind").isin("flush", "shallow", "deep"), F.col("kind")), True).over(so_far()))
+    first = first.withColumn("kind", F.when(F.col("kind").isin("flush", "shallow", "deep") & (F.col("owner") == "quote"), "quote").otherwise(F.col("kind"))).withColumn("above", F.lag("kind", 1, "blank").over(by_page()))
+    # the last line that begins or ends a list: an item, or a line at the margin after an empty one, a heading, a fence that isn't indented, a table, a quote or a rule
+    ends = F.when(F.col("kind") == "item", True).when(F.col("fence") == 1, F.when(F.col("mark") & ~F.rlike("line", F.lit(r"^\s")), False)).when(F.col("kind").isin("other", "quote", "rule", "image") | ((F.col("kind") == "flush") & (F.col("above") == "blank")), False)
     in_list = F.coalesce(F.last(ends, True).over(so_far()), F.lit(False))
-    named = first.withColumn("in_list", in_list).withColumn("kind", F.when(F.col("kind").isin("other", "blank", "item"), F.col("kind")).when(F.col("in_list"), "more").when(F.col("kind") == "deep", "deep").otherwise("prose"))
+    fixed = F.col("kind").isin("other", "blank", "item", "quote", "rule", "image")
+    named = first.withColumn("in_list", in_list).withColumn("kind", F.when(fixed, F.col("kind")).when(F.col("in_list"), "more").when(F.col("kind") == "deep", "deep").otherwise("prose"))
     # an indented block begins after an empty line, a heading or another block, not within a paragraph
     named = named.withColumn("before", F.lag("kind", 1, "blank").over(by_page()))
     named = named.withColumn("block", F.sum((~F.col("kind").isin("deep", "blank")).cast("int")).over(so_far()))
     opener = F.last(F.when((F.col("kind") == "deep") & (F.col("before") != "deep"), F.col("before")), True).over(so_far())
     lists = F.sum(((F.col("kind") == "item") & ~F.coalesce(F.lag("in_list").over(by_page()), F.lit(False))).cast("int")).over(so_far())
-    told = named.withColumn("opener", opener).withColumn("run", F.when(F.col("kind").isin("item", "more"), lists).when(F.col("kind") == "deep", F.col("block")))
+    quotes = F.sum((F.col("kind") != "quote").cast("int")).over(so_far())
+    told = named.withColumn("opener", opener).withColumn("run", F.when(F.col("kind").isin("item", "more"), lists).when(F.col("kind") == "deep", F.col("block")).when(F.col("kind") == "quote", quotes))
     told = told.withColumn("kind", F.when(F.col("kind") != "deep", F.col("kind")).when(F.col("opener") == "prose", "prose").otherwise("code"))
-    return saved(told.drop("last", "above", "in_list", "before", "block", "opener"), "lines")
+    text = (F.col("fence") == 0).cast("int")
+    opened, closed = F.sum(F.rlike("line", F.lit(CALLOUT)).cast("int") * text).over(so_far()), F.coalesce(F.sum(F.contains("line", F.lit(CALLOUT_END)).cast("int") * text).over(before()), F.lit(0))
+    told = told.withColumn("callout", F.when(opened > closed, opened))
+    return saved(told.drop("owner", "last", "above", "in_list", "before", "block", "opener"), "lines")
+
+
+def joined(rows: DataFrame, by: list[str], text: Column | str, glue: str) -> DataFrame:
+    """The rows' texts in the order of pos, for each group: by, pos (of the first), text."""
+    lines = F.sort_array(F.collect_list(F.struct("pos", F.col(text).alias("t") if isinstance(text, str) else text.alias("t"))))
+    return rows.groupBy(*by).agg(F.min("pos").alias("pos"), lines.alias("ls")).select(*by, "pos", F.array_join(F.transform("ls", lambda x: x["t"]), glue).alias("text"))
 
 
 def indented_blocks(placed: DataFrame) -> DataFrame:
-    """Indented blocks: path, section_id, pos, text without four columns of indentation, and whether it is prose."""
-    body = F.transform(F.sort_array(F.collect_list(F.struct("pos", "line"))), lambda x: F.regexp_replace(x["line"], r"^(?: {4}|\t)", ""))
-    rows = kinds(placed).where("kind = 'code'").groupBy("path", "section_id", "run").agg(F.min("pos").alias("pos"), F.array_join(body, "\n").alias("text"))
-    return rows.select("path", "section_id", "pos", "text", looks_like_prose(F.col("text")).alias("prose"))
+    """Indented blocks: path, section_id, callout, pos, text without four columns of indentation, and whether it is prose."""
+    rows = joined(kinds(placed).where("kind = 'code'"), ["path", "section_id", "callout", "run"], F.regexp_replace("line", r"^(?: {4}|\t)", ""), "\n")
+    return rows.select("path", "section_id", "callout", "pos", "text", looks_like_prose(F.col("text")).alias("prose"))
+
+
+def quotes(placed: DataFrame) -> DataFrame:
+    """Quotes: path, section_id, callout, pos, text: a mark, and what stands in the quote, whose marks, list marks, headings' signs and fenced blocks are left out."""
+    own = F.sort_array(F.collect_list(F.struct("pos", F.regexp_replace("line", r"^\s*(?:>[ \t]?)+", "").alias("t"))))
+    rows = kinds(placed).where("kind = 'quote'").groupBy("path", "section_id", "callout", "run").agg(F.min("pos").alias("pos"), F.transform(own, lambda x: x["t"]).alias("ls")).withColumn("spans", fence_spans(F.col("ls")))
+    bare = lambda x: inline_text(F.regexp_replace(x, r"^\s*(?:#{1,6}\s+|[*+-]\s+|\d{1,9}[.)]\s+)", ""))
+    said = by_span(F.col("ls"), F.col("spans"), lambda ls: F.transform(ls, bare), lambda ls, span, no: F.array().cast("array<string>"))
+    return rows.withColumn("said", F.filter(said, lambda x: x != "")).where(F.size("said") > 0).select("path", "section_id", "callout", "pos", F.concat(F.lit("> "), F.array_join("said", " ")).alias("text"))
 
 
 def lists(placed: DataFrame) -> DataFrame:
-    """Lists as flat text: path, section_id, pos, text.
+    """Lists as flat text: path, section_id, callout, pos, text.
 
     A line for each item, two blanks for each level above it, then a dash, or in a list that begins with a number one more than the items closed before it.  Levels are the ranks
     of the indentations of a list; further lines of an item are joined to it.
@@ -231,26 +439,33 @@ def lists(placed: DataFrame) -> DataFrame:
     item = F.col("kind") == "item"
     mark, own = F.regexp_extract("line", ITEM, 1), F.when(item, F.regexp_extract("line", ITEM, 2)).otherwise(F.trim("line"))
     numbered = rows.withColumn("nth", F.sum(item.cast("int")).over(order)).withColumn("own", inline_text(own)).withColumn("indent", F.when(item, F.length(F.regexp_extract("line", r"^\s*", 0)))).withColumn("mark", F.when(item, mark))
-    items = numbered.groupBy("path", "section_id", "run", "nth").agg(F.min("pos").alias("pos"), F.first("indent", True).alias("indent"), F.min_by("mark", "pos").alias("mark"), F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("pos", "own"))), lambda x: x["own"]), " ").alias("text"))
+    items = numbered.groupBy("path", "section_id", "callout", "run", "nth").agg(F.min("pos").alias("pos"), F.first("indent", True).alias("indent"), F.min_by("mark", "pos").alias("mark"), F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("pos", "own"))), lambda x: x["own"]), " ").alias("text"))
     of_list = Window.partitionBy("path", "run")
     ranked = items.withColumn("depth", F.dense_rank().over(of_list.orderBy("indent"))).withColumn("ordered", F.rlike(F.min_by("mark", "pos").over(of_list), F.lit(r"^\d")))
     line = F.concat(F.repeat(F.lit("  "), F.col("depth") - 1), F.when(F.col("ordered"), F.concat((F.col("nth") - F.col("depth") + 1).cast("string"), F.lit(". "))).otherwise("- "), F.trim("text"))
-    return ranked.withColumn("line", line).groupBy("path", "section_id", "run").agg(F.min("pos").alias("pos"), F.sort_array(F.collect_list(F.struct("pos", "line"))).alias("ls")).select("path", "section_id", "pos", F.array_join(F.transform("ls", lambda x: x["line"]), "\n").alias("text"))
+    return joined(ranked, ["path", "section_id", "callout", "run"], line, "\n").drop("run")
 
 
 def paragraphs(placed: DataFrame) -> DataFrame:
-    """What is text in a section, piece by piece: path, section_id, pos (of the first line), text.  Runs of prose lines, lists, and indented blocks that are prose."""
+    """What is text in a section, piece by piece: path, section_id, callout, pos (of the first line), text.
+
+    Runs of prose lines, lists, quotes, rules, images that stand alone, and indented blocks that are prose.
+    """
     told = kinds(placed)
+    by = ["path", "section_id", "callout"]
     prose = F.col("kind") == "prose"
     titled = F.contains(F.lag("line", 1, "").over(by_page()), F.lit(TITLE))
     runs = told.withColumn("breaks", (~prose | titled).cast("int")).withColumn("run", F.sum("breaks").over(so_far())).where(prose)
-    plain = runs.groupBy("path", "section_id", "run").agg(F.min("pos").alias("pos"), F.sort_array(F.collect_list(F.struct("pos", inline_text(F.col("line")).alias("t")))).alias("ls")).select("path", "section_id", "pos", F.array_join(F.transform("ls", lambda x: x["t"]), " ").alias("text"))
-    return plain.unionByName(lists(told)).unionByName(indented_blocks(told).where("prose").drop("prose"))
+    plain = joined(runs, [*by, "run"], inline_text(F.col("line")), " ").drop("run")
+    unquoted = lambda n: F.replace(F.regexp_extract("line", IMAGE, n), F.lit("&quot;"), F.lit('"'))
+    image = F.concat(F.lit("[image: "), unquoted(2), F.lit("]("), unquoted(1), F.lit(")"))
+    single = told.where("kind IN ('rule', 'image')").select(*by, "pos", F.when(F.col("kind") == "rule", "---").otherwise(image).alias("text"))
+    return plain.unionByName(lists(told)).unionByName(indented_blocks(told).where("prose").drop("prose")).unionByName(quotes(told)).unionByName(single)
 
 
 def section_text(placed: DataFrame) -> DataFrame:
-    """section_id and its paragraphs, with empty lines between."""
-    return paragraphs(placed).groupBy("section_id").agg(F.sort_array(F.collect_list(F.struct("pos", "text"))).alias("ps")).select("section_id", F.array_join(F.transform("ps", lambda x: x["text"]), "\n\n").alias("text"))
+    """section_id and its paragraphs, with empty lines between; what stands in callouts is theirs."""
+    return joined(paragraphs(placed).where("callout IS NULL AND text <> ''"), ["section_id"], "text", "\n\n").drop("pos")
 
 
 def code_blocks(placed: DataFrame) -> DataFrame:
@@ -258,14 +473,18 @@ def code_blocks(placed: DataFrame) -> DataFrame:
     placed = kinds(placed)
     group = F.sum(F.rlike("line", F.lit("<!--codegroup-->")).cast("int")).over(so_far())
     open_ = group - F.sum(F.rlike("line", F.lit("<!--/codegroup-->")).cast("int")).over(so_far())
-    inside = placed.withColumn("group_no", F.when(open_ > 0, group)).where("fence_no > 0 AND fence = 1").withColumn("block", F.ceil(F.col("fence_no") / 2))
-    body = F.transform(F.filter(F.sort_array(F.collect_list(F.struct("pos", "mark", "line"))), lambda x: ~x["mark"]), lambda x: x["line"])
+    inside = placed.withColumn("group_no", F.when(open_ > 0, group)).where("fence = 1").withColumn("block", F.col("fence_no"))
+    indent = F.col("indent")
+    held = F.filter(F.sort_array(F.collect_list(F.struct("pos", "mark", "line"))), lambda x: ~x["mark"])
+    # a line loses as much indentation as the opening mark has
+    body = F.transform("held", lambda x: F.substr(x["line"], F.least(indent, F.length(F.regexp_extract(x["line"], r"^[ \t]*", 0))) + 1))
     info = F.min_by(F.regexp_extract(F.regexp_replace("line", r"\btheme=\{[^}]*\}", ""), r"^\s*(?:`{3,}|~{3,})\s*([^\s`{]*)", 1), "pos")
-    fenced = inside.groupBy("path", "block").agg(F.min("pos").alias("pos"), F.min_by("section_id", "pos").alias("section_id"), F.min_by("group_no", "pos").alias("group_no"), info.alias("language"), F.rtrim(F.array_join(body, "\n"), F.lit("\n")).alias("text"))
+    fenced = inside.groupBy("path", "block").agg(F.min("pos").alias("pos"), F.min_by("section_id", "pos").alias("section_id"), F.min_by("group_no", "pos").alias("group_no"), info.alias("language"), F.min_by(F.length(F.regexp_extract("line", r"^[ \t]*", 0)), "pos").alias("indent"), held.alias("held"))
+    fenced = fenced.select("path", "pos", "section_id", "group_no", "language", F.rtrim(F.array_join(body, "\n"), F.lit("\n")).alias("text"))
     indented = indented_blocks(placed).where("NOT prose").select("path", "pos", "section_id", F.lit(None).cast("long").alias("group_no"), F.lit("").alias("language"), F.rtrim("text", F.lit("\n")).alias("text"))
-    blocks = fenced.drop("block").unionByName(indented)
+    blocks = fenced.unionByName(indented)
     order = Window.partitionBy("section_id").orderBy("pos")
-    leads = paragraphs(placed).select("path", "section_id", "pos", F.col("text").alias("lead")).unionByName(blocks.select("path", "section_id", "pos"), allowMissingColumns=True)
+    leads = paragraphs(placed).where("callout IS NULL AND text <> ''").select("path", "section_id", "pos", F.col("text").alias("lead")).unionByName(blocks.select("path", "section_id", "pos"), allowMissingColumns=True)
     leads = leads.withColumn("preceding", F.coalesce(F.last("lead", True).over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(""))).where("lead IS NULL").select("section_id", "pos", "preceding")
     numbered = blocks.withColumn("position", F.row_number().over(order) - 1).join(leads, ["section_id", "pos"])
     ident = tx.atom_id(F.col("section_id"), F.col("position"), F.concat(F.lit("code-"), F.col("language")))
@@ -317,15 +536,13 @@ def navigation_text(placed: DataFrame) -> DataFrame:
 
 
 def callouts(placed: DataFrame) -> DataFrame:
-    """Text between callout comments: node_id, section_id, position, kind, text."""
-    opens = F.rlike("line", F.lit(r"<!--callout:[a-z]+-->"))
-    closes = F.rlike("line", F.lit("<!--/callout-->"))
-    opened, closed = F.sum(opens.cast("int")).over(so_far()), F.coalesce(F.sum(closes.cast("int")).over(before()), F.lit(0))
-    inside = placed.withColumn("no", opened).withColumn("open", opened > closed).where("open AND fence = 0")
-    grouped = inside.groupBy("path", "no").agg(F.min("pos").alias("pos"), F.min_by("section_id", "pos").alias("section_id"), F.min_by(F.regexp_extract("line", "<!--callout:([a-z]+)-->", 1), "pos").alias("kind"), F.array_join(F.filter(F.transform(F.sort_array(F.collect_list(F.struct("pos", "line"))), lambda x: inline_text(x["line"])), lambda t: t != ""), "\n\n").alias("text"))
+    """Text between callout comments (its paragraphs and lists): node_id, section_id, position, kind, text."""
+    told = kinds(placed)
+    opened = told.where(F.rlike("line", F.lit(CALLOUT)) & F.col("callout").isNotNull()).groupBy("path", "callout").agg(F.min("pos").alias("pos"), F.min_by("section_id", "pos").alias("section_id"), F.min_by(F.regexp_extract("line", CALLOUT, 1), "pos").alias("kind"))
+    said = joined(paragraphs(told).where("callout IS NOT NULL AND text <> ''"), ["path", "callout"], "text", "\n\n").drop("pos")
     position = F.row_number().over(Window.partitionBy("section_id").orderBy("pos")) - 1
-    numbered = grouped.withColumn("position", position)
-    return numbered.select(tx.atom_id(F.col("section_id"), F.col("position"), F.concat(F.lit("callout-"), F.col("kind"))).alias("node_id"), "path", "section_id", "position", "kind", "text")
+    numbered = opened.join(said, ["path", "callout"], "left").withColumn("position", position)
+    return numbered.select(tx.atom_id(F.col("section_id"), F.col("position"), F.concat(F.lit("callout-"), F.col("kind"))).alias("node_id"), "path", "section_id", "position", "kind", F.coalesce("text", F.lit("")).alias("text"))
 
 
 def links(placed: DataFrame) -> DataFrame:
@@ -345,9 +562,10 @@ def kept_sections(found: DataFrame, texts: DataFrame, used: DataFrame) -> DataFr
 
 def page_header(pages: DataFrame, descriptions: DataFrame, volatile: tuple[str, ...] = (), prefix: str = "") -> DataFrame:
     """path, url, title, description and its source, volatile, content_hash.  descriptions: url, description."""
-    marked = headings(lines(pages))
+    marked = headings(lines(normalised(pages)))
     title = marked.where("level = 1").groupBy("path").agg(F.min_by("heading", "pos").alias("title"), F.min("pos").alias("title_pos"))
-    quote = marked.join(title, "path").where((F.col("pos") > F.col("title_pos")) & F.rlike("line", F.lit(r"^\s*>\s*\S"))).withColumn("quote", F.trim(F.regexp_replace("line", r"^\s*>\s*", "")))
+    said = quotes(marked.withColumn("section_id", F.lit(None).cast("string"))).select("path", "pos", F.regexp_replace("text", r"^> ", "").alias("quote"))
+    quote = said.join(title, "path").where("pos > title_pos")
     next_heading = marked.where("level > 0").join(title, "path").where("pos > title_pos").groupBy("path").agg(F.min("pos").alias("next_pos"))
     quote = quote.join(next_heading, "path", "left").where("next_pos IS NULL OR pos < next_pos").groupBy("path").agg(F.min_by("quote", "pos").alias("quote"))
     url = F.concat(F.lit(prefix), F.translate("path", "\\", "/"))

@@ -1,6 +1,8 @@
 """Small cases of the operators: markup, resolution, entities, fusion, budgets, store, metrics, incremental ingest."""
 
 import hashlib
+import re
+from itertools import groupby
 
 import pytest
 from hypothesis import given, settings
@@ -240,8 +242,124 @@ def test_hydration_labels_and_citations_out_of_range(spark):
 
 
 @pytest.mark.parametrize("text", ["<Card\n  title='" + "x" * 1000 + "'\n  href=\"/a\">\nbody\n</Card>\n"])
-def test_open_tags_of_any_length_stand_on_one_line(spark, text):
-    assert [r["line"] for r in parse.lines(spark.createDataFrame([("p", text)], "path string, text string")).orderBy("pos").collect()] == ["<Card title='" + "x" * 1000 + "' href=\"/a\">", "body", "</Card>", ""]
+def test_open_tags_of_any_length_are_one_tag(spark, text):
+    assert normal(spark, text) == "**" + "x" * 1000 + "**<!--title-->\n\nbody"
+
+
+def normal(spark, text):
+    """The page as plain Markdown, without empty lines at its ends and with at most one between others."""
+    return squeezed(parse.normalised(spark.createDataFrame([("p.md", text)], "path string, text string")).first()["text"])
+
+
+def squeezed(text):
+    return re.sub(r"[ \t]*\n(?:[ \t]*\n)+", "\n\n", text).strip()
+
+
+#: Fenced blocks: (lines, spans).
+FENCED = [
+    ("````md|```py|x|```|````|after", [(0, 4, True)]), ("```|a|~~~|b|```|after|## Z", [(0, 4, True)]), ("~~~ x|```|~~~|~~~~|a|~~~|~~~~~", [(0, 2, True), (3, 6, True)]), ("a|```js|b|``` not a mark|c", [(1, 4, False)]),
+    ("``` a`b|text", []), ("```|  ```  |x", [(0, 1, True)]), ("", []), ("```", [(0, 0, False)]), ("~~~ a`b|c|~~~", [(0, 2, True)]), ("> ```|x|> ```", []),
+]
+
+
+def test_fences_by_mark_and_length(spark):
+    rows = spark.createDataFrame([(i, t.split("|")) for i, (t, _) in enumerate(FENCED)], "i int, ls array<string>")
+    got = {r["i"]: [tuple(x) for x in r["s"]] for r in rows.select("i", parse.fence_spans(F.col("ls")).alias("s")).collect()}
+    assert got == {i: want for i, (_, want) in enumerate(FENCED)}
+    pages = rows.select(F.col("i").cast("string").alias("path"), F.array_join("ls", "\n").alias("text"))
+    for path, own in groupby(parse.lines(pages).orderBy(F.col("path").cast("int"), "pos").collect(), key=lambda r: int(r["path"])):
+        own = list(own)
+        assert [r["line"] for r in own] == FENCED[path][0].split("|") and [r["pos"] for r in own] == list(range(len(own)))
+        for r in own:
+            span = next(((k, s) for k, s in enumerate(FENCED[path][1], 1) if s[0] <= r["pos"] <= s[1]), None)
+            assert (r["fence"], r["fence_no"], r["mark"]) == ((1, span[0], r["pos"] == span[1][0] or (span[1][2] and r["pos"] == span[1][1])) if span else (0, 0, False))
+
+
+#: Statements: (page, what stays).
+STATEMENTS = [
+    ("export const A = () => {\nreturn (\n<div/>\n);\n};\nkept", "kept"), ("export const A = () => {\n  if (x) {\n}\n  return 1\n};\n\nkept", "kept"), ("export function F({a},\n  b)\n{\n  return `}`\n}\nkept", "kept"),
+    ("export const s = `a\n{ never\n# No heading\n`;\nkept", "kept"), ("export const x =\n  5;\nkept", "kept"), ("export const c = { /* } \n } */ a: 1 // }\n}\nkept", "kept"), ("export const q = 'it\\'s {';\nkept", "kept"),
+    ("export const broken = {\n  a: (\n};\n\nkept", "kept"), ("export const lost = {\n  a: (\n\nkept\n\n## H", "kept\n\n## H"), ("{\n  a,\n  \"}\"\n}\nkept", "kept"), ("{open\n\n## H\n\n{closed}\nkept", "{open\n\n## H\n\nkept"),
+    ("export const u = \"https://h/{\";\nexport const v = a\n  .b({\n  })\n  .c;\nkept", "kept"), ("```js\nexport const y = {\n{a}\n```\nkept", "```js\nexport const y = {\n{a}\n```\nkept"), ("exports are kept", "exports are kept"), ("a {b} kept", "a {b} kept"),
+]
+#: Components: (page, as plain Markdown).
+COMPONENTS = [
+    ("in <Tab title=\"A\">in <b>bold</b> text</Tab> out", "in\n\n**A**<!--title-->\n\nin **bold** text\n\n out"), ("<Tab title={`T > ${a}`}>x</Tab>", "**T > ${a}**<!--title-->\n\nx"), ("<Card title={{a: {b: '}'}}}>x</Card>", "**{a: {b: '}'}}**<!--title-->\n\nx"),
+    ("a<Hero>\n<b>gone</b>\n```\n</Hero>\n```\n</Hero>b", "ab"), ("a <Hero x=\"1\"/> b", "a  b"), ("<Steps>\n  <Step>\n    One\n    two\n  </Step>\n</Steps>", "1. \n   One\n   two"),
+    ("<Steps>\n  <Step title=\"T\">\n    One\n\n    ```py\n    x\n      y\n    ```\n  </Step>\n</Steps>\nend", "**T**<!--title-->\n\nOne\n\n```py\nx\n  y\n```\n\nend"), ("<p>a<p>b</p>", "<p>a\n\nb"), ("</p>a</b><b>c</b>", "</p>a</b>**c**"),
+    ("<ParamField path=\"n\" type=\"int\" required>\n  text\n</ParamField>", "**`n` (int) **required****\n\ntext"), ("<ResponseField name='m'/>", "**`m`**"), ("<Note>\n  a\n\n  <Tip>b</Tip>\n</Note>", "<!--callout:note-->\n\na\n\n<!--callout:tip-->\nb\n<!--/callout-->\n\n<!--/callout-->"),
+    ("<Update label=\"v1\" description=\"d\" tags={[\"a\"]}>\n* x\n</Update>", "## v1 <!--update-->\n\nd\n\n* x"), ("<a href=\"/x\">t <b> u </b></a> <a>v</a> <b></b>w <i>  </i>", "[t **u**](/x) v w"), ("<Frame>\n  <img src=\"/p.png\" alt='say \"x\"' />\n</Frame>", "<!--image path=\"/p.png\" alt=\"say &quot;x&quot;\"-->"),
+    ("a < b, <https://h> and List<String> or <Thing x>", "a < b, <https://h> and List<String> or <Thing x>"), ("<Card title='title=\"no\"' data-title='x'>y</Card>", "**title=\"no\"**<!--title-->\n\ny"), ("```\n<Note>x</Note>\n```", "```\n<Note>x</Note>\n```"), ("<Card " + " ".join(f'a{i}="{i}"' for i in range(5000)) + ">x</Card>", "x"),
+    ("Head\n====\n\ntwo\nlines\n---\n\n- item\n---\n\n> quote\n---\n\n```\na\n---\n```\n\n---", "# Head\n\n## two lines\n\n- item\n---\n\n> quote\n---\n\n```\na\n---\n```\n\n---"), ("---\ntitle: x\n---\n# A", "# A"), ("<style>\n# no\n</style>x<script src='a'/>", "x"),
+]
+
+
+@pytest.mark.parametrize("cases", [STATEMENTS, COMPONENTS], ids=["statements", "components"])
+def test_pages_as_plain_markdown(spark, cases):
+    frame = spark.createDataFrame([(str(i), t) for i, (t, _) in enumerate(cases)] + [("null", None)], "path string, text string")
+    got = {r["path"]: squeezed(r["text"]) for r in parse.normalised(frame).collect()}
+    assert got == {str(i): want for i, (_, want) in enumerate(cases)} | {"null": ""}
+
+
+def test_containers_and_their_texts(spark):
+    found, placed = parsed(spark, """
+        # Page
+
+        > one
+        > **two**
+        lazy [no](/no)
+
+        ## A
+
+        text
+        > # quoted
+        >
+        > - item
+        > ```
+        > code
+        > ```
+        > > inner
+        ***
+        after
+
+        <Frame>
+          <img src="/i.png" alt="An image" />
+        </Frame>
+
+        <Note>
+          First
+          goes on.
+
+          * a
+          * b
+
+          ```py
+          x
+          ```
+        </Note>
+
+        1. a
+
+           ```sh
+           ls
+             -l
+           ```
+        2. b
+
+        Under
+        -----
+        end
+        """)
+    assert [(r["heading"], r["level"]) for r in found.orderBy("pos").collect()] == [("Overview", 2), ("A", 2), ("Under", 2)]
+    text = {r["section_id"].split("#")[1]: r["text"] for r in parse.section_text(placed).collect()}
+    assert text == {"overview": "> one two lazy no", "a": "text\n\n> quoted item inner\n\n---\n\nafter\n\n[image: An image](/i.png)\n\n1. a\n2. b", "under": "end"}
+    assert [(r["kind"], r["text"], r["section_id"]) for r in parse.callouts(placed).collect()] == [("note", "First goes on.\n\n- a\n- b", "p.md#a")]
+    assert [(r["language"], r["text"]) for r in parse.code_blocks(placed).orderBy("pos").collect()] == [("py", "x"), ("sh", "ls\n  -l")]
+
+
+def test_quotes_of_many_lines_describe_a_page(spark):
+    frame = spark.createDataFrame([("p.md", "# T\n\n> one\n> two\nthree\n\n> other")], "path string, text string")
+    assert parse.page_header(frame, spark.createDataFrame([], "url string, description string")).first()["description"] == "one two three"
 
 
 def test_all_rules_and_labels_count(spark):

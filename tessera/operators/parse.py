@@ -286,16 +286,17 @@ def normalised(pages: DataFrame) -> DataFrame:
 
     A page without a tag keeps its lines, so that a line's pos is its place in the page.
     """
-    told = pages.select("path", _lines(F.col("text")).alias("ls")).withColumn("spans", fence_spans(F.col("ls"))).withColumn("statements", statement_spans(F.col("ls"), F.col("spans")))
+    # told by the text itself: a condition on what is made of it would be put under the projection and make it all again
+    busy = F.rlike(F.coalesce("text", F.lit("")), F.lit(r"</?[A-Za-z]|(?m:^(?:export\s|\{))"))
+    told = pages.where(busy).select("path", _lines(F.col("text")).alias("ls")).withColumn("spans", fence_spans(F.col("ls"))).withColumn("statements", statement_spans(F.col("ls"), F.col("spans")))
     kept = F.filter("ls", lambda x, i: ~F.exists("statements", lambda s: (i >= s["a"]) & (i <= s["b"])))
-    told = told.select("path", F.when(F.size("statements") > 0, kept).otherwise(F.col("ls")).alias("ls"))
-    tagged = F.exists("ls", lambda x: F.rlike(x, F.lit(r"</?[A-Za-z]")))
-    rewritten = components(told.where(tagged).withColumn("spans", fence_spans(F.col("ls"))))
-    every = told.where(~tagged).select("path", F.array_join("ls", "\n").alias("text")).unionByName(rewritten)
+    told = told.select("path", F.when(F.size("statements") > 0, kept).otherwise(F.col("ls")).alias("ls")).withColumn("spans", fence_spans(F.col("ls")))
+    every = pages.where(~busy).select("path", F.array_join(_lines(F.col("text")), "\n").alias("text")).unionByName(components(told))
+    rule = F.rlike("text", F.lit(r"(?m)^ {0,3}(?:=+|-+)[ \t]*$"))
     plain = lambda ls: F.when(F.size(ls) > 0, F.array(underlined(F.array_join(ls, "\n")))).otherwise(F.array().cast("array<string>"))
-    told = every.withColumn("ls", F.split("text", "\n")).withColumn("spans", fence_spans(F.col("ls")))
+    told = every.withColumn("ls", F.when(rule, F.split("text", "\n")).otherwise(F.array().cast("array<string>"))).withColumn("spans", fence_spans(F.col("ls")))
     marked = F.array_join(by_span(F.col("ls"), F.col("spans"), plain, lambda ls, span, no: ls), "\n")
-    return told.select("path", F.when(F.rlike("text", F.lit(r"(?m)^ {0,3}(?:=+|-+)[ \t]*$")), marked).otherwise(F.col("text")).alias("text"))
+    return told.select("path", F.when(F.size("ls") > 0, marked).otherwise(F.col("text")).alias("text"))
 
 
 def inline_text(text: Column) -> Column:
@@ -319,7 +320,7 @@ def sections(pages: DataFrame, prefix: str = "") -> DataFrame:
 
     path, pos, position, level, heading, anchor, section_id, parent_id, breadcrumb, synthesized (the heading of an update card).
     """
-    return located(pages, prefix)[0]
+    return _sections(outlined(headings(lines(normalised(pages))), prefix))
 
 
 def outlined(marked: DataFrame, prefix: str = "") -> DataFrame:
@@ -357,11 +358,14 @@ def outlined(marked: DataFrame, prefix: str = "") -> DataFrame:
     )
 
 
+def _sections(placed: DataFrame) -> DataFrame:
+    return placed.where("level >= 2").select("path", "pos", "position", "level", "heading", "anchor", "section_id", "parent_id", "breadcrumb", "synthesized")
+
+
 def located(pages: DataFrame, prefix: str = "") -> tuple[DataFrame, DataFrame]:
-    """The sections, and all lines with the section that they stand in."""
-    placed = outlined(headings(lines(normalised(pages))), prefix)
-    found = placed.where("level >= 2").select("path", "pos", "position", "level", "heading", "anchor", "section_id", "parent_id", "breadcrumb", "synthesized")
-    return found, placed.where("section_id IS NOT NULL").drop("own_id", "anchor", "breadcrumb", "parent_id", "position")
+    """The sections, and all lines with the section that they stand in and their kind.  The lines are written once; what reads them doesn't parse again."""
+    told = kinds(outlined(headings(lines(normalised(pages))), prefix))
+    return _sections(told), told.where("section_id IS NOT NULL").drop("own_id", "anchor", "breadcrumb", "parent_id", "position")
 
 
 ITEM = r"^\s*([*+-]|\d{1,9}[.)])\s+(.*)$"

@@ -634,39 +634,72 @@ def A03_link_descriptions(s: SparkSession, d: str) -> DataFrame:
 
 # ---- Markdown structure, on documents whose lines are given marks -------------------------------
 
-MARKDOWN = """mdl AS (SELECT 'd' || doc_id || '.md' AS path, i AS pos, CASE WHEN i % 17 = 0 THEN '# ' || left(l, 20) WHEN i % 9 = 1 THEN '## ' || left(l, 30) WHEN i % 9 = 3 THEN '### ' || left(l, 10) WHEN i % 9 = 4 THEN '```py' WHEN i % 9 = 6 THEN '```' WHEN i % 9 = 8 THEN l || ' [see](/docs/d' || doc_id || '.md#x)' ELSE l END AS line
+MARKDOWN = """mdl AS (SELECT 'd' || doc_id || '.md' AS path, i AS pos, CASE WHEN i % 17 = 0 THEN '# ' || PLAIN(20) WHEN i % 9 = 1 THEN '## ' || PLAIN(30) WHEN i % 9 = 3 THEN '### ' || PLAIN(10)
+  WHEN i % 9 = 4 THEN ['```py', '~~~', '````md', '```js'][(i // 9) % 4 + 1] WHEN i % 36 = 23 THEN '```' WHEN i % 9 = 6 THEN ['```', '~~~~', '````', '~~~'][(i // 9) % 4 + 1] WHEN i % 9 = 8 THEN l || ' [see](/docs/d' || doc_id || '.md#x)' ELSE l END AS line
  FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS l, unnest(range(len(string_split(text, chr(10))))) AS i FROM documents)),
-mk AS (SELECT *, regexp_matches(line, '^\\s*(```|~~~)') AS mark, sum(regexp_matches(line, '^\\s*(```|~~~)')::INT) OVER (PARTITION BY path ORDER BY pos) AS fence_no FROM mdl),
-fe AS (SELECT *, mark OR fence_no % 2 = 1 AS fence FROM mk),
-lv AS (SELECT *, CASE WHEN fence THEN 0 ELSE length(regexp_extract(line, '^ {0,3}(#{1,6})\\s+\\S', 1)) END AS level FROM fe)""".replace("\\\\", "\\")
+marks AS (SELECT path, pos, regexp_extract(line, '^[ \\t]*(`{3,}|~{3,})(.*)$', 1) AS run, trim(regexp_extract(line, '^[ \\t]*(`{3,}|~{3,})(.*)$', 2)) AS info, row_number() OVER (PARTITION BY path ORDER BY pos) AS k FROM mdl WHERE regexp_matches(line, '^[ \\t]*(```|~~~)')),
+states AS (SELECT DISTINCT path, CAST(0 AS BIGINT) AS k, CAST(-1 AS BIGINT) AS pos, '' AS was, '' AS open FROM marks
+ UNION ALL SELECT m.path, m.k, m.pos, open, CASE WHEN open = '' AND NOT (starts_with(run, '`') AND contains(info, '`')) THEN run WHEN open <> '' AND starts_with(run, open) AND info = '' THEN '' ELSE open END FROM states s JOIN marks m ON m.path = s.path AND m.k = s.k + 1),
+turns AS (SELECT *, sum(CASE WHEN was = '' AND open <> '' THEN 1 ELSE 0 END) OVER (PARTITION BY path ORDER BY k) AS fence_no FROM states),
+fe AS (SELECT m.path, m.pos, m.line, t.pos = m.pos AND (was = '') <> (open = '') AS mark, coalesce(open <> '' OR (t.pos = m.pos AND was <> ''), false) AS fence, fence_no FROM mdl m ASOF LEFT JOIN turns t ON m.path = t.path AND m.pos >= t.pos),
+lv AS (SELECT *, CASE WHEN fence THEN 0 ELSE length(regexp_extract(line, '^ {0,3}(#{1,6})\\s+\\S', 1)) END AS level FROM fe)""".replace("\\\\", "\\").replace("PLAIN(", "left(regexp_replace(l, '[^A-Za-z0-9 ]', '', 'g'), ")
+#: The same lines in sections: their headings, anchors, ids and the sections above them.
+OUTLINE = rf"""hd AS (SELECT path, pos, level, trim(regexp_replace(trim(line), '^#+\s+', '')) AS heading FROM lv WHERE level > 0),
+fi AS (SELECT path, min(CASE WHEN level >= 2 THEN pos END) AS first, min(CASE WHEN level = 0 AND trim(line) <> '' THEN pos END) AS content FROM lv GROUP BY path),
+ti AS (SELECT fi.path, coalesce(arg_min(heading, pos) FILTER (level = 1), fi.path) AS title FROM fi LEFT JOIN hd ON fi.path = hd.path GROUP BY fi.path),
+al AS (SELECT * FROM hd WHERE level >= 2 UNION ALL SELECT path, -1, 2, 'Overview' FROM fi WHERE first IS NULL OR content < first),
+ba AS (SELECT *, coalesce(nullif({SLUG.format("heading")}, ''), 'section') AS base FROM al),
+an AS (SELECT *, row_number() OVER (PARTITION BY path, base ORDER BY pos) - 1 AS nth, row_number() OVER (PARTITION BY path ORDER BY pos) - 1 AS position, max(CASE WHEN level = 2 THEN pos END) OVER (PARTITION BY path ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS above FROM ba),
+se AS (SELECT a.*, a.base || CASE WHEN a.nth > 0 THEN '-' || a.nth ELSE '' END AS anchor, CASE WHEN a.level = 3 THEN a.path || '#' || p.base || CASE WHEN p.nth > 0 THEN '-' || p.nth ELSE '' END END AS parent_id, title || CASE WHEN a.level = 3 AND p.heading IS NOT NULL THEN ' > ' || p.heading ELSE '' END || ' > ' || a.heading AS breadcrumb
+ FROM an a JOIN ti USING (path) LEFT JOIN an p ON p.path = a.path AND p.pos = a.above)"""
 
 
 def _markdown(s: SparkSession, d: str) -> DataFrame:
+    plain = lambda l, n: F.substring(F.regexp_replace(l, "[^A-Za-z0-9 ]", ""), 1, n)
+    of = lambda i, *marks: F.element_at(F.array(*map(F.lit, marks)), (F.floor(i / 9) % 4 + 1).cast("int"))
+
     def mark(l: Column, i: Column) -> Column:
         return (
-            F.when(i % 17 == 0, F.concat(F.lit("# "), F.substring(l, 1, 20))).when(i % 9 == 1, F.concat(F.lit("## "), F.substring(l, 1, 30))).when(i % 9 == 3, F.concat(F.lit("### "), F.substring(l, 1, 10)))
-            .when(i % 9 == 4, "```py").when(i % 9 == 6, "```").when(i % 9 == 8, F.concat(l, F.lit(" [see](/docs/d"), F.col("doc_id").cast("string"), F.lit(".md#x)"))).otherwise(l)
+            F.when(i % 17 == 0, F.concat(F.lit("# "), plain(l, 20))).when(i % 9 == 1, F.concat(F.lit("## "), plain(l, 30))).when(i % 9 == 3, F.concat(F.lit("### "), plain(l, 10)))
+            .when(i % 9 == 4, of(i, "```py", "~~~", "````md", "```js")).when(i % 36 == 23, "```").when(i % 9 == 6, of(i, "```", "~~~~", "````", "~~~"))
+            .when(i % 9 == 8, F.concat(l, F.lit(" [see](/docs/d"), F.col("doc_id").cast("string"), F.lit(".md#x)"))).otherwise(l)
         )
 
     return table(s, d, "documents").select(F.concat(F.lit("d"), F.col("doc_id").cast("string"), F.lit(".md")).alias("path"), F.array_join(F.transform(F.split("text", "\n"), mark), "\n").alias("text"))
 
 
-@query(f"""WITH {MARKDOWN}, hd AS (SELECT path, pos, level FROM lv WHERE level >= 2), fi AS (SELECT path, min(CASE WHEN level >= 2 THEN pos END) AS first, min(CASE WHEN level = 0 AND trim(line) <> '' THEN pos END) AS content FROM lv GROUP BY path),
-al AS (SELECT * FROM hd UNION ALL SELECT path, -1, 2 FROM fi WHERE first IS NULL OR content < first),
-pa AS (SELECT *, row_number() OVER w - 1 AS position, CASE WHEN level = 3 THEN max(CASE WHEN level = 2 THEN pos END) OVER (PARTITION BY path ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) END AS parent FROM al WINDOW w AS (PARTITION BY path ORDER BY pos))
-SELECT path, CAST(pos AS INTEGER) AS pos, CAST(position AS INTEGER) AS position, CAST(level AS INTEGER) AS level, parent IS NOT NULL AS has_parent FROM pa""")
+@query(f"""WITH RECURSIVE {MARKDOWN}, {OUTLINE}
+SELECT path, CAST(pos AS INTEGER) AS pos, CAST(position AS INTEGER) AS position, CAST(level AS INTEGER) AS level, heading, anchor, path || '#' || anchor AS section_id, parent_id, breadcrumb, false AS synthesized FROM se""")
 def B23_sections(s: SparkSession, d: str) -> DataFrame:
-    return parse.sections(_markdown(s, d)).select("path", "pos", "position", "level", F.col("parent_id").isNotNull().alias("has_parent"))
+    """Pages with fences of other marks, longer ones around shorter ones, and ones that end with the page."""
+    return parse.sections(_markdown(s, d))
 
 
-@query(f"""WITH {MARKDOWN}, b AS (SELECT path, ceil(fence_no / 2) AS block, min(pos) AS pos, arg_min(regexp_extract(line, '^\\s*(?:`{{3,}}|~{{3,}})\\s*([^\\s`{{]*)', 1), pos) AS language, coalesce(string_agg(CASE WHEN NOT mark THEN line END, chr(10) ORDER BY pos), '') AS text FROM lv WHERE fence GROUP BY path, block)
-SELECT path, CAST(pos AS INTEGER) AS pos, language, rtrim(text, chr(10)) AS text FROM b""".replace("\\\\", "\\"))
+@query(f"""WITH RECURSIVE {MARKDOWN}, {OUTLINE}, b AS (SELECT path, fence_no, min(pos) AS pos, arg_min(regexp_extract(line, '^\\s*(?:`{{3,}}|~{{3,}})\\s*([^\\s`{{]*)', 1), pos) AS language, coalesce(string_agg(CASE WHEN NOT mark THEN line END, chr(10) ORDER BY pos), '') AS text FROM lv WHERE fence GROUP BY path, fence_no),
+of AS (SELECT b.*, se.path || '#' || anchor AS section_id, row_number() OVER (PARTITION BY se.path, anchor ORDER BY b.pos) - 1 AS position FROM b ASOF JOIN se ON b.path = se.path AND b.pos >= se.pos)
+SELECT left(sha256(section_id || '|' || position || '|code-' || language), 16) AS node_id, path, section_id, CAST(pos AS INTEGER) AS pos, CAST(position AS INTEGER) AS position, language, rtrim(text, chr(10)) AS text, CAST(NULL AS VARCHAR) AS group_id FROM of""".replace("\\\\", "\\"))
 def B30_code_blocks(s: SparkSession, d: str) -> DataFrame:
     _, placed = parse.located(_markdown(s, d))
-    return parse.code_blocks(placed).select("path", "pos", "language", "text")
+    return parse.code_blocks(placed).drop("preceding")
+
+
+@query(r"""SELECT doc_id, coalesce(source, '') || chr(10) || chr(10) || trim('Intro ' || l) || chr(10) || chr(10) || 'end' AS text, trim('Mind ' || coalesce(lang, '')) AS callout, 'x = 1' || chr(10) || '  y' AS code, 'Step_' || doc_id AS href
+FROM (SELECT *, trim(regexp_replace(regexp_replace(coalesce(text, ''), '[^A-Za-z ]', ' ', 'g'), ' +', ' ', 'g')) AS l FROM documents)""")
+def B05_component_pages(s: SparkSession, d: str) -> DataFrame:
+    """Each text in nested components, with a dropped one, an export, a callout, a fenced block and a link in a table: what is left of the page."""
+    c, blank = F.col, lambda x: F.coalesce(F.col(x), F.lit(""))
+    plain = F.trim(F.regexp_replace(F.regexp_replace(blank("text"), "[^A-Za-z ]", " "), " +", " "))
+    text = F.concat(
+        F.lit("# T\n\nexport const W = ({a = '}'}) => {\nreturn (\n<p>{a}</p>\n);\n};\n<Steps>\n  <Step title={`"), blank("source"), F.lit("`}>\n    Intro "), plain, F.lit("\n\n    <Note>\n      Mind <b>"), blank("lang"),
+        F.lit("</b>\n    </Note>\n\n    ````py\n    x = 1\n      y\n    ````\n\n    | Tool |\n    |---|\n    | [t](Step_"), c("doc_id").cast("string"), F.lit(") |\n  </Step>\n</Steps>\n<Hero big>\n  <b>gone</b>\n</Hero>\n\nend\n"),
+    )
+    _, placed = parse.located(table(s, d, "documents").select(c("doc_id").cast("string").alias("path"), text.alias("text")))
+    texts = parse.section_text(placed).select(F.regexp_replace("section_id", "#.*", "").alias("path"), "text")
+    joined = texts.join(parse.callouts(placed).select("path", c("text").alias("callout")), "path").join(parse.code_blocks(placed).select("path", c("text").alias("code")), "path").join(parse.links(placed).select("path", "href"), "path")
+    return joined.select(c("path").cast("long").alias("doc_id"), "text", "callout", "code", "href")
 
 
-@query(f"""WITH {MARKDOWN} SELECT path, CAST(pos AS INTEGER) AS pos, unnest(regexp_extract_all(line, '\\[([^\\[\\]]*)\\]\\(([^)\\s]*)\\)', 2)) AS href FROM lv WHERE NOT fence AND level = 0 AND NOT regexp_matches(line, '^\\s*>')""".replace("\\\\", "\\"))
+@query(f"""WITH RECURSIVE {MARKDOWN} SELECT path, CAST(pos AS INTEGER) AS pos, unnest(regexp_extract_all(line, '\\[([^\\[\\]]*)\\]\\(([^)\\s]*)\\)', 2)) AS href FROM lv WHERE NOT fence AND level = 0 AND NOT regexp_matches(line, '^\\s*>')""".replace("\\\\", "\\"))
 def B36_markdown_links(s: SparkSession, d: str) -> DataFrame:
     _, placed = parse.located(_markdown(s, d))
     return parse.links(placed).select("path", "pos", "href")

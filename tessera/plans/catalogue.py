@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -10,8 +11,9 @@ from pyspark.sql import functions as F
 from tessera.functions import contexts as cx
 from tessera.functions import text as tx
 from tessera.functions.vectors import cosine
-from tessera.sources.shared import saved
-from tessera.operators import audit, entities, evaluate, graph, parse, resolve, search, store
+from tessera.sources.parts import Parts
+from tessera.sources.shared import saved, shared_folder
+from tessera.operators import audit, entities, evaluate, graph, load, parse, resolve, search, store
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -517,6 +519,30 @@ def M05_subtree_delete(s: SparkSession, d: str) -> DataFrame:
     return kept.select(F.lit("node").alias("kind"), F.col("node_id").alias("id")).union(left.select(F.lit("edge"), F.concat("source_id", F.lit(">"), "target_id", F.lit("."), F.col("l_linenumber").cast("string"))))
 
 
+@query(f"""WITH {STORED}, st AS (SELECT doc_id, content_hash AS h FROM stored), inc AS (SELECT doc_id, content_hash AS h FROM incoming WHERE doc_id % 10 <> 9),
+pg AS (SELECT i.doc_id, s.doc_id IS NOT NULL AND s.h = i.h AS kept FROM inc i LEFT JOIN st s ON i.doc_id = s.doc_id),
+nd AS (SELECT 's' || doc_id AS id, CASE WHEN kept OR EXISTS (SELECT 1 FROM st WHERE st.doc_id = pg.doc_id) THEN 'c' || doc_id END AS context FROM pg UNION ALL SELECT 'x' || doc_id, CASE WHEN kept THEN 'c' || doc_id END FROM pg WHERE doc_id % 3 = 0)
+SELECT 'node' AS kind, id, context FROM nd UNION ALL SELECT 'edge', 's' || doc_id || '>s' || (doc_id + 1), NULL FROM pg WHERE doc_id + 1 IN (SELECT doc_id FROM pg)""")
+def M06_load_parts(s: SparkSession, d: str) -> DataFrame:
+    """A stored graph, then a load of all pages of which some are new, changed or gone; sections keep their text, and so their context, other nodes of a changed page don't."""
+    parts = Parts(s, f"{shared_folder(s)}/graph-{uuid.uuid4().hex}")
+    stored, incoming = _versions(s, d)
+    text = lambda prefix: F.concat(F.lit(prefix), F.col("doc_id").cast("string"))
+
+    def of(docs: DataFrame, context: Column) -> tuple[DataFrame, DataFrame, DataFrame]:
+        page = F.col("doc_id").cast("string").alias("page_id")
+        section = docs.select(page, text("s").alias("node_id"), F.lit("Section").alias("node_label"), F.lit("text").alias("raw_text"), context.alias("context"))
+        other = docs.where("doc_id % 3 = 0").select(page, text("x").alias("node_id"), F.lit("CodeBlock").alias("node_label"), F.col("content_hash").alias("raw_text"), context.alias("context"))
+        target = F.concat(F.lit("s"), (F.col("doc_id") + 1).cast("string"))
+        edges = docs.select(page, F.concat(text("s"), F.lit(">"), target).alias("edge_id"), F.lit("LINKS_TO").alias("type"), text("s").alias("source_id"), target.alias("target_id"))
+        return docs.select(page, "content_hash"), section.unionByName(other), edges
+
+    load.load(parts, *of(stored, text("c")))
+    load.load(parts, *of(incoming.where("doc_id % 10 <> 9"), F.lit(None).cast("string")), whole=True, carried=("context",))
+    nodes, edges = load.graph(parts)
+    return nodes.select(F.lit("node").alias("kind"), F.col("node_id").alias("id"), "context").unionByName(edges.select(F.lit("edge").alias("kind"), F.col("edge_id").alias("id"), F.lit(None).cast("string").alias("context")))
+
+
 @query("SELECT d.doc_id, d.lang, coalesce(l.quality::VARCHAR, d.source) AS source FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id")
 def M09_write_properties(s: SparkSession, d: str) -> DataFrame:
     nodes = table(s, d, "documents").select("doc_id", "lang", "source")

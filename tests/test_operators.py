@@ -12,9 +12,10 @@ from pyspark.sql import functions as F
 from tessera.functions import contexts as cx
 from tessera.functions import text as tx
 from tessera.functions.vectors import cosine
-from tessera.operators import audit, entities, evaluate, graph, parse, resolve, search, store
+from tessera.operators import audit, entities, evaluate, graph, load, parse, resolve, search, store
 from tessera.plans import enrich, models, qa
 from tessera.sources import records
+from tessera.sources.parts import Parts
 from tessera.streaming import incremental
 
 
@@ -495,7 +496,53 @@ def test_incremental_ingest(spark, tmp_path):
     assert run() == 0
     write([("a", "one"), ("b", "TWO"), ("c", "three")])
     assert run() == 1
-    assert {(r["key"], r["text"], r["version"]) for r in spark.read.parquet(str(tmp_path / "out" / "v1")).collect()} == {("a", "one", 0), ("b", "TWO", 1), ("c", "three", 1)}
+    rows = lambda: {(r["key"], r["text"], r["version"]) for r in incremental.table(spark, str(tmp_path / "out")).collect()}
+    assert rows() == {("a", "one", 0), ("b", "TWO", 1), ("c", "three", 1)}
+    write([("a", "one"), ("c", "three")])
+    before = Parts(spark, str(tmp_path / "out"))
+    assert run() == 2 and Parts(spark, str(tmp_path / "out")).version == before.version == 1  # nothing changed, nothing is written
+
+
+def test_a_batch_rewrites_its_parts_only(spark, tmp_path):
+    source, schema, out = str(tmp_path / "in"), "id string, body string", str(tmp_path / "out")
+    write = lambda rows: spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(source)
+    run = lambda: incremental.ingest(spark, source, schema, out, str(tmp_path / "cp"), "id", "body", parts=8)
+    write([(f"k{i}", "one") for i in range(200)])
+    run()
+    write([("k7", "two")])
+    run()
+    versions = list(Parts(spark, out).state["tables"]["rows"]["parts"].values())
+    assert len(versions) == 8 and versions.count("v00000001") == 1
+    assert len(list((tmp_path / "out" / "v00000001" / "rows").glob("part=*"))) == 1
+    assert incremental.table(spark, out).where("text = 'two'").count() == 1 and incremental.table(spark, out).count() == 200
+
+
+def test_load_replaces_subtrees_and_deletes(spark, tmp_path):
+    pages = lambda rows: spark.createDataFrame(rows, "page_id string, content_hash string")
+    nodes = lambda rows: spark.createDataFrame(rows, "page_id string, node_id string, node_label string, raw_text string, context string")
+    edges = lambda rows: spark.createDataFrame([(p, f"{a}>{b}", "LINKS_TO", a, b) for p, a, b in rows], "page_id string, edge_id string, type string, source_id string, target_id string")
+    own = Parts(spark, str(tmp_path), 16)
+    known = [(p, f"{p}{k}", "Section", f"text {p}{k}", f"context {p}{k}") for p in ("a", "b", "c", "d") for k in (1, 2)]
+    links = [("a", "a1", "b1"), ("a", "a2", "b2"), ("b", "b1", "c1"), ("d", "d1", "a1")]
+    counts = load.load(own, pages([(p, "1") for p in "abcd"]), nodes(known), edges(links), dry_run=True)
+    assert {tuple(r) for r in counts.collect()} == {("pages", "merge_all", 4), ("nodes", "Section", 8), ("edges", "LINKS_TO", 4)} and own.version == -1
+    load.load(own, pages([(p, "1") for p in "abcd"]), nodes(known), edges(links))
+    assert own.version == 0 and load.graph(own)[0].count() == 8 and load.graph(own)[1].count() == 4
+    # b changes: b1 stays as it was, b2 goes, b3 comes; d vanishes; a and c are as before
+    fresh = [("b", "b1", "Section", "text b1", None), ("b", "b3", "Section", "text b3", None), ("a", "a1", "Section", "text a1", None)]
+    incoming = pages([("a", "1"), ("b", "2"), ("c", "1")])
+    counts = load.load(own, incoming, nodes(fresh), edges([("b", "b3", "a1"), ("a", "a1", "b1")]), whole=True, carried=("context",))
+    assert {tuple(r) for r in counts.where("what = 'pages'").collect()} == {("pages", "skip_nodes", 2), ("pages", "replace", 1), ("pages", "delete", 1)}
+    got, left = load.graph(own)
+    assert {(r["node_id"], r["context"]) for r in got.collect()} == {("a1", "context a1"), ("a2", "context a2"), ("b1", "context b1"), ("b3", None), ("c1", "context c1"), ("c2", "context c2")}
+    assert {r["edge_id"] for r in left.collect()} == {"a1>b1", "b3>a1"}  # a2>b2 and b1>c1 went with b's old nodes, d1>a1 with d
+    # the same again changes nothing, and a stopped commit leaves nothing behind
+    load.load(own, incoming, nodes(fresh), edges([]), whole=True)
+    assert Parts(spark, str(tmp_path)).version == 1
+    (tmp_path / "v00000002" / "nodes" / "part=0").mkdir(parents=True)
+    assert load.graph(Parts(spark, str(tmp_path)))[0].count() == 6
+    with pytest.raises(ValueError, match="doesn't replace"):
+        own.commit({"pages": (incoming, F.col("page_id"), F.col("page_id"))}, [])
 
 
 def test_records_round_trip(spark, tmp_path):

@@ -7,7 +7,9 @@ child styles that the node has (one fixed sequence: 0).  Content: one less the m
 entropy of its text blocks over pages (a block that is on c of m pages has log c /
 log m: a notice that stands on all of them 1, a text of one page 0); a block counts for
 the WITHIN nearest elements that hold it.  Outside article and main, where other links on each page
-keep a menu's entropy high, importance falls with the share of its characters that are links, over all pages of the host.
+keep a menu's entropy high, importance falls with the share of its characters that are short links (of LINK_WORDS words at most), over all pages of the host.
+What only goes with others (headings, terms, captions, rows, cells and items of lists) shares the fate of the element that holds it and is never judged alone; and in
+article and main headings and the like, which repeat from page to page by their nature, are no evidence against what holds them.
 The evidence of m pages is weighed against a prior of 1 that counts as PRIOR pages (PRIOR_INSIDE
 in article and main), at every m alike.  Pages with the
 same text outside named parts count as one page, whatever their menus and adverts are.
@@ -18,7 +20,8 @@ Branches of low importance are noise and are cut out of each page.
 What HTML itself says about a part is taken as said: nav, aside, footer, form, script and the like, and the landmark
 roles.  So are, outside article and main, classes, ids and roles that are a part's name as a whole ("comments",
 "cookie-banner", "left-sidebar", but not "has-sidebar" or "ad-hoc"), as where a host has one page no tree can tell.  Inside
-article and main no id and no role but a landmark counts, and only a class that is one of INNER_NAMES, on an element that groups others.
+article and main no role but a landmark counts, and only a class that is one of INNER_NAMES, on an element that groups others, or an id or class of reader comments (COMMENT_NAMES), unless that would
+leave nothing of the page's text.  A head ends where what can't stand in it begins, also without its end tag.
 Wholes (html, body, article, main), headings and inline elements are never named parts.  What is left inside article or main
 elements, or else in the body, is the text, block by block.
 
@@ -48,6 +51,8 @@ LEAST_IMPORTANCE, PRESENTATION, PRIOR, PRIOR_INSIDE = 0.3, 0.1, 1.0, 4.0
 ARTICLE_SHARE = 0.8
 #: Elements above a block that it counts for, nearest first.
 WITHIN = 64
+#: Links of more words are text.
+LINK_WORDS = 3
 #: So many noise nodes (about 70 bytes each in a worker) are sent to all tasks; more are joined with the pages instead, with the same result.
 BROADCAST_NODES = 100_000
 SALTS = 32
@@ -75,11 +80,19 @@ BESIDE = frozenset("site page top bottom left right main primary secondary globa
 INNER_NAMES = frozenset("ad ads advert adverts advertisement advertising ad-slot ad-box sponsored comments comment-list reader-comments share-buttons social-share newsletter newsletter-signup related-posts cookie-banner cookie-notice breadcrumbs pagination".split())
 GROUPING = frozenset("div section ul ol dl table figure details ins".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+# Elements of reader comments by id (not on sections, which may be named by a heading) or class.
+COMMENT_NAMES = frozenset("comments comment-list commentlist reader-comments user-comments comments-area comments-section comment-section comment-thread disqus_thread".split())
+LABELS = HEADINGS | frozenset("hgroup dt th caption figcaption legend summary".split())
+# Elements that are never judged alone.
+UNJUDGED = WHOLE | LABELS | frozenset("dd td li tr thead tbody tfoot colgroup".split())
+HEAD_ONLY = frozenset("base basefont bgsound link meta title style script noscript template head html".split())
 NEVER_NAMED = WHOLE | HEADINGS | INLINE
 
 TAG = re.compile(r"</?([a-zA-Z][^\s/>]*)(?:((?:\"[^\"]*\"|'[^']*'|[^'\">])*+)>|([^>]*)>)")
 NAMES = re.compile(r"(?<![\w-])(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 SPLIT = re.compile(r"[\s_\-:]+")
+COMMENT_END = re.compile(r"--!?>")
+LONG_NUMBER = re.compile(r"&#([0-9]{8,});?")
 
 _paths: dict[tuple[int, str, str], int] = {}
 _named: dict[str, bool] = {}
@@ -101,8 +114,8 @@ def tokens(source: str) -> Iterator[tuple[int, int, str, str, bool]]:
     while (at := source.find("<", at)) >= 0:
         end, tag, attributes, closes = 0, "", "", False
         if source.startswith("<!--", at):
-            end = source.find("-->", at + 4) + 3
-            end = len(source) if end < 3 else end
+            found = COMMENT_END.search(source, at + 4)
+            end = at + 5 if source.startswith(">", at + 4) else at + 6 if source.startswith("->", at + 4) else found.end() if found else len(source)
         elif at < last:
             if source[at + 1] in "!?":
                 end = source.find(">", at) + 1
@@ -113,6 +126,13 @@ def tokens(source: str) -> Iterator[tuple[int, int, str, str, bool]]:
         at = end or at + 1
 
 
+def unescaped(raw: str) -> str:
+    """With character references decoded; a number too long for a character is the replacement character, however many digits it has."""
+    if "&#" in raw:
+        raw = LONG_NUMBER.sub(lambda m: "\ufffd" if len(n := m[1].lstrip("0")) > 7 else f"&#{n or 0};", raw)
+    return html.unescape(raw)
+
+
 def child_path(parent: int, tag: str, names: str) -> int:
     key = (parent, tag, names)
     if (h := _paths.get(key)) is None:
@@ -123,58 +143,85 @@ def child_path(parent: int, tag: str, names: str) -> int:
 
 
 class Element:
-    __slots__ = ("children", "main", "out", "path", "tag")
+    __slots__ = ("children", "main", "out", "path", "tag", "told")
 
-    def __init__(self, tag: str, path: int, out: bool, main: bool):
-        self.tag, self.path, self.out, self.main, self.children = tag, path, out, main, []
+    def __init__(self, tag: str, path: int, out: bool, main: bool, told: bool = False):
+        self.tag, self.path, self.out, self.main, self.told, self.children = tag, path, out, main, told, []
 
 
-def named_part(tag: str, attributes: str, main: bool) -> tuple[str, bool, bool]:
-    """The class names of an element, whether it or what it stands in is main, and whether its names make it a part."""
+def named_part(tag: str, attributes: str, main: bool) -> tuple[str, bool, bool, bool]:
+    """The class names of an element, whether it or what it stands in is main, and whether its names make it a part, or reader comments in main."""
     found = {n.lower(): a or b or c for n, a, b, c in NAMES.findall(attributes)} if "=" in attributes else {}
     classes, roles = found.get("class", "").lower().split(), found.get("role", "").lower().split()
     main = main or tag in ("article", "main") or "main" in roles
     if not found or tag in NEVER_NAMED or "main" in roles:
-        return " ".join(sorted(classes)), main, False
+        return " ".join(sorted(classes)), main, False, False
     part = not LANDMARKS.isdisjoint(roles) or (not INNER_NAMES.isdisjoint(classes) and tag in GROUPING)
     if not main and not part:
         part = any(map(part_of, classes)) or any(map(part_of, roles)) or (tag != "section" and any(map(part_of, found.get("id", "").lower().split())))
-    return " ".join(sorted(classes)), main, part
+    told = main and tag in GROUPING and (not COMMENT_NAMES.isdisjoint(classes) or (tag != "section" and not COMMENT_NAMES.isdisjoint(found.get("id", "").lower().split())))
+    return " ".join(sorted(classes)), main, part and not told, told
 
 
 def walk(source: str, host: int, noise: frozenset | set = frozenset()) -> tuple[list[tuple[str, tuple[int, ...], bool, bool, float]], list[tuple[int, int, bool]]]:
-    """The blocks of a page, as (text, paths above, cut out, in main, share of links), and (path, hash of the child styles, in main) of each element."""
+    """The blocks of a page, as (text, paths above that it is evidence for, cut out, in main, share of short links), and (path, hash of the child styles, in main) of each element.
+
+    Reader comments by name are cut out if the page has other text in main.
+    """
     stack, blocks, shapes, piece = [Element("", host, False, False)], [], [], []
     inner: list[int] = []  # places in the stack of elements that aren't inline
     trail: list[int] = []  # the paths of those that aren't wholes
     opened: Counter[str] = Counter()
-    linked = 0
+    anchor: list[str] = []
+    told: list[int] = []  # the blocks of reader comments by name
+    labels = linked = 0
+
+    def settle() -> None:
+        nonlocal linked
+        if anchor:
+            text = "".join(anchor)
+            anchor.clear()
+            if len(text.split(None, LINK_WORDS)) <= LINK_WORDS:
+                linked += len(text.strip())
 
     def flush() -> None:
         nonlocal linked
+        settle()
         if piece:
             raw = "".join(piece)
-            text = " ".join(html.unescape(raw).split())
+            text = " ".join(unescaped(raw).split())
             piece.clear()
             if text:
-                blocks.append((text, tuple(trail[-WITHIN:]), stack[-1].out, stack[-1].main, min(1.0, linked / max(len(raw.strip()), 1))))
+                if stack[-1].told:
+                    told.append(len(blocks))
+                blocks.append((text, () if labels and stack[-1].main else tuple(trail[-WITHIN:]), stack[-1].out, stack[-1].main, min(1.0, linked / max(len(raw.strip()), 1))))
         linked = 0
 
     def close(n: int) -> None:
+        nonlocal labels
         for e in stack[n:]:
             opened[e.tag] -= 1
-            shapes.append((e.path, xxhash.xxh64_intdigest(repr(e.children)) - (1 << 63), e.main))
+            labels -= e.tag in LABELS
+            if e.tag not in UNJUDGED:
+                shapes.append((e.path, xxhash.xxh64_intdigest(repr(e.children)) - (1 << 63), e.main))
         while inner and inner[-1] >= n:
-            if stack[inner.pop()].tag not in WHOLE:
+            if stack[inner.pop()].tag not in UNJUDGED:
                 trail.pop()
         del stack[n:]
 
     def add(text: str) -> None:
-        nonlocal linked
         if text:
+            if opened["head"] and not text.isspace():
+                leave_head()
             piece.append(text)
             if opened["a"]:
-                linked += len(text.strip())
+                anchor.append(text)
+
+    def leave_head() -> None:
+        n = len(stack) - 1
+        while stack[n].tag != "head":
+            n -= 1
+        close(n)
 
     at = 0
     for begin, end, tag, attributes, closes in tokens(source):
@@ -184,6 +231,8 @@ def walk(source: str, host: int, noise: frozenset | set = frozenset()) -> tuple[
         at = end
         if not tag:
             continue
+        if tag == "a":
+            settle()
         if closes:
             if tag not in INLINE:
                 flush()
@@ -193,6 +242,9 @@ def walk(source: str, host: int, noise: frozenset | set = frozenset()) -> tuple[
                     n -= 1
                 close(n)
             continue
+        if opened["head"] and tag not in HEAD_ONLY:
+            flush()
+            leave_head()
         if tag in INLINE:
             if tag == "br":
                 piece.append(" ")
@@ -210,9 +262,9 @@ def walk(source: str, host: int, noise: frozenset | set = frozenset()) -> tuple[
                     break
                 n -= 1
         parent = stack[-1]
-        names, main, part = named_part(tag, attributes, parent.main)
+        names, main, part, comments = named_part(tag, attributes, parent.main)
         path = child_path(parent.path, tag, names)
-        out = parent.out or part or tag in PARTS_BY_TAG or path in noise or (not main and tag in OUTER_TAGS)
+        out = parent.out or part or tag in PARTS_BY_TAG or (path in noise and tag not in UNJUDGED) or (not main and tag in OUTER_TAGS)
         if tag not in INLINE:
             parent.children.append((tag, names))
         if tag in RAW:
@@ -221,13 +273,18 @@ def walk(source: str, host: int, noise: frozenset | set = frozenset()) -> tuple[
         elif tag not in VOID and not attributes.rstrip().endswith("/"):
             if tag not in INLINE:
                 inner.append(len(stack))
-                if tag not in WHOLE:
+                if tag not in UNJUDGED:
                     trail.append(path)
-            stack.append(Element(tag, path, out, main))
+            stack.append(Element(tag, path, out, main, parent.told or comments))
             opened[tag] += 1
+            labels += tag in LABELS
     add(source[at:])
     flush()
     close(1)
+    if told and len(told) < sum(main and not out for _, _, out, main, _ in blocks):
+        for i in told:
+            text, paths, _, main, share = blocks[i]
+            blocks[i] = (text, paths, True, main, share)
     return blocks, shapes
 
 

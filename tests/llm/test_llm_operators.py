@@ -298,6 +298,30 @@ def test_html_time_grows_with_the_length_of_a_page(page):
     assert time.process_time() - start < 5
 
 
+@pytest.mark.parametrize("n", [5, 20, 40])
+@pytest.mark.parametrize("outer", ["<article>{}</article>", '<div class="content">{}</div>'])
+def test_html_labels_stay_with_what_they_introduce(spark, n, outer):
+    """Headings, terms and headers of tables that all pages have, and references that are links, are text of the page; what all pages have beside it isn't."""
+    page = (
+        '<html><head><title>T</title><body><div class="x1"><p>Welcome to our site</div>' + outer.format("<h1><a href='/{i}'>Title {i}</a></h1><h2>Introduction</h2><p>Page {i} begins with words of its own<h2>Results</h2><dl><dt>Author<dd>Person {i}<dt>Rating<dd>good</dl>"
+        "<table><caption>Values</caption><thead><tr><th>Name<th>Value</thead><tr><td>size {i}<td>{i}</table><div class='sec'><h2>Conclusion</h2><p>And page {i} ends so</div><ul><li><a href='r'>Writer {i}, a study of things, volume {i}</a><li><a href='s'>Other writer {i}, on the same things</a></ul>")
+    )
+    want = "Title {i}\nIntroduction\nPage {i} begins with words of its own\nResults\nAuthor\nPerson {i}\nRating\ngood\nValues\nName\nValue\nsize {i}\n{i}\nConclusion\nAnd page {i} ends so\nWriter {i}, a study of things, volume {i}\nOther writer {i}, on the same things"
+    rows = [(i, "http://labels.example/", page.format(i=i)) for i in range(n)]
+    got = {r["page_id"]: r["text"] for r in sitetree.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == {i: want.format(i=i) for i in range(n)}
+
+
+@pytest.mark.parametrize(("page", "text"), [
+    ("<html><head><title>T</title><body><p>Hello world", "Hello world"), ("<head><meta charset=utf-8><p>Hello world", "Hello world"), ("<head><title>t</title>Hello <b>world</b>", "Hello world"), ("<html><head><style>x</style><script>y</script></head><body>a", "a"),
+    ("<p>a&#" + "9" * 5000 + ";b", "a\ufffdb"), ("<p>&#" + "0" * 5000 + "65;b &#x" + "f" * 5000 + ";", "Ab \ufffd"), ("<p>&#000000065 &#99999999;", "A \ufffd"), ("a<!-->b<!--->c<!-- x --!>d<!-- y -->e<!-- z", "abcde"),
+    ('<article><p>Text</p><div id="comments"><p>nice</div></article>', "Text"), ('<article><p>Text</p><ol class="x user-comments"><li>nice</ol></article>', "Text"), ('<article><p>Text</p><section id="comments"><h2>Comments</h2><p>on a method</section></article>', "Text\nComments\non a method"),
+    ("<ul><li>a<li>b<ul><li>c</ul><li>d</ul><p>e<p>f<div>g", "a\nb\nc\nd\ne\nf\ng"),
+])
+def test_html_odd_markup(page, text):
+    assert sitetree.page_text(page, 0) == text
+
+
 def test_html_importance_is_the_entropy(spark):
     pages = spark.createDataFrame([(i, "http://h.example/", f"<div class=a>same</div><div class=b>own {i}</div>") for i in range(16)], "page_id long, url string, html string")
     values = sorted({round(r["importance"], 6) for r in sitetree.importance(pages).collect() if r["pages"] == 16})

@@ -21,6 +21,23 @@ def id_metrics(answers: DataFrame, most: int = 8) -> DataFrame:
     )
 
 
+#: The judge's metrics (fixed values).
+JUDGED = ("faithfulness", "context_precision", "context_recall", "answer_relevancy", "factual_correctness", "semantic_similarity")
+
+
+def judge_payload(question: Column, answer: Column, reference: Column, contexts: Column) -> Column:
+    """What a judge is asked about one answer, as JSON: a question, the answer, the reference answer and the contexts (one empty one, where there are none)."""
+    some = F.when(F.size(F.coalesce(contexts, F.array().cast("array<string>"))) > 0, contexts).otherwise(F.array(F.lit("")))
+    text = lambda c, name: F.coalesce(c, F.lit("")).alias(name)
+    return F.to_json(F.struct(text(question, "question"), text(answer, "answer"), text(reference, "reference"), some.alias("contexts")))
+
+
+def judged(rows: DataFrame, result: str = "result") -> DataFrame:
+    """rows with the metrics of a judge's result (JSON); NaN for a metric that it hasn't, and for all where it has none."""
+    told = F.from_json(F.col(result), ", ".join(f"{m} double" for m in JUDGED))
+    return rows.withColumn("told", told).select(*rows.columns, *[F.coalesce(F.col(f"told.{m}"), F.lit(float("nan"))).alias(m) for m in JUDGED])
+
+
 def means(metrics: DataFrame, columns: list[str], by: str | None = None) -> DataFrame:
     """Means of the columns, over all or by a column; NaN and null don't count."""
     wanted = [F.round(F.avg(F.when(~F.isnan(c), F.col(c))), 6).alias(c) for c in columns]

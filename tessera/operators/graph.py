@@ -11,6 +11,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.operators import store
 from tessera.sources.shared import first_rows, saved
 
 ATOM_LABELS = ("Chunk", "CodeBlock", "Callout", "TableRow")
@@ -96,10 +97,11 @@ def expand_code_examples(edges: DataFrame, nodes: DataFrame, seeds: DataFrame, p
     return _capped(flat, seeds, per_seed, ["mentioned", "depth", "position", "node_id"])
 
 
-def expand(seeds: DataFrame, expansions: list[tuple[str, DataFrame]], total_cap: int = 20) -> DataFrame:
+def expand(seeds: DataFrame, expansions: list[tuple[str, DataFrame]], total_cap: int = 20, nodes: DataFrame | None = None, payload: tuple[str, ...] = ()) -> DataFrame:
     """Seeds, then the expansions in their order, each node once, with at most total_cap nodes that are no seeds.
 
-    seeds: seed_rank, node_id, node_label; expansions: (pattern, rows of one of the functions above).
+    seeds: seed_rank, node_id, node_label; expansions: (pattern, rows of one of the functions above).  With nodes, what is left carries these payload columns of theirs, for reranking
+    and citations; they are joined once, after the cap.
     """
     own = seeds.select("node_id", "node_label", F.lit(-1).alias("part"), F.col("seed_rank").cast("long").alias("place"), F.lit(None).cast("string").alias("expansion_origin"))
     own = own.withColumn("place", F.struct(F.col("place").alias("a"), F.lit(0).cast("long").alias("b"), F.lit(0).cast("long").alias("c")))
@@ -111,7 +113,8 @@ def expand(seeds: DataFrame, expansions: list[tuple[str, DataFrame]], total_cap:
     union = reduce(DataFrame.unionByName, parts)
     first = union.groupBy("node_id", "node_label").agg(F.min(F.struct("part", "place", "expansion_origin")).alias("x")).select("node_id", "node_label", "x.*")
     added = first.where("part >= 0").orderBy("part", "place", "node_id").limit(total_cap)
-    return first.where("part < 0").unionByName(added)
+    every = first.where("part < 0").unionByName(added)
+    return every if nodes is None else store.hydrated(every, nodes, list(payload))
 
 
 def equivalents(blocks: DataFrame) -> DataFrame:

@@ -35,27 +35,36 @@ def top_per(df: DataFrame, by: list[str], order: list[Column], k: int, rank: str
     return df.withColumn(rank, F.row_number().over(window)).where(F.col(rank) <= k)
 
 
+def asked_terms(queries: DataFrame) -> DataFrame:
+    """query_id, term of queries (query_id, text), each once."""
+    return queries.select("query_id", F.explode(F.array_distinct(tokens(F.col("text")))).alias("term"))
+
+
 def bm25(nodes: DataFrame, queries: DataFrame, k: int = 50, wanted: Column | None = None) -> DataFrame:
     """query_id, node_id, score, rank: the k best of nodes (node_id, indexed_text) for each query (query_id, text).
 
     The texts are read once: the postings of the queries' terms, and for each node one without a term, are written and everything else is made of
-    them.  wanted: a condition on nodes; others count in the statistics but are not scored.  Scores are rounded to six digits before they are ordered.
-
-    Terms are taken apart for each query by what they can add at most (the largest weight that they have).  A first pass scores by the rarer half of a query's terms; the k-th best
-    of these scores is a bound.  The common terms whose sum stays under it can't bring a node among the k best alone, so in the second pass only nodes with one of the
-    others are scored.
+    them.  wanted: a condition on nodes; others count in the statistics but are not scored.  ``textindex.TextIndex`` keeps postings from one search to the next.
     """
-    asked = queries.select("query_id", F.explode(F.array_distinct(tokens(F.col("text")))).alias("term"))
+    asked = asked_terms(queries)
     sized = nodes.where(F.coalesce("indexed_text", F.lit("")) != "").select("node_id", (F.lit(True) if wanted is None else F.coalesce(wanted, F.lit(False))).alias("wanted"), tokens(F.col("indexed_text")).alias("tokens"))
     every = sized.select("node_id", "wanted", F.size("tokens").alias("length"), F.explode(F.concat(F.array(F.lit("")), F.col("tokens"))).alias("term"))
     terms = asked.select("term").union(asked.sparkSession.range(1).select(F.lit("").alias("term"))).distinct()
     postings = saved(every.join(terms, "term").groupBy("node_id", "wanted", "length", "term").agg(F.count("*").alias("tf")), "postings")
     stats = postings.where("term = ''").agg(F.count("*").alias("n"), F.avg("length").alias("mean")).first()
-    n, mean = stats["n"], stats["mean"] or 1.0
-    counts = postings.where("term <> ''")
+    return ranked(postings.where("term <> ''"), asked, stats["n"], stats["mean"], k)
+
+
+def ranked(counts: DataFrame, asked: DataFrame, n: int, mean: float | None, k: int) -> DataFrame:
+    """query_id, node_id, score, rank by the postings (node_id, wanted, length, term, tf) of the terms asked for; n nodes have a mean length.  Scores are rounded to six digits before they are ordered.
+
+    Terms are taken apart for each query by what they can add at most (the largest weight that they have).  A first pass scores by the rarer half of a query's terms; the k-th best
+    of these scores is a bound.  The common terms whose sum stays under it can't bring a node among the k best alone, so in the second pass only nodes with one of the
+    others are scored, and of the common terms' postings only theirs are joined.
+    """
     idf = F.log(1 + (F.lit(float(n)) - F.col("df") + 0.5) / (F.col("df") + 0.5))
     weights = counts.groupBy("term").agg(F.count("*").alias("df")).select("term", idf.alias("idf"))
-    scale = K1 * (1 - B + B * F.col("length") / F.lit(mean))
+    scale = K1 * (1 - B + B * F.col("length") / F.lit(mean or 1.0))
     scored = saved(counts.where("wanted").join(weights, "term").select("node_id", "term", (F.col("idf") * F.col("tf") * (K1 + 1) / (F.col("tf") + scale)).alias("w")), "weights")
     bounds = scored.groupBy("term").agg(F.max("w").alias("bound"))
     # a query's terms from the one that adds least: cum is what a node without the rarer ones can have at most
@@ -64,10 +73,9 @@ def bm25(nodes: DataFrame, queries: DataFrame, k: int = 50, wanted: Column | Non
     rare = scored.join(ordered.where("2 * place > terms").select("query_id", "term"), "term").groupBy("query_id", "node_id").agg(F.sum("w").alias("score"))
     least = top_per(rare, ["query_id"], [F.desc("score"), F.col("node_id")], k).where(F.col("rank") == k).select("query_id", F.col("score").alias("least"))
     cuts = saved(ordered.join(least, "query_id", "left").withColumn("alone", F.col("least").isNull() | (F.col("cum") >= F.col("least") - 1e-5)).select("query_id", "term", "alone"), "cuts")
-    met = scored.join(cuts, "term")
-    essential = met.where("alone").select("query_id", "node_id", "w")
-    # the common terms of nodes that have an essential one; nothing else of them leaves the join
-    common = met.where("NOT alone").select("query_id", "node_id", "w").join(essential.select("query_id", "node_id").distinct(), ["query_id", "node_id"], "left_semi")
+    essential = saved(scored.join(cuts.where("alone").select("query_id", "term"), "term").groupBy("query_id", "node_id").agg(F.sum("w").alias("w")), "essential")
+    # from the pairs that have an essential term to their queries' common terms, and only then to postings
+    common = essential.select("query_id", "node_id").join(cuts.where("NOT alone").select("query_id", "term"), "query_id").join(scored, ["node_id", "term"]).select("query_id", "node_id", "w")
     total = essential.union(common).groupBy("query_id", "node_id").agg(F.round(F.sum("w"), 6).alias("score"))
     return top_per(total, ["query_id"], [F.desc("score"), F.col("node_id")], k)
 

@@ -60,6 +60,26 @@ def hydrated(rows: DataFrame, nodes: DataFrame, columns: list[str]) -> DataFrame
     return rows.select(*own).join(nodes.select("node_id", *columns), "node_id", "left")
 
 
+#: Columns by which a node may be named, the first wins where one node has a key twice (fixed values).
+NODE_KEYS = ("node_id", "url", "name", "key")
+
+
+def key_table(nodes: DataFrame, keys: tuple[str, ...] = NODE_KEYS) -> DataFrame:
+    """key, node_id: what each node may be called; one row for each pair."""
+    there = [c for c in keys if c in nodes.columns]
+    return nodes.select("node_id", F.explode(F.array_distinct(F.array(*[F.col(c).cast("string") for c in there]))).alias("key")).where("key IS NOT NULL").select("key", "node_id")
+
+
+def hydrated_by_key(rows: DataFrame, nodes: DataFrame, columns: list[str], key: str = "key") -> DataFrame:
+    """rows with the payload columns of the nodes that their key names, by any of its keys; a key of no node goes, one of several nodes gives a row for each.
+
+    The keys are one table, so naming by id, url, name or key is one equi-join, and payload is fetched for the nodes found only.
+    """
+    own = [c for c in rows.columns if c not in (*columns, "node_id")]
+    named = rows.select(*own).join(key_table(nodes).withColumnRenamed("key", key), key)
+    return named.join(nodes.select("node_id", *columns), "node_id")
+
+
 def write_properties(nodes: DataFrame, updates: DataFrame, key: list[str]) -> DataFrame:
     """nodes with the updates set; an update without its node ends the job."""
     found = updates.join(nodes.select(*key).withColumn("is_node", F.lit(True)), key, "left")

@@ -14,6 +14,7 @@ from tessera.functions.vectors import cosine
 from tessera.sources.parts import Parts
 from tessera.sources.shared import saved, shared_folder
 from tessera.operators import audit, entities, evaluate, graph, load, parse, resolve, search, store
+from tessera.operators.textindex import TextIndex
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -66,6 +67,20 @@ def J01_bm25_topk(s: SparkSession, d: str) -> DataFrame:
     return _lexical(s, d).select("query_id", F.col("node_id").alias("doc_id"), "score", F.col("rank").cast("long").alias("rank"))
 
 
+@query(f"WITH {BM25_CTE}, f AS (SELECT * FROM documents WHERE lang = 'en') SELECT 'all' AS kind, query_id, doc_id, score FROM lex UNION ALL SELECT 'en', query_id, doc_id, score FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS rank FROM sc WHERE doc_id IN (SELECT doc_id FROM f)) WHERE rank <= 50")
+def J02_stored_index(s: SparkSession, d: str) -> DataFrame:
+    """A stored index of other texts and languages, brought up to date, is searched twice: all documents and those of a language."""
+    docs = table(s, d, "documents").select(F.col("doc_id").alias("node_id"), F.col("text").alias("indexed_text"), "lang")
+    index = TextIndex(s, f"{shared_folder(s)}/text-index-{uuid.uuid4().hex}")
+    before = docs.where("node_id % 3 <> 2").withColumn("indexed_text", F.when(F.col("node_id") % 3 == 1, F.concat("indexed_text", F.lit(" old words"))).otherwise(F.col("indexed_text"))).withColumn("lang", F.when(F.col("node_id") % 2 == 0, "xx").otherwise(F.col("lang")))
+    gone = docs.limit(0).unionByName(s.createDataFrame([(-1, "gone words", "en")], docs.schema))
+    index.update(before.unionByName(gone), ("lang",))
+    index.update(docs, ("lang",), whole=True)
+    asked = table(s, d, "benchmark").select(F.col("item_id").alias("query_id"), "text")
+    every, english = index.bm25(asked), index.bm25(asked, wanted=F.col("lang") == "en")
+    return every.select(F.lit("all").alias("kind"), "query_id", F.col("node_id").alias("doc_id"), "score").unionByName(english.select(F.lit("en").alias("kind"), "query_id", F.col("node_id").alias("doc_id"), "score"))
+
+
 @query(f"WITH {VECTOR_CTE} SELECT query_id, vec_id, score, rank FROM vec")
 def J03_vector_topk(s: SparkSession, d: str) -> DataFrame:
     return _vectors(s, d).select("query_id", F.col("node_id").alias("vec_id"), "score", F.col("rank").cast("long").alias("rank"))
@@ -549,6 +564,44 @@ def M09_write_properties(s: SparkSession, d: str) -> DataFrame:
     return store.write_properties(nodes, table(s, d, "labels").select("doc_id", F.col("quality").cast("string").alias("source")), ["doc_id"])
 
 
+NAMED = """nodes AS (SELECT 'nation:' || n_nationkey AS node_id, '/n/' || n_nationkey AS url, n_name AS name, left(n_name, 3) AS key, n_regionkey AS payload FROM nation
+ UNION ALL SELECT 'region:' || r_regionkey, NULL, r_name, '/n/' || r_regionkey, -1 FROM region UNION ALL SELECT 'part:' || p_partkey, '/p/' || p_partkey, p_brand, p_type, p_size FROM part),
+asked AS (SELECT 's' || s_suppkey AS asked_by, n_name AS ref FROM supplier JOIN nation ON s_nationkey = n_nationkey UNION ALL SELECT 'u' || s_suppkey, '/n/' || s_nationkey FROM supplier UNION ALL SELECT 'i' || s_suppkey, 'part:' || s_suppkey FROM supplier UNION ALL SELECT 'x' || s_suppkey, s_name FROM supplier)"""
+
+
+@query(f"WITH {NAMED} SELECT DISTINCT asked_by, ref, node_id, payload FROM asked JOIN nodes ON ref = node_id OR ref = url OR ref = name OR ref = key")
+def A12_hydrate_any_key(s: SparkSession, d: str) -> DataFrame:
+    c, none = F.col, F.lit(None).cast("string")
+    text = lambda prefix, k: F.concat(F.lit(prefix), c(k).cast("string"))
+    row = lambda df, *columns: df.select(*[x.alias(n) for x, n in zip(columns, ("node_id", "url", "name", "key", "payload"), strict=True)])
+    nation, supplier = table(s, d, "nation"), table(s, d, "supplier")
+    nodes = row(nation, text("nation:", "n_nationkey"), text("/n/", "n_nationkey"), c("n_name"), F.substring("n_name", 1, 3), c("n_regionkey"))
+    nodes = nodes.unionByName(row(table(s, d, "region"), text("region:", "r_regionkey"), none, c("r_name"), text("/n/", "r_regionkey"), F.lit(-1))).unionByName(row(table(s, d, "part"), text("part:", "p_partkey"), text("/p/", "p_partkey"), c("p_brand"), c("p_type"), c("p_size")))
+    ask = lambda df, prefix, ref: df.select(text(prefix, "s_suppkey").alias("asked_by"), ref.alias("ref"))
+    named = supplier.join(nation, c("s_nationkey") == c("n_nationkey"))
+    asked = ask(named, "s", c("n_name")).unionByName(ask(supplier, "u", text("/n/", "s_nationkey"))).unionByName(ask(supplier, "i", text("part:", "s_suppkey"))).unionByName(ask(supplier, "x", c("s_name")))
+    return store.hydrated_by_key(asked, nodes, ["payload"], "ref").select("asked_by", "ref", "node_id", "payload")
+
+
+@query("""WITH nodes AS (SELECT 'c' || c_custkey AS id, 'Customer' AS label FROM customer WHERE c_acctbal >= 0 UNION ALL SELECT 'n' || n_nationkey, 'Nation' FROM nation UNION ALL SELECT 'n' || n_nationkey, 'Nation' FROM nation WHERE n_regionkey = 2),
+edges AS (SELECT 'PLACED_' || o_orderstatus AS type, 'c' || o_custkey AS target FROM orders UNION ALL SELECT 'LOCATED', CASE WHEN s_acctbal >= 0 THEN 'n' || s_nationkey END FROM supplier),
+lim(name, lo, hi) AS (VALUES ('Nation', 20, 29), ('Customer', 1000000, NULL), ('Tool', 3, 3), ('LOCATED', 1, NULL)),
+counts AS (SELECT name, sum(n)::BIGINT AS n FROM (SELECT label AS name, 1 AS n FROM nodes UNION ALL SELECT type, 1 FROM edges UNION ALL SELECT name, 0 FROM lim) GROUP BY name)
+SELECT 'count' AS "check", c.name, n, coalesce(n >= lo, true) AND coalesce(n <= hi, true) AS passed FROM counts c LEFT JOIN lim USING (name)
+UNION ALL SELECT 'duplicate', label, sum((k > 1)::INT)::BIGINT, sum((k > 1)::INT) = 0 FROM (SELECT label, id, count(*) AS k FROM nodes GROUP BY ALL) GROUP BY label
+UNION ALL SELECT 'required', r, (r IN (SELECT id FROM nodes))::BIGINT, r IN (SELECT id FROM nodes) FROM (VALUES ('n3'), ('c-1')) t(r)
+UNION ALL SELECT 'dangling', type, sum(bad)::BIGINT, sum(bad) = 0 FROM (SELECT type, (starts_with(type, 'PLACED') AND target NOT IN (SELECT id FROM nodes))::INT AS bad FROM edges) GROUP BY type
+UNION ALL SELECT 'untargeted', type, sum((target IS NULL)::INT)::BIGINT, sum((target IS NULL)::INT) = 0 FROM edges GROUP BY type""")
+def P05_graph_audit(s: SparkSession, d: str) -> DataFrame:
+    key = lambda prefix, column: F.concat(F.lit(prefix), F.col(column).cast("string"))
+    node = lambda df, prefix, column, label: df.select(key(prefix, column).alias("node_id"), F.lit(label).alias("node_label"))
+    nation = table(s, d, "nation")
+    nodes = node(table(s, d, "customer").where("c_acctbal >= 0"), "c", "c_custkey", "Customer").unionByName(node(nation.select("n_nationkey", "n_regionkey").withColumn("n_nationkey", F.explode(F.array_repeat("n_nationkey", F.when(F.col("n_regionkey") == 2, 2).otherwise(1)))), "n", "n_nationkey", "Nation"))
+    edges = table(s, d, "orders").select(F.concat(F.lit("PLACED_"), "o_orderstatus").alias("type"), key("c", "o_custkey").alias("target_id"))
+    edges = edges.unionByName(table(s, d, "supplier").select(F.lit("LOCATED").alias("type"), F.when(F.col("s_acctbal") >= 0, key("n", "s_nationkey")).alias("target_id")))
+    return audit.one_pass(nodes, edges, {"Nation": (20, 29), "Customer": (1_000_000, None), "Tool": (3, 3), "LOCATED": (1, None)}, ("n3", "c-1"), ("PLACED_O", "PLACED_F", "PLACED_P"))
+
+
 # ---- entities -----------------------------------------------------------------------------------
 
 @query(r"SELECT doc_id, m.name FROM documents, (SELECT DISTINCT lower(n_name) AS name FROM nation UNION SELECT unnest(['the', 'idiot', 'v1.0', 'License', 'example.com'])) m WHERE regexp_matches(text, '(^|[^A-Za-z0-9_])' || regexp_escape(m.name) || '([^A-Za-z0-9_]|$)')")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -27,6 +29,19 @@ def synthetic_plan(questions: DataFrame) -> DataFrame:
 
 
 def extractive_answer(evidence: DataFrame) -> DataFrame:
-    """query_id, answer: the first 400 characters of the first citation, marked [1]; evidence: query_id, rank, snippet."""
+    """query_id, answer: the snippet of the first citation, marked [1]; evidence: query_id, rank, snippet."""
     first = evidence.groupBy("query_id").agg(F.min_by("snippet", "rank").alias("snippet"))
-    return first.select("query_id", F.concat(F.substring("snippet", 1, 400), F.lit(" [1]")).alias("answer"))
+    return first.select("query_id", F.concat(F.col("snippet"), F.lit(" [1]")).alias("answer"))
+
+
+def overlap_judge(payloads: list[str]) -> list[str]:
+    """Metrics of answers by the words that they share with contexts, reference and question."""
+    out = []
+    for payload in map(json.loads, payloads):
+        answer, reference, question = ({*(payload[k] or "").lower().split()} for k in ("answer", "reference", "question"))
+        contexts = [{*c.lower().split()} for c in payload["contexts"]]
+        held = set().union(*contexts)
+        share = lambda a, b: len(a & b) / len(a) if a else 0.0
+        both = share(answer, reference) * share(reference, answer)
+        out.append(json.dumps({"faithfulness": share(answer, held), "context_precision": sum(share(reference, c) > 0.5 for c in contexts) / len(contexts), "context_recall": share(reference, held), "answer_relevancy": share(question, answer), "factual_correctness": share(answer, reference), "semantic_similarity": both**0.5}))
+    return out

@@ -7,13 +7,14 @@ from pyspark.sql import functions as F
 
 from tessera.operators import search
 from tessera.plans import models
+from tessera.sources.shared import saved
 
 NO_RESULTS = "No relevant documentation was found for this question."
 
 
 def retrieve(nodes: DataFrame, entities: DataFrame, sub_queries: DataFrame, k: int = 50, rrf_k: int = 60, top_n: int = 40) -> DataFrame:
     """query_id, node_id, node_label, scores, rrf_score and rank of the fused candidates."""
-    found = search.hybrid_search(nodes, entities, sub_queries, k)
+    found = saved(search.hybrid_search(nodes, entities, sub_queries, k), "found")  # read for each leg, and for the scores
     fused = search.rrf(found, ["bm25_score", "vector_score"], ["query_id"], ["node_id", "node_label"], rrf_k, top_n)
     return fused.join(found, ["query_id", "node_id", "node_label"])
 
@@ -33,7 +34,7 @@ def answer(nodes: DataFrame, entities: DataFrame, questions: DataFrame) -> DataF
     """
     plan = models.synthetic_plan(questions)
     best = rerank(retrieve(nodes, entities, plan), nodes, questions)
-    cited = search.citations(best)
+    cited = saved(search.citations(best), "cited")
     answers = models.extractive_answer(cited.select("query_id", F.col("id").alias("rank"), "snippet"))
     listed = cited.groupBy("query_id").agg(F.sort_array(F.collect_list(F.struct("id", "node_id", "node_label", "title", "snippet", "score"))).alias("citations"))
     joined = questions.join(answers, "query_id", "left").join(listed, "query_id", "left")

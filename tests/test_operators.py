@@ -1,7 +1,9 @@
 """Small cases of the operators: markup, resolution, entities, fusion, budgets, store, metrics, incremental ingest."""
 
 import hashlib
+import json
 import re
+from collections import Counter
 from itertools import groupby
 
 import pytest
@@ -13,6 +15,8 @@ from tessera.functions import contexts as cx
 from tessera.functions import text as tx
 from tessera.functions.vectors import cosine
 from tessera.operators import audit, entities, evaluate, graph, load, parse, resolve, search, store
+from tessera.operators.textindex import TextIndex
+from tessera.plans import calls as calls_of
 from tessera.plans import enrich, models, qa
 from tessera.sources import records
 from tessera.sources.parts import Parts
@@ -609,3 +613,87 @@ def test_graded_match(spark, name, terms, want):
 def test_cosine_of_zero_is_null(spark):
     frame = spark.createDataFrame([([0.0, 0.0], [1.0, 0.0]), ([1.0, 1.0], [1.0, 0.0])], "a array<double>, b array<double>")
     assert [r[0] and round(r[0], 6) for r in frame.select(cosine(F.col("a"), F.col("b"))).collect()] == [None, 0.707107]
+
+
+def test_stored_index_tokenises_changes_only(spark, tmp_path):
+    nodes = lambda rows: spark.createDataFrame(rows, "node_id long, indexed_text string, lang string")
+    index = TextIndex(spark, str(tmp_path / "index"), 8)
+    rows = [(i, f"common word{i % 7} only{i}", "en" if i % 2 else "de") for i in range(60)] + [(100, "", "en"), (101, None, "en")]
+    assert index.update(nodes(rows), ("lang",)) == 62 and index.update(nodes(rows), ("lang",)) == 0
+    rows[3], rows[4] = (3, "common changed", "en"), (4, rows[4][1], "fr")
+    assert index.update(nodes(rows[:-3] + [(200, "only new common", "en")]), ("lang",), whole=True) == 2  # one changed, one new; one moved, three gone
+    now = nodes(rows[:-3] + [(200, "only new common", "en")])
+    asked = spark.createDataFrame([(1, "common word3 changed"), (2, "only5 only59 new"), (3, "nowhere")], "query_id int, text string")
+    order = lambda df: sorted(map(tuple, df.select("query_id", "node_id", "score", "rank").collect()))
+    for _ in range(2):
+        assert order(index.bm25(asked, 5)) == order(search.bm25(now, asked, 5))
+        assert order(index.bm25(asked, 5, F.col("lang") == "fr")) == order(search.bm25(now, asked, 5, F.col("lang") == "fr"))
+        index.compact()
+    again = TextIndex(spark, str(tmp_path / "index"), 8)
+    assert order(again.bm25(asked, 5)) == order(search.bm25(now, asked, 5))
+    assert [f.name for f in again.docs.read("docs").schema] == ["node_id", "content_hash", "length", "segment", "lang"]  # no text is stored
+
+
+def test_hydration_by_any_key(spark):
+    nodes = spark.createDataFrame([("n1", "/u1", "Bash", None, "text 1"), ("n2", "/u2", None, "perm", "text 2"), ("n3", "/u2", "n1", "n3", None)], "node_id string, url string, name string, key string, indexed_text string")
+    rows = spark.createDataFrame([("n1", 1), ("/u2", 2), ("Bash", 3), ("perm", 4), ("n3", 5), ("gone", 6), (None, 7)], "key string, seq int").withColumn("indexed_text", F.lit("old"))
+    got = sorted((r["seq"], r["node_id"], r["indexed_text"]) for r in store.hydrated_by_key(rows, nodes, ["indexed_text"]).collect())
+    assert [g[:2] for g in got] == [(1, "n1"), (1, "n3"), (2, "n2"), (2, "n3"), (3, "n1"), (4, "n2"), (5, "n3")] and got[0][2] == "text 1" and got[1][2] is None
+    seeds = spark.createDataFrame([(1, "n1", "Section")], "seed_rank int, node_id string, node_label string")
+    more = spark.createDataFrame([("n1", 1, "n2", "Section"), ("n1", 1, "n1", "Section")], "seed_id string, seed_rank int, node_id string, node_label string")
+    full = graph.expand(seeds, [("links", more)], nodes=nodes, payload=("indexed_text", "url"))
+    assert {(r["node_id"], r["expansion_origin"], r["indexed_text"], r["url"]) for r in full.collect()} == {("n1", None, "text 1", "/u1"), ("n2", "links:n1", "text 2", "/u2")}
+
+
+def test_all_audits_in_one_pass(spark):
+    nodes = spark.createDataFrame([("Tool:a", "Tool"), ("Tool:b", "Tool"), ("Tool:b", "Tool"), ("Hook:x", "Hook"), (None, "Hook")], "node_id string, node_label string")
+    edges = spark.createDataFrame([("DEFINES", "Tool:a"), ("DEFINES", "Tool:z"), ("DEFINES", "Tool:z"), ("MENTIONS", None), ("LINKS_TO", "gone")], "type string, target_id string")
+    out = audit.one_pass(nodes, edges, {"Tool": (2, 3), "Hook": (3, None), "DEFINES": (1, 2), "Provider": (3, 3)}, ("Tool:a", "Tool:q"), ("DEFINES", "MENTIONS"))
+    got = {(r["check"], r["name"]): (r["n"], r["passed"]) for r in out.collect()}
+    assert got == {
+        ("count", "Tool"): (3, True), ("count", "Hook"): (2, False), ("count", "Provider"): (0, False), ("count", "DEFINES"): (3, False), ("count", "MENTIONS"): (1, True), ("count", "LINKS_TO"): (1, True),
+        ("duplicate", "Tool"): (1, False), ("duplicate", "Hook"): (0, True), ("required", "Tool:a"): (1, True), ("required", "Tool:q"): (0, False), ("dangling", "DEFINES"): (2, False), ("dangling", "MENTIONS"): (0, True),
+        ("dangling", "LINKS_TO"): (0, True), ("untargeted", "DEFINES"): (0, True), ("untargeted", "MENTIONS"): (1, False), ("untargeted", "LINKS_TO"): (0, True),
+    }
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("LogicalRDD") + plan.count("LocalRelation") <= 3  # nodes, edges and what is given
+
+
+def test_calls_are_taken_up_again(spark, tmp_path):
+    """A model that fails for some inputs at first: no input is called again once it has a result, distinct inputs are called once, and failures end as NaN."""
+    calls, folder = tmp_path / "calls", f"file://{tmp_path}/results"
+    calls.mkdir()
+
+    def model(payloads, broken=("bad",)):
+        import uuid
+
+        out = []
+        for p in payloads:
+            with open(f"{calls}/{uuid.uuid4().hex}", "w") as f:
+                f.write(p)
+            tries = sum(open(x).read() == p for x in calls.iterdir())
+            out.append(RuntimeError("no") if p in broken or (p.startswith("flaky") and tries < 2) else json.dumps({"faithfulness": 0.5}))
+        return out
+
+    def raises(payloads):
+        raise ValueError("down")
+
+    made = lambda: Counter(x.read_text() for x in calls.iterdir())
+    inputs = spark.createDataFrame([(i, p) for i, p in enumerate(["a", "a", "b", "flaky1", "flaky2", "bad", None])], "question_id int, payload string").withColumn("category", F.lit("c"))
+    got = {r["question_id"]: r for r in calls_of.called(inputs, model, folder, "v1", batch=2, tasks=3).collect()}
+    assert made() == {"a": 1, "b": 1, "flaky1": 2, "flaky2": 2, "bad": 3, "": 1}
+    assert all(got[i]["error"] is None for i in (0, 1, 2, 3, 4, 6)) and got[5]["result"] is None and "no" in got[5]["error"]
+    again = calls_of.called(inputs.unionByName(spark.createDataFrame([(7, "new", "c")], "question_id int, payload string, category string")), model, folder, "v1", batch=2, tasks=3)
+    assert again.count() == 8 and made() == {"a": 1, "b": 1, "flaky1": 2, "flaky2": 2, "bad": 3, "": 1, "new": 1}
+    metrics = evaluate.judged(again)
+    means = evaluate.means(metrics, list(evaluate.JUDGED), "category").first()
+    assert means["n"] == 8 and means["faithfulness"] == 0.5 and means["context_recall"] is None
+    assert calls_of.called(inputs, raises, folder, "v2", attempts=2).where("error = 'ValueError: down'").count() == 7
+
+
+def test_judge_of_answers(spark, tmp_path):
+    rows = spark.createDataFrame([(1, "what is it", "it is a tool", "it is a tool", ["it is a tool of things", "other"]), (2, "q", None, "r", None)], "question_id int, question string, answer string, reference string, contexts array<string>")
+    asked = rows.select("question_id", evaluate.judge_payload(F.col("question"), F.col("answer"), F.col("reference"), F.col("contexts")).alias("payload"))
+    got = {r["question_id"]: r for r in evaluate.judged(calls_of.called(asked, models.overlap_judge, f"file://{tmp_path}/judge", "overlap")).collect()}
+    assert (got[1]["faithfulness"], got[1]["context_precision"], got[1]["context_recall"], got[1]["factual_correctness"], got[1]["semantic_similarity"]) == (1.0, 0.5, 1.0, 1.0, 1.0)
+    assert got[2]["faithfulness"] == 0.0

@@ -15,6 +15,7 @@ from tessera.sources.parts import Parts
 from tessera.sources.shared import saved, shared_folder
 from tessera.operators import audit, entities, evaluate, graph, load, parse, resolve, search, store
 from tessera.operators.textindex import TextIndex
+from tessera.operators.vectorindex import VectorIndex
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -86,6 +87,15 @@ def J03_vector_topk(s: SparkSession, d: str) -> DataFrame:
     return _vectors(s, d).select("query_id", F.col("node_id").alias("vec_id"), "score", F.col("rank").cast("long").alias("rank"))
 
 
+@query(f"WITH {VECTOR_CTE} SELECT query_id, vec_id, score, rank FROM vec")
+def J04_vector_index(s: SparkSession, d: str) -> DataFrame:
+    nodes = table(s, d, "embeddings").select(F.col("vec_id").alias("node_id"), "embedding")
+    index = VectorIndex(s, f"{shared_folder(s)}/vector-index-{uuid.uuid4().hex}")
+    index.build(nodes)
+    asked = nodes.join(table(s, d, "benchmark").select(F.col("item_id").alias("node_id")).distinct(), "node_id", "left_semi")
+    return index.search(asked.select(F.col("node_id").alias("query_id"), F.col("embedding").alias("vector"))).select("query_id", F.col("node_id").alias("vec_id"), "score", F.col("rank").cast("long").alias("rank"))
+
+
 MERGED = f"WITH {BM25_CTE}, {VECTOR_CTE}, legs AS (SELECT coalesce(l.query_id, v.query_id) AS query_id, coalesce(doc_id, vec_id) AS node_id, l.score AS bm25_score, v.score AS vector_score FROM lex l FULL OUTER JOIN vec v ON l.query_id = v.query_id AND doc_id = vec_id)"
 
 

@@ -16,6 +16,7 @@ from tessera.functions import text as tx
 from tessera.functions.vectors import cosine
 from tessera.operators import audit, entities, evaluate, graph, load, parse, resolve, search, store
 from tessera.operators.textindex import TextIndex
+from tessera.operators.vectorindex import VectorIndex
 from tessera.plans import calls as calls_of
 from tessera.plans import enrich, models, qa
 from tessera.sources import records
@@ -697,3 +698,30 @@ def test_judge_of_answers(spark, tmp_path):
     got = {r["question_id"]: r for r in evaluate.judged(calls_of.called(asked, models.overlap_judge, f"file://{tmp_path}/judge", "overlap")).collect()}
     assert (got[1]["faithfulness"], got[1]["context_precision"], got[1]["context_recall"], got[1]["factual_correctness"], got[1]["semantic_similarity"]) == (1.0, 0.5, 1.0, 1.0, 1.0)
     assert got[2]["faithfulness"] == 0.0
+
+
+def test_vector_index_is_exact_and_prunes(spark, tmp_path):
+    import numpy as np
+
+    rng = np.random.default_rng(5)
+    centres = rng.standard_normal((20, 16))
+    x = [(i, [float(v) for v in centres[i % 20] + 0.1 * rng.standard_normal(16)]) for i in range(2000)] + [(3000 + i, [float(v) for v in centres[0]]) for i in range(700)]  # copies of one vector
+    odd = [(9000, None), (9001, [0.0] * 16), (9002, [1.0] * 3), (9003, [float("nan")] * 16), (9004, [None] * 16), (9005, [])]
+    nodes = spark.createDataFrame(x + odd, "node_id long, embedding array<double>")
+    asked = spark.createDataFrame([(i, x[i][1]) for i in range(0, 2000, 97)] + [(5000, [1.0] * 16), (5001, None), (5002, [1.0])], "query_id long, vector array<double>")
+    index = VectorIndex(spark, str(tmp_path / "vectors"))
+    index.build(nodes, pivots=32, block=300)
+    assert max(index.state["blocks"]) > 1 and sum(index.state["count"]) == len(x)
+    rows = lambda df: sorted(map(tuple, df.collect()))
+    for k in (1, 10, 150):
+        assert rows(index.search(asked, k)) == rows(search.vector_search(nodes.where("size(embedding) = 16"), asked.where("size(vector) = 16"), k))
+        assert index.share_read < 0.6
+    again = VectorIndex(spark, str(tmp_path / "vectors"))
+    assert rows(again.search(asked, 10)) == rows(index.search(asked, 10))
+    few = VectorIndex(spark, str(tmp_path / "few"))
+    few.build(spark.createDataFrame([("a", [1.0, 0.0]), ("b", [0.0, 2.0])], "node_id string, embedding array<double>"))
+    assert rows(few.search(spark.createDataFrame([(1, [1.0, 1.0])], "query_id int, vector array<double>"), 5)) == [(1, "a", 0.707107, 1), (1, "b", 0.707107, 2)]
+    none = VectorIndex(spark, str(tmp_path / "none"))
+    none.build(nodes.limit(0))
+    with pytest.raises(ValueError, match="no vectors"):
+        none.search(asked)

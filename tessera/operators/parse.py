@@ -362,9 +362,17 @@ def _sections(placed: DataFrame) -> DataFrame:
     return placed.where("level >= 2").select("path", "pos", "position", "level", "heading", "anchor", "section_id", "parent_id", "breadcrumb", "synthesized")
 
 
+def read(pages: DataFrame, prefix: str = "") -> DataFrame:
+    """All lines with their kind and place in the outline, written once; what reads them doesn't parse again."""
+    return kinds(outlined(headings(lines(normalised(pages))), prefix))
+
+
 def located(pages: DataFrame, prefix: str = "") -> tuple[DataFrame, DataFrame]:
-    """The sections, and all lines with the section that they stand in and their kind.  The lines are written once; what reads them doesn't parse again."""
-    told = kinds(outlined(headings(lines(normalised(pages))), prefix))
+    """The sections, and all lines with the section that they stand in and their kind."""
+    return split_sections(read(pages, prefix))
+
+
+def split_sections(told: DataFrame) -> tuple[DataFrame, DataFrame]:
     return _sections(told), told.where("section_id IS NOT NULL").drop("own_id", "anchor", "breadcrumb", "parent_id", "position")
 
 
@@ -467,9 +475,12 @@ def paragraphs(placed: DataFrame) -> DataFrame:
     return plain.unionByName(lists(told)).unionByName(indented_blocks(told).where("prose").drop("prose")).unionByName(quotes(told)).unionByName(single)
 
 
-def section_text(placed: DataFrame) -> DataFrame:
-    """section_id and its paragraphs, with empty lines between; what stands in callouts is theirs."""
-    return joined(paragraphs(placed).where("callout IS NULL AND text <> ''"), ["section_id"], "text", "\n\n").drop("pos")
+def section_text(placed: DataFrame, navigation: bool = False) -> DataFrame:
+    """section_id and its paragraphs, with empty lines between; what stands in callouts is theirs.  navigation: with the navigation tables as text where they stand."""
+    pieces = paragraphs(placed).where("callout IS NULL AND text <> ''").select("section_id", "pos", "text")
+    if navigation:
+        pieces = pieces.unionByName(navigation_text(placed).select("section_id", F.col("table").alias("pos"), "text"))
+    return joined(pieces, ["section_id"], "text", "\n\n").drop("pos")
 
 
 def code_blocks(placed: DataFrame) -> DataFrame:
@@ -558,15 +569,22 @@ def links(placed: DataFrame) -> DataFrame:
     return found.select("path", "section_id", "pos", "nth", href.alias("href"), F.col("x.text").alias("text"), (F.startswith(href, F.lit("/en/")) | F.startswith(href, F.lit("./")) | F.startswith(href, F.lit("../"))).alias("is_internal"), F.startswith(href, F.lit("#")).alias("is_anchor_only"))
 
 
+def sourced_links(placed: DataFrame) -> DataFrame:
+    """links with source_kind: navigation_table, table, or prose, by the table that a link's line is part of."""
+    kind = tables(placed).select("path", "section_id", "table", F.when(F.col("navigates"), "navigation_table").otherwise("table").alias("source_kind"))
+    of_line = table_lines(placed).select("path", "section_id", "table", "pos").join(kind, ["path", "section_id", "table"]).select("path", "pos", "source_kind")
+    return links(placed).join(of_line, ["path", "pos"], "left").withColumn("source_kind", F.coalesce("source_kind", F.lit("prose")))
+
+
 def kept_sections(found: DataFrame, texts: DataFrame, used: DataFrame) -> DataFrame:
     """Sections but for those without text that are nobody's parent and hold nothing (used: section_id of atoms and links)."""
     needed = found.select(F.col("parent_id").alias("section_id")).where("section_id IS NOT NULL").union(used.select("section_id")).union(texts.where("trim(text) <> ''").select("section_id")).distinct()
     return found.join(needed, "section_id", "left_semi")
 
 
-def page_header(pages: DataFrame, descriptions: DataFrame, volatile: tuple[str, ...] = (), prefix: str = "") -> DataFrame:
-    """path, url, title, description and its source, volatile, content_hash.  descriptions: url, description."""
-    marked = headings(lines(normalised(pages)))
+def page_header(pages: DataFrame, descriptions: DataFrame, volatile: tuple[str, ...] = (), prefix: str = "", told: DataFrame | None = None) -> DataFrame:
+    """path, url, title, description and its source, volatile, content_hash.  descriptions: url, description; told: the pages' lines, where they have been read."""
+    marked = headings(lines(normalised(pages))) if told is None else told
     title = marked.where("level = 1").groupBy("path").agg(F.min_by("heading", "pos").alias("title"), F.min("pos").alias("title_pos"))
     said = quotes(marked.withColumn("section_id", F.lit(None).cast("string"))).select("path", "pos", F.regexp_replace("text", r"^> ", "").alias("quote"))
     quote = said.join(title, "path").where("pos > title_pos")

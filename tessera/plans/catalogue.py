@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tessera.functions import contexts as cx
 from tessera.functions import text as tx
 from tessera.functions.vectors import cosine
+from tessera.plans.build import build
 from tessera.sources.parts import Parts
 from tessera.sources.shared import saved, shared_folder
 from tessera.operators import audit, entities, evaluate, graph, load, parse, resolve, search, store
@@ -656,10 +657,10 @@ def _page_links(s: SparkSession, d: str) -> DataFrame:
 def _resolved(s: SparkSession, d: str) -> DataFrame:
     """Menu links against pages named by the menu words of the even pages; every third link points outside, every fifth to an anchor."""
     n = F.col("page_id") * 31 + F.col("nth")
-    name = F.regexp_replace(F.substring("href", 2, 1000), "[.,]", "")
+    name = F.regexp_replace(F.regexp_replace("href", "(?s)^.", ""), "[.,]", "")
     href = F.when(n % 3 == 0, F.concat(F.lit("https://elsewhere.example.net/"), name)).when(n % 5 == 0, F.concat(F.lit("/docs/"), name, F.lit("#Part One"))).otherwise(F.concat(F.lit("../"), name))
     links = _page_links(s, d).select(n.alias("link_id"), F.concat(F.lit("en/p"), F.col("page_id").cast("string"), F.lit(".md")).alias("path"), F.col("page_id").alias("section_id"), href.alias("href"), F.lit("").alias("text"), F.lit("prose").alias("source_kind"))
-    names = _page_links(s, d).where("page_id % 2 = 0").select(F.concat(F.regexp_replace(F.substring("href", 2, 1000), "[.,]", ""), F.lit(".md")).alias("path")).distinct()
+    names = _page_links(s, d).where("page_id % 2 = 0").select(F.concat(F.regexp_replace(F.regexp_replace("href", "(?s)^.", ""), "[.,]", ""), F.lit(".md")).alias("path")).distinct()
     pages = names.select("path", F.concat(F.lit("https://site.example.org/docs/"), "path").alias("url"))
     sections = pages.where(F.length("path") % 2 == 0).select(F.concat_ws("#", "url", F.lit("part-one")).alias("section_id"), F.col("url").alias("page_url"), F.lit("part-one").alias("anchor"), F.lit(0).alias("position"))
     return resolve.resolve(links, pages, sections, "site.example.org")
@@ -700,6 +701,26 @@ def P04_edge_counts(s: SparkSession, d: str) -> DataFrame:
     return audit.counts(resolve.link_edges(resolved, sections))
 
 
+@query("""WITH p AS (SELECT DISTINCT doc_id, 'https://s.example/docs/d' || doc_id || '.md' AS u FROM documents),
+e AS (SELECT 'HAS_SECTION' AS type, u AS source_id, u || '#a' AS target_id, NULL AS href FROM p UNION ALL SELECT 'HAS_SECTION', u, u || '#b', NULL FROM p UNION ALL SELECT 'HAS_SUBSECTION', u || '#b', u || '#sub', NULL FROM p
+ UNION ALL SELECT 'CONTAINS_CODE', u || '#a', left(sha256(u || '#a|0|code-py'), 16), NULL FROM p UNION ALL SELECT 'CONTAINS_CODE', u || '#a', left(sha256(u || '#a|1|code-ts'), 16), NULL FROM p
+ UNION ALL SELECT 'CONTAINS_TABLE_ROW', u || '#sub', left(sha256(u || '#sub|0|row'), 16), NULL FROM p UNION ALL SELECT 'CONTAINS_CALLOUT', u || '#sub', left(sha256(u || '#sub|0|callout-tip'), 16), NULL FROM p
+ UNION ALL SELECT 'EQUIVALENT_TO', left(sha256(u || '#a|0|code-py'), 16), left(sha256(u || '#a|1|code-ts'), 16), NULL FROM p
+ UNION ALL SELECT 'LINKS_TO', u || '#a', u || '#b', '#b' FROM p UNION ALL SELECT 'LINKS_TO_PAGE', a.u || '#a', b.u, 'd' || b.doc_id || '.md' FROM p a JOIN p b ON b.doc_id = a.doc_id + 1
+ UNION ALL SELECT 'NAVIGATES_TO', a.u || '#a', b.u || '#a', '/docs/d' || b.doc_id || '.md' FROM p a JOIN p b ON b.doc_id = a.doc_id + 2 UNION ALL SELECT 'NAVIGATES_TO', a.u || '#a', b.u || '#sub', './d' || b.doc_id || '.md#sub' FROM p a JOIN p b ON b.doc_id = a.doc_id + 2)
+SELECT DISTINCT * FROM e""")
+def P04_built_graph(s: SparkSession, d: str) -> DataFrame:
+    """All edges of the graph of pages that hold sections, a code group, a navigation table and a data table, a callout, and links to pages, sections and themselves."""
+    c = lambda n: (F.col("doc_id") + n).cast("string")
+    text = F.concat(
+        F.lit("# T\n\n## A\n\nSee [n](d"), c(1), F.lit(".md), [b](#b), [self](#a) and [gone](#nowhere).\n\n<CodeGroup>\n```py\nx\n```\n~~~~ts\ny\n~~~~\n</CodeGroup>\n\n| Topic | Where |\n|---|---|\n| [t](/docs/d"), c(2), F.lit(".md) | [u](./d"), c(2),
+        F.lit(".md#sub) |\n\n## B\n\n"), F.trim(F.regexp_replace(F.coalesce("text", F.lit("")), "[^A-Za-z ]", " ")), F.lit("\n\n### Sub\n\n| Tool | What |\n|---|---|\n| a | b |\n\n<Tip>t</Tip>\n"),
+    )
+    pages = table(s, d, "documents").select(F.concat(F.lit("d"), c(0), F.lit(".md")).alias("path"), text.alias("text"))
+    built = build(pages, s.createDataFrame([], "url string, description string"), "s.example", "https://s.example/docs/")
+    return built.edges.select("type", "source_id", "target_id", "href")
+
+
 @query("""WITH p AS (SELECT doc_id, 'd' || doc_id || '.md' AS path, 'u/d' || doc_id || '.md' AS url, '# T ' || source || chr(10) || chr(10) || CASE WHEN doc_id % 2 = 0 THEN '> about ' || lang || chr(10) ELSE '' END || '## Text' || chr(10) || text AS text FROM documents),
 i AS (SELECT DISTINCT doc_id FROM labels)
 SELECT path, url, 'T ' || p_source.source AS title, CASE WHEN i.doc_id IS NOT NULL THEN 'labelled ' || i.doc_id WHEN p.doc_id % 2 = 0 THEN 'about ' || p_source.lang ELSE '' END AS description,

@@ -18,6 +18,7 @@ from tessera.operators import audit, entities, evaluate, graph, load, parse, res
 from tessera.operators.textindex import TextIndex
 from tessera.operators.vectorindex import VectorIndex
 from tessera.plans import calls as calls_of
+from tessera.plans.build import build
 from tessera.plans import enrich, models, qa
 from tessera.sources import records
 from tessera.sources.parts import Parts
@@ -725,3 +726,23 @@ def test_vector_index_is_exact_and_prunes(spark, tmp_path):
     none.build(nodes.limit(0))
     with pytest.raises(ValueError, match="no vectors"):
         none.search(asked)
+
+
+def test_whole_graph_of_a_small_corpus(spark):
+    pages = [
+        ("en/a.md", "# A page\n\n> about a\n\nIntro [b](b.md#two) and [out](https://other.example/x).\n\n## One\n\n| Topic | Where |\n|---|---|\n| [b](/docs/en/b.md) | see |\n\n## Empty\n\n## Last\n\n- [gone](gone.md)\n"),
+        ("en/b.md", "# B page\n\n## Two\n\n<Note>Mind [a](a.md)</Note>\n\n### Three\n\n````\n```\ncode\n````\n"), ("en/null.md", None),
+    ]
+    index = spark.createDataFrame([("https://s.example/docs/en/b.md", "all about b")], "url string, description string")
+    g = build(spark.createDataFrame(pages, "path string, text string"), index, "s.example", "https://s.example/docs/", ("en/b",))
+    short = lambda x: None if x is None else x.replace("https://s.example/docs/en/", "")
+    assert {(short(r["page_id"]), r["title"], r["description"], r["description_source"], r["volatile"]) for r in g.pages.collect()} == {("a.md", "A page", "about a", "blockquote", False), ("b.md", "B page", "all about b", "index", True), ("null.md", "en/null.md", "", "missing", False)}
+    nodes = {(r["node_label"], r["anchor"] or r["language"]): r for r in g.nodes.where("node_label IN ('Section', 'CodeBlock') AND page_id NOT LIKE '%null.md'").collect()}
+    assert {k for k in nodes if k[0] == "Section"} == {("Section", a) for a in ("overview", "one", "last", "two", "three")}  # the empty one goes
+    assert nodes["Section", "one"]["raw_text"] == "- topic: b; where: see" and nodes["Section", "last"]["raw_text"] == "- gone" and nodes["Section", "overview"]["raw_text"] == "> about a\n\nIntro b and out."
+    assert nodes["CodeBlock", ""]["raw_text"] == "```\ncode" and nodes["Section", "three"]["breadcrumb"] == "B page > Two > Three"
+    edges = {(r["type"], short(r["source_id"]), short(r["target_id"])) for r in g.edges.where("type NOT LIKE 'CONTAINS%'").collect()}
+    assert edges == {("HAS_SECTION", "a.md", f"a.md#{x}") for x in ("overview", "one", "last")} | {("HAS_SECTION", "b.md", "b.md#two"), ("HAS_SUBSECTION", "b.md#two", "b.md#three"), ("LINKS_TO", "a.md#overview", "b.md#two"), ("NAVIGATES_TO", "a.md#one", "b.md#two"), ("LINKS_TO_PAGE", "b.md#two", "a.md"), ("HAS_SECTION", "null.md", "null.md#overview")}
+    assert {(short(r["section_id"]), r["href"], r["reason"]) for r in g.unresolved.collect()} == {("a.md#last", "gone.md", "page")}
+    assert [r["external_links"] for r in g.external.collect()] == [["https://other.example/x"]]
+    assert g.edges.groupBy("edge_id").count().where("count > 1").count() == 0

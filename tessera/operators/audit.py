@@ -46,6 +46,16 @@ def counts(edges: DataFrame, by: str = "type") -> DataFrame:
     return edges.groupBy(by).agg(F.count("*").alias("n"), F.count_if(F.col("target_id").isNull()).alias("n_null"))
 
 
+def group_counts(rows: DataFrame, *by: str) -> DataFrame:
+    """How many rows there are of each combination of the columns."""
+    return rows.groupBy(*by).agg(F.count("*").alias("n"))
+
+
+def common(a: DataFrame, b: DataFrame, key: str) -> DataFrame:
+    """The keys that both have, each once."""
+    return a.select(key).intersect(b.select(key))
+
+
 def hits(text: Column, phrases: list[str]) -> Column:
     """The phrases that the lower-cased text holds."""
     return F.filter(F.array(*map(F.lit, phrases)), lambda p: F.contains(F.lower(text), p))

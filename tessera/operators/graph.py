@@ -126,6 +126,12 @@ def equivalents(blocks: DataFrame) -> DataFrame:
     return a.join(b, (F.col("a.group_id") == F.col("b.group_id")) & (F.col("a.position") < F.col("b.position")) & (F.col("a.language") != F.col("b.language"))).select(F.col("a.node_id").alias("source_id"), F.col("b.node_id").alias("target_id"))
 
 
+def equivalent_languages(blocks: DataFrame) -> DataFrame:
+    """blocks (node_id, group_id, language) with languages: the sorted other languages of their group."""
+    groups = blocks.groupBy("group_id").agg(F.collect_set("language").alias("every"))
+    return blocks.join(groups, "group_id").select(*blocks.columns, F.array_sort(F.array_except("every", F.array("language"))).alias("languages"))
+
+
 def subtree(nodes: DataFrame, pages: DataFrame) -> DataFrame:
     """The ids of the given pages and of all nodes that carry their page_id."""
     return nodes.join(pages.select("page_id"), "page_id", "left_semi").select("node_id").union(pages.select(F.col("page_id").alias("node_id"))).distinct()

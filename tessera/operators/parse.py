@@ -323,6 +323,17 @@ def sections(pages: DataFrame, prefix: str = "") -> DataFrame:
     return _sections(outlined(headings(lines(normalised(pages))), prefix))
 
 
+def unique_anchor(by: list[str], base: str, order: str) -> Column:
+    """The anchor of each row: its base, with a number from 1 behind it for those after the first of one base in the order."""
+    nth = F.row_number().over(Window.partitionBy(*by, base).orderBy(order)) - 1
+    return F.when(nth == 0, F.col(base)).otherwise(F.concat_ws("-", base, nth.cast("string")))
+
+
+def html_links(html: Column) -> Column:
+    """The targets of a page's anchors, in order."""
+    return F.regexp_extract_all(html, F.lit('<a href="([^"]*)"'), F.lit(1))
+
+
 def outlined(marked: DataFrame, prefix: str = "") -> DataFrame:
     """The lines with the section that each stands in, and on headings its place in the outline; all windows share one partitioning.
 
@@ -339,10 +350,8 @@ def outlined(marked: DataFrame, prefix: str = "") -> DataFrame:
     rows = told.select("path", "title", F.explode(F.when(F.col("opens"), F.array(overview, F.struct(*fields))).otherwise(F.array(F.struct(*fields)))).alias("x")).select("path", "title", "x.*")
     slug = tx.slugify(F.col("heading"))
     base = F.when(is_section, F.when(slug == "", "section").otherwise(slug))
-    nth = F.row_number().over(Window.partitionBy("path", "base").orderBy("pos")) - 1
-    anchor = F.when(is_section, F.when(F.col("nth") == 0, F.col("base")).otherwise(F.concat_ws("-", "base", F.col("nth").cast("string"))))
     url = F.concat(F.lit(prefix), F.translate("path", "\\", "/"))
-    named = rows.withColumn("base", base).withColumn("nth", nth).withColumn("anchor", anchor).withColumn("own_id", F.when(is_section, F.concat_ws("#", url, F.col("anchor"))))
+    named = rows.withColumn("base", base).withColumn("anchor", F.when(is_section, unique_anchor(["path"], "base", "pos"))).withColumn("own_id", F.when(is_section, F.concat_ws("#", url, F.col("anchor"))))
     open_ = {k: f"open{k}" for k in range(2, DEEPEST)}
     for k, name in open_.items():
         named = named.withColumn(name, F.last(F.when(F.col("level") == k, F.struct("pos", "heading", "own_id")), True).over(before()))

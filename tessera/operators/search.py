@@ -80,6 +80,15 @@ def ranked(counts: DataFrame, asked: DataFrame, n: int, mean: float | None, k: i
     return top_per(total, ["query_id"], [F.desc("score"), F.col("node_id")], k)
 
 
+#: Filters that a query may set (fixed values).
+FILTERS = ("language", "page_path_prefix")
+
+
+def allowed_filters(given: Column, allowed: tuple[str, ...] = FILTERS) -> Column:
+    """The entries of a map of filters whose names are allowed."""
+    return F.map_filter(given, lambda k, v: k.isin(*allowed))
+
+
 def vector_search(nodes: DataFrame, queries: DataFrame, k: int = 50, block: int = 1024) -> DataFrame:
     """query_id, node_id, score, rank: the k largest cosines of nodes (node_id, embedding) for a stated set of query vectors (query_id, vector).
 

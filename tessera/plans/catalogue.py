@@ -220,11 +220,8 @@ SLUG = r"trim(regexp_replace(regexp_replace(lower({}), '[^\p{{L}}\p{{M}}\p{{N}}_
 
 @query(f"WITH x AS (SELECT p_partkey, p_brand, {SLUG.format('p_type')} AS base FROM part), y AS (SELECT *, row_number() OVER (PARTITION BY p_brand, base ORDER BY p_partkey) - 1 AS n FROM x) SELECT p_partkey, p_brand, CASE WHEN n = 0 THEN base ELSE base || '-' || n END AS anchor FROM y")
 def B24_anchor_unique(s: SparkSession, d: str) -> DataFrame:
-    from pyspark.sql import Window
-
     parts = table(s, d, "part").select("p_partkey", "p_brand", tx.slugify(F.col("p_type")).alias("base"))
-    n = F.row_number().over(Window.partitionBy("p_brand", "base").orderBy("p_partkey")) - 1
-    return parts.withColumn("n", n).select("p_partkey", "p_brand", F.when(F.col("n") == 0, F.col("base")).otherwise(F.concat_ws("-", "base", F.col("n").cast("string"))).alias("anchor"))
+    return parts.select("p_partkey", "p_brand", parse.unique_anchor(["p_brand"], "base", "p_partkey").alias("anchor"))
 
 
 @query(f"SELECT doc_id, {SLUG.format('text')} AS slug, regexp_replace(lower(text), '[^a-z0-9]', '', 'g') AS loose FROM documents")
@@ -484,10 +481,8 @@ def D06_equivalent_pairs(s: SparkSession, d: str) -> DataFrame:
 
 @query("SELECT a.conv_id, a.turn, string_agg(DISTINCT b.role, ',' ORDER BY b.role) AS languages FROM conversations a LEFT JOIN conversations b ON a.conv_id = b.conv_id AND a.role <> b.role GROUP BY ALL")
 def D12_equivalent_languages(s: SparkSession, d: str) -> DataFrame:
-    rows = table(s, d, "conversations")
-    roles = rows.groupBy("conv_id").agg(F.collect_set("role").alias("roles"))
-    other = F.array_sort(F.array_except("roles", F.array("role")))
-    return rows.join(roles, "conv_id").select("conv_id", "turn", F.nullif(F.array_join(other, ","), F.lit("")).alias("languages")).distinct()
+    blocks = table(s, d, "conversations").select(F.col("turn").alias("node_id"), F.col("conv_id").alias("group_id"), F.col("role").alias("language"))
+    return graph.equivalent_languages(blocks).select(F.col("group_id").alias("conv_id"), F.col("node_id").alias("turn"), F.nullif(F.array_join("languages", ","), F.lit("")).alias("languages")).distinct()
 
 
 @query("SELECT l_orderkey, l_linenumber FROM lineitem WHERE l_partkey IN (SELECT p_partkey FROM part WHERE p_size <= 25) AND l_suppkey IN (SELECT s_suppkey FROM supplier WHERE s_acctbal > 0)")
@@ -650,8 +645,7 @@ known AS (SELECT DISTINCT lower(regexp_replace(h, '[.,]', '', 'g')) AS name FROM
 
 
 def _page_links(s: SparkSession, d: str) -> DataFrame:
-    found = F.regexp_extract_all("html", F.lit('<a href="([^"]*)"'), F.lit(1))
-    return table(s, d, "pages").select("page_id", "url", F.posexplode(found).alias("nth", "href"))
+    return table(s, d, "pages").select("page_id", "url", F.posexplode(parse.html_links(F.col("html"))).alias("nth", "href"))
 
 
 def _resolved(s: SparkSession, d: str) -> DataFrame:
@@ -841,7 +835,7 @@ def E10_boilerplate_rates(s: SparkSession, d: str) -> DataFrame:
 
 @query("SELECT lang, source, count(*) AS n FROM documents GROUP BY ALL")
 def E11_label_source_counts(s: SparkSession, d: str) -> DataFrame:
-    return table(s, d, "documents").groupBy("lang", "source").agg(F.count("*").alias("n"))
+    return audit.group_counts(table(s, d, "documents"), "lang", "source")
 
 
 @query("""WITH p AS (SELECT a.label, list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]) AS c FROM embeddings a JOIN embeddings b ON b.vec_id = a.vec_id + 1) SELECT label, count(*) AS n, round(avg(c), 6) AS mean, round(quantile_cont(c, 0.5), 6) AS median FROM p GROUP BY label""")
@@ -876,7 +870,7 @@ def H07_set_difference(s: SparkSession, d: str) -> DataFrame:
 
 @query("SELECT doc_id FROM documents INTERSECT SELECT doc_id FROM labels")
 def H08_set_intersection(s: SparkSession, d: str) -> DataFrame:
-    return table(s, d, "documents").select("doc_id").intersect(table(s, d, "labels").select("doc_id"))
+    return audit.common(table(s, d, "documents"), table(s, d, "labels"), "doc_id")
 
 
 @query(r"""WITH p AS (SELECT page_id, regexp_replace(html, '`[^`]*`', '', 'g') AS t FROM pages) SELECT page_id, regexp_matches(t, '<!--') OR regexp_matches(t, '</?[A-Z][A-Za-z]*') OR regexp_matches(t, '(?m)^\s*export\s+(const|function|default)') OR regexp_matches(t, 'theme=\{') OR regexp_matches(t, '</?(div|span|img|p)\b') AS leaks FROM p""")
@@ -898,7 +892,7 @@ def I18_phrase_hits(s: SparkSession, d: str) -> DataFrame:
 @query("SELECT query_id, string_agg(DISTINCT lower(t), ',' ORDER BY lower(t)) AS kept FROM (SELECT item_id AS query_id, unnest(['language=' || item_id, 'page_path_prefix=en', 'Other=x']) AS t FROM benchmark) WHERE split_part(t, '=', 1) IN ('language', 'page_path_prefix') GROUP BY query_id")
 def C04_allowed_filters(s: SparkSession, d: str) -> DataFrame:
     given = F.create_map(F.lit("language"), F.col("item_id").cast("string"), F.lit("page_path_prefix"), F.lit("en"), F.lit("Other"), F.lit("x"))
-    kept = F.map_filter(given, lambda k, v: k.isin("language", "page_path_prefix"))
+    kept = search.allowed_filters(given)
     return table(s, d, "benchmark").select(F.col("item_id").alias("query_id"), F.array_join(F.array_sort(F.transform(F.map_entries(kept), lambda e: F.concat_ws("=", e["key"], e["value"]))), ",").alias("kept"))
 
 

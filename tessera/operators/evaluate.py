@@ -11,6 +11,24 @@ def satisfied(groups: Column, ids: Column) -> Column:
     return F.size(F.filter(groups, lambda g: F.arrays_overlap(g, ids)))
 
 
+def passage_gold(documents: DataFrame, questions: DataFrame, words: int = 8) -> DataFrame:
+    """question_id and expected: for each node that holds a run of ``words`` words of the question's passage, a group of its own, by id.
+
+    documents: node_id, text; questions: question_id, text.  Runs are joined by equality, those of the documents against the few distinct ones of the questions first;
+    a question of fewer words, or that no document holds, has no row.
+    """
+
+    def runs(df: DataFrame, key: str) -> DataFrame:
+        held = df.select(key, F.regexp_extract_all(F.lower("text"), F.lit(r"[\p{L}\p{N}_]+"), F.lit(0)).alias("w"))
+        starts = F.sequence(F.lit(1), F.size("w") - words + 1)
+        own = held.where(F.size("w") >= words).select(key, F.explode(F.transform(starts, lambda i: F.array_join(F.slice("w", i, words), " "))).alias("run"))
+        return own.distinct() if key == "question_id" else own
+
+    asked = runs(questions, "question_id")
+    pairs = runs(documents, "node_id").join(asked, "run").select("question_id", "node_id").distinct()
+    return pairs.groupBy("question_id").agg(F.transform(F.array_sort(F.collect_list("node_id")), lambda x: F.array(x)).alias("expected"))
+
+
 def id_metrics(answers: DataFrame, most: int = 8) -> DataFrame:
     """answers (question_id, category, expected array<array<string>>, retrieved array<string>, cited array<string>) with their metrics."""
     groups, got = F.col("expected"), F.slice("retrieved", 1, most)

@@ -11,7 +11,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.operators import store
+from tessera.operators import choose, store
 from tessera.sources.shared import first_rows, saved
 
 ATOM_LABELS = ("Chunk", "CodeBlock", "Callout", "TableRow")
@@ -50,7 +50,7 @@ def expand_siblings(edges: DataFrame, nodes: DataFrame, seeds: DataFrame, per_se
     """Other atoms of the section that holds a seed atom."""
     held = edges.where(F.col("type").isin(*CONTAINS))
     of_seed = held.join(seeds.select(F.col("node_id").alias("target_id"), "seed_rank"), "target_id").select(F.col("target_id").alias("seed_id"), "seed_rank", "source_id")
-    found = of_seed.join(held.select("source_id", F.col("target_id").alias("node_id")), "source_id").where("node_id <> seed_id").join(nodes.where(F.col("node_label").isin(*ATOM_LABELS)).select("node_id", "node_label"), "node_id")
+    found = of_seed.join(held.select("source_id", F.col("target_id").alias("node_id")), "source_id").where("node_id <> seed_id").join(choose.labelled(nodes, ATOM_LABELS, "node_label").select("node_id", "node_label"), "node_id")
     return _capped(found.select("seed_id", "seed_rank", "node_id", "node_label").distinct(), seeds, per_seed, ["seed_rank", "node_id"])
 
 
@@ -90,7 +90,7 @@ def expand_code_examples(edges: DataFrame, nodes: DataFrame, seeds: DataFrame, p
     below = closure(edges.where("type = 'HAS_SUBSECTION'"), parents.select(F.col("root").alias("node_id")).distinct(), depth)
     code = edges.where("type = 'CONTAINS_CODE'").select(F.col("source_id").alias("section_id"), F.col("target_id").alias("node_id"))
     blocks = nodes.where("node_label = 'CodeBlock'")
-    blocks = blocks if language is None else blocks.where(F.col("language") == language)
+    blocks = blocks if language is None else blocks.where(choose.equal_or_any(F.col("language"), language))
     found = parents.join(below.withColumnRenamed("node_id", "section_id"), "root").join(code, "section_id").join(blocks.select("node_id", "node_label", F.coalesce("position", F.lit(999)).alias("position")), "node_id")
     best = found.groupBy("node_id", "node_label").agg(F.min(F.struct("mentioned", "depth", "position", "seed_rank", "seed_id")).alias("best"))
     flat = best.select("best.seed_id", "best.seed_rank", "node_id", "node_label", "best.mentioned", "best.depth", "best.position")

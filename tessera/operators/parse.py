@@ -27,7 +27,8 @@ DATA_HEADERS = ("tool", "key", "event", "mode", "setting", "field", "parameter",
 BRACES = 8
 #: What marks the heading of an update card, and a title, after which a paragraph ends.
 UPDATE, TITLE = "<!--update-->", "<!--title-->"
-LINK = r"(?<!!)\[((?:[^\[\]]|`[^`]*`)*)\]\(\s*<?([^)\s>]*)>?(?:\s+\"[^\"]*\")?\s*\)"
+# Repeated groups are possessive throughout: the others take a stack frame for each repetition, and long texts would end the task.
+LINK = r"(?<!!)\[((?:[^\[\]`]++|`[^`]*+`|`)*+)\]\(\s*<?([^)\s>]*)>?(?:\s+\"[^\"]*\")?\s*\)"
 FENCE = r"^[ \t]*(`{3,}|~{3,})(.*)$"
 QUOTED = r"\"[^\"]*+\"|'[^']*+'"
 
@@ -386,7 +387,7 @@ def split_sections(told: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 ITEM = r"^\s*([*+-]|\d{1,9}[.)])\s+(.*)$"
-RULE = r"^ {0,3}(?:(?:\*[ \t]*){3,}|(?:-[ \t]*){3,}|(?:_[ \t]*){3,})$"
+RULE = r"^ {0,3}(?:(?:\*[ \t]*+){3,}+|(?:-[ \t]*+){3,}+|(?:_[ \t]*+){3,}+)$"
 QUOTE = r"^ {0,3}>"
 CALLOUT, CALLOUT_END, IMAGE = "<!--callout:([a-z]+)-->", "<!--/callout-->", r"^\s*<!--image path=\"([^\"]*)\" alt=\"([^\"]*)\"-->"
 
@@ -442,7 +443,7 @@ def indented_blocks(placed: DataFrame) -> DataFrame:
 
 def quotes(placed: DataFrame) -> DataFrame:
     """Quotes: path, section_id, callout, pos, text: a mark, and what stands in the quote, whose marks, list marks, headings' signs and fenced blocks are left out."""
-    own = F.sort_array(F.collect_list(F.struct("pos", F.regexp_replace("line", r"^\s*(?:>[ \t]?)+", "").alias("t"))))
+    own = F.sort_array(F.collect_list(F.struct("pos", F.regexp_replace("line", r"^\s*(?:>[ \t]?+)++", "").alias("t"))))
     rows = kinds(placed).where("kind = 'quote'").groupBy("path", "section_id", "callout", "run").agg(F.min("pos").alias("pos"), F.transform(own, lambda x: x["t"]).alias("ls")).withColumn("spans", fence_spans(F.col("ls")))
     bare = lambda x: inline_text(F.regexp_replace(x, r"^\s*(?:#{1,6}\s+|[*+-]\s+|\d{1,9}[.)]\s+)", ""))
     said = by_span(F.col("ls"), F.col("spans"), lambda ls: F.transform(ls, bare), lambda ls, span, no: F.array().cast("array<string>"))
@@ -526,7 +527,7 @@ def table_lines(placed: DataFrame) -> DataFrame:
     runs = placed.withColumn("piped", piped).withColumn("run", F.sum((~F.col("piped")).cast("int")).over(so_far())).where("piped")
     of_run = Window.partitionBy("path", "run").orderBy("pos")
     whole = of_run.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    dashes = F.rlike("line", F.lit(r"^\s*\|?\s*:?-+:?\s*(\|\s*:?-+:?\s*)*\|?\s*$"))
+    dashes = F.rlike("line", F.lit(r"^\s*\|?\s*:?-+:?\s*(?:\|\s*+:?-++:?\s*+)*+\|?\s*$"))
     numbered = runs.withColumn("nth", F.row_number().over(of_run) - 1).withColumn("dashes", dashes).withColumn("is_table", F.max((F.col("dashes") & (F.col("nth") == 1)).cast("int")).over(whole)).withColumn("table", F.min("pos").over(whole))
     return numbered.where("is_table = 1").select("path", "section_id", "table", "pos", F.least("nth", F.lit(2)).alias("kind"), (F.col("nth") - 2).alias("row"), cells(F.col("line")).alias("cells"))
 

@@ -14,7 +14,7 @@ from tessera.functions.vectors import cosine
 from tessera.plans.build import build
 from tessera.sources.parts import Parts
 from tessera.sources.shared import saved, shared_folder
-from tessera.operators import audit, entities, evaluate, graph, load, parse, resolve, search, store
+from tessera.operators import audit, choose, entities, evaluate, graph, load, parse, resolve, search, store
 from tessera.operators.textindex import TextIndex
 from tessera.operators.vectorindex import VectorIndex
 
@@ -185,25 +185,41 @@ def I22_evidence_render(s: SparkSession, d: str) -> DataFrame:
     return search.evidence(found, ["query_id"])
 
 
-METRICS = f"""WITH {BM25_CTE}, ans AS (SELECT query_id, list(doc_id ORDER BY rank) AS got FROM lex GROUP BY query_id),
-gold AS (SELECT a.query_id, 'c' || a.query_id % 3 AS category, [[a.query_id, got[1]], [a.query_id * 7 % 1000]] AS expected, got[:8] AS retrieved, got[:2] AS cited FROM ans a),
-m AS (SELECT query_id, category, len(list_filter(expected, lambda g: list_has_any(g, retrieved))) AS hits, len(list_filter(expected, lambda g: list_has_any(g, cited))) AS chits, len(cited) AS citation_count FROM gold)"""
+GOLD = r"""
+iw AS (SELECT item_id AS question_id, regexp_extract_all(lower(text), '[\p{L}\p{N}_]+') AS w FROM benchmark), dw AS (SELECT doc_id, regexp_extract_all(lower(text), '[\p{L}\p{N}_]+') AS w FROM documents WHERE text IS NOT NULL),
+ir AS (SELECT DISTINCT question_id, array_to_string(w[i:i + 7], ' ') AS run FROM (SELECT question_id, w, unnest(range(1, len(w) - 6)) AS i FROM iw WHERE len(w) >= 8)),
+dr AS (SELECT doc_id, array_to_string(w[i:i + 7], ' ') AS run FROM (SELECT doc_id, w, unnest(range(1, len(w) - 6)) AS i FROM dw WHERE len(w) >= 8)),
+gd AS (SELECT question_id, list(doc_id ORDER BY doc_id) AS expected FROM (SELECT DISTINCT question_id, doc_id FROM ir JOIN dr USING (run)) GROUP BY question_id)"""
+METRICS = f"""WITH {BM25_CTE}, {GOLD}, ans AS (SELECT query_id, list(doc_id ORDER BY rank) AS got FROM lex GROUP BY query_id),
+gold AS (SELECT query_id, 'c' || query_id % 3 AS category, coalesce(expected, []) AS expected, got[:8] AS retrieved, got[:2] AS cited FROM ans LEFT JOIN gd ON query_id = question_id),
+m AS (SELECT query_id, category, len(expected) AS n, len(list_intersect(expected, retrieved)) AS hits, len(list_intersect(expected, cited)) AS chits, len(cited) AS citation_count FROM gold)"""
+
+
+def _gold(s: SparkSession, d: str) -> DataFrame:
+    docs = table(s, d, "documents").select(F.col("doc_id").alias("node_id"), "text")
+    return evaluate.passage_gold(docs, table(s, d, "benchmark").select(F.col("item_id").alias("question_id"), "text"))
 
 
 def _metrics(s: SparkSession, d: str) -> DataFrame:
+    """The answers of the full-text search against the documents that hold a passage of the question."""
     got = _lexical(s, d).groupBy("query_id").agg(F.sort_array(F.collect_list(F.struct("rank", "node_id"))).alias("x")).select("query_id", F.transform("x", lambda r: r["node_id"]).alias("got"))
-    q = F.col("query_id")
-    expected = F.array(F.array(q, F.col("got")[0]), F.array(q * 7 % 1000))
-    answers = got.select(q.alias("question_id"), F.concat(F.lit("c"), (q % 3).cast("string")).alias("category"), expected.alias("expected"), F.slice("got", 1, 8).alias("retrieved"), F.slice("got", 1, 2).alias("cited"))
-    return evaluate.id_metrics(answers)
+    q = F.col("question_id")
+    answers = got.withColumnRenamed("query_id", "question_id").join(_gold(s, d), "question_id", "left")
+    expected = F.coalesce("expected", F.array().cast("array<array<bigint>>"))
+    return evaluate.id_metrics(answers.select(q, F.concat(F.lit("c"), (q % 3).cast("string")).alias("category"), expected.alias("expected"), F.slice("got", 1, 8).alias("retrieved"), F.slice("got", 1, 2).alias("cited")))
+
 
+@query(f"WITH {GOLD.lstrip()} SELECT question_id, array_to_string(expected, ',') AS expected FROM gd")
+def Q01_passage_gold(s: SparkSession, d: str) -> DataFrame:
+    return _gold(s, d).select("question_id", F.array_join(F.transform("expected", lambda g: g[0].cast("string")), ",").alias("expected"))
 
-@query(f"{METRICS} SELECT query_id AS question_id, category, CASE WHEN hits > 0 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS id_hit_at_8, hits / 2.0::DOUBLE AS id_recall_at_8, CASE WHEN chits > 0 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS cited_expected_hit, citation_count FROM m")
+
+@query(f"{METRICS} SELECT query_id AS question_id, category, CASE WHEN hits > 0 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS id_hit_at_8, CASE WHEN n > 0 THEN hits / n::DOUBLE ELSE 0.0::DOUBLE END AS id_recall_at_8, CASE WHEN chits > 0 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS cited_expected_hit, citation_count FROM m")
 def Q02_id_metrics(s: SparkSession, d: str) -> DataFrame:
     return _metrics(s, d)
 
 
-@query(f"{METRICS} SELECT category, count(*) AS n, round(avg(CASE WHEN hits > 0 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END), 6) AS id_hit_at_8, round(avg(hits / 2.0::DOUBLE), 6) AS id_recall_at_8 FROM m GROUP BY category")
+@query(f"{METRICS} SELECT category, count(*) AS n, round(avg(CASE WHEN hits > 0 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END), 6) AS id_hit_at_8, round(avg(CASE WHEN n > 0 THEN hits / n::DOUBLE ELSE 0.0::DOUBLE END), 6) AS id_recall_at_8 FROM m GROUP BY category")
 def E14_category_means(s: SparkSession, d: str) -> DataFrame:
     return evaluate.means(_metrics(s, d), ["id_hit_at_8", "id_recall_at_8"], "category")
 
@@ -918,3 +934,144 @@ def EN_enrich_nodes(s: SparkSession, d: str) -> DataFrame:
     p = _payloads(s, d).select(c("doc_id").cast("string").alias("node_id"), "label", "raw_text", "breadcrumb", c("source").alias("page_title"), F.substring("raw_text", 1, 200).alias("parent_text"), "synthesized", c("lang").alias("language"), "preceding", none.alias("headers"), none.alias("cells"), F.lit("note").alias("callout_kind"), c("source").alias("name"))
     good, _ = enrich.enrich(p)
     return good.select("node_id", "label", "context", "context_source", F.length("indexed_text").alias("n_chars"))
+
+
+# ---- pieces of pages: lists, callouts, quotes, tables, on pages made of each document's lines -----
+
+PIECES = r"""src AS (SELECT doc_id, 'p' || doc_id AS path, coalesce(lang, 'no') AS lang, list_filter(list_transform(string_split(coalesce(text, ''), chr(10)), lambda x: trim(regexp_replace(regexp_replace(x, '[^A-Za-z]', ' ', 'g'), ' +', ' ', 'g'))), lambda x: x <> '') AS ls FROM documents),
+li AS (SELECT path, unnest(ls) AS l, unnest(range(len(ls))) AS i FROM src),
+lists AS (SELECT path, string_agg(repeat('  ', CAST(i % 3 AS INTEGER)) || '- ' || l, chr(10) ORDER BY i) AS bullets, string_agg(repeat('  ', CAST(i % 3 AS INTEGER)) || (i + 1 - i % 3) || '. ' || l, chr(10) ORDER BY i) AS numbers,
+ string_agg('- page: ' || l || CASE WHEN i % 2 = 0 THEN '; next: to ' || i ELSE '' END, chr(10) ORDER BY i) AS nav FROM li GROUP BY path)"""
+
+
+def _pieces(s: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """Sections and lines of a page for each document: its lines as a list, as a numbered one, as rows of a table and of a navigation table, beside a quote, a rule, an image, a callout, code and an empty section."""
+    letters = lambda x: F.trim(F.regexp_replace(F.regexp_replace(x, "[^A-Za-z]", " "), " +", " "))
+    ls = F.filter(F.transform(F.split(F.coalesce("text", F.lit("")), "\n"), letters), lambda x: x != "")
+    each = lambda f: F.array_join(F.transform("ls", f), "\n")
+    text, lang, deep = F.lit, F.coalesce("lang", F.lit("no")), lambda i, wide: F.repeat(F.lit(" " * wide), (i % 3).cast("int"))
+    row = lambda l, i: F.concat(F.lit("| "), i.cast("string"), F.lit(" | **"), l, F.lit("** |"))
+    link = lambda l, i: F.concat(F.lit("| ["), l, F.lit("](/n) | "), F.when(i % 2 == 0, F.concat(F.lit("[to "), i.cast("string"), F.lit("](/t)"))).otherwise(""), F.lit(" |"))
+    page = F.concat(
+        text("# T\n\n## Text\n\nfirst in *"), lang, text("*\nand second\n\n> said\n> in "), lang, text("\n\n---\n\n![alt text](/i/m.png)\n\n<img alt=\"pic\" src=\"/i/"), F.col("doc_id").cast("string"), text(".png\" />\n\n## Bullets\n\n"), each(lambda l, i: F.concat(deep(i, 2), F.lit("- "), l)),
+        text("\n\n## Numbers\n\n"), each(lambda l, i: F.concat(deep(i, 3), F.lit("1. "), l)), text("\n\n```py\nx = 1\n```\n\n## Notes\n\n<Warning>\nmind **"), lang, text("**\n\n- a\n- b\n</Warning>\n\n<Tip>\nsee `"), lang,
+        text("`\n</Tip>\n\n## Rows\n\n| Name | Value |\n|---|---|\n"), each(row), text("\n\n## Links\n\n| Page | Next |\n|---|---|\n"), each(link), text("\n\n## Empty\n\n## Outer\n\n### Inner\n\ntail\n"),
+    )
+    pages = table(s, d, "documents").select("doc_id", "lang", ls.alias("ls"))
+    return parse.located(pages.select(F.concat(F.lit("p"), F.col("doc_id").cast("string")).alias("path"), page.alias("text")))
+
+
+@query(f"""WITH {PIECES}, t AS (SELECT path || '#text' AS section_id, 'first in ' || lang || ' and second' || chr(10) || chr(10) || '> said in ' || lang || chr(10) || chr(10) || '---' || chr(10) || chr(10) || 'alt text' || chr(10) || chr(10) || '[image: pic](/i/' || doc_id || '.png)' AS text FROM src
+ UNION ALL SELECT path || '#bullets', bullets FROM lists UNION ALL SELECT path || '#numbers', numbers FROM lists UNION ALL SELECT path || '#links', nav FROM lists UNION ALL SELECT path || '#inner', 'tail' FROM src) SELECT * FROM t""")
+def B28_section_texts(s: SparkSession, d: str) -> DataFrame:
+    """Texts of sections: paragraphs, a quote, a rule, an image, nested lists of both kinds, and a navigation table."""
+    _, placed = _pieces(s, d)
+    return parse.section_text(placed, navigation=True).select("section_id", "text")
+
+
+@query(f"""WITH {PIECES}, c AS (SELECT path, 0 AS position, 'warning' AS kind, 'mind ' || lang || chr(10) || chr(10) || '- a' || chr(10) || '- b' AS text FROM src UNION ALL SELECT path, 1, 'tip', 'see `' || lang || '`' FROM src)
+SELECT left(sha256(path || '#notes|' || position || '|callout-' || kind), 16) AS node_id, path, path || '#notes' AS section_id, position, kind, text FROM c""")
+def B29_callouts(s: SparkSession, d: str) -> DataFrame:
+    _, placed = _pieces(s, d)
+    return parse.callouts(placed)
+
+
+@query(f"""WITH {PIECES} SELECT left(sha256(path || '#rows|' || i || '|row'), 16) AS node_id, path || '#rows' AS section_id, i AS position, 'name,value' AS headers, i || ',' || l AS cells FROM li""")
+def B32_table_rows(s: SparkSession, d: str) -> DataFrame:
+    _, placed = _pieces(s, d)
+    return parse.table_rows(placed).select("node_id", "section_id", F.col("position").cast("long").alias("position"), F.array_join("headers", ",").alias("headers"), F.array_join("cells", ",").alias("cells"))
+
+
+@query(f"""WITH {PIECES}, last AS (SELECT path, string_agg(numbers, '') AS preceding FROM lists GROUP BY path)
+SELECT path, 'py' AS language, 'x = 1' AS text, coalesce(preceding, '') AS preceding FROM src LEFT JOIN last USING (path)""")
+def F04_preceding_text(s: SparkSession, d: str) -> DataFrame:
+    """The text that stands before each code block of its section."""
+    _, placed = _pieces(s, d)
+    return parse.code_blocks(placed).select("path", "language", "text", "preceding")
+
+
+@query(f"""WITH {PIECES} SELECT path, CASE a WHEN 'inner' THEN 3 ELSE 2 END AS level, path || '#' || a AS section_id FROM (SELECT path, len(ls) AS n, unnest(['text', 'bullets', 'numbers', 'notes', 'rows', 'links', 'outer', 'inner']) AS a FROM src)
+WHERE n > 0 OR a NOT IN ('bullets', 'rows', 'links')""")
+def B37_kept_sections(s: SparkSession, d: str) -> DataFrame:
+    """Sections without those that have no text, nothing in them, and no section under them."""
+    found, placed = _pieces(s, d)
+    used = [f(placed).select("section_id") for f in (parse.code_blocks, parse.table_rows, parse.callouts, parse.links)]
+    return parse.kept_sections(found, parse.section_text(placed, navigation=True), choose.union_all(used)).select("path", "level", "section_id")
+
+
+# ---- choices: kinds, labels, properties, optional filters, unions ---------------------------------
+
+
+@query("""SELECT CAST(doc_id AS VARCHAR) AS id, CAST(NULL AS VARCHAR) AS page_url, CAST(NULL AS VARCHAR) AS anchor, CAST(NULL AS VARCHAR) AS breadcrumb, CAST(NULL AS VARCHAR) AS level, CAST(NULL AS VARCHAR) AS position, text, CAST(NULL AS VARCHAR) AS synthesized, CAST(NULL AS VARCHAR) AS parent_section_id, CAST(NULL AS VARCHAR) AS external_links FROM documents""")
+def C01_stored_properties(s: SparkSession, d: str) -> DataFrame:
+    """Documents as sections: what is stored of them, whatever else they carry."""
+    return choose.projected(table(s, d, "documents").withColumn("id", F.col("doc_id").cast("string")), "Section")
+
+
+@query("SELECT event_id, event_type AS kind FROM events WHERE event_type IN (SELECT DISTINCT event_type FROM events ORDER BY event_type LIMIT 2)")
+def C02_kinds(s: SparkSession, d: str) -> DataFrame:
+    """Events of the first two types, when the others are known and skipped."""
+    records = table(s, d, "events").select("event_id", F.col("event_type").alias("kind"))
+    kinds = sorted(r["kind"] for r in records.select("kind").distinct().collect())  # a closed list
+    return choose.of_kinds(records, tuple(kinds[:2]), tuple(kinds[2:]))
+
+
+@query("SELECT doc_id, 'any' AS asked FROM documents UNION ALL SELECT doc_id, 'de' FROM documents WHERE lang = 'de' UNION ALL SELECT doc_id, 'own' FROM documents WHERE lang IS NULL OR source = lang")
+def C06_optional_language(s: SparkSession, d: str) -> DataFrame:
+    """Documents of any language, of one, and where the language wanted is a column (null: any)."""
+    docs = table(s, d, "documents")
+    asked = {"any": choose.equal_or_any(F.col("lang"), None), "de": choose.equal_or_any(F.col("lang"), "de"), "own": choose.equal_or_any(F.col("source"), F.col("lang"))}
+    return choose.union_all([docs.where(condition).select("doc_id", F.lit(name).alias("asked")) for name, condition in asked.items()])
+
+
+@query("WITH p AS (SELECT p_partkey, string_split(p_type, ' ') AS labels FROM part), w AS (SELECT list(l) AS wanted FROM (SELECT DISTINCT unnest(labels) AS l FROM p ORDER BY l LIMIT 2)) SELECT p_partkey FROM p, w WHERE list_has_any(labels, wanted)")
+def C07_any_label(s: SparkSession, d: str) -> DataFrame:
+    """Parts of whose words of type one is among the first two."""
+    parts = table(s, d, "part").select("p_partkey", F.split("p_type", " ").alias("labels"))
+    words = sorted(r["l"] for r in parts.select(F.explode("labels").alias("l")).distinct().collect())  # a closed list
+    return choose.labelled(parts, tuple(words[:2])).select("p_partkey")
+
+
+@query("SELECT doc_id FROM documents WHERE lang IS NOT NULL OR source IS NOT NULL")
+def C12_present(s: SparkSession, d: str) -> DataFrame:
+    return table(s, d, "documents").where(choose.present("lang", "source")).select("doc_id")
+
+
+@query("""WITH a AS (SELECT item_id, ['Section', 'Tool', 'Nothing', 'Page', 'Hook'][1:CAST(item_id % 6 AS INTEGER)] AS asked FROM benchmark)
+SELECT item_id, array_to_string(list_filter(asked, lambda x: x IN ('Section', 'Chunk', 'CodeBlock', 'TableRow', 'Callout')), ',') AS searched, array_to_string(list_filter(asked, lambda x: x IN ('Tool', 'Hook')), ',') AS named FROM a""")
+def C14_label_split(s: SparkSession, d: str) -> DataFrame:
+    """The labels asked for by each item, split in those searched by text and those searched by name."""
+    asked = F.slice(F.array(*map(F.lit, ("Section", "Tool", "Nothing", "Page", "Hook"))), 1, (F.col("item_id") % 6).cast("int"))
+    searched, named = choose.split_labels(asked, search.SEARCHABLE_LABELS, search.ENTITY_LABELS)
+    return table(s, d, "benchmark").select("item_id", F.array_join(searched, ",").alias("searched"), F.array_join(named, ",").alias("named"))
+
+
+NATIONS = "SELECT {} AS nation FROM {}"
+
+
+@query(f"{NATIONS.format('c_nationkey', 'customer')} UNION {NATIONS.format('s_nationkey', 'supplier')} UNION {NATIONS.format('CAST(n_nationkey AS INTEGER)', 'nation')}")
+def H01_union_distinct(s: SparkSession, d: str) -> DataFrame:
+    return choose.union_distinct([p.select(F.col("nation").cast("int")) for p in _nations(s, d)])
+
+
+@query(f"SELECT nation, count(*) AS n FROM ({NATIONS.format('c_nationkey', 'customer')} UNION ALL {NATIONS.format('s_nationkey', 'supplier')} UNION ALL {NATIONS.format('CAST(n_nationkey AS INTEGER)', 'nation')}) GROUP BY nation")
+def H02_union_all(s: SparkSession, d: str) -> DataFrame:
+    return choose.union_all(_nations(s, d)).groupBy("nation").agg(F.count("*").alias("n"))
+
+
+@query("SELECT DISTINCT c_mktsegment AS grp, 0 AS part, c_nationkey AS nation FROM customer UNION ALL SELECT DISTINCT 'supplier', 1, s_nationkey FROM supplier")
+def H03_concat_of_sets(s: SparkSession, d: str) -> DataFrame:
+    """Each market segment's nations, and behind them the suppliers' as a set of their own."""
+    customers = table(s, d, "customer").select(F.col("c_mktsegment").alias("grp"), F.col("c_nationkey").alias("nation"))
+    suppliers = table(s, d, "supplier").select(F.lit("supplier").alias("grp"), F.col("s_nationkey").alias("nation"))
+    return choose.concat_of_sets([customers, suppliers], ["grp"], "nation")
+
+
+def _nations(s: SparkSession, d: str) -> list[DataFrame]:
+    return [table(s, d, t).select(F.col(c).cast("int").alias("nation")) for t, c in (("customer", "c_nationkey"), ("supplier", "s_nationkey"), ("nation", "n_nationkey"))]
+
+
+@query("SELECT o_orderkey AS node_id, o_totalprice FROM orders ORDER BY o_orderkey LIMIT 500")
+def G09_pilot(s: SparkSession, d: str) -> DataFrame:
+    """The first 500 orders, for a trial run."""
+    return choose.pilot(table(s, d, "orders").select(F.col("o_orderkey").alias("node_id"), "o_totalprice"), 500)

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from tessera.functions import contexts as cx
 from tessera.functions import text as tx
 from tessera.functions.vectors import cosine
-from tessera.operators import audit, entities, evaluate, graph, load, parse, resolve, search, store
+from tessera.operators import audit, choose, entities, evaluate, graph, load, parse, resolve, search, store
 from tessera.operators.textindex import TextIndex
 from tessera.operators.vectorindex import VectorIndex
 from tessera.plans import calls as calls_of
@@ -746,3 +746,42 @@ def test_whole_graph_of_a_small_corpus(spark):
     assert {(short(r["section_id"]), r["href"], r["reason"]) for r in g.unresolved.collect()} == {("a.md#last", "gone.md", "page")}
     assert [r["external_links"] for r in g.external.collect()] == [["https://other.example/x"]]
     assert g.edges.groupBy("edge_id").count().where("count > 1").count() == 0
+
+
+def test_long_lines_take_no_stack(spark):
+    n = 60_000
+    text = "\n".join(["# T", "", f"[{'a' * n}](/x) and [`b](c)` d](/y) and [e `f](/z)", "", ">" * n + " deep", "", "*" * n, "", "|a" * 3000 + "|", "|-" * 3000 + "|", "|b" * 3000 + "|"])
+    _, placed = parse.located(spark.createDataFrame([("p", text)], "path string, text string"))
+    assert sorted(r["href"] for r in parse.links(placed).collect()) == ["/x", "/y", "/z"]
+    assert parse.section_text(placed).first()["text"] == f"{'a' * n} and `b](c)` d and e `f\n\n> deep\n\n---"
+    assert [len(r["cells"]) for r in parse.table_rows(placed).collect()] == [3000]
+
+
+def test_choices(spark):
+    nodes = spark.createDataFrame([(1, ["Tool", "X"], "de", None), (2, ["Page"], None, "u"), (3, None, "en", None), (3, None, "en", None)], "node_id long, labels array<string>, language string, url string")
+    ids = lambda df: sorted(r["node_id"] for r in df.collect())
+    assert ids(choose.labelled(nodes, ("Tool", "Hook"))) == [1] and ids(choose.labelled(nodes, ())) == [] and ids(choose.labelled(nodes, ("en",), "language")) == [3, 3]
+    assert ids(nodes.where(choose.equal_or_any(F.col("language"), None))) == [1, 2, 3, 3] and ids(nodes.where(choose.equal_or_any(F.col("language"), "de"))) == [1]
+    assert ids(nodes.where(choose.equal_or_any(F.col("language"), F.col("url")))) == [1, 3, 3]
+    assert ids(nodes.where(choose.present("language", "url"))) == [1, 2, 3, 3]
+    assert ids(choose.pilot(nodes, 2)) == [1, 2] and ids(choose.pilot(nodes, None)) == [1, 2, 3, 3] and ids(choose.pilot(nodes.limit(0), 2)) == []
+    searched, named = choose.split_labels(F.col("labels"), ("Page",), ("Tool",))
+    assert [(r["a"], r["b"]) for r in nodes.orderBy("node_id").select(searched.alias("a"), named.alias("b")).collect()] == [([], ["Tool"]), (["Page"], []), ([], []), ([], [])]
+    assert len(choose.union_distinct([nodes, nodes]).collect()) == 3 and len(choose.union_all([nodes, nodes]).collect()) == 8
+    sets = choose.concat_of_sets([nodes, nodes.where("node_id > 1")], ["language"], "node_id")
+    assert sorted((r["part"], r["node_id"]) for r in sets.collect()) == [(0, 1), (0, 2), (0, 3), (1, 2), (1, 3)]
+    assert choose.projected(nodes.select("url", F.lit(1).alias("extra")), "Page").columns == list(choose.PROPERTIES["Page"])
+
+
+def test_kinds_that_are_unknown_end_the_job(spark):
+    records = spark.createDataFrame([(1, "page"), (2, "link"), (3, "section")], "i int, kind string")
+    assert sorted(r["i"] for r in choose.of_kinds(records, ("page", "section"), ("link",)).collect()) == [1, 3]
+    with pytest.raises(Exception, match="unknown kind of record: link"):
+        choose.of_kinds(records, ("page", "section")).collect()
+
+
+def test_gold_of_passages(spark):
+    words = " ".join(f"w{i}" for i in range(12))
+    docs = spark.createDataFrame([(1, f"x {words} y"), (2, "w3 w4 w5 w6 w7 w8 w9 W10, and"), (3, "w3 w4 w5 w6 w7 w8 w9"), (4, None), (1, words)], "node_id long, text string")
+    asked = spark.createDataFrame([(7, words), (8, "w1 w2"), (9, None)], "question_id long, text string")
+    assert [(r["question_id"], r["expected"]) for r in evaluate.passage_gold(docs, asked).collect()] == [(7, [[1], [2]])]

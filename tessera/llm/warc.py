@@ -6,11 +6,12 @@ WARC-Concurrent-To.  Both keep the source's target URI and date
 leading ``Source-``, its payload and block digests, IP address and record headers that
 the derivative would otherwise lose.  The metadata record lists the HTTP status and
 headers, the title and the outgoing links; the conversion record is the page's visible
-text, or a plain text as it is.  Bodies are put together from chunks and unpacked (gzip, deflate) first, the
-digests stay those of the source.  Identifiers are version-5 UUIDs of the source's identifier and the record type, so
+text, or another text (text/*, JSON, XML) as it is.  Bodies are put together from chunks and unpacked (gzip, deflate) first, the
+digests stay those of the source; a body that only claims to be packed is taken as it is, and bytes behind the end of a packed one are left out.  The charset is that of
+a byte order mark, else of the header, else of a meta element in the first 4,096 bytes, else UTF-8; bytes that it doesn't have become U+FFFD.  Identifiers are version-5 UUIDs of the source's identifier and the record type, so
 a task that runs again makes the same records.
 
-A record that is no response, or not well formed, or whose payload is no text (a PDF, an image, an unknown packing), gives no derivative but a row with its
+A record that is no response, or not well formed, or whose payload is no text (a PDF, an image, an unknown packing) or unpacks to more than MOST_UNPACKED bytes, gives no derivative but a row with its
 error.  Nulls: a null record gives an error row; a page with null url or html becomes a
 response with an empty target URI or payload.  Repeated rows are one record given more than once: equal in all bytes, the identifier too.
 """
@@ -39,7 +40,14 @@ VERSION = "WARC/1.1"
 HREF = re.compile(r"(?<![\w-])href\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 #: Media types with text, and those of it that are pages.
 PAGES = frozenset(["text/html", "application/xhtml+xml"])
-TEXTS = PAGES | {"text/plain"}
+TEXTS = re.compile(r"text/.+|application/(?:xml|json|javascript|x-ndjson|.+\+(?:xml|json))")
+CHARSET = re.compile(r"charset\s*=\s*[\"']?\s*([\w.:\-]+)", re.I)
+META = re.compile(rb"<meta[^>]*?charset\s*=\s*[\"']?\s*([\w.:\-]+)", re.I)
+MARKS = ((b"\xef\xbb\xbf", "utf-8"), (b"\xff\xfe", "utf-16-le"), (b"\xfe\xff", "utf-16-be"))
+#: Names under which pages are, by the usage of browsers, in another charset.
+MEANT = {"iso-8859-1": "cp1252", "iso8859-1": "cp1252", "latin1": "cp1252", "latin-1": "cp1252", "us-ascii": "cp1252", "ascii": "cp1252", "x-sjis": "shift_jis", "gb2312": "gb18030"}
+#: A payload that unpacks to more bytes is an error: a small record can claim any size.
+MOST_UNPACKED = 64 << 20
 #: Bytes of records that are worked on at once.
 RECORD_BYTES = 4 << 20
 CARRIED = ("WARC-Payload-Digest", "WARC-Block-Digest", "WARC-IP-Address", "WARC-Identified-Payload-Type")
@@ -91,13 +99,9 @@ def derive(raw: bytes) -> dict[str, object]:
     named = {k.strip().lower(): v.strip() for k, _, v in (x.partition(":") for x in http)}
     body, kind = unpacked(payload, named), named.get("content-type", "")
     media = kind.partition(";")[0].strip().lower() or ("application/octet-stream" if b"\0" in body[:1024] or body.startswith(b"%PDF-") else "text/html")
-    if media not in TEXTS:
+    if not TEXTS.fullmatch(media):
         raise ValueError(f"no text in {media}")
-    charset = re.search(r"charset=\"?([\w.\-]+)", kind)
-    try:
-        page = body.decode(charset[1] if charset else "utf-8", "replace")
-    except LookupError:
-        page = body.decode("utf-8", "replace")
+    page = decoded(body, kind, media in PAGES)
     title, hrefs = title_and_links(page) if media in PAGES else ("", [])
     text = ("\n".join(t for t, *_ in walk(page, host_of(uri))[0]) if media in PAGES else page).encode()
     links = list(dict.fromkeys(urljoin_safe(uri, html.unescape(x)) for x in hrefs))
@@ -113,33 +117,72 @@ def derive(raw: bytes) -> dict[str, object]:
     return out
 
 
-def unpacked(payload: bytes, http: dict[str, str]) -> bytes:
+def decoded(body: bytes, kind: str, is_page: bool = True) -> str:
+    """The text of a body; kind: its Content-Type.  An unknown charset is UTF-8."""
+    for mark, name in MARKS:
+        if body.startswith(mark):
+            return body[len(mark) :].decode(name, "replace")
+    told = CHARSET.search(kind)
+    said = META.search(body[:4096]) if is_page and not told else None
+    name = told[1].lower() if told else said[1].decode("ascii", "replace").lower() if said else "utf-8"
+    if said and name.startswith("utf-16"):  # what could be read as ASCII isn't
+        name = "utf-8"
+    try:
+        return body.decode(MEANT.get(name, name), "replace")
+    except (LookupError, ValueError):
+        return body.decode("utf-8", "replace")
+
+
+def joined(payload: bytes) -> bytes:
+    """The chunks of a payload put together; a payload that doesn't begin with a chunk's size, as it is."""
+    if not re.match(rb"[0-9A-Fa-f]+[ \t]*(?:;[^\r\n]*)?\r\n", payload):
+        return payload
+    parts, at = [], 0
+    while True:
+        end = payload.find(b"\r\n", at)
+        try:
+            size = int(payload[at:end].partition(b";")[0], 16) if end >= 0 else -1
+        except ValueError:
+            size = -1
+        if size < 0 or end + 2 + size > len(payload):
+            raise ValueError("a chunk is not whole")
+        if not size:
+            return b"".join(parts)
+        parts.append(payload[end + 2 : end + 2 + size])
+        at = end + 4 + size
+
+
+def inflated(payload: bytes, packing: str, most: int) -> bytes:
+    """The members of a gzip body, or a deflate body; no more than most bytes are ever unpacked."""
+    zipped = packing != "deflate"
+    if zipped and not payload.startswith(b"\x1f\x8b"):
+        return payload
+    parts, left = [], most
+    while True:
+        engine = zlib.decompressobj(zlib.MAX_WBITS | 16 if zipped else zlib.MAX_WBITS if payload[:1] == b"x" else -zlib.MAX_WBITS)
+        parts.append(engine.decompress(payload, left + 1))
+        left -= len(parts[-1])
+        if left < 0:
+            raise ValueError(f"the body unpacks to more than {most} bytes")
+        if not engine.eof:
+            raise ValueError(f"the {packing} body is not whole")
+        payload = engine.unused_data
+        if not zipped or not payload.startswith(b"\x1f\x8b\x08"):
+            return b"".join(parts)
+
+
+def unpacked(payload: bytes, http: dict[str, str], most: int = MOST_UNPACKED) -> bytes:
     """The body of a payload: its chunks put together, its packing undone.  http: headers, names in lower case."""
     if "chunked" in http.get("transfer-encoding", "").lower():
-        parts, at = [], 0
-        while True:
-            end = payload.find(b"\r\n", at)
-            try:
-                size = int(payload[at:end].partition(b";")[0], 16) if end >= 0 else -1
-            except ValueError:
-                size = -1
-            if size < 0 or end + 2 + size > len(payload):
-                raise ValueError("a chunk is not whole")
-            if not size:
-                break
-            parts.append(payload[end + 2 : end + 2 + size])
-            at = end + 4 + size
-        payload = b"".join(parts)
+        payload = joined(payload)
     for packing in reversed([x.strip().lower() for x in http.get("content-encoding", "").split(",")]):
-        try:
-            if packing in ("gzip", "x-gzip"):
-                payload = gzip.decompress(payload)
-            elif packing == "deflate":
-                payload = zlib.decompress(payload, zlib.MAX_WBITS if payload[:1] == b"x" else -zlib.MAX_WBITS)
-            elif packing not in ("", "identity"):
-                raise ValueError(f"unknown packing {packing}")
-        except (EOFError, OSError, zlib.error) as e:
-            raise ValueError(f"the {packing} body is not whole") from e
+        if packing in ("gzip", "x-gzip", "deflate"):
+            try:
+                payload = inflated(payload, packing, most)
+            except zlib.error as e:
+                raise ValueError(f"the {packing} body is not whole") from e
+        elif packing not in ("", "identity"):
+            raise ValueError(f"unknown packing {packing}")
     return payload
 
 

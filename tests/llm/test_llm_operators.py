@@ -737,6 +737,36 @@ def test_warc_bodies_are_unpacked_and_others_named(spark):
     assert read_warc(bytes(got[len(good) + len(bad)]["conversion"]))[0][1].decode() == "é <b>"
 
 
+def test_warc_charsets_texts_and_wrong_packings(spark):
+    import gzip
+
+    said = "<p>caf\u00e9 \u201cna\u00efve\u201d</p>"
+    meta = b'<html><head><meta http-equiv="Content-Type" content="text/html; charset=windows-1252"></head>'
+    kind = lambda x: ("Content-Type", x)
+    pages = [
+        warc_of([kind("text/html; Charset=ISO-8859-1")], said.encode("cp1252")), warc_of([kind("text/html")], meta + said.encode("cp1252")), warc_of([kind("TEXT/HTML")], b"<meta charset='latin1'>" + said.encode("cp1252")),
+        warc_of([kind("text/html; charset=koi8-r")], b"\xff\xfe" + said.encode("utf-16-le")), warc_of([kind("text/html; charset=no-such")], said.encode()), warc_of([kind("text/html; charset=hex")], said.encode()),
+        warc_of([kind("text/html"), ("Content-Encoding", "gzip")], said.encode()), warc_of([kind("text/html"), ("Transfer-Encoding", "chunked")], said.encode()),
+        warc_of([kind("text/html"), ("Content-Encoding", "gzip")], gzip.compress(said[:9].encode()) + gzip.compress(said[9:].encode()) + b"junk"),
+    ]
+    texts = {"text/csv": "a,b", "text/markdown": "# a", "application/xml": "<a>b</a>", "application/json; charset=utf-8": '{"a": 1}', "application/ld+json": "{}", "image/svg+xml": None, "application/zip": None}
+    records = pages + [warc_of([kind(k)], (v or "x").encode()) for k, v in texts.items()]
+    got = {r["k"]: r for r in warc.derivatives(spark.createDataFrame(list(enumerate(records)), "k int, record binary")).collect()}
+    assert [read_warc(bytes(got[k]["conversion"]))[0][1].decode() for k in range(len(pages))] == ["caf\u00e9 \u201cna\u00efve\u201d"] * len(pages)
+    for k, v in enumerate(texts.values(), len(pages)):
+        assert (read_warc(bytes(got[k]["conversion"]))[0][1].decode() if v else got[k]["conversion"]) == v and bool(got[k]["error"]) == (v is None)
+
+
+def test_warc_unpacks_no_more_than_its_bound():
+    import gzip
+
+    bomb = gzip.compress(b"a" * (1 << 20))
+    assert len(warc.unpacked(bomb, {"content-encoding": "gzip"}, 1 << 20)) == 1 << 20
+    for packed, name in ((bomb, "gzip"), (bomb, "x-gzip"), (zlib.compress(b"a" * (1 << 20)), "deflate"), (gzip.compress(b"a" * 9) + bomb, "gzip")):
+        with pytest.raises(ValueError, match="more than"):
+            warc.unpacked(packed, {"content-encoding": name}, (1 << 20) - 1)
+
+
 def test_warc_of_very_long_pages_and_repeated_rows(spark):
     long = "<p>" + LONG * 6 + "<a " * 200_000
     rows = [(1, "u", long), (1, "u", long), (2, "u", "<p>x")]

@@ -35,7 +35,7 @@ from __future__ import annotations
 import html
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import xxhash
@@ -88,6 +88,7 @@ UNJUDGED = WHOLE | LABELS | frozenset("dd td li tr thead tbody tfoot colgroup".s
 HEAD_ONLY = frozenset("base basefont bgsound link meta title style script noscript template head html".split())
 NEVER_NAMED = WHOLE | HEADINGS | INLINE
 
+RAW_ENDS = {tag: re.compile(rf"</{tag}\s*[^>]*>", re.I) for tag in RAW}
 TAG = re.compile(r"</?([a-zA-Z][^\s/>]*)(?:((?:\"[^\"]*\"|'[^']*'|[^'\">])*+)>|([^>]*)>)")
 NAMES = re.compile(r"(?<![\w-])(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 SPLIT = re.compile(r"[\s_\-:]+")
@@ -151,7 +152,9 @@ class Element:
 
 def named_part(tag: str, attributes: str, main: bool) -> tuple[str, bool, bool, bool]:
     """The class names of an element, whether it or what it stands in is main, and whether its names make it a part, or reader comments in main."""
-    found = {n.lower(): a or b or c for n, a, b, c in NAMES.findall(attributes)} if "=" in attributes else {}
+    if "=" not in attributes:
+        return "", main or tag in ("article", "main"), False, False
+    found = {n.lower(): a or b or c for n, a, b, c in NAMES.findall(attributes)}
     classes, roles = found.get("class", "").lower().split(), found.get("role", "").lower().split()
     main = main or tag in ("article", "main") or "main" in roles
     if not found or tag in NEVER_NAMED or "main" in roles:
@@ -163,10 +166,10 @@ def named_part(tag: str, attributes: str, main: bool) -> tuple[str, bool, bool,
     return " ".join(sorted(classes)), main, part and not told, told
 
 
-def walk(source: str, host: int, noise: frozenset | set = frozenset()) -> tuple[list[tuple[str, tuple[int, ...], bool, bool, float]], list[tuple[int, int, bool]]]:
+def walk(source: str, host: int, noise: frozenset | set = frozenset(), note: Callable[[str, str], None] | None = None) -> tuple[list[tuple[str, tuple[int, ...], bool, bool, float]], list[tuple[int, int, bool]]]:
     """The blocks of a page, as (text, paths above that it is evidence for, cut out, in main, share of short links), and (path, hash of the child styles, in main) of each element.
 
-    Reader comments by name are cut out if the page has other text in main.
+    Reader comments by name are cut out if the page has other text in main.  note: gets the tag and the attributes of each link, and the tag and the text of each title.
     """
     stack, blocks, shapes, piece = [Element("", host, False, False)], [], [], []
     inner: list[int] = []  # places in the stack of elements that aren't inline
@@ -233,6 +236,8 @@ def walk(source: str, host: int, noise: frozenset | set = frozenset()) -> tuple[
             continue
         if tag == "a":
             settle()
+            if note and not closes:
+                note(tag, attributes)
         if closes:
             if tag not in INLINE:
                 flush()
@@ -268,7 +273,9 @@ def walk(source: str, host: int, noise: frozenset | set = frozenset()) -> tuple[
         if tag not in INLINE:
             parent.children.append((tag, names))
         if tag in RAW:
-            found = re.compile(rf"</{re.escape(tag)}\s*[^>]*>", re.I).search(source, at)
+            found = RAW_ENDS[tag].search(source, at)
+            if note and tag == "title":
+                note(tag, source[at : found.start() if found else len(source)])
             at = found.end() if found else len(source)
         elif tag not in VOID and not attributes.rstrip().endswith("/"):
             if tag not in INLINE:

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.shared import tidy
-from tessera.llm.sitetree import RAW, host_of, tokens, walk
+from tessera.llm.sitetree import host_of, walk
 from tessera.llm.words import slices
 
 VERSION = "WARC/1.1"
@@ -102,8 +102,16 @@ def derive(raw: bytes) -> dict[str, object]:
     if not TEXTS.fullmatch(media):
         raise ValueError(f"no text in {media}")
     page = decoded(body, kind, media in PAGES)
-    title, hrefs = title_and_links(page) if media in PAGES else ("", [])
-    text = ("\n".join(t for t, *_ in walk(page, host_of(uri))[0]) if media in PAGES else page).encode()
+    titles, hrefs = [], []
+
+    def note(tag: str, told: str) -> None:
+        if tag == "title":
+            titles.append(told)
+        elif m := HREF.search(told):
+            hrefs.append(m[1] or m[2] or m[3] or "")
+
+    text = ("\n".join(t for t, *_ in walk(page, host_of(uri), note=note)[0]) if media in PAGES else page).encode()
+    title = titles[0] if titles else ""
     links = list(dict.fromkeys(urljoin_safe(uri, html.unescape(x)) for x in hrefs))
     ids = {t: f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{source_id} {t}')}>" for t in ("metadata", "conversion")}
     fields = [("source-status", status), *(("source-header", x) for x in http), ("title", html.unescape(title)), *(("outlink", x) for x in links)]
@@ -186,22 +194,6 @@ def unpacked(payload: bytes, http: dict[str, str], most: int = MOST_UNPACKED) ->
     return payload
 
 
-def title_and_links(page: str) -> tuple[str, list[str]]:
-    """The first title and the targets of all links, in one pass; what stands in scripts and the like is none."""
-    title, links, skipped = None, [], 0
-    for begin, end, tag, attributes, closes in tokens(page):
-        if begin < skipped or closes:
-            continue
-        if tag in RAW:
-            close = re.compile(rf"</{re.escape(tag)}", re.I).search(page, end)
-            skipped = close.start() if close else len(page)
-            if tag == "title" and title is None:
-                title = page[end:skipped]
-        elif tag == "a" and (m := HREF.search(attributes)):
-            links.append(m[1] or m[2] or m[3] or "")
-    return title or "", links
-
-
 def urljoin_safe(base: str, link: str) -> str:
     try:
         return urljoin(base, link.strip())

@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 
 from tessera.functions import text as tx
 from tessera.functions.contexts import ENTITY_LABELS
-from tessera.sources.shared import saved, shared_folder
+from tessera.sources.shared import gathered, saved, shared_folder
 
 K1, B = 1.2, 0.75  # Robertson and Zaragoza 2009
 SEARCHABLE_LABELS = ("Section", "Chunk", "CodeBlock", "TableRow", "Callout")
@@ -92,8 +92,8 @@ def allowed_filters(given: Column, allowed: tuple[str, ...] = FILTERS) -> Column
 def vector_search(nodes: DataFrame, queries: DataFrame, k: int = 50, block: int = 1024) -> DataFrame:
     """query_id, node_id, score, rank: the k largest cosines of nodes (node_id, embedding) for a stated set of query vectors (query_id, vector).
 
-    The queries are written in blocks; each Arrow batch of nodes meets them block by block as a matrix product, of which only the best leave the
-    task.  Vectors without a length, with a null component or of another length than the query's have no cosine.
+    The queries are written in blocks; Arrow batches of nodes, several at once where there is more than one block, meet them block by block as matrix
+    products, of which only the best leave the task.  Vectors without a length, with a null component or of another length than the query's have no cosine.
     """
     spark = nodes.sparkSession
     usable = lambda c: F.col(c).isNotNull() & F.forall(c, lambda x: x.isNotNull())
@@ -107,11 +107,13 @@ def vector_search(nodes: DataFrame, queries: DataFrame, k: int = 50, block: int
 
         store, path = fs.FileSystem.from_uri(folder)
         files = sorted(f.path for f in store.get_file_info(fs.FileSelector(path)) if f.path.endswith(".parquet"))
-        for batch in batches:
-            for size, of, x in by_length(batch.column(1)):
-                for f in files:
-                    table = parquet.read_table(f, filesystem=store).combine_chunks()
-                    for other, those, q in by_length(table.column(1).combine_chunks()) if table.num_rows else ():
+        for held in gathered(batches, len(files)):
+            parts = [(batch, *rows) for batch in held for rows in by_length(batch.column(1))]
+            for f in files:
+                table = parquet.read_table(f, filesystem=store).combine_chunks()
+                asked_for = list(by_length(table.column(1).combine_chunks())) if table.num_rows else []
+                for batch, size, of, x in parts:
+                    for other, those, q in asked_for:
                         if other == size:
                             row, column, score = best_cells(q @ x.T, k)
                             yield pa.RecordBatch.from_arrays([table.column(0).combine_chunks().take(pa.array(those[row])), batch.column(0).take(pa.array(of[column])), pa.array(score)], names=["query_id", "node_id", "score"])

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,3 +41,21 @@ def first_rows(df: DataFrame, order: list[Column], n: int) -> DataFrame:
             return whole.unionByName(ranged.where(F.col("range_no") == r["range_no"]).orderBy(*order).limit(max(n - before, 0))).drop("range_no")
         before += r["count"]
     return ranged.drop("range_no")
+
+
+#: Bytes of rows that a task holds while it goes through blocks of other data.
+GATHERED_BYTES = 32 << 20
+
+
+def gathered(batches: Iterator[pa.RecordBatch], blocks: int, most: int = GATHERED_BYTES) -> Iterator[list[pa.RecordBatch]]:
+    """The batches that meet each of some blocks together, so that a block is read once for all of them: about ``most`` bytes, or one by one where a single block stays in memory anyway."""
+    held: list[pa.RecordBatch] = []
+    size = 0
+    for batch in batches:
+        held.append(batch)
+        size += batch.nbytes
+        if blocks <= 1 or size >= most:
+            yield held
+            held, size = [], 0
+    if held:
+        yield held

@@ -20,7 +20,7 @@ from tessera.operators.vectorindex import VectorIndex
 from tessera.plans import calls as calls_of
 from tessera.plans.build import build
 from tessera.plans import enrich, models, qa
-from tessera.sources import records
+from tessera.sources import records, shared
 from tessera.sources.parts import Parts
 from tessera.streaming import incremental
 
@@ -701,6 +701,25 @@ def test_judge_of_answers(spark, tmp_path):
     assert got[2]["faithfulness"] == 0.0
 
 
+def test_vector_search_in_many_blocks_of_queries(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(6)
+    nodes = spark.createDataFrame([(i, [float(v) for v in rng.standard_normal(8)]) for i in range(300)] + [(300, None), (301, [1.0, 2.0])], "node_id long, embedding array<double>")
+    asked = spark.createDataFrame([(i, [float(v) for v in rng.standard_normal(8)]) for i in range(50)] + [(50, None), (51, [2.0, 4.0])], "query_id long, vector array<double>").repartition(1)
+    rows = lambda block: sorted(map(tuple, search.vector_search(nodes, asked, 5, block).collect()))
+    assert rows(3) == rows(1024) and len(rows(3)) == 50 * 5 + 1
+
+
+def test_gathered_batches_hold_a_bounded_number_of_bytes():
+    import pyarrow as pa
+
+    batches = [pa.RecordBatch.from_pydict({"x": pa.array(range(10), pa.int64())}) for _ in range(7)]
+    assert [len(held) for held in shared.gathered(iter(batches), 1)] == [1] * 7
+    assert [len(held) for held in shared.gathered(iter(batches), 2, most=200)] == [3, 3, 1]
+    assert list(shared.gathered(iter([]), 2)) == []
+
+
 def test_vector_index_is_exact_and_prunes(spark, tmp_path):
     import numpy as np
 

@@ -11,8 +11,8 @@ compared, first as hashes, then as bytes.
 
 Items are cut into pieces that overlap by all but one word of a window, and dealt into blocks of about
 a bounded number of words.  Tasks write each block's windows, count its shingles in all documents and write its index, in the
-shared folder; nothing of the items passes through the driver.  A task goes through the blocks one at a time for each Arrow
-batch, so memory holds one block and nothing is shuffled but the pieces and the counts.
+shared folder; nothing of the items passes through the driver.  A task goes through the blocks one at a time, each read once for
+many Arrow batches, so memory holds one block and a bounded number of bytes of documents, and nothing is shuffled but the pieces and the counts.
 
 Nulls: null text has no words (n_hit 0, no items); an item with null item_id counts
 as the id ''.  Equal items or equal document rows each count and stay; an item_id is
@@ -36,6 +36,7 @@ from pyspark.sql import functions as F
 from tessera.llm.shared import saved, shared_folder, tidy
 from tessera.llm.units import gather
 from tessera.llm.words import Words, shingles, slices, split, within
+from tessera.sources.shared import gathered
 
 WIDTH = 10
 SHINGLE = 3
@@ -208,24 +209,27 @@ def pieces_of(items: DataFrame, width: int = WIDTH, piece_words: int = PIECE_WOR
     return own.mapInArrow(tidy(task), "item_id string, text string")
 
 
-def corpus_counts(docs: DataFrame, uris: list[str]) -> DataFrame:
-    """block, shingle, n: how often all documents together hold each shingle of each block's windows; one pass over them."""
+def count_shingles(batches: Iterator[pa.RecordBatch], uris: list[str]) -> Iterator[pa.RecordBatch]:
+    """block, shingle, n of the texts in the first column; each block is read once for the batches that are gathered."""
+    for held in gathered(batches, len(uris)):
+        parts = [batch.column(0).slice(lo, hi - lo) for batch in held for lo, hi in slices(batch.column(0))]
+        for k, uri in enumerate(uris):
+            sieves = load_sieves(uri)
+            totals = {w: np.zeros(len(s.keys), np.int64) for w, s in sieves.items()}
+            for part in parts:
+                words = split(part)
+                h = words.hashes()
+                for w, sieve in sieves.items():
+                    totals[w] += np.bincount(sieve.find(shingles(h, w)[within(words.offsets, w)])[1], minlength=len(sieve.keys))
+            for w, t in totals.items():
+                if (some := np.flatnonzero(t)).size:
+                    yield pa.RecordBatch.from_pydict({"block": pa.array(np.full(len(some), k), pa.int32()), "shingle": pa.array(sieves[w].keys[some].view(np.int64)), "n": pa.array(t[some])})
 
-    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for k, uri in enumerate(uris):
-                sieves = load_sieves(uri)
-                totals = {w: np.zeros(len(s.keys), np.int64) for w, s in sieves.items()}
-                for lo, hi in slices(batch.column(0)):
-                    words = split(batch.column(0).slice(lo, hi - lo))
-                    h = words.hashes()
-                    for w, sieve in sieves.items():
-                        totals[w] += np.bincount(sieve.find(shingles(h, w)[within(words.offsets, w)])[1], minlength=len(sieve.keys))
-                for w, t in totals.items():
-                    if (some := np.flatnonzero(t)).size:
-                        yield pa.RecordBatch.from_pydict({"block": pa.array(np.full(len(some), k), pa.int32()), "shingle": pa.array(sieves[w].keys[some].view(np.int64)), "n": pa.array(t[some])})
 
-    return docs.select(F.col("text").cast("string")).mapInArrow(tidy(task), "block int, shingle long, n long").groupBy("block", "shingle").agg(F.sum("n").alias("n"))
+def corpus_counts(docs: DataFrame, uris: list[str]) -> DataFrame:
+    """block, shingle, n: how often all documents together hold each shingle of each block's windows; one pass over them."""
+    task = tidy(functools.partial(count_shingles, uris=uris))
+    return docs.select(F.col("text").cast("string")).mapInArrow(task, "block int, shingle long, n long").groupBy("block", "shingle").agg(F.sum("n").alias("n"))
 
 
 def build_index(docs: DataFrame, items: DataFrame, width: int = WIDTH, block_words: int = BLOCK_WORDS, piece_words: int = PIECE_WORDS) -> list[str]:
@@ -280,50 +284,53 @@ def build_index(docs: DataFrame, items: DataFrame, width: int = WIDTH, block_wor
     return [f"{base}/index-{b}.npz" for b in numbers]
 
 
+#: The columns that find_contamination adds, and the one that it adds where asked for.
+FOUND = ["n_words", "n_hit", "n_items", "items_sha256", "contaminated"]
+SPANS = "hit_spans"
+
+
+def find_windows(batches: Iterator[pa.RecordBatch], uris: list[str], at: int, spans: bool) -> Iterator[pa.RecordBatch]:
+    """The batches with what their texts, in column ``at``, hold of the blocks' windows; each block is read once for the batches that are gathered."""
+    for held in gathered(batches, len(uris)):
+        parts = [batch.slice(lo, hi - lo) for batch in held for lo, hi in slices(batch.column(at))]
+        edges: list[np.ndarray | None] = [None] * len(parts)
+        pairs: list[set[tuple[int, str]]] = [set() for _ in parts]
+        for uri in uris:
+            block = load_block(uri)
+            for n, part in enumerate(parts):
+                words = split(part.column(at))
+                start, window = candidates(words, words.hashes(), block)
+                ok = verified(words, start, window, block)
+                start, window = start[ok], window[ok]
+                if len(start):
+                    if edges[n] is None:
+                        edges[n] = np.zeros(int(words.offsets[-1]) + 1, np.int32)
+                    np.add.at(edges[n], start, 1)
+                    np.add.at(edges[n], start + block["size"][window], -1)
+                    pairs[n].update(zip(words.text_of()[start].tolist(), block["ids"][block["item"][window]].tolist(), strict=True))
+        for part, edge, found in zip(parts, edges, pairs, strict=True):
+            offsets = split(part.column(at)).offsets
+            hit = np.zeros(int(offsets[-1]), bool) if edge is None else np.cumsum(edge[:-1]) > 0
+            before = np.concatenate([[0], np.cumsum(hit)])
+            n_hit = before[offsets[1:]] - before[offsets[:-1]]
+            items: list[list[str]] = [[] for _ in range(part.num_rows)]
+            for t, item in found:
+                items[t].append(item)
+            new = [pa.array(np.diff(offsets), pa.int64()), pa.array(n_hit, pa.int64()), pa.array([len(x) for x in items], pa.int64()), pa.array([hashlib.sha256(",".join(sorted(x)).encode()).hexdigest() for x in items]), pa.array(n_hit > 0)]
+            if spans:
+                new.append(pa.array([[{"start": int(a), "end": int(b)} for a, b in _runs(hit[offsets[t] : offsets[t + 1]])] for t in range(part.num_rows)], pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))))
+            yield pa.RecordBatch.from_arrays([*part.columns, *new], names=[*part.schema.names, *FOUND, *[SPANS] * spans])
+
+
 def scan(docs: DataFrame, uris: list[str], spans: bool = False) -> DataFrame:
     """The columns of docs, then n_words, n_hit, n_items, items_sha256, contaminated, and where asked for the hit spans.
 
     A column of docs whose name clashes with one of these gives way.
     """
-    own = ["n_words", "n_hit", "n_items", "items_sha256", "contaminated"] + ["hit_spans"] * spans
+    own = FOUND + [SPANS] * spans
     kept = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c not in own])
-    schema = ", ".join([kept.schema.toDDL(), "n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean"] + ["hit_spans array<struct<start:long,end:long>>"] * spans)
-    at = kept.columns.index("text")
-
-    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            bounds = list(slices(batch.column(at)))
-            edges: list[np.ndarray | None] = [None] * len(bounds)
-            held: list[set[tuple[int, str]]] = [set() for _ in bounds]
-            # the blocks outside: each is read once for a batch
-            for uri in uris:
-                block = load_block(uri)
-                for n, (lo, hi) in enumerate(bounds):
-                    words = split(batch.column(at).slice(lo, hi - lo))
-                    start, window = candidates(words, words.hashes(), block)
-                    ok = verified(words, start, window, block)
-                    start, window = start[ok], window[ok]
-                    if len(start):
-                        if edges[n] is None:
-                            edges[n] = np.zeros(int(words.offsets[-1]) + 1, np.int32)
-                        np.add.at(edges[n], start, 1)
-                        np.add.at(edges[n], start + block["size"][window], -1)
-                        held[n].update(zip(words.text_of()[start].tolist(), block["ids"][block["item"][window]].tolist(), strict=True))
-            for (lo, hi), edge, pairs in zip(bounds, edges, held, strict=True):
-                part = batch.slice(lo, hi - lo)
-                offsets = split(part.column(at)).offsets
-                hit = np.zeros(int(offsets[-1]), bool) if edge is None else np.cumsum(edge[:-1]) > 0
-                before = np.concatenate([[0], np.cumsum(hit)])
-                n_hit = before[offsets[1:]] - before[offsets[:-1]]
-                items: list[list[str]] = [[] for _ in range(hi - lo)]
-                for t, item in pairs:
-                    items[t].append(item)
-                new = [pa.array(np.diff(offsets), pa.int64()), pa.array(n_hit, pa.int64()), pa.array([len(x) for x in items], pa.int64()), pa.array([hashlib.sha256(",".join(sorted(x)).encode()).hexdigest() for x in items]), pa.array(n_hit > 0)]
-                if spans:
-                    new.append(pa.array([[{"start": int(a), "end": int(b)} for a, b in _runs(hit[offsets[t] : offsets[t + 1]])] for t in range(hi - lo)], pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))))
-                yield pa.RecordBatch.from_arrays([*part.columns, *new], names=[*part.schema.names, *own])
-
-    return kept.mapInArrow(tidy(task), schema)
+    schema = ", ".join([kept.schema.toDDL(), "n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean"] + [f"{SPANS} array<struct<start:long,end:long>>"] * spans)
+    return kept.mapInArrow(tidy(functools.partial(find_windows, uris=uris, at=kept.columns.index("text"), spans=spans)), schema)
 
 
 def _runs(flags: np.ndarray) -> np.ndarray:

@@ -445,6 +445,26 @@ def test_decontamination_equals_brute_force(spark, docs, hard, block_words, monk
     assert Counter(map(tuple, got)) == Counter(want)
 
 
+def test_decontamination_reads_each_of_many_blocks_once(spark, docs, monkeypatch):
+    texts = [f"q{i}a q{i}b q{i}c q{i}d q{i}e q{i}f q{i}g q{i}h q{i}i q{i}j" for i in range(400)]
+    table = spark.createDataFrame([(i, f"before {t} after") for i, t in enumerate(texts)] + [(400, None), (401, "")], "doc_id long, text string")
+    uris = decontam.build_index(table, spark.createDataFrame(list(enumerate(texts)), "item_id long, text string"), block_words=150)
+    assert len(uris) >= 20
+    reads = Counter()
+    monkeypatch.setattr(decontam, "_read", lambda uri, read=decontam._read: (reads.update([uri]), read(uri))[1])
+    decontam.load_block.cache_clear()
+    batches = table.toArrow().to_batches(max_chunksize=40)
+    assert len(batches) > 5
+    rows = [r for b in decontam.find_windows(iter(batches), uris, 1, False) for r in b.to_pylist()]
+    assert set(reads.values()) == {1} and len(reads) == len(uris)
+    assert [r["n_hit"] for r in rows] == [10] * 400 + [0, 0] and [r["n_items"] for r in rows] == [1] * 400 + [0, 0]
+    windows = [u.replace("index-", "windows-") for u in uris]
+    reads.clear()
+    decontam.load_sieves.cache_clear()
+    counted = [r for b in decontam.count_shingles((b.select(["text"]) for b in batches), windows) for r in b.to_pylist()]
+    assert set(reads.values()) == {1} and sum(r["n"] for r in counted) == 400 * 8
+
+
 def test_decontamination_empty_tables_and_clashes(spark, hard, empty):
     none = spark.createDataFrame([], "item_id long, text string")
     got = decontam.find_contamination(hard, none, spans=True)

@@ -7,11 +7,17 @@ from pyspark.sql import functions as F
 
 from tessera.functions.text import SEPARATOR, breadcrumb_depth, breadcrumb_tail
 
-ENTITY_LABELS = ("Tool", "Hook", "SettingKey", "PermissionMode", "MessageType", "Provider")
 # Fixed values of the routing and of the context contract.
+ENTITY_LABELS = ("Tool", "Hook", "SettingKey", "PermissionMode", "MessageType", "Provider")
 TRIVIAL_LEADS = ("Input:", "Output:", "Example:", "Migration:", "Windows PowerShell", "Windows CMD", "macOS", "macOS, Linux, WSL", "In code", ".mcp.json")
 FORBIDDEN_OPENERS = ("this", "the", "a", "an")
 FORBIDDEN_PHRASES = ("related hints", "this node defines", "this section discusses", "this callout highlights", "this tablerow", "this codeblock", "within the documentation", "in the documentation", "distinct from related")
+# What the context of a permission mode must hold, one phrase of each group; and what is said where one is missing.
+MODE_PHRASES = {
+    "default": ("default words", [("baseline",), ("read-only", "read only"), ("session", "start")]),
+    "plan": ("plan words", [("enterplanmode",), ("read-only", "read only"), ("approval", "before edit", "before-edit", "implementation", "proposal", "strategy")]),
+    "bypassPermissions": ("bypass words", [("protected path",)]),
+}
 LEAST_CHARS, MOST_CHARS = 10, 600
 
 
@@ -79,20 +85,15 @@ def context_error(context: Column) -> Column:
 
 def entity_context_error(label: Column, name: Column, context: Column, siblings: Column) -> Column:
     """Null, or what an entity's context lacks: its name in front, no sibling's name, the words that its mode must have."""
-    low = F.lower(context)
-    has = lambda *words: F.exists(F.array(*map(F.lit, words)), lambda w: F.contains(low, w))
+    low, is_mode = F.lower(context), label == "PermissionMode"
     alone = lambda s: F.rlike(context, F.concat(F.lit(r"(?<![A-Za-z0-9_])\Q"), s, F.lit(r"\E(?![A-Za-z0-9_])")))
-    read_only = has("read-only", "read only")
-    other = F.exists(F.filter(F.coalesce(siblings, F.array().cast("array<string>")), lambda s: F.lower(s) != F.lower(name)), alone)
-    is_mode = label == "PermissionMode"
-    return (
-        F.when(~label.isin(*ENTITY_LABELS), None)
-        .when(~F.startswith(context, F.concat(name, F.lit(":"))), "prefix")
-        .when(is_mode & other, "sibling")
-        .when(is_mode & (name == "default") & ~(has("baseline") & read_only & has("session", "start")), "default words")
-        .when(is_mode & (name == "plan") & ~(read_only & has("enterplanmode") & has("approval", "before edit", "before-edit", "implementation", "proposal", "strategy")), "plan words")
-        .when(is_mode & (name == "bypassPermissions") & ~has("protected path"), "bypass words")
-    )
+    others = F.filter(F.coalesce(siblings, F.array().cast("array<string>")), lambda s: F.lower(s) != F.lower(name))
+    lacking = [
+        F.when((name == mode) & F.exists(F.array(*[F.array(*map(F.lit, group)) for group in groups]), lambda group: ~F.exists(group, lambda phrase: F.contains(low, phrase))), said)
+        for mode, (said, groups) in MODE_PHRASES.items()
+    ]
+    of_mode = F.coalesce(F.when(F.exists(others, alone), "sibling"), *lacking)
+    return F.when(label.isin(*ENTITY_LABELS), F.when(~F.startswith(context, F.concat(name, F.lit(":"))), "prefix").when(is_mode, of_mode))
 
 
 def counterpart_context(context: Column, prefix: str = "Cross-language counterpart: ") -> Column:

@@ -931,7 +931,7 @@ def EN_enrich_nodes(s: SparkSession, d: str) -> DataFrame:
     from tessera.plans import enrich
 
     c, none = F.col, F.array().cast("array<string>")
-    p = _payloads(s, d).select(c("doc_id").cast("string").alias("node_id"), "label", "raw_text", "breadcrumb", c("source").alias("page_title"), F.substring("raw_text", 1, 200).alias("parent_text"), "synthesized", c("lang").alias("language"), "preceding", none.alias("headers"), none.alias("cells"), F.lit("note").alias("callout_kind"), c("source").alias("name"))
+    p = _payloads(s, d).select(c("doc_id").cast("string").alias("node_id"), "label", "raw_text", "breadcrumb", c("source").alias("page_title"), c("raw_text").alias("parent_text"), "synthesized", c("lang").alias("language"), "preceding", none.alias("headers"), none.alias("cells"), F.lit("note").alias("callout_kind"), c("source").alias("name"))
     good, _ = enrich.enrich(p)
     return good.select("node_id", "label", "context", "context_source", F.length("indexed_text").alias("n_chars"))
 

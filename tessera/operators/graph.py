@@ -84,14 +84,20 @@ def expand_defines(edges: DataFrame, nodes: DataFrame, seeds: DataFrame, per_see
 
 
 def expand_code_examples(edges: DataFrame, nodes: DataFrame, seeds: DataFrame, per_seed: int = 3, language: str | None = None, depth: int | None = None) -> DataFrame:
-    """Code blocks below sections that define or mention a seed entity: defined first, then nearest, then in order; each block once."""
+    """Code blocks below sections that define or mention a seed entity: defined first, then nearest, then in order; each block once.
+
+    Of a section's seeds only the first can be a block's, since depth and position are the same for all of them: one is kept for each section, before the sections below are
+    joined and again before the blocks are.
+    """
     known = edges.where(F.col("type").isin("DEFINES", "MENTIONS"))
     parents = known.join(_seed_keys(nodes, seeds).withColumnRenamed("entity_id", "target_id"), "target_id").select("seed_id", "seed_rank", F.col("source_id").alias("root"), F.when(F.col("type") == "DEFINES", 0).otherwise(1).alias("mentioned"))
-    below = closure(edges.where("type = 'HAS_SUBSECTION'"), parents.select(F.col("root").alias("node_id")).distinct(), depth)
+    parents = saved(parents.groupBy("root").agg(F.min(F.struct("mentioned", "seed_rank", "seed_id")).alias("p")).select("root", "p.*"), "parents")
+    below = closure(edges.where("type = 'HAS_SUBSECTION'"), parents.select(F.col("root").alias("node_id")), depth)
     code = edges.where("type = 'CONTAINS_CODE'").select(F.col("source_id").alias("section_id"), F.col("target_id").alias("node_id"))
     blocks = nodes.where("node_label = 'CodeBlock'")
     blocks = blocks if language is None else blocks.where(choose.equal_or_any(F.col("language"), language))
-    found = parents.join(below.withColumnRenamed("node_id", "section_id"), "root").join(code, "section_id").join(blocks.select("node_id", "node_label", F.coalesce("position", F.lit(999)).alias("position")), "node_id")
+    nearest = parents.join(below.withColumnRenamed("node_id", "section_id"), "root").groupBy("section_id").agg(F.min(F.struct("mentioned", "depth", "seed_rank", "seed_id")).alias("p")).select("section_id", "p.*")
+    found = nearest.join(code, "section_id").join(blocks.select("node_id", "node_label", F.coalesce("position", F.lit(999)).alias("position")), "node_id")
     best = found.groupBy("node_id", "node_label").agg(F.min(F.struct("mentioned", "depth", "position", "seed_rank", "seed_id")).alias("best"))
     flat = best.select("best.seed_id", "best.seed_rank", "node_id", "node_label", "best.mentioned", "best.depth", "best.position")
     return _capped(flat, seeds, per_seed, ["mentioned", "depth", "position", "node_id"])

@@ -804,3 +804,35 @@ def test_gold_of_passages(spark):
     docs = spark.createDataFrame([(1, f"x {words} y"), (2, "w3 w4 w5 w6 w7 w8 w9 W10, and"), (3, "w3 w4 w5 w6 w7 w8 w9"), (4, None), (1, words)], "node_id long, text string")
     asked = spark.createDataFrame([(7, words), (8, "w1 w2"), (9, None)], "question_id long, text string")
     assert [(r["question_id"], r["expected"]) for r in evaluate.passage_gold(docs, asked).collect()] == [(7, [[1], [2]])]
+
+
+def rows_of_plans(spark, run) -> dict[str, int]:
+    """The most rows that a node of each kind gave in what run executes."""
+    bus, store = spark.sparkContext._jsc.sc().listenerBus(), spark._jsparkSession.sharedState().statusStore()
+    bus.waitUntilEmpty()
+    before = store.executionsCount()
+    run()
+    bus.waitUntilEmpty()
+    most: dict[str, int] = {}
+    executions = store.executionsList(before, 100_000)
+    for i in range(executions.size()):
+        id_ = executions.apply(i).executionId()
+        values, nodes = store.executionMetrics(id_), store.planGraph(id_).allNodes()
+        for node in (nodes.apply(j) for j in range(nodes.size())):
+            for metric in (node.metrics().apply(j) for j in range(node.metrics().size())):
+                if metric.name() == "number of output rows" and values.contains(metric.accumulatorId()):
+                    most[node.name()] = max(most.get(node.name(), 0), int(values.apply(metric.accumulatorId()).replace(",", "")))
+    return most
+
+
+def test_code_examples_join_one_seed_of_a_section_with_its_blocks(spark):
+    n = 300
+    seeds = spark.range(n).select(F.col("id").alias("seed_rank"), F.concat(F.lit("t"), F.col("id").cast("string")).alias("node_id"), F.lit("Tool").alias("node_label"))
+    edge = lambda kind, a, b: spark.range(n).select(F.lit(kind).alias("type"), a.alias("source_id"), b.alias("target_id"))
+    of = lambda p: F.concat(F.lit(p), F.col("id").cast("string"))
+    edges = edge("MENTIONS", F.lit("root"), of("t")).union(edge("DEFINES", F.lit("root"), F.lit("t7")).limit(1)).union(edge("HAS_SUBSECTION", F.lit("root"), F.lit("sub")).limit(1)).union(edge("CONTAINS_CODE", F.lit("sub"), of("c")))
+    nodes = spark.range(n).select(of("c").alias("node_id"), F.lit("CodeBlock").alias("node_label"), F.lit(None).cast("string").alias("natural_key"), F.lit("py").alias("language"), F.lit(None).cast("int").alias("position"))
+    got = []
+    most = rows_of_plans(spark, lambda: got.extend(graph.expand_code_examples(edges, nodes, seeds).collect()))
+    assert {r["node_id"] for r in got} == {f"c{i}" for i in range(n)} and {(r["seed_id"], r["mentioned"], r["depth"]) for r in got} == {("t7", 0, 1)}
+    assert most and max(most.values()) <= 3 * n

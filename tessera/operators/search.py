@@ -58,25 +58,13 @@ def bm25(nodes: DataFrame, queries: DataFrame, k: int = 50, wanted: Column | Non
 def ranked(counts: DataFrame, asked: DataFrame, n: int, mean: float | None, k: int) -> DataFrame:
     """query_id, node_id, score, rank by the postings (node_id, wanted, length, term, tf) of the terms asked for; n nodes have a mean length.  Scores are rounded to six digits before they are ordered.
 
-    Terms are taken apart for each query by what they can add at most (the largest weight that they have).  A first pass scores by the rarer half of a query's terms; the k-th best
-    of these scores is a bound.  The common terms whose sum stays under it can't bring a node among the k best alone, so in the second pass only nodes with one of the
-    others are scored, and of the common terms' postings only theirs are joined.
+    Postings are dealt by node once: each meets the queries that ask for its term and is summed where it is, and only the best of a task go on.
     """
     idf = F.log(1 + (F.lit(float(n)) - F.col("df") + 0.5) / (F.col("df") + 0.5))
     weights = counts.groupBy("term").agg(F.count("*").alias("df")).select("term", idf.alias("idf"))
     scale = K1 * (1 - B + B * F.col("length") / F.lit(mean or 1.0))
-    scored = saved(counts.where("wanted").join(weights, "term").select("node_id", "term", (F.col("idf") * F.col("tf") * (K1 + 1) / (F.col("tf") + scale)).alias("w")), "weights")
-    bounds = scored.groupBy("term").agg(F.max("w").alias("bound"))
-    # a query's terms from the one that adds least: cum is what a node without the rarer ones can have at most
-    by_bound = Window.partitionBy("query_id").orderBy("bound", "term")
-    ordered = saved(asked.join(bounds, "term").withColumn("cum", F.sum("bound").over(by_bound)).withColumn("place", F.row_number().over(by_bound)).withColumn("terms", F.count("*").over(Window.partitionBy("query_id"))), "terms")
-    rare = scored.join(ordered.where("2 * place > terms").select("query_id", "term"), "term").groupBy("query_id", "node_id").agg(F.sum("w").alias("score"))
-    least = top_per(rare, ["query_id"], [F.desc("score"), F.col("node_id")], k).where(F.col("rank") == k).select("query_id", F.col("score").alias("least"))
-    cuts = saved(ordered.join(least, "query_id", "left").withColumn("alone", F.col("least").isNull() | (F.col("cum") >= F.col("least") - 1e-5)).select("query_id", "term", "alone"), "cuts")
-    essential = saved(scored.join(cuts.where("alone").select("query_id", "term"), "term").groupBy("query_id", "node_id").agg(F.sum("w").alias("w")), "essential")
-    # from the pairs that have an essential term to their queries' common terms, and only then to postings
-    common = essential.select("query_id", "node_id").join(cuts.where("NOT alone").select("query_id", "term"), "query_id").join(scored, ["node_id", "term"]).select("query_id", "node_id", "w")
-    total = essential.union(common).groupBy("query_id", "node_id").agg(F.round(F.sum("w"), 6).alias("score"))
+    scored = counts.where("wanted").join(weights, "term").select("node_id", "term", (F.col("idf") * F.col("tf") * (K1 + 1) / (F.col("tf") + scale)).alias("w"))
+    total = scored.repartition("node_id").join(asked, "term").groupBy("query_id", "node_id").agg(F.round(F.sum("w"), 6).alias("score"))
     return top_per(total, ["query_id"], [F.desc("score"), F.col("node_id")], k)
 
 

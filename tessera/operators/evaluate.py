@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tessera.sources.shared import saved
+
 
 def satisfied(groups: Column, ids: Column) -> Column:
     """How many groups (any-of lists) hold one of ids."""
@@ -15,17 +17,20 @@ def passage_gold(documents: DataFrame, questions: DataFrame, words: int = 8) ->
     """question_id and expected: for each node that holds a run of ``words`` words of the question's passage, a group of its own, by id.
 
     documents: node_id, text; questions: question_id, text.  Runs are joined by equality, those of the documents against the few distinct ones of the questions first;
-    a question of fewer words, or that no document holds, has no row.
+    a question of fewer words, or that no document holds, has no row.  A run of a document is only its hash until a question's has the same.
     """
+    held = lambda df, key: df.select(key, F.regexp_extract_all(F.lower("text"), F.lit(r"[\p{L}\p{N}_]+"), F.lit(0)).alias("w")).where(F.size("w") >= words)
+    placed = lambda df: df.select("*", F.explode(F.sequence(F.lit(0), F.size("w") - words)).alias("i"))
+    key = F.xxhash64(*[F.get("w", F.col("i") + n) for n in range(words)])
 
     def runs(df: DataFrame, key: str) -> DataFrame:
-        held = df.select(key, F.regexp_extract_all(F.lower("text"), F.lit(r"[\p{L}\p{N}_]+"), F.lit(0)).alias("w"))
-        starts = F.sequence(F.lit(1), F.size("w") - words + 1)
-        own = held.where(F.size("w") >= words).select(key, F.explode(F.transform(starts, lambda i: F.array_join(F.slice("w", i, words), " "))).alias("run"))
+        own = df.select(key, F.explode(F.transform(F.sequence(F.lit(1), F.size("w") - words + 1), lambda i: F.array_join(F.slice("w", i, words), " "))).alias("run"))
         return own.distinct() if key == "question_id" else own
 
-    asked = runs(questions, "question_id")
-    pairs = runs(documents, "node_id").join(asked, "run").select("question_id", "node_id").distinct()
+    asked = held(questions, "question_id")
+    met = placed(held(documents, "node_id")).select("node_id", key.alias("key")).join(placed(asked).select(key.alias("key")).distinct(), "key", "left_semi").select("node_id").distinct()
+    some = saved(held(documents.join(met, "node_id", "left_semi"), "node_id"), "held")
+    pairs = runs(some, "node_id").join(runs(asked, "question_id"), "run").select("question_id", "node_id").distinct()
     return pairs.groupBy("question_id").agg(F.transform(F.array_sort(F.collect_list("node_id")), lambda x: F.array(x)).alias("expected"))
 
 

@@ -836,3 +836,23 @@ def test_code_examples_join_one_seed_of_a_section_with_its_blocks(spark):
     most = rows_of_plans(spark, lambda: got.extend(graph.expand_code_examples(edges, nodes, seeds).collect()))
     assert {r["node_id"] for r in got} == {f"c{i}" for i in range(n)} and {(r["seed_id"], r["mentioned"], r["depth"]) for r in got} == {("t7", 0, 1)}
     assert most and max(most.values()) <= 3 * n
+
+
+def test_full_text_search_writes_postings_only(spark, monkeypatch):
+    written, kept = [], search.saved
+    monkeypatch.setattr(search, "saved", lambda df, name: (written.append(name), kept(df, name))[1])
+    nodes = spark.range(60).select(F.col("id").alias("node_id"), F.concat(F.lit("the of and w"), (F.col("id") % 7).cast("string")).alias("indexed_text"))
+    asked = spark.createDataFrame([(1, "the of w3"), (2, "and w5 none")], "query_id int, text string")
+    got = search.bm25(nodes, asked, 5).collect()
+    assert written == ["postings"]
+    assert {q: sorted(r["node_id"] for r in got if r["query_id"] == q) for q in (1, 2)} == {1: [3, 10, 17, 24, 31], 2: [5, 12, 19, 26, 33]}
+
+
+def test_gold_reads_runs_only_of_documents_that_hold_one(spark, monkeypatch):
+    held, kept = [], evaluate.saved if hasattr(evaluate, "saved") else None
+    monkeypatch.setattr(evaluate, "saved", lambda df, name: (held.append(kept(df, name)), held[-1])[1], raising=False)
+    words = " ".join(f"w{i}" for i in range(9))
+    documents = spark.createDataFrame([(1, f"x {words} y"), (2, "no passage in these nine words of a text"), (3, words.upper()), (4, None), (5, "w0 w1"), (6, words.replace("w4", "v"))], "node_id long, text string")
+    questions = spark.createDataFrame([(1, words), (2, "too short"), (3, None)], "question_id long, text string")
+    assert [(r["question_id"], r["expected"]) for r in evaluate.passage_gold(documents, questions).collect()] == [(1, [[1], [3]])]
+    assert [sorted(r["node_id"] for r in h.collect()) for h in held] == [[1, 3]]

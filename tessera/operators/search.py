@@ -29,6 +29,15 @@ def tokens(text: Column) -> Column:
     return F.array_remove(F.split(F.lower(F.coalesce(text, F.lit(""))), NO_TOKEN), "")
 
 
+def term_counts(words: Column) -> Column:
+    """The distinct words of an array with how often it holds each, as an array of (term, tf): sorted, they stand in runs."""
+    # each step is bound once as an array of one element: a lambda's outer expressions are evaluated for every element
+    bound = lambda c, f: F.element_at(F.transform(F.array(c), f), 1)
+    starts = lambda s: F.when(F.size(s) > 0, F.filter(F.sequence(F.lit(0), F.size(s) - 1), lambda i: (i == 0) | (F.get(s, i) != F.get(s, i - 1)))).otherwise(F.array().cast("array<int>"))
+    run = lambda s, a: lambda i, n: F.struct(F.get(s, i).alias("term"), (F.coalesce(F.get(a, n + 1), F.size(s)) - i).cast("int").alias("tf"))
+    return bound(F.sort_array(words), lambda s: bound(starts(s), lambda a: F.transform(a, run(s, a))))
+
+
 def top_per(df: DataFrame, by: list[str], order: list[Column], k: int, rank: str = "rank") -> DataFrame:
     """The first k rows of each group, ranked from 1; plans as a partial and a final group limit."""
     window = Window.partitionBy(*by).orderBy(*order)

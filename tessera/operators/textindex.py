@@ -58,10 +58,10 @@ class TextIndex:
             return 0
         number = self.docs.version + 1
         texts = keyed.join(told.where("retold").select("node_id"), "node_id", "left_semi").select("node_id", search.tokens(F.col("text")).alias("tokens"))
-        sized = saved(texts.select("node_id", F.size("tokens").alias("length"), "tokens"), "tokens")
-        self._write(sized.select("node_id", F.explode("tokens").alias("term")).groupBy("term", "node_id").agg(F.count("*").cast("int").alias("tf")), number)
+        # a node's row holds all its words: their counts are made there, and shuffled once, to their buckets
+        self._write(texts.select("node_id", F.explode(search.term_counts(F.col("tokens"))).alias("x")).select("x.term", "node_id", "x.tf"), number)
         # what isn't tokenised again keeps its length and segment
-        lengths = sized.select("node_id", F.col("length").alias("new_length"))
+        lengths = texts.select("node_id", F.size("tokens").alias("new_length"))
         rows = told.where("is_new").join(lengths, "node_id", "left").select("node_id", "content_hash", F.coalesce("new_length", "old_length").alias("length"), F.when(F.col("retold"), number).otherwise(F.col("old_segment")).cast("int").alias("segment"), *columns)
         kept = self.docs.read("docs", empty, touched).join(told.select("node_id"), "node_id", "left_anti")
         self.docs.commit({"docs": (kept.select(*rows.columns).unionByName(rows), F.col("node_id"), F.col("node_id"))}, touched)

@@ -856,3 +856,15 @@ def test_gold_reads_runs_only_of_documents_that_hold_one(spark, monkeypatch):
     questions = spark.createDataFrame([(1, words), (2, "too short"), (3, None)], "question_id long, text string")
     assert [(r["question_id"], r["expected"]) for r in evaluate.passage_gold(documents, questions).collect()] == [(1, [[1], [3]])]
     assert [sorted(r["node_id"] for r in h.collect()) for h in held] == [[1, 3]]
+
+
+def test_index_counts_terms_where_a_text_is(spark, tmp_path, monkeypatch):
+    from tessera.operators import textindex
+
+    written, kept = [], textindex.saved
+    monkeypatch.setattr(textindex, "saved", lambda df, name: (written.append(name), kept(df, name))[1])
+    nodes = spark.createDataFrame([(1, "b a b c_1 b É a"), (2, ""), (3, None), (4, "a")], "node_id int, indexed_text string")
+    index = TextIndex(spark, str(tmp_path / "index"), 2)
+    assert index.update(nodes) == 4 and "tokens" not in written
+    assert sorted((r["term"], r["node_id"], r["tf"]) for r in index.postings(None).collect()) == [("a", 1, 2), ("a", 4, 1), ("b", 1, 3), ("c_1", 1, 1), ("é", 1, 1)]
+    assert {r["node_id"]: r["length"] for r in index.docs.read("docs").collect()} == {1: 7, 2: 0, 3: 0, 4: 1}

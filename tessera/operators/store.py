@@ -44,8 +44,10 @@ def upsert(target: DataFrame, source: DataFrame, key: list[str], keep_when_null:
 
 def delete_subtree(nodes: DataFrame, edges: DataFrame, ids: DataFrame) -> tuple[DataFrame, DataFrame]:
     """nodes and edges without the nodes in ids (node_id) and the edges at either end of them."""
-    kept = nodes.join(ids, "node_id", "left_anti")
-    return kept, edges.join(ids.withColumnRenamed("node_id", "source_id"), "source_id", "left_anti").join(ids.withColumnRenamed("node_id", "target_id"), "target_id", "left_anti")
+    # nodes and edges stream past a hash table of their partition's ids: sorting them would take a task's memory
+    gone = ids.hint("shuffle_hash")
+    kept = nodes.join(gone, "node_id", "left_anti")
+    return kept, edges.join(gone.withColumnRenamed("node_id", "source_id"), "source_id", "left_anti").join(gone.withColumnRenamed("node_id", "target_id"), "target_id", "left_anti")
 
 
 def checked_edges(edges: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -76,8 +78,9 @@ def hydrated_by_key(rows: DataFrame, nodes: DataFrame, columns: list[str], key:
     The keys are one table, so naming by id, url, name or key is one equi-join, and payload is fetched for the nodes found only.
     """
     own = [c for c in rows.columns if c not in (*columns, "node_id")]
-    named = rows.select(*own).join(key_table(nodes).withColumnRenamed("key", key), key)
-    return named.join(nodes.select("node_id", *columns), "node_id")
+    # packed files of nodes look small to the planner; sent whole to every task, they aren't
+    named = rows.select(*own).join(key_table(nodes).withColumnRenamed("key", key).hint("merge"), key)
+    return named.join(nodes.select("node_id", *columns).hint("merge"), "node_id")
 
 
 def write_properties(nodes: DataFrame, updates: DataFrame, key: list[str]) -> DataFrame:

@@ -868,3 +868,22 @@ def test_index_counts_terms_where_a_text_is(spark, tmp_path, monkeypatch):
     assert index.update(nodes) == 4 and "tokens" not in written
     assert sorted((r["term"], r["node_id"], r["tf"]) for r in index.postings(None).collect()) == [("a", 1, 2), ("a", 4, 1), ("b", 1, 3), ("c_1", 1, 1), ("é", 1, 1)]
     assert {r["node_id"]: r["length"] for r in index.docs.read("docs").collect()} == {1: 7, 2: 0, 3: 0, 4: 1}
+
+
+def test_deletes_sort_no_edges_and_hydration_broadcasts_no_nodes(spark, tmp_path):
+    def stored(df, name):
+        df.write.parquet(f"{tmp_path}/{name}")
+        return spark.read.parquet(f"{tmp_path}/{name}")
+
+    text = lambda p: F.concat(F.lit(p), F.col("id").cast("string"))
+    nodes = stored(spark.range(50).select(text("n").alias("node_id"), text("k").alias("key"), (F.col("id") * 2).alias("payload")), "nodes")
+    edges = stored(spark.range(50).select(text("n").alias("source_id"), F.concat(F.lit("n"), ((F.col("id") + 1) % 50).cast("string")).alias("target_id")), "edges")
+    gone = nodes.where("payload < 20").select("node_id").distinct()
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    kept, left = store.delete_subtree(nodes, edges, gone)
+    assert (kept.count(), left.count()) == (40, 39)
+    assert all("ShuffledHashJoin" in plan(x) and "SortMergeJoin" not in plan(x) and "BroadcastHashJoin" not in plan(x) for x in (kept, left))
+    asked = spark.createDataFrame([("a", "n3"), ("b", "k4"), ("c", "none")], "asked_by string, ref string")
+    found = store.hydrated_by_key(asked, nodes, ["payload"], "ref")
+    assert sorted((r["asked_by"], r["node_id"], r["payload"]) for r in found.collect()) == [("a", "n3", 6), ("b", "n4", 8)]
+    assert "BroadcastExchange" not in plan(store.hydrated_by_key(asked, nodes, ["payload"], "ref"))

@@ -39,7 +39,7 @@ def _braced(depth: int) -> str:
 
 
 #: A tag: its attributes are in quotes or braces, which may hold angle brackets and line ends, or plain; of any number and length.
-TAG = rf"</[A-Za-z][\w.]*\s*>|<[A-Za-z][\w.]*(?=[\s/>])(?:[^<>\"'{{}}]++|{QUOTED}|{_braced(BRACES)})*+>"
+TAG = rf"<(?:/[A-Za-z][\w.]*\s*>|[A-Za-z][\w.]*(?=[\s/>])(?:[^<>\"'{{}}]++|{QUOTED}|{_braced(BRACES)})*+>)"
 ATTRIBUTE = rf"[A-Za-z_:][\w:.\-]*(?:\s*=\s*(?:{QUOTED}|{_braced(BRACES)}|[^\s\"'{{}}<>/]+))?"
 
 
@@ -64,7 +64,8 @@ def fence_spans(lines: Column) -> Column:
 
     What is carried is the open mark: a block ends at a bare mark of the same character, as long at least, or with the last line.  Other marks inside are text.
     """
-    marks = F.filter(F.transform(lines, lambda x, i: F.struct(i.alias("at"), F.regexp_extract(x, FENCE, 1).alias("run"), F.regexp_extract(x, FENCE, 2).alias("info"))), lambda m: m["run"] != "")
+    some = F.filter(F.transform(lines, lambda x, i: F.struct(i.alias("at"), x.alias("x"))), lambda m: F.contains(m["x"], F.lit("```")) | F.contains(m["x"], F.lit("~~~")))
+    marks = F.filter(F.transform(some, lambda m: F.struct(m["at"].alias("at"), F.regexp_extract(m["x"], FENCE, 1).alias("run"), F.regexp_extract(m["x"], FENCE, 2).alias("info"))), lambda m: m["run"] != "")
 
     def step(s: Column, m: Column) -> Column:
         opens = (s["open"] < 0) & ~(F.startswith(m["run"], F.lit("`")) & F.contains(m["info"], F.lit("`")))
@@ -287,7 +288,8 @@ def normalised(pages: DataFrame) -> DataFrame:
 
     A page without a tag keeps its lines, so that a line's pos is its place in the page.
     """
-    # told by the text itself: a condition on what is made of it would be put under the projection and make it all again
+    # written first, and told by the text itself: a condition on what is made of it would be put under the projection and make it all again
+    pages = saved(pages.select("path", "text"), "pages")
     busy = F.rlike(F.coalesce("text", F.lit("")), F.lit(r"</?[A-Za-z]|(?m:^(?:export\s|\{))"))
     told = pages.where(busy).select("path", _lines(F.col("text")).alias("ls")).withColumn("spans", fence_spans(F.col("ls"))).withColumn("statements", statement_spans(F.col("ls"), F.col("spans")))
     kept = F.filter("ls", lambda x, i: ~F.exists("statements", lambda s: (i >= s["a"]) & (i <= s["b"])))

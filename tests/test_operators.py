@@ -887,3 +887,10 @@ def test_deletes_sort_no_edges_and_hydration_broadcasts_no_nodes(spark, tmp_path
     found = store.hydrated_by_key(asked, nodes, ["payload"], "ref")
     assert sorted((r["asked_by"], r["node_id"], r["payload"]) for r in found.collect()) == [("a", "n3", 6), ("b", "n4", 8)]
     assert "BroadcastExchange" not in plan(store.hydrated_by_key(asked, nodes, ["payload"], "ref"))
+
+
+def test_texts_of_pages_are_made_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+    made = F.udf(lambda x: (seen.add(1), f"# T\n\n## A\n\n<Note>n{x}</Note>\n" if x % 2 else f"plain {x}")[1], "string")
+    pages = spark.range(6).select(F.concat(F.lit("p"), F.col("id").cast("string")).alias("path"), made("id").alias("text"))
+    assert parse.normalised(pages).count() == 6 and seen.value == 6

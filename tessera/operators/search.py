@@ -6,7 +6,7 @@ Queries are rows, so one plan serves a whole batch of questions.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import reduce
 
 import numpy as np
@@ -52,29 +52,124 @@ def asked_terms(queries: DataFrame) -> DataFrame:
 def bm25(nodes: DataFrame, queries: DataFrame, k: int = 50, wanted: Column | None = None) -> DataFrame:
     """query_id, node_id, score, rank: the k best of nodes (node_id, indexed_text) for each query (query_id, text).
 
-    The texts are read once: the postings of the queries' terms, and for each node one without a term, are written and everything else is made of
+    The texts are read once: a row for each node with its counts of the queries' terms is written and everything else is made of
     them.  wanted: a condition on nodes; others count in the statistics but are not scored.  ``textindex.TextIndex`` keeps postings from one search to the next.
     """
     asked = asked_terms(queries)
-    sized = nodes.where(F.coalesce("indexed_text", F.lit("")) != "").select("node_id", (F.lit(True) if wanted is None else F.coalesce(wanted, F.lit(False))).alias("wanted"), tokens(F.col("indexed_text")).alias("tokens"))
-    every = sized.select("node_id", "wanted", F.size("tokens").alias("length"), F.explode(F.concat(F.array(F.lit("")), F.col("tokens"))).alias("term"))
-    terms = asked.select("term").union(asked.sparkSession.range(1).select(F.lit("").alias("term"))).distinct()
-    postings = saved(every.join(terms, "term").groupBy("node_id", "wanted", "length", "term").agg(F.count("*").alias("tf")), "postings")
-    stats = postings.where("term = ''").agg(F.count("*").alias("n"), F.avg("length").alias("mean")).first()
-    return ranked(postings.where("term <> ''"), asked, stats["n"], stats["mean"], k)
+    postings = saved(counted(nodes.withColumn("wanted", F.lit(True) if wanted is None else F.coalesce(wanted, F.lit(False))), asked, ["wanted"]), "postings")
+    return scored(postings, asked, k)
 
 
-def ranked(counts: DataFrame, asked: DataFrame, n: int, mean: float | None, k: int) -> DataFrame:
-    """query_id, node_id, score, rank by the postings (node_id, wanted, length, term, tf) of the terms asked for; n nodes have a mean length.  Scores are rounded to six digits before they are ordered.
+def scored(postings: DataFrame, asked: DataFrame, k: int) -> DataFrame:
+    """``ranked`` with the statistics of the postings themselves."""
+    stats = postings.agg(F.sum("texts").alias("n"), (F.sum(F.col("length") * F.col("texts")) / F.sum("texts")).alias("mean")).first()
+    return ranked(postings, asked, stats["n"] or 0, stats["mean"], k)
 
-    Postings are dealt by node once: each meets the queries that ask for its term and is summed where it is, and only the best of a task go on.
+
+def in_blocks(df: DataFrame, name: str, block: int) -> str:
+    """The folder to which it writes df as files of about ``block`` rows, for tasks that read them one by one."""
+    folder = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.repartition(max(-(-df.count() // block), 1)).write.parquet(folder)
+    return folder
+
+
+def block_files(folder: str) -> tuple[list[str], Callable[[str], pa.Table]]:
+    """The files of a folder and what reads one."""
+    from pyarrow import fs, parquet
+
+    store, path = fs.FileSystem.from_uri(folder)
+    files = sorted(f.path for f in store.get_file_info(fs.FileSelector(path)) if f.path.endswith(".parquet"))
+    return files, lambda f: parquet.read_table(f, filesystem=store).combine_chunks()
+
+
+def counted(nodes: DataFrame, asked: DataFrame, columns: list[str], block: int = 1 << 17, rows: int = 1024) -> DataFrame:
+    """node_id, columns, length, texts, held: for each node (node_id, indexed_text) with a text how many tokens it has and how often each term that is asked for.
+
+    Texts are cut into tokens here and counted in Arrow, ``rows`` at a time.  Texts of the same node and length (texts: how many) count together.
+    """
+    folder = in_blocks(asked.select("term").distinct(), "terms", block)
+    cut = nodes.where(F.coalesce("indexed_text", F.lit("")) != "").select("node_id", *columns, tokens(F.col("indexed_text")).alias("tokens"))
+    kept = len(columns) + 1
+    schema = T.StructType([*cut.schema.fields[:kept], *T._parse_datatype_string("length int, held array<struct<term:string,tf:bigint>>").fields])
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        files, read = block_files(folder)
+        for held in gathered(batches, len(files)):
+            parts = [batch.slice(at, rows) for batch in held for at in range(0, batch.num_rows, rows)]
+            coded = [part.column(kept).flatten().dictionary_encode() for part in parts]
+            known = [np.zeros(len(c.dictionary), bool) for c in coded]
+            for terms in map(read, files):
+                for c, is_known in zip(coded, known, strict=True):
+                    is_known |= pc.is_in(c.dictionary, value_set=terms.column(0).combine_chunks()).to_numpy(zero_copy_only=False)
+            for part, c, is_known in zip(parts, coded, known, strict=True):
+                node, _ = entries(part.column(kept))
+                code = c.indices.to_numpy(zero_copy_only=False)
+                cells, tf = np.unique((node * len(is_known) + code)[is_known[code]], return_counts=True)
+                ends = np.searchsorted(cells, np.arange(part.num_rows + 1) * len(is_known)).astype(np.int32)
+                posting = pa.StructArray.from_arrays([c.dictionary.take(pa.array(cells % max(len(is_known), 1))), pa.array(tf)], names=["term", "tf"])
+                yield pa.RecordBatch.from_arrays([*part.columns[:kept], pc.list_value_length(part.column(kept)), pa.ListArray.from_arrays(pa.array(ends), posting)], names=schema.names)
+
+    every = cut.mapInArrow(task, schema).groupBy("node_id", *columns, "length").agg(F.count("*").alias("texts"), F.flatten(F.collect_list("held")).alias("held"))
+    of = lambda t: F.aggregate(F.filter("held", lambda x: x["term"] == t), F.lit(0).cast("long"), lambda s, x: s + x["tf"])
+    summed_up = F.transform(F.array_distinct("held.term"), lambda t: F.struct(t.alias("term"), of(t).alias("tf")))
+    return every.withColumn("held", F.when(F.col("texts") == 1, F.col("held")).otherwise(summed_up))
+
+
+def ranked(postings: DataFrame, asked: DataFrame, n: int, mean: float | None, k: int, block: int = 1024, rows: int = 4096) -> DataFrame:
+    """query_id, node_id, score, rank by the postings (node_id, wanted, length, held: an array of term, tf) of the terms asked for; n nodes have a mean length.  Scores are rounded to six digits before they are ordered.
+
+    The queries are written in blocks with the weights of their terms.  ``rows`` nodes at a time meet a block as a matrix of scores, to which each term
+    adds what it is worth in the nodes, for the queries that ask for it; only the best leave the task.
     """
     idf = F.log(1 + (F.lit(float(n)) - F.col("df") + 0.5) / (F.col("df") + 0.5))
-    weights = counts.groupBy("term").agg(F.count("*").alias("df")).select("term", idf.alias("idf"))
-    scale = K1 * (1 - B + B * F.col("length") / F.lit(mean or 1.0))
-    scored = counts.where("wanted").join(weights, "term").select("node_id", "term", (F.col("idf") * F.col("tf") * (K1 + 1) / (F.col("tf") + scale)).alias("w"))
-    total = scored.repartition("node_id").join(asked, "term").groupBy("query_id", "node_id").agg(F.round(F.sum("w"), 6).alias("score"))
-    return top_per(total, ["query_id"], [F.desc("score"), F.col("node_id")], k)
+    weights = postings.select(F.explode("held.term").alias("term")).groupBy("term").agg(F.count("*").alias("df")).select("term", idf.alias("idf"))
+    wants = asked.join(weights, "term").groupBy("query_id").agg(F.collect_list(F.struct("term", "idf")).alias("wants"))
+    folder = in_blocks(wants, "asked", block)
+    mean = mean or 1.0
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        files, read = block_files(folder)
+        for held in gathered(batches, len(files)):
+            for table in map(read, files):
+                if table.num_rows:
+                    queries, wants = table.column(0).combine_chunks(), table.column(1).combine_chunks()
+                    for part in (batch.slice(at, rows) for batch in held for at in range(0, batch.num_rows, rows)):
+                        scores = summed(wants, part.column(1), mean)
+                        row, column, score = best_cells(scores, k)
+                        met = score > 0
+                        yield pa.RecordBatch.from_arrays([queries.take(pa.array(row[met])), part.column(0).take(pa.array(column[met])), pa.array(score[met])], names=["query_id", "node_id", "score"])
+
+    dealt = postings.where("wanted").groupBy("node_id").agg(F.collect_list(F.struct("length", "held")).alias("texts"))  # one row, unless an id has texts of several lengths
+    found = dealt.mapInArrow(task, T.StructType([asked.schema["query_id"], postings.schema["node_id"], T.StructField("score", T.DoubleType())]))
+    return top_per(found.withColumn("score", F.round("score", 6)), ["query_id"], [F.desc("score"), F.col("node_id")], k)
+
+
+def entries(lists: pa.Array) -> tuple[np.ndarray, pa.Array]:
+    """The row of each entry of lists, and the entries."""
+    return np.repeat(np.arange(len(lists)), pc.list_value_length(lists).to_numpy(zero_copy_only=False)), lists.flatten()
+
+
+def summed(wants: pa.Array, texts: pa.Array, mean: float) -> np.ndarray:
+    """The scores of nodes (columns; lists of length, held) for queries (rows; lists of term, idf, repeats included)."""
+    (query, want), (node, text) = entries(wants), entries(texts)
+    of, posting = entries(text.field("held"))
+    known = pc.unique(want.field("term"))
+    numbers = lambda x: x.to_numpy(zero_copy_only=False)
+    of_want, of_posting = (numbers(pc.fill_null(pc.index_in(x.field("term"), known), -1)).astype(np.int64) for x in (want, posting))
+    idf = np.zeros(len(known))
+    idf[of_want] = numbers(want.field("idf"))
+    met = of_posting >= 0
+    term, of, tf = of_posting[met], of[met], numbers(posting.field("tf"))[met].astype(np.float64)
+    worth = idf[term] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * numbers(text.field("length"))[of] / mean))
+    asks, times = np.unique(of_want * len(wants) + query, return_counts=True)
+    cells, at = np.unique(term * len(texts) + node[of], return_inverse=True)
+    worth = np.bincount(at, worth, len(cells))
+    asks_from, cells_from = (np.searchsorted(x, np.arange(len(known) + 1) * n) for x, n in ((asks, len(wants)), (cells, len(texts))))
+    scores = np.zeros((len(wants), len(texts)))
+    for t in np.flatnonzero(np.diff(cells_from)):
+        q, d = slice(asks_from[t], asks_from[t + 1]), slice(cells_from[t], cells_from[t + 1])
+        scores[np.ix_(asks[q] % len(wants), cells[d] % len(texts))] += times[q][:, None] * worth[d]
+    return scores
 
 
 #: Filters that a query may set (fixed values).
@@ -100,14 +195,10 @@ def vector_search(nodes: DataFrame, queries: DataFrame, k: int = 50, block: int
     ids, keys = nodes.schema["node_id"].dataType, queries.schema["query_id"].dataType
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyarrow import fs, parquet
-
-        store, path = fs.FileSystem.from_uri(folder)
-        files = sorted(f.path for f in store.get_file_info(fs.FileSelector(path)) if f.path.endswith(".parquet"))
+        files, read = block_files(folder)
         for held in gathered(batches, len(files)):
             parts = [(batch, *rows) for batch in held for rows in by_length(batch.column(1))]
-            for f in files:
-                table = parquet.read_table(f, filesystem=store).combine_chunks()
+            for table in map(read, files):
                 asked_for = list(by_length(table.column(1).combine_chunks())) if table.num_rows else []
                 for batch, size, of, x in parts:
                     for other, those, q in asked_for:
@@ -115,13 +206,14 @@ def vector_search(nodes: DataFrame, queries: DataFrame, k: int = 50, block: int
                             row, column, score = best_cells(q @ x.T, k)
                             yield pa.RecordBatch.from_arrays([table.column(0).combine_chunks().take(pa.array(those[row])), batch.column(0).take(pa.array(of[column])), pa.array(score)], names=["query_id", "node_id", "score"])
 
-    found = nodes.where(usable("embedding")).select("node_id", F.col("embedding").cast("array<double>").alias("embedding")).mapInArrow(task, T.StructType([T.StructField("query_id", keys), T.StructField("node_id", ids), T.StructField("score", T.DoubleType())]))
+    # nodes with a null component are left out in the task: as a condition here, an embedding that is still to be made would be made for it once more
+    found = nodes.select("node_id", F.col("embedding").cast("array<double>").alias("embedding")).mapInArrow(task, T.StructType([T.StructField("query_id", keys), T.StructField("node_id", ids), T.StructField("score", T.DoubleType())]))
     return top_per(found.withColumn("score", F.round("score", 6)), ["query_id"], [F.desc("score"), F.col("node_id")], k)
 
 
 def by_length(vectors: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """For each length that vectors have: the length, which they are, and those that aren't zero as rows of length 1."""
-    lengths = pc.list_value_length(vectors).to_numpy(zero_copy_only=False)
+    """For each length that vectors have: the length, which they are, and those that aren't zero and hold no null as rows of length 1."""
+    lengths = pc.fill_null(pc.list_value_length(vectors), 0).to_numpy(zero_copy_only=False)
     for size in np.unique(lengths[lengths > 0]).tolist():
         of = np.flatnonzero(lengths == size)
         x = vectors.take(pa.array(of)).flatten().to_numpy(zero_copy_only=False).reshape(len(of), size)
@@ -218,12 +310,19 @@ def hybrid_search(nodes: DataFrame, entities: DataFrame, sub_queries: DataFrame,
     labels = sub_queries.select(F.explode("target_labels").alias("label")).where(F.col("label").isin(*SEARCHABLE_LABELS, *ENTITY_LABELS))
     wanted = {r["label"] for r in labels.distinct().collect()}  # of a closed list
     none = [] if wanted & {*SEARCHABLE_LABELS, *ENTITY_LABELS} else list(SEARCHABLE_LABELS[:1])
+    searched = [x for x in SEARCHABLE_LABELS if x in wanted] + none
     parts = []
-    for label in [x for x in SEARCHABLE_LABELS if x in wanted] + none:
-        own = nodes.where(F.col("node_label") == label)
+    if searched:
+        # texts are cut into tokens, and embeddings made, once for all labels
+        own = nodes.where(F.col("node_label").isin(*searched))
+        terms = lambda df: asked_terms(df.select("query_id", F.col("full").alias("text")))
+        postings = saved(counted(own, terms(asked), ["node_label"]), "postings").withColumn("wanted", F.lit(True))
+        vectors = saved(own.select("node_id", "node_label", "embedding"), "vectors")
+    for label in searched:
+        labelled = F.col("node_label") == label
         mine = asked.where(F.array_contains("target_labels", label))
-        lexical = bm25(own, mine.select("query_id", F.col("full").alias("text")), k)
-        vector = vector_search(own, mine.where(F.col("vector").isNotNull()).select("query_id", "vector"), k)
+        lexical = scored(postings.where(labelled), terms(mine), k)
+        vector = vector_search(vectors.where(labelled), mine.where(F.col("vector").isNotNull()).select("query_id", "vector"), k)
         parts.append(merge_legs(lexical, vector, ["query_id", "node_id"]).withColumn("node_label", F.lit(label)))
     for label in [x for x in ENTITY_LABELS if x in wanted]:
         mine = asked.where(F.array_contains("target_labels", label)).select("query_id", tx.query_terms(F.col("text"), F.col("keywords")).alias("terms"))

@@ -90,5 +90,6 @@ class TextIndex:
         docs = self.docs.read("docs").where(F.col("content_hash") != EMPTY)
         stats = docs.agg(F.count("*").alias("n"), F.avg("length").alias("mean")).first()
         own = docs.select("node_id", "segment", "length", (F.lit(True) if wanted is None else F.coalesce(wanted, F.lit(False))).alias("wanted"))
-        met = self.postings(asked.select("term").distinct(), buckets).join(own, ["node_id", "segment"]).select("node_id", "wanted", "length", "term", "tf")
+        met = self.postings(asked.select("term").distinct(), buckets).join(own, ["node_id", "segment"])
+        met = met.groupBy("node_id", "wanted", "length").agg(F.collect_list(F.struct("term", "tf")).alias("held"))
         return search.ranked(saved(met, "postings"), asked, stats["n"], stats["mean"], k)

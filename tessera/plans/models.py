@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import json
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -14,12 +17,19 @@ DIMENSIONS = 64
 
 def embed(text: Column, dimensions: int = DIMENSIONS) -> Column:
     """A unit vector of hashed token counts; null for a text without tokens."""
-    # each step is bound once as an array of one element: a lambda's outer expressions are evaluated for every element
-    bound = lambda c, f: F.element_at(F.transform(F.array(c), f), 1)
-    slots = F.transform(tokens(text), lambda t: F.pmod(F.xxhash64(t), F.lit(dimensions)))
-    counts = bound(slots, lambda s: F.transform(F.sequence(F.lit(0), F.lit(dimensions - 1)), lambda i: F.size(F.filter(s, lambda x: x == i)).cast("double")))
-    with_length = bound(counts, lambda c: F.struct(c.alias("c"), F.sqrt(F.aggregate(c, F.lit(0.0), lambda s, x: s + x * x)).alias("n")))
-    return bound(with_length, lambda w: F.when(w["n"] > 0, F.transform(w["c"], lambda x: x / w["n"])))
+
+    def vectors(slots: pa.Array) -> pa.Array:
+        counts = np.zeros((len(slots), dimensions))
+        for at in range(0, len(slots), 256):
+            part = slots.slice(at, 256)
+            row = np.repeat(np.arange(len(part)), pc.list_value_length(part).to_numpy(zero_copy_only=False))
+            counts[at : at + 256] = np.bincount(row * dimensions + part.flatten().to_numpy(zero_copy_only=False), minlength=len(part) * dimensions).reshape(-1, dimensions)
+        norms = np.sqrt((counts * counts).sum(axis=1))
+        units = counts / np.where(norms > 0, norms, 1.0)[:, None]
+        return pc.if_else(pa.array(norms > 0), pa.FixedSizeListArray.from_arrays(pa.array(units.ravel()), dimensions).cast(pa.list_(pa.float64())), None)
+
+    vectors.__annotations__ = {"slots": pa.Array, "return": pa.Array}  # as types, which a nested function's strings don't give
+    return F.arrow_udf(vectors, "array<double>")(F.transform(tokens(text), lambda t: F.pmod(F.xxhash64(t), F.lit(dimensions)).cast("int")))
 
 
 def synthetic_plan(questions: DataFrame) -> DataFrame:

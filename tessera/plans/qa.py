@@ -16,7 +16,7 @@ def retrieve(nodes: DataFrame, entities: DataFrame, sub_queries: DataFrame, k: i
     """query_id, node_id, node_label, scores, rrf_score and rank of the fused candidates."""
     found = saved(search.hybrid_search(nodes, entities, sub_queries, k), "found")  # read for each leg, and for the scores
     fused = search.rrf(found, ["bm25_score", "vector_score"], ["query_id"], ["node_id", "node_label"], rrf_k, top_n)
-    return fused.join(found, ["query_id", "node_id", "node_label"])
+    return saved(fused.join(found, ["query_id", "node_id", "node_label"]), "fused")  # a table of known size: where it is small, the nodes' texts aren't shuffled to meet it
 
 
 def rerank(candidates: DataFrame, nodes: DataFrame, questions: DataFrame, top_k: int = 8, entity_budget: int = 2) -> DataFrame:

@@ -894,3 +894,59 @@ def test_texts_of_pages_are_made_once(spark):
     made = F.udf(lambda x: (seen.add(1), f"# T\n\n## A\n\n<Note>n{x}</Note>\n" if x % 2 else f"plain {x}")[1], "string")
     pages = spark.range(6).select(F.concat(F.lit("p"), F.col("id").cast("string")).alias("path"), made("id").alias("text"))
     assert parse.normalised(pages).count() == 6 and seen.value == 6
+
+
+def test_full_text_search_makes_no_rows_of_nodes_and_queries(spark):
+    nodes = spark.range(400).select(F.col("id").alias("node_id"), F.concat(F.lit("the of and w"), (F.col("id") % 7).cast("string")).alias("indexed_text"))
+    asked = spark.range(60).select(F.col("id").alias("query_id"), F.lit("the of and").alias("text"))
+    most = rows_of_plans(spark, lambda: search.bm25(nodes, asked, 2).write.format("noop").mode("overwrite").save())
+    joined = {name: n for name, n in most.items() if "Join" in name}
+    assert joined and max(joined.values()) <= 60 * 3  # queries and their terms; 60 * 400 * 3 when postings are joined with queries
+
+
+def test_full_text_search_in_small_blocks_equals_plain_sums(spark):
+    import math
+
+    texts = [(i, " ".join(f"w{(i * j) % 11}" for j in range(1, 3 + i % 9)), "en" if i % 3 else "de") for i in range(40)] + [(40, "", "en"), (41, None, "en"), (42, "w1 w2 w2", "en"), (42, "w2 w1 w1", "en"), (42, "w1", "en")]
+    asked = [(q, f"w{q} w{(q + 1) % 13} W{q} none") for q in range(10)] + [(3, "w9 w3"), (20, ""), (21, None)]
+    nodes, queries = spark.createDataFrame(texts, "node_id long, indexed_text string, lang string"), spark.createDataFrame(asked, "query_id long, text string")
+    counts = Counter((i, len(t.split()), w) for i, t, _ in texts if t for w in t.split())
+    sizes = [len(t.split()) for _, t, _ in texts if t]
+    df, n, mean = Counter(w for _, _, w in counts), len(sizes), sum(sizes) / len(sizes)
+    want = Counter()
+    for q, t in asked:
+        for w in {*(t or "").lower().split()}:
+            for (i, length, term), tf in counts.items():
+                if term == w and (i >= 40 or i % 3):
+                    want[q, i] += math.log(1 + (n - df[w] + 0.5) / (df[w] + 0.5)) * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * length / mean))
+    best = {q: sorted(((-round(s, 6), i) for (p, i), s in want.items() if p == q))[:5] for q, _ in asked}
+    wanted = nodes.withColumn("wanted", F.col("lang") == "en")
+    terms = search.asked_terms(queries)
+    postings = search.counted(wanted, terms, ["wanted"], block=2, rows=3)
+    small = search.ranked(postings, terms, n, mean, 5, block=2, rows=4)
+    for got in (search.bm25(nodes, queries, 5, F.col("lang") == "en"), small):
+        rows = sorted((r["query_id"], r["rank"], r["node_id"], r["score"]) for r in got.collect())
+        assert [r[:3] for r in rows] == [(q, rank, i) for q in sorted(best) for rank, (_, i) in enumerate(best[q], 1)]
+        assert [r[3] for r in rows] == pytest.approx([-s for q in sorted(best) for s, _ in best[q]], abs=2e-6)
+
+
+def test_vector_search_makes_each_embedding_once(spark):
+    made = spark.sparkContext.accumulator(0)
+
+    def slow(i):
+        made.add(1)
+        return None if i == 7 else [float(i), None] if i == 8 else [float(i + 1), 1.0]
+
+    nodes = spark.range(50).select(F.col("id").alias("node_id"), F.udf(slow, "array<double>")("id").alias("embedding"))
+    got = search.vector_search(nodes, spark.createDataFrame([(1, [1.0, 0.0])], "query_id int, vector array<double>"), 100).collect()
+    assert made.value == 50 and {r["node_id"] for r in got} == {*range(50)} - {7, 8}
+
+
+def test_embeddings_count_hashed_tokens(spark):
+    texts = spark.createDataFrame([(0, "a b b c"), (1, ""), (2, None), (3, "x " * 3000)], "i int, text string")
+    rows = {r["i"]: r for r in texts.select("i", models.embed(F.col("text"), 8).alias("e"), F.transform(search.tokens(F.col("text")), lambda t: F.pmod(F.xxhash64(t), F.lit(8))).alias("s")).collect()}
+    assert rows[1]["e"] is None and rows[2]["e"] is None
+    for i in (0, 3):
+        counts = [float(rows[i]["s"].count(slot)) for slot in range(8)]
+        norm = sum(c * c for c in counts) ** 0.5
+        assert rows[i]["e"] == [c / norm for c in counts]

@@ -33,9 +33,9 @@ def embed(text: Column, dimensions: int = DIMENSIONS) -> Column:
 
 
 def synthetic_plan(questions: DataFrame) -> DataFrame:
-    """The plan of a question (query_id, question) without a planner: itself, over the document labels."""
+    """The plan of a question (query_id, question) without a planner: the whole of itself, over the document labels."""
     labels = F.array(*map(F.lit, ("Section", "CodeBlock", "TableRow", "Callout")))
-    return questions.select("query_id", F.substring("question", 1, 500).alias("text"), labels.alias("target_labels"), F.array().cast("array<string>").alias("keywords"), embed(F.col("question")).alias("vector"))
+    return questions.select("query_id", F.col("question").alias("text"), labels.alias("target_labels"), F.array().cast("array<string>").alias("keywords"), embed(F.col("question")).alias("vector"))
 
 
 def extractive_answer(evidence: DataFrame) -> DataFrame:

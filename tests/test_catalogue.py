@@ -55,3 +55,16 @@ def test_answers_embed_whole_texts(spark, monkeypatch, tmp_path):
     QUERIES["QA_answer_batch"](spark, str(tmp_path))
     want = spark.range(1).select(models.embed(F.lit(text)).alias("e")).first()["e"]
     assert seen[0].first()["embedding"] == want
+
+
+def test_questions_are_searched_whole(spark):
+    from tessera.plans import models, qa
+
+    question = "word " * 120 + "needle"
+    asked = spark.createDataFrame([(1, question)], "query_id long, question string")
+    assert models.synthetic_plan(asked).first()["text"] == question
+    rows = [("d1", "Section", "needle alone", "", None, "u", "", "", "")]
+    nodes = spark.createDataFrame(rows, "node_id string, node_label string, indexed_text string, raw_text string, embedding array<double>, url string, anchor string, breadcrumb string, title string")
+    entities = spark.createDataFrame([], "node_id string, label string, name string")
+    got = qa.answer(nodes, entities, asked).first()
+    assert not got["no_results"] and [c["node_id"] for c in got["citations"]] == ["d1"]

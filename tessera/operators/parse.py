@@ -1,62 +1,45 @@
 """Markdown pages to sections, code blocks, table rows, callouts and links.
 
-The unit of work is a line; what a parser keeps on a stack is a window over the lines of a
-page.  Pages are (path, text); every result carries path and line positions.
+A page is read where it stands, in one walk (``markdown.walk``) for the parts of it that are asked for: nothing is shuffled for it, and no line becomes a row.
+Pages are (path, text), a row for each path; every result carries path and line positions.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
-from pyspark.sql import Column, DataFrame, Window, WindowSpec
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions import text as tx
+from tessera.operators import markdown
 from tessera.sources.shared import saved
 
-DEEPEST = 6
-# Component tags of the pages and first headers of data tables.
-CALLOUTS = ("Note", "Tip", "Info", "Warning", "Check")
-UNWRAPPED = ("Experiment", "Frame", "Tabs", "AccordionGroup", "CardGroup", "Steps", "RequestExample", "ResponseExample")
-TITLED = ("Tab", "Accordion", "Card", "Expandable", "Step")
-FIELDS = ("ParamField", "ResponseField")
-DROPPED = ("Hero",)
-INLINE = {"strong": "**", "b": "**", "em": "*", "i": "*", "code": "`", "a": "", "span": ""}
-DATA_HEADERS = ("tool", "key", "event", "mode", "setting", "field", "parameter", "rule")
-#: What stands in braces in a tag: other braces in it (so deep), and strings, which may hold any.
-BRACES = 8
-#: What marks the heading of an update card, and a title, after which a paragraph ends.
-UPDATE, TITLE = "<!--update-->", "<!--title-->"
-# Repeated groups are possessive throughout: the others take a stack frame for each repetition, and long texts would end the task.
-LINK = r"(?<!!)\[((?:[^\[\]`]++|`[^`]*+`|`)*+)\]\(\s*<?([^)\s>]*)>?(?:\s+\"[^\"]*\")?\s*\)"
 FENCE = r"^[ \t]*(`{3,}|~{3,})(.*)$"
-QUOTED = r"\"[^\"]*+\"|'[^']*+'"
-
-
-def _braced(depth: int) -> str:
-    inner = r"[^{}\"'`]++|\"(?:[^\"\\]|\\.)*+\"|'(?:[^'\\]|\\.)*+'|`(?:[^`\\]|\\.)*+`"
-    return rf"\{{(?:{inner}{'|' + _braced(depth - 1) if depth else ''})*+\}}"
-
-
-#: A tag: its attributes are in quotes or braces, which may hold angle brackets and line ends, or plain; of any number and length.
-TAG = rf"<(?:/[A-Za-z][\w.]*\s*>|[A-Za-z][\w.]*(?=[\s/>])(?:[^<>\"'{{}}]++|{QUOTED}|{_braced(BRACES)})*+>)"
-ATTRIBUTE = rf"[A-Za-z_:][\w:.\-]*(?:\s*=\s*(?:{QUOTED}|{_braced(BRACES)}|[^\s\"'{{}}<>/]+))?"
-
-
-def by_page() -> WindowSpec:
-    return Window.partitionBy("path").orderBy("pos")
-
-
-def so_far() -> WindowSpec:
-    return by_page().rowsBetween(Window.unboundedPreceding, Window.currentRow)
-
-
-def before() -> WindowSpec:
-    return by_page().rowsBetween(Window.unboundedPreceding, -1)
-
-
-def _spans(of: str = "a int, b int, closed boolean") -> Column:
-    return F.array().cast(f"array<struct<{of.replace(' int', ':int').replace(' boolean', ':boolean')}>>")
+#: The parts of a page, and their columns beside its path.
+SECTION = {"pos": "int", "position": "int", "level": "int", "heading": "string", "anchor": "string", "section_id": "string", "parent_id": "string", "breadcrumb": "string", "synthesized": "boolean"}
+PARTS = {
+    "outline": SECTION,
+    "held": SECTION,
+    "pieces": {"section_id": "string", "callout": "bigint", "pos": "int", "text": "string", "kind": "string"},
+    "texts": {"section_id": "string", "text": "string"},
+    "whole_texts": {"section_id": "string", "text": "string"},
+    "blocks": {"node_id": "string", "section_id": "string", "pos": "int", "position": "int", "language": "string", "text": "string", "preceding": "string", "group_id": "string"},
+    "tables": {"section_id": "string", "table": "int", "headers": "array<string>", "linked": "bigint", "total": "bigint", "navigates": "boolean", "table_position": "int"},
+    "rows": {"node_id": "string", "section_id": "string", "position": "int", "table_position": "int", "headers": "array<string>", "cells": "array<string>"},
+    "menus": {"section_id": "string", "table": "int", "text": "string"},
+    "callouts": {"node_id": "string", "section_id": "string", "position": "int", "kind": "string", "text": "string"},
+    "links": {"section_id": "string", "pos": "int", "nth": "int", "href": "string", "text": "string", "source_kind": "string"},
+    "header": {"title": "string", "quote": "string", "content_hash": "string"},
+}
+ARROW = {"string": pa.string(), "int": pa.int32(), "bigint": pa.int64(), "boolean": pa.bool_(), "array<string>": pa.list_(pa.string())}
+#: Bytes of pages whose parts go out together.
+WALKED_BYTES = 4 << 20
+
+
+def _spans() -> Column:
+    return F.array().cast("array<struct<a:int,b:int,closed:boolean>>")
 
 
 def fence_spans(lines: Column) -> Column:
@@ -106,226 +89,6 @@ def lines(pages: DataFrame) -> DataFrame:
     return told.select("path", F.posexplode(by_span(F.col("ls"), F.col("spans"), plain, fenced)).alias("pos", "x")).select("path", "pos", "x.*")
 
 
-STRINGS = r"\"(?:[^\"\\]|\\.)*+\"|'(?:[^'\\]|\\.)*+'|`(?:[^`\\]|\\.)*+`|/\*.*?\*/|(?<!:)//.*$"
-
-
-def statement_spans(lines: Column, fences: Column) -> Column:
-    """Top-level exports and expressions in braces as spans of lines: a fold with the depth of brackets and the quote that is open.
-
-    One begins outside of code at a line that begins with export, or with a brace.  It ends with the first line after which its brackets balance, no template literal or comment is open,
-    and the statement doesn't go on (with an operator, comma or bracket at the line's end or an operator or brace at the next one's begin).  An expression that doesn't end before the next
-    heading or export is text.  An export that doesn't ends at its first line of a closing brace alone, else before its first empty line.
-    """
-
-    def told(line: Column, quote: str) -> Column:
-        """What a line that begins within the quote does: depth, goes (on), and the quote that is open at its end."""
-        shut = {"": F.lit(True), "`": F.rlike(line, F.lit(r"^(?:[^`\\]|\\.)*+`")), "*": F.contains(line, F.lit("*/"))}[quote]
-        rest = {"": line, "`": F.regexp_replace(line, r"^(?:[^`\\]|\\.)*+`", ""), "*": F.regexp_replace(line, r"^.*?\*/", "")}[quote]
-        bare = F.regexp_replace(rest, STRINGS, "")
-        own = F.regexp_replace(bare, r"(?:`|/\*).*$", "")
-        depth = F.regexp_count(own, F.lit(r"[\[({]")) - F.regexp_count(own, F.lit(r"[\])}]"))
-        inside = F.substring(F.replace(F.regexp_extract(bare, r"`|/\*", 0), F.lit("/*"), F.lit("*")), 1, 1)
-        value = lambda a, b, c: F.struct(a.cast("int").alias("depth"), b.alias("goes"), c.alias("quote"))
-        return F.when(shut, value(depth, F.rlike(own, F.lit(r"(?:=>?|[,(&|?:+])\s*$")), inside)).otherwise(value(F.lit(0), F.lit(True), F.lit(quote)))
-
-    def line(x: Column, i: Column) -> Column:
-        code = F.exists(fences, lambda s: (i >= s["a"]) & (i <= s["b"]))
-        is_ = lambda pattern: ~code & F.rlike(x, F.lit(pattern))
-        return F.struct(
-            i.alias("at"), code.alias("code"), is_(r"^export\s+(const|let|var|function|default|class|async|type|interface)\b").alias("export"), is_(r"^\{").alias("brace"), is_(r"^#{1,6}\s").alias("heading"),
-            is_(r"^\};?\s*$").alias("close"), (~code & (F.trim(x) == "")).alias("blank"), F.rlike(F.coalesce(F.get(lines, i + 1), F.lit("")), F.lit(r"^\s*(?:[.?&|+]|\{)")).alias("more"),
-            told(x, "").alias("plain"), told(x, "`").alias("template"), told(x, "*").alias("comment"),
-        )
-
-    state = lambda kind, depth, quote, a, close, blank, spans: F.struct(kind.alias("kind"), depth.alias("depth"), quote.alias("quote"), a.alias("a"), close.alias("close"), blank.alias("blank"), spans.alias("spans"))
-    none, zero = F.lit(-1), F.lit(0)
-    outside = lambda spans: state(zero, zero, F.lit(""), none, none, none, spans)
-    add = lambda spans, a, b: F.concat(spans, F.array(F.struct(a.alias("a"), b.alias("b"))))
-
-    def given_up(s: Column, end: Column) -> Column:
-        """The spans when a statement didn't end before the line ``end``."""
-        last = F.when(s["close"] >= 0, s["close"]).when(s["blank"] >= 0, s["blank"] - 1).otherwise(end - 1)
-        return F.when(s["kind"] == 1, add(s["spans"], s["a"], last)).otherwise(s["spans"])
-
-    def begin(spans: Column, x: Column) -> Column:
-        kind = F.when(x["export"], 1).otherwise(2)
-        i = x["plain"]
-        whole = (i["depth"] <= 0) & ~i["goes"] & (i["quote"] == "") & ~(x["export"] & x["more"])
-        return F.when(~(x["export"] | x["brace"]), outside(spans)).when(whole, outside(add(spans, x["at"], x["at"]))).otherwise(state(kind, i["depth"], i["quote"], x["at"], none, none, spans))
-
-    def step(s: Column, x: Column) -> Column:
-        i = F.when(s["quote"] == "`", x["template"]).when(s["quote"] == "*", x["comment"]).otherwise(x["plain"])
-        depth = s["depth"] + i["depth"]
-        ends = (depth <= 0) & ~i["goes"] & (i["quote"] == "") & ~((s["kind"] == 1) & x["more"])
-        first = lambda name: F.when((s[name] < 0) & x[name], x["at"]).otherwise(s[name])
-        within = F.when(x["code"], s).when(ends, outside(add(s["spans"], s["a"], x["at"]))).otherwise(state(s["kind"], depth, i["quote"], s["a"], first("close"), first("blank"), s["spans"]))
-        stops = (s["quote"] == "") & (x["heading"] | x["export"])
-        return F.when(s["kind"] == 0, begin(s["spans"], x)).when(stops, begin(given_up(s, x["at"]), x)).otherwise(within)
-
-    empty = _spans("a int, b int")
-    found = F.aggregate(F.transform(lines, line), outside(empty), step, lambda s: F.when(s["kind"] == 0, s["spans"]).otherwise(given_up(s, F.size(lines))))
-    return F.when(F.exists(lines, lambda x: F.rlike(x, F.lit(r"^(?:export\s|\{)"))), found).otherwise(empty)
-
-
-def attribute(pairs: Column, *names: str) -> Column:
-    """The value of the first of the names in a tag's attributes (name=value), without quotes and braces; true for one without a value, null for none or an empty one."""
-
-    def value(name: str) -> Column:
-        own = F.get(F.filter(pairs, lambda p: F.regexp_extract(p, r"^[\w:.\-]+", 0) == name), 0)
-        text = F.regexp_extract(own, r"(?s)^[\w:.\-]+\s*=\s*(?:\{\s*)?([\"'`]?)(.*?)\1\s*\}?$", 2)
-        return F.when(F.contains(own, F.lit("=")), F.regexp_replace(text, r"\s*\n\s*", " ")).when(own.isNotNull(), "true")
-
-    found = [value(n) for n in names]
-    return F.get(F.filter(F.array(*found), lambda v: v != ""), 0)
-
-
-#: Columns of what tags say, by the attributes that say it.
-SAID = {"title": ("title",), "field": ("path", "name", "body"), "type": ("type",), "required": ("required",), "label": ("label",), "description": ("description",), "href": ("href",), "image": ("data-path", "src"), "alt": ("alt",)}
-
-
-def tokens(pages: DataFrame) -> DataFrame:
-    """path, k, kind (text, tag or fence), s: pages in pieces, with starts where a piece begins a line, tag's name, and whether it opens or closes (a matched pair), and opener: the tag that a close belongs to.
-
-    The opening and closing tags of a name are matched by the running depth: a close belongs to the last open of its depth if no other close does.  Others are text.
-    """
-    piece = lambda kind, x, starts: F.struct(F.lit(kind).alias("kind"), x.alias("s"), starts.alias("starts"))
-
-    def plain(ls: Column) -> Column:
-        text = F.concat(F.array_join(ls, "\n"), F.lit("\n"))
-        between, tags = F.split(text, TAG), F.regexp_extract_all(text, F.lit(TAG), F.lit(0))
-        parts = F.transform(between, lambda x, i: F.array(piece("text", x, i == 0), piece("tag", F.coalesce(F.get(tags, i), F.lit("")), F.lit(False))))
-        return F.when(F.size(ls) > 0, F.flatten(parts)).otherwise(F.array().cast("array<struct<kind:string,s:string,starts:boolean>>"))
-
-    fenced = lambda ls, span, no: F.array(piece("fence", F.concat(F.array_join(ls, "\n"), F.lit("\n")), F.lit(True)))
-    rows = pages.select("path", F.posexplode(by_span(F.col("ls"), F.col("spans"), plain, fenced)).alias("k", "x")).select("path", "k", "x.*").where("kind <> 'tag' OR s <> ''")
-    known = (*CALLOUTS, *UNWRAPPED, *TITLED, *FIELDS, *DROPPED, *INLINE, "CodeGroup", "Update", "div", "p", "img")
-    name = F.when(F.col("kind") == "tag", F.regexp_extract("s", r"^</?([\w.]+)", 1))
-    named = rows.withColumn("name", F.when(name.isin(*known), name)).withColumn("alone", F.col("name").isNotNull() & (F.endswith("s", F.lit("/>")) | (F.col("name") == "img")))
-    paired = F.col("name").isNotNull() & ~F.col("alone")
-    told = named.withColumn("step", F.when(~paired, 0).when(F.startswith("s", F.lit("</")), -1).otherwise(1))
-    of_name = Window.partitionBy("path", "name").orderBy("k")
-    level = told.withColumn("level", F.sum("step").over(of_name.rowsBetween(Window.unboundedPreceding, Window.currentRow)) + F.when(F.col("step") < 0, 1).otherwise(0)).withColumn("is_step", F.col("step") != 0)
-    of_level = Window.partitionBy("path", "name", "level", "is_step").orderBy("k")
-    matched = level.withColumn("opens", (F.col("step") == 1) & (F.lead("step").over(of_level) == -1)).withColumn("closes", (F.col("step") == -1) & (F.lag("step").over(of_level) == 1)).withColumn("opener", F.when(F.col("step") == -1, F.lag("s").over(of_level)))
-    return matched.select("path", "k", "kind", "s", "starts", "name", "alone", F.coalesce("opens", F.lit(False)).alias("opens"), F.coalesce("closes", F.lit(False)).alias("closes"), "opener")
-
-
-def _rewritten() -> Column:
-    """What stands in the place of a known tag; of a close, what its opener says."""
-    name, opens, closes, alone, empty = (F.col(c) for c in ("name", "opens", "closes", "alone", "empty"))
-    join = lambda *parts: F.concat(*[x if isinstance(x, Column) else F.lit(x) for x in parts])
-    lead = F.when(F.col("lead") != "", join("\n\n**", F.col("lead"), "**\n\n")).otherwise("\n\n")
-    card = join("\n\n## ", F.coalesce("label", F.lit("")), f" {UPDATE}\n\n", F.coalesce("description", F.lit("")), "\n\n")
-    quoted = lambda c: F.replace(F.coalesce(c, F.lit("")), F.lit('"'), F.lit("&quot;"))
-    mark = F.lit("")
-    for n, m in INLINE.items():
-        mark = F.when(name == n, m).otherwise(mark)
-    out = F.when(name == "img", join('<!--image path="', quoted("image"), '" alt="', quoted("alt"), '"-->'))
-    out = out.when(alone & name.isin(*FIELDS), lead).when(alone & name.isin(*TITLED, *UNWRAPPED, *DROPPED), "").when(~(opens | closes), F.col("s"))
-    out = out.when(name.isin(*CALLOUTS), F.when(opens, join("\n\n<!--callout:", F.lower(name), "-->\n")).otherwise("\n<!--/callout-->\n\n"))
-    out = out.when(name == "CodeGroup", F.when(opens, "\n\n<!--codegroup-->\n").otherwise("\n<!--/codegroup-->\n\n"))
-    out = out.when(name == "Update", F.when(opens, card).otherwise("\n\n"))
-    out = out.when(name.isin(*FIELDS), F.when(opens, lead).otherwise("\n\n"))
-    out = out.when(name.isin(*TITLED), F.when(closes, "\n\n").when(F.col("title").isNotNull(), join("\n\n**", F.col("title"), f"**{TITLE}\n\n")).when(name == "Step", "\n\n1. ").otherwise("\n\n"))
-    out = out.when(name == "p", F.when(empty, "").otherwise("\n\n"))
-    out = out.when(name == "a", F.when(empty | F.col("href").isNull(), "").when(opens, "[").otherwise(join("](", F.col("href"), ")")))
-    return out.when(name.isin(*INLINE), F.when(empty, "").otherwise(mark)).otherwise("")
-
-
-def components(pages: DataFrame) -> DataFrame:
-    """path, text: pages (path, ls and spans: lines and fenced blocks) with their component tags as Markdown or as the comments that later steps read.
-
-    Every tag is rewritten where it stands; what it does to its body goes by running counts over the pieces: a body goes with a dropped component; it loses the indentation that
-    the lines right in it share (those of fenced blocks too); a step without a title is an item of a list, and its lines are indented.
-    """
-    order = Window.partitionBy("path").orderBy("k")
-    running = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    count = lambda what: F.sum(F.when(what & F.col("opens"), 1).when(what & F.col("closes"), -1).otherwise(0)).over(running)
-    name, text = F.col("name"), F.col("kind") == "text"
-    block = name.isNotNull() & ~name.isin(*INLINE)
-    said = F.when(F.col("kind") == "tag", F.regexp_extract_all(F.regexp_replace(F.coalesce("opener", "s"), r"^<[\w.]+", ""), F.lit(ATTRIBUTE), F.lit(0)))
-    told = tokens(pages).withColumn("pairs", said)
-    told = told.select("*", *[attribute(F.col("pairs"), *names).alias(c) for c, names in SAID.items()]).drop("pairs")
-    field, kind, required = F.concat(F.lit("`"), "field", F.lit("`")), F.concat(F.lit("("), "type", F.lit(")")), F.when(F.col("required") == "true", "**required**")
-    told = told.withColumn("loose", F.coalesce((name == "Step") & F.col("title").isNull(), F.lit(False))).withColumn("lead", F.concat_ws(" ", field, kind, required))
-    told = told.withColumn("depth", count(F.coalesce(block, F.lit(False)))).withColumn("steps", count(F.col("loose"))).withColumn("gone", count(F.coalesce(name.isin(*DROPPED), F.lit(False))) > 0)
-    # the lines of a piece that begin in it, and the least indentation of those that aren't blank; the last of a text is the begin of a tag's line
-    parts = F.split("s", "\n")
-    begins = lambda x, i: (F.col("starts") | (i > 0)) & (F.trim(x) != "")
-    least = F.array_min(F.filter(F.transform(parts, lambda x, i: F.when(begins(x, i), F.length(F.regexp_extract(x, r"^[ \t]*", 0)))), lambda n: n.isNotNull()))
-    told = told.withColumn("least", F.when(F.col("kind") != "tag", least)).withColumn("wrapper", F.max(F.when(F.coalesce(block, F.lit(False)) & F.col("opens"), F.col("k"))).over(Window.partitionBy("path", "depth").orderBy("k").rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    told = told.withColumn("common", F.when(F.col("depth") > 0, F.min("least").over(Window.partitionBy("path", "depth", "wrapper"))).otherwise(0))
-    inline = F.coalesce(name.isin(*INLINE, "p"), F.lit(False))
-    told = told.withColumn("after_open", F.lag(inline & F.col("opens"), 1, False).over(order)).withColumn("before_close", F.lead(inline & F.col("closes"), 1, False).over(order))
-    blank = text & (F.trim(F.regexp_replace("s", r"\s", "")) == "")
-    told = told.withColumn("empty", F.when(F.col("opens"), F.lead(blank, 1, False).over(order) & F.lead(F.col("closes") & inline, 2, False).over(order)).when(F.col("closes"), F.lag(blank, 1, False).over(order) & F.lag(F.col("opens") & inline, 2, False).over(order)).otherwise(False))
-    last = F.size(parts) - 1
-    pad = F.repeat(F.lit("   "), F.greatest("steps", F.lit(0)).cast("int"))
-    cut = lambda x, i: F.when(~(F.col("starts") | (i > 0)), x).when((F.trim(x) == "") & (text & (i == last)), F.when(F.col("depth") > 0, "").otherwise(x)).when(F.trim(x) == "", x).otherwise(F.concat(pad, F.substr(x, F.coalesce("common", F.lit(0)) + 1)))
-    body = F.array_join(F.transform(parts, cut), "\n")
-    body = F.when(text & F.col("after_open"), F.regexp_replace(body, r"^\s+", "")).otherwise(body)
-    body = F.when(text & F.col("before_close"), F.regexp_replace(body, r"\s+$", "")).otherwise(body)
-    out = F.when(F.col("gone") | (F.coalesce(name.isin(*DROPPED), F.lit(False)) & (F.col("opens") | F.col("closes"))), "").when(F.col("kind") != "tag", body).when(name.isNull(), F.col("s")).otherwise(_rewritten())
-    whole = told.select("path", "k", out.alias("out")).groupBy("path").agg(F.sort_array(F.collect_list(F.struct("k", "out"))).alias("x"))
-    return whole.select("path", F.regexp_replace(F.array_join(F.transform("x", lambda r: r["out"]), ""), r"\n\z", "").alias("text"))
-
-
-#: A line of a paragraph; and a paragraph over a line of = or -, which makes it a heading.
-NO_PARAGRAPH = r" {0,3}(?:>|#{1,6}(?:\s|$)|[*+-](?:\s|$)|\d{1,9}[.)]\s|\||<!--|(?:=+|-+)[ \t]*$)| {4}|\t"
-SETEXT = rf"(?m)(?:\A|(?<=\n\n))(?:(?!{NO_PARAGRAPH})[^\n]*\S[^\n]*+\n)++ {{0,3}}(?:=+|-+)[ \t]*$"
-
-
-def underlined(text: Column) -> Column:
-    """A text with its underlined headings as headings behind number signs, each with as many lines as before."""
-    title = lambda m: F.regexp_replace(F.trim(F.regexp_replace(m, r"\n[^\n]*\z", "")), r"\s*\n\s*", " ")
-    heading = lambda m: F.concat(F.when(F.rlike(m, F.lit(r"=[ \t]*\z")), "# ").otherwise("## "), title(m), F.repeat(F.lit("\n"), F.regexp_count(m, F.lit("\n"))))
-    made = F.zip_with(F.split(text, SETEXT), F.transform(F.regexp_extract_all(text, F.lit(SETEXT), F.lit(0)), heading), lambda a, b: F.concat(a, F.coalesce(b, F.lit(""))))
-    return F.when(F.rlike(text, F.lit(r"(?m)^ {0,3}(?:=+|-+)[ \t]*$")), F.array_join(made, "")).otherwise(text)
-
-
-def normalised(pages: DataFrame) -> DataFrame:
-    """path, text: pages as plain Markdown: without top-level exports and expressions, component tags and underlined headings.
-
-    A page without a tag keeps its lines, so that a line's pos is its place in the page.
-    """
-    # written first, and told by the text itself: a condition on what is made of it would be put under the projection and make it all again
-    pages = saved(pages.select("path", "text"), "pages")
-    busy = F.rlike(F.coalesce("text", F.lit("")), F.lit(r"</?[A-Za-z]|(?m:^(?:export\s|\{))"))
-    told = pages.where(busy).select("path", _lines(F.col("text")).alias("ls")).withColumn("spans", fence_spans(F.col("ls"))).withColumn("statements", statement_spans(F.col("ls"), F.col("spans")))
-    kept = F.filter("ls", lambda x, i: ~F.exists("statements", lambda s: (i >= s["a"]) & (i <= s["b"])))
-    told = told.select("path", F.when(F.size("statements") > 0, kept).otherwise(F.col("ls")).alias("ls")).withColumn("spans", fence_spans(F.col("ls")))
-    every = pages.where(~busy).select("path", F.array_join(_lines(F.col("text")), "\n").alias("text")).unionByName(components(told))
-    rule = F.rlike("text", F.lit(r"(?m)^ {0,3}(?:=+|-+)[ \t]*$"))
-    plain = lambda ls: F.when(F.size(ls) > 0, F.array(underlined(F.array_join(ls, "\n")))).otherwise(F.array().cast("array<string>"))
-    told = every.withColumn("ls", F.when(rule, F.split("text", "\n")).otherwise(F.array().cast("array<string>"))).withColumn("spans", fence_spans(F.col("ls")))
-    marked = F.array_join(by_span(F.col("ls"), F.col("spans"), plain, lambda ls, span, no: ls), "\n")
-    return told.select("path", F.when(F.size("ls") > 0, marked).otherwise(F.col("text")).alias("text"))
-
-
-def inline_text(text: Column) -> Column:
-    """Plain text of a line: images as their alternative text, links as theirs, code with its backticks, no tags or emphasis marks."""
-    out = F.regexp_replace(text, r"!\[([^\]]*)\]\([^)]*\)", r"$1")
-    out = F.regexp_replace(out, LINK, r"$1")
-    out = F.regexp_replace(out, r"<!--.*?-->|</?[A-Za-z][^<>]*>", "")
-    return F.trim(F.regexp_replace(out, r"\*\*|__|(?<!\w)[*_](?=\S)|(?<=\S)[*_](?!\w)", ""))
-
-
-def headings(marked: DataFrame) -> DataFrame:
-    """The lines with level (0: no heading) and, for headings, their text."""
-    found = F.regexp_extract("line", r"^ {0,3}(#{1,6})\s+\S", 1)
-    level = F.when(F.col("fence") == 1, 0).otherwise(F.length(found))
-    title = inline_text(F.regexp_replace(F.regexp_replace("line", r"^ {0,3}#{1,6}\s+", ""), r"\s+#+\s*$", ""))
-    return marked.withColumn("level", level).withColumn("heading", F.when(F.col("level") > 0, title)).withColumn("synthesized", (F.col("level") > 0) & F.contains("line", F.lit(UPDATE)))
-
-
-def sections(pages: DataFrame, prefix: str = "") -> DataFrame:
-    """Sections (headings of level 2 to 6, and an Overview before the first where there is content).
-
-    path, pos, position, level, heading, anchor, section_id, parent_id, breadcrumb, synthesized (the heading of an update card).
-    """
-    return _sections(outlined(headings(lines(normalised(pages))), prefix))
-
-
 def unique_anchor(by: list[str], base: str, order: str) -> Column:
     """The anchor of each row: its base, with a number from 1 behind it for those after the first of one base in the order."""
     nth = F.row_number().over(Window.partitionBy(*by, base).orderBy(order)) - 1
@@ -337,137 +100,80 @@ def html_links(html: Column) -> Column:
     return F.regexp_extract_all(html, F.lit('<a href="([^"]*)"'), F.lit(1))
 
 
-def outlined(marked: DataFrame, prefix: str = "") -> DataFrame:
-    """The lines with the section that each stands in, and on headings its place in the outline; all windows share one partitioning.
+def _by_bytes(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple]]:
+    """The rows of the batches, about WALKED_BYTES of text at a time."""
+    held: list[tuple] = []
+    size = 0
+    for batch in (b.slice(at, 64) for b in batches for at in range(0, b.num_rows, 64)):
+        for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            held.append(row)
+            size += len(row[1] or "")
+            if size >= WALKED_BYTES:
+                yield held
+                held, size = [], 0
+    if held:
+        yield held
 
-    A page with content before its first section gets a line of its own at -1, the Overview.  A section is open until a heading of its level or
-    a smaller one: the last heading of level k is an ancestor if none of a smaller level came after it.
-    """
-    page = Window.partitionBy("path")
-    is_section = F.col("level") >= 2
-    first, content = F.min(F.when(is_section, F.col("pos"))).over(page), F.min(F.when((F.col("level") == 0) & (F.trim("line") != ""), F.col("pos"))).over(page)
-    title = F.min(F.when(F.col("level") == 1, F.struct("pos", "heading"))).over(page)
-    fields = ["pos", "line", "mark", "fence_no", "fence", "level", "heading", "synthesized"]
-    overview = F.struct(*[v.cast(marked.schema[n].dataType).alias(n) for n, v in zip(fields, map(F.lit, (-1, "", False, 0, 0, 2, "Overview", False)), strict=True)])
-    told = marked.withColumn("title", F.coalesce(title["heading"], F.col("path"))).withColumn("opens", (F.col("pos") == F.min("pos").over(page)) & (first.isNull() | (content < first)))
-    rows = told.select("path", "title", F.explode(F.when(F.col("opens"), F.array(overview, F.struct(*fields))).otherwise(F.array(F.struct(*fields)))).alias("x")).select("path", "title", "x.*")
-    slug = tx.slugify(F.col("heading"))
-    base = F.when(is_section, F.when(slug == "", "section").otherwise(slug))
-    url = F.concat(F.lit(prefix), F.translate("path", "\\", "/"))
-    named = rows.withColumn("base", base).withColumn("anchor", F.when(is_section, unique_anchor(["path"], "base", "pos"))).withColumn("own_id", F.when(is_section, F.concat_ws("#", url, F.col("anchor"))))
-    open_ = {k: f"open{k}" for k in range(2, DEEPEST)}
-    for k, name in open_.items():
-        named = named.withColumn(name, F.last(F.when(F.col("level") == k, F.struct("pos", "heading", "own_id")), True).over(before()))
-    above = {}
-    for k, name in open_.items():
-        later = [F.coalesce(F.col(f"{open_[j]}.pos"), F.lit(-2)) for j in range(2, k)]
-        newest = F.greatest(*later) if len(later) > 1 else later[0] if later else F.lit(-2)
-        above[k] = F.when((F.col("level") > k) & (F.col(f"{name}.pos") > newest), F.col(name))
-    crumb = F.concat(F.array("title"), F.filter(F.array(*[above[k]["heading"] for k in above]), lambda h: h.isNotNull()), F.array("heading"))
-    return named.select(
-        "path", *fields, "anchor", "own_id", F.when(is_section, tx.breadcrumb(crumb)).alias("breadcrumb"), F.when(is_section, F.coalesce(*[above[k]["own_id"] for k in reversed(above)])).alias("parent_id"),
-        F.when(is_section, F.sum(is_section.cast("int")).over(so_far()) - 1).cast("int").alias("position"), F.last("own_id", True).over(so_far()).alias("section_id"),
-    )
 
+def part(placed: DataFrame, name: str) -> DataFrame:
+    """path and the columns of a part of the pages, by a walk over them, or as they were read."""
+    if name in placed.columns:
+        return placed.select("path", F.inline(name))
+    kinds = {"path": "string"} | PARTS[name]
 
-def _sections(placed: DataFrame) -> DataFrame:
-    return placed.where("level >= 2").select("path", "pos", "position", "level", "heading", "anchor", "section_id", "parent_id", "breadcrumb", "synthesized")
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        schema = pa.schema([(c, ARROW[k]) for c, k in kinds.items()])
+        for pages in _by_bytes(batches):
+            rows = [(path, *row) for path, text, prefix in pages for row in markdown.walk(path, text, prefix, (name,))[name]]
+            columns = zip(*rows, strict=True) if rows else [[]] * len(kinds)
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
 
+    return placed.select("path", "text", "prefix").mapInArrow(task, ", ".join(f"`{c}` {k}" for c, k in kinds.items()))
 
-def read(pages: DataFrame, prefix: str = "") -> DataFrame:
-    """All lines with their kind and place in the outline, written once; what reads them doesn't parse again."""
-    return kinds(outlined(headings(lines(normalised(pages))), prefix))
 
-
-def located(pages: DataFrame, prefix: str = "") -> tuple[DataFrame, DataFrame]:
-    """The sections, and all lines with the section that they stand in and their kind."""
-    return split_sections(read(pages, prefix))
+def _placed(pages: DataFrame, prefix: str) -> DataFrame:
+    return pages.select(F.col("path").cast("string").alias("path"), "text", F.lit(prefix).alias("prefix"))
 
 
-def split_sections(told: DataFrame) -> tuple[DataFrame, DataFrame]:
-    return _sections(told), told.where("section_id IS NOT NULL").drop("own_id", "anchor", "breadcrumb", "parent_id", "position")
+def read(pages: DataFrame, prefix: str = "", parts: tuple[str, ...] = tuple(PARTS)) -> DataFrame:
+    """path and the parts of each page as arrays, by one walk, and written: what reads several parts doesn't walk again."""
 
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        schema = pa.schema([("path", pa.string()), *((n, pa.list_(pa.struct([(c, ARROW[k]) for c, k in PARTS[n].items()]))) for n in parts)])
+        for pages in _by_bytes(batches):
+            walked = [markdown.walk(path, text, prefix, parts) for path, text, prefix in pages]
+            columns = [[p[0] for p in pages], *([w[n] for w in walked] for n in parts)]
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
 
-ITEM = r"^\s*([*+-]|\d{1,9}[.)])\s+(.*)$"
-RULE = r"^ {0,3}(?:(?:\*[ \t]*+){3,}+|(?:-[ \t]*+){3,}+|(?:_[ \t]*+){3,}+)$"
-QUOTE = r"^ {0,3}>"
-CALLOUT, CALLOUT_END, IMAGE = "<!--callout:([a-z]+)-->", "<!--/callout-->", r"^\s*<!--image path=\"([^\"]*)\" alt=\"([^\"]*)\"-->"
+    kinds = [f"{n} array<struct<{', '.join(f'`{c}`: {k}' for c, k in PARTS[n].items())}>>" for n in parts]
+    return saved(_placed(pages, prefix).mapInArrow(task, ", ".join(["path string", *kinds])), "parts")
 
 
-def kinds(placed: DataFrame) -> DataFrame:
-    """The lines outside code and headings with their kind: item (of a list), more (of the item before it), code (indented by four, after an empty line), quote, rule, image, prose, blank, or other;
-    run, the number of the list, quote or code block that a line is part of; and callout, the number of the callout that it stands in.
+def normalised(pages: DataFrame) -> DataFrame:
+    """path, text: pages as plain Markdown: without top-level exports and expressions, component tags and underlined headings.
 
-    A list goes on over empty lines to the next item or indented line; what is indented there is never code.  A quote goes on with the lines of a paragraph that stand right under it.
-    An indented block that looks like prose is prose.  The lines are written once: paragraphs, lists and blocks all read them.  Lines that have their kind stay as they are.
+    A page without a tag keeps its lines, so that a line's pos is its place in the page.
     """
-    if "kind" in placed.columns:
-        return placed
-    plain = (F.col("fence") == 0) & (F.col("level") == 0)
-    blank, table = F.trim("line") == "", F.rlike("line", F.lit(r"^\s*\||^\s*<!--"))
-    rule, quote = F.rlike("line", F.lit(RULE)), F.rlike("line", F.lit(QUOTE))
-    item = plain & F.rlike("line", F.lit(ITEM)) & ~rule
-    indented = F.rlike("line", F.lit(r"^(?: {4}|\t)\s*\S"))
-    special = F.when(F.rlike("line", F.lit(IMAGE)), "image").when(quote, "quote").when(rule, "rule")
-    kind = F.when(~plain, "other").when(blank, "blank").when(special.isNotNull(), special).when(item, "item").when(table, "other").when(F.rlike("line", F.lit(r"^\s")), F.when(indented, "deep").otherwise("shallow")).otherwise("flush")
-    first = placed.withColumn("kind", kind).withColumn("owner", F.last(F.when(~F.col("kind").isin("flush", "shallow", "deep"), F.col("kind")), True).over(so_far()))
-    first = first.withColumn("kind", F.when(F.col("kind").isin("flush", "shallow", "deep") & (F.col("owner") == "quote"), "quote").otherwise(F.col("kind"))).withColumn("above", F.lag("kind", 1, "blank").over(by_page()))
-    # the last line that begins or ends a list: an item, or a line at the margin after an empty one, a heading, a fence that isn't indented, a table, a quote or a rule
-    ends = F.when(F.col("kind") == "item", True).when(F.col("fence") == 1, F.when(F.col("mark") & ~F.rlike("line", F.lit(r"^\s")), False)).when(F.col("kind").isin("other", "quote", "rule", "image") | ((F.col("kind") == "flush") & (F.col("above") == "blank")), False)
-    in_list = F.coalesce(F.last(ends, True).over(so_far()), F.lit(False))
-    fixed = F.col("kind").isin("other", "blank", "item", "quote", "rule", "image")
-    named = first.withColumn("in_list", in_list).withColumn("kind", F.when(fixed, F.col("kind")).when(F.col("in_list"), "more").when(F.col("kind") == "deep", "deep").otherwise("prose"))
-    # an indented block begins after an empty line, a heading or another block, not within a paragraph
-    named = named.withColumn("before", F.lag("kind", 1, "blank").over(by_page()))
-    named = named.withColumn("block", F.sum((~F.col("kind").isin("deep", "blank")).cast("int")).over(so_far()))
-    opener = F.last(F.when((F.col("kind") == "deep") & (F.col("before") != "deep"), F.col("before")), True).over(so_far())
-    lists = F.sum(((F.col("kind") == "item") & ~F.coalesce(F.lag("in_list").over(by_page()), F.lit(False))).cast("int")).over(so_far())
-    quotes = F.sum((F.col("kind") != "quote").cast("int")).over(so_far())
-    told = named.withColumn("opener", opener).withColumn("run", F.when(F.col("kind").isin("item", "more"), lists).when(F.col("kind") == "deep", F.col("block")).when(F.col("kind") == "quote", quotes))
-    told = told.withColumn("kind", F.when(F.col("kind") != "deep", F.col("kind")).when(F.col("opener") == "prose", "prose").otherwise("code"))
-    text = (F.col("fence") == 0).cast("int")
-    opened, closed = F.sum(F.rlike("line", F.lit(CALLOUT)).cast("int") * text).over(so_far()), F.coalesce(F.sum(F.contains("line", F.lit(CALLOUT_END)).cast("int") * text).over(before()), F.lit(0))
-    told = told.withColumn("callout", F.when(opened > closed, opened))
-    return saved(told.drop("owner", "last", "above", "in_list", "before", "block", "opener"), "lines")
-
-
-def joined(rows: DataFrame, by: list[str], text: Column | str, glue: str) -> DataFrame:
-    """The rows' texts in the order of pos, for each group: by, pos (of the first), text."""
-    lines = F.sort_array(F.collect_list(F.struct("pos", F.col(text).alias("t") if isinstance(text, str) else text.alias("t"))))
-    return rows.groupBy(*by).agg(F.min("pos").alias("pos"), lines.alias("ls")).select(*by, "pos", F.array_join(F.transform("ls", lambda x: x["t"]), glue).alias("text"))
-
-
-def indented_blocks(placed: DataFrame) -> DataFrame:
-    """Indented blocks: path, section_id, callout, pos, text without four columns of indentation, and whether it is prose."""
-    rows = joined(kinds(placed).where("kind = 'code'"), ["path", "section_id", "callout", "run"], F.regexp_replace("line", r"^(?: {4}|\t)", ""), "\n")
-    return rows.select("path", "section_id", "callout", "pos", "text", looks_like_prose(F.col("text")).alias("prose"))
-
-
-def quotes(placed: DataFrame) -> DataFrame:
-    """Quotes: path, section_id, callout, pos, text: a mark, and what stands in the quote, whose marks, list marks, headings' signs and fenced blocks are left out."""
-    own = F.sort_array(F.collect_list(F.struct("pos", F.regexp_replace("line", r"^\s*(?:>[ \t]?+)++", "").alias("t"))))
-    rows = kinds(placed).where("kind = 'quote'").groupBy("path", "section_id", "callout", "run").agg(F.min("pos").alias("pos"), F.transform(own, lambda x: x["t"]).alias("ls")).withColumn("spans", fence_spans(F.col("ls")))
-    bare = lambda x: inline_text(F.regexp_replace(x, r"^\s*(?:#{1,6}\s+|[*+-]\s+|\d{1,9}[.)]\s+)", ""))
-    said = by_span(F.col("ls"), F.col("spans"), lambda ls: F.transform(ls, bare), lambda ls, span, no: F.array().cast("array<string>"))
-    return rows.withColumn("said", F.filter(said, lambda x: x != "")).where(F.size("said") > 0).select("path", "section_id", "callout", "pos", F.concat(F.lit("> "), F.array_join("said", " ")).alias("text"))
 
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in _by_bytes(batches):
+            yield pa.RecordBatch.from_pydict({"path": pa.array([p for p, _ in rows], pa.string()), "text": pa.array([markdown.normalised(t) for _, t in rows], pa.string())})
+
+    return pages.select(F.col("path").cast("string").alias("path"), "text").mapInArrow(task, "path string, text string")
 
-def lists(placed: DataFrame) -> DataFrame:
-    """Lists as flat text: path, section_id, callout, pos, text.
 
-    A line for each item, two blanks for each level above it, then a dash, or in a list that begins with a number one more than the items closed before it.  Levels are the ranks
-    of the indentations of a list; further lines of an item are joined to it.
+def sections(pages: DataFrame, prefix: str = "") -> DataFrame:
+    """Sections (headings of level 2 to 6, and an Overview before the first where there is content).
+
+    path, pos, position, level, heading, anchor, section_id, parent_id, breadcrumb, synthesized (the heading of an update card).
     """
-    rows = kinds(placed).where("kind IN ('item', 'more')")
-    order = Window.partitionBy("path", "run").orderBy("pos")
-    item = F.col("kind") == "item"
-    mark, own = F.regexp_extract("line", ITEM, 1), F.when(item, F.regexp_extract("line", ITEM, 2)).otherwise(F.trim("line"))
-    numbered = rows.withColumn("nth", F.sum(item.cast("int")).over(order)).withColumn("own", inline_text(own)).withColumn("indent", F.when(item, F.length(F.regexp_extract("line", r"^\s*", 0)))).withColumn("mark", F.when(item, mark))
-    items = numbered.groupBy("path", "section_id", "callout", "run", "nth").agg(F.min("pos").alias("pos"), F.first("indent", True).alias("indent"), F.min_by("mark", "pos").alias("mark"), F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("pos", "own"))), lambda x: x["own"]), " ").alias("text"))
-    of_list = Window.partitionBy("path", "run")
-    ranked = items.withColumn("depth", F.dense_rank().over(of_list.orderBy("indent"))).withColumn("ordered", F.rlike(F.min_by("mark", "pos").over(of_list), F.lit(r"^\d")))
-    line = F.concat(F.repeat(F.lit("  "), F.col("depth") - 1), F.when(F.col("ordered"), F.concat((F.col("nth") - F.col("depth") + 1).cast("string"), F.lit(". "))).otherwise("- "), F.trim("text"))
-    return joined(ranked, ["path", "section_id", "callout", "run"], line, "\n").drop("run")
+    return part(_placed(pages, prefix), "outline")
+
+
+def located(pages: DataFrame, prefix: str = "") -> tuple[DataFrame, DataFrame]:
+    """The sections, and the pages as the functions below take them: each of these walks over them for its own part, if they haven't been read."""
+    placed = _placed(pages, prefix)
+    return part(placed, "outline"), placed
 
 
 def paragraphs(placed: DataFrame) -> DataFrame:
@@ -475,117 +181,59 @@ def paragraphs(placed: DataFrame) -> DataFrame:
 
     Runs of prose lines, lists, quotes, rules, images that stand alone, and indented blocks that are prose.
     """
-    told = kinds(placed)
-    by = ["path", "section_id", "callout"]
-    prose = F.col("kind") == "prose"
-    titled = F.contains(F.lag("line", 1, "").over(by_page()), F.lit(TITLE))
-    runs = told.withColumn("breaks", (~prose | titled).cast("int")).withColumn("run", F.sum("breaks").over(so_far())).where(prose)
-    plain = joined(runs, [*by, "run"], inline_text(F.col("line")), " ").drop("run")
-    unquoted = lambda n: F.replace(F.regexp_extract("line", IMAGE, n), F.lit("&quot;"), F.lit('"'))
-    image = F.concat(F.lit("[image: "), unquoted(2), F.lit("]("), unquoted(1), F.lit(")"))
-    single = told.where("kind IN ('rule', 'image')").select(*by, "pos", F.when(F.col("kind") == "rule", "---").otherwise(image).alias("text"))
-    return plain.unionByName(lists(told)).unionByName(indented_blocks(told).where("prose").drop("prose")).unionByName(quotes(told)).unionByName(single)
+    return part(placed, "pieces").drop("kind")
+
+
+def lists(placed: DataFrame) -> DataFrame:
+    """Lists as flat text: path, section_id, callout, pos, text."""
+    return part(placed, "pieces").where("kind = 'list'").drop("kind")
 
 
 def section_text(placed: DataFrame, navigation: bool = False) -> DataFrame:
     """section_id and its paragraphs, with empty lines between; what stands in callouts is theirs.  navigation: with the navigation tables as text where they stand."""
-    pieces = paragraphs(placed).where("callout IS NULL AND text <> ''").select("section_id", "pos", "text")
-    if navigation:
-        pieces = pieces.unionByName(navigation_text(placed).select("section_id", F.col("table").alias("pos"), "text"))
-    return joined(pieces, ["section_id"], "text", "\n\n").drop("pos")
+    return part(placed, "whole_texts" if navigation else "texts").drop("path")
 
 
 def code_blocks(placed: DataFrame) -> DataFrame:
     """Fenced and indented blocks: node_id, section_id, position, language, text, preceding (the paragraph before it in its section), group_id."""
-    placed = kinds(placed)
-    group = F.sum(F.rlike("line", F.lit("<!--codegroup-->")).cast("int")).over(so_far())
-    open_ = group - F.sum(F.rlike("line", F.lit("<!--/codegroup-->")).cast("int")).over(so_far())
-    inside = placed.withColumn("group_no", F.when(open_ > 0, group)).where("fence = 1").withColumn("block", F.col("fence_no"))
-    indent = F.col("indent")
-    held = F.filter(F.sort_array(F.collect_list(F.struct("pos", "mark", "line"))), lambda x: ~x["mark"])
-    # a line loses as much indentation as the opening mark has
-    body = F.transform("held", lambda x: F.substr(x["line"], F.least(indent, F.length(F.regexp_extract(x["line"], r"^[ \t]*", 0))) + 1))
-    info = F.min_by(F.regexp_extract(F.regexp_replace("line", r"\btheme=\{[^}]*\}", ""), r"^\s*(?:`{3,}|~{3,})\s*([^\s`{]*)", 1), "pos")
-    fenced = inside.groupBy("path", "block").agg(F.min("pos").alias("pos"), F.min_by("section_id", "pos").alias("section_id"), F.min_by("group_no", "pos").alias("group_no"), info.alias("language"), F.min_by(F.length(F.regexp_extract("line", r"^[ \t]*", 0)), "pos").alias("indent"), held.alias("held"))
-    fenced = fenced.select("path", "pos", "section_id", "group_no", "language", F.rtrim(F.array_join(body, "\n"), F.lit("\n")).alias("text"))
-    indented = indented_blocks(placed).where("NOT prose").select("path", "pos", "section_id", F.lit(None).cast("long").alias("group_no"), F.lit("").alias("language"), F.rtrim("text", F.lit("\n")).alias("text"))
-    blocks = fenced.unionByName(indented)
-    order = Window.partitionBy("section_id").orderBy("pos")
-    leads = paragraphs(placed).where("callout IS NULL AND text <> ''").select("path", "section_id", "pos", F.col("text").alias("lead")).unionByName(blocks.select("path", "section_id", "pos"), allowMissingColumns=True)
-    leads = leads.withColumn("preceding", F.coalesce(F.last("lead", True).over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(""))).where("lead IS NULL").select("section_id", "pos", "preceding")
-    numbered = blocks.withColumn("position", F.row_number().over(order) - 1).join(leads, ["section_id", "pos"])
-    ident = tx.atom_id(F.col("section_id"), F.col("position"), F.concat(F.lit("code-"), F.col("language")))
-    return numbered.select(ident.alias("node_id"), "path", "section_id", "pos", "position", "language", "text", "preceding", F.when(F.col("group_no").isNotNull(), F.concat(F.col("path"), F.lit("::cg"), F.col("group_no").cast("string"))).alias("group_id"))
-
-
-def cells(line: Column) -> Column:
-    bare = F.regexp_replace(F.trim(line), r"^\||(?<!\\)\|$", "")
-    return F.transform(F.split(bare, r"(?<!\\)\|"), lambda c: F.trim(F.replace(c, F.lit("\\|"), F.lit("|"))))
-
-
-def table_lines(placed: DataFrame) -> DataFrame:
-    """Lines of tables (a header and a line of dashes, then rows): path, section_id, table (its first pos), pos, kind (0 header, 1 dashes, 2 row), cells."""
-    piped = (F.col("fence") == 0) & (F.col("level") == 0) & F.contains("line", F.lit("|")) & (F.trim("line") != "")
-    runs = placed.withColumn("piped", piped).withColumn("run", F.sum((~F.col("piped")).cast("int")).over(so_far())).where("piped")
-    of_run = Window.partitionBy("path", "run").orderBy("pos")
-    whole = of_run.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    dashes = F.rlike("line", F.lit(r"^\s*\|?\s*:?-+:?\s*(?:\|\s*+:?-++:?\s*+)*+\|?\s*$"))
-    numbered = runs.withColumn("nth", F.row_number().over(of_run) - 1).withColumn("dashes", dashes).withColumn("is_table", F.max((F.col("dashes") & (F.col("nth") == 1)).cast("int")).over(whole)).withColumn("table", F.min("pos").over(whole))
-    return numbered.where("is_table = 1").select("path", "section_id", "table", "pos", F.least("nth", F.lit(2)).alias("kind"), (F.col("nth") - 2).alias("row"), cells(F.col("line")).alias("cells"))
+    return part(placed, "blocks")
 
 
 def tables(placed: DataFrame) -> DataFrame:
     """Tables with headers and whether they navigate: half or more of their cells hold a link and the first header names no data."""
-    of_table = table_lines(placed)
-    linked = F.sum(F.when(F.col("kind") == 2, F.size(F.filter("cells", lambda c: F.rlike(c, F.lit(r"\[[^\]]*\]\([^)]*\)"))))))
-    total = F.sum(F.when(F.col("kind") == 2, F.size(F.filter("cells", lambda c: c.isNotNull()))))
-    grouped = of_table.groupBy("path", "section_id", "table").agg(F.max(F.when(F.col("kind") == 0, F.transform("cells", lambda c: F.lower(inline_text(c))))).alias("headers"), linked.alias("linked"), total.alias("total"))
-    navigates = ~F.coalesce(F.try_element_at("headers", F.lit(1)), F.lit("")).isin(*DATA_HEADERS) & (F.col("total") > 0) & (F.col("linked") / F.col("total") >= 0.5)
-    nth = F.row_number().over(Window.partitionBy("section_id", "navigates").orderBy("table")) - 1
-    return grouped.withColumn("navigates", F.coalesce(navigates, F.lit(False))).withColumn("table_position", nth)
+    return part(placed, "tables")
 
 
 def table_rows(placed: DataFrame) -> DataFrame:
     """Rows of data tables: node_id, section_id, position, table_position, headers, cells."""
-    data = tables(placed).where("NOT navigates").select("path", "section_id", "table", "headers", "table_position")
-    rows = table_lines(placed).where("kind = 2").join(data, ["path", "section_id", "table"])
-    ident = tx.atom_id(F.col("section_id"), F.col("row") + 1000 * F.col("table_position"), F.lit("row"))
-    return rows.select(ident.alias("node_id"), "path", "section_id", F.col("row").alias("position"), "table_position", "headers", F.transform("cells", inline_text).alias("cells"))
+    return part(placed, "rows")
 
 
 def navigation_text(placed: DataFrame) -> DataFrame:
     """Navigation tables as text: a line for each row, its cells under their headers."""
-    own = tables(placed).where("navigates").select("path", "section_id", "table", "headers")
-    rows = table_lines(placed).where("kind = 2").join(own, ["path", "section_id", "table"])
-    pairs = F.zip_with("headers", F.transform("cells", inline_text), lambda h, c: F.when(F.coalesce(c, F.lit("")) == "", None).when(F.coalesce(h, F.lit("")) == "", c).otherwise(F.concat(h, F.lit(": "), c)))
-    line = F.concat(F.lit("- "), F.array_join(F.filter(pairs, lambda x: x.isNotNull()), "; "))
-    return rows.select("section_id", "table", "pos", line.alias("line")).where("line <> '- '").groupBy("section_id", "table").agg(F.sort_array(F.collect_list(F.struct("pos", "line"))).alias("x")).select("section_id", "table", F.array_join(F.transform("x", lambda s: s["line"]), "\n").alias("text"))
+    return part(placed, "menus").drop("path")
 
 
 def callouts(placed: DataFrame) -> DataFrame:
     """Text between callout comments (its paragraphs and lists): node_id, section_id, position, kind, text."""
-    told = kinds(placed)
-    opened = told.where(F.rlike("line", F.lit(CALLOUT)) & F.col("callout").isNotNull()).groupBy("path", "callout").agg(F.min("pos").alias("pos"), F.min_by("section_id", "pos").alias("section_id"), F.min_by(F.regexp_extract("line", CALLOUT, 1), "pos").alias("kind"))
-    said = joined(paragraphs(told).where("callout IS NOT NULL AND text <> ''"), ["path", "callout"], "text", "\n\n").drop("pos")
-    position = F.row_number().over(Window.partitionBy("section_id").orderBy("pos")) - 1
-    numbered = opened.join(said, ["path", "callout"], "left").withColumn("position", position)
-    return numbered.select(tx.atom_id(F.col("section_id"), F.col("position"), F.concat(F.lit("callout-"), F.col("kind"))).alias("node_id"), "path", "section_id", "position", "kind", F.coalesce("text", F.lit("")).alias("text"))
+    return part(placed, "callouts")
 
 
 def links(placed: DataFrame) -> DataFrame:
     """Links outside code, headings and quotes: path, section_id, pos, nth, href, text, is_internal, is_anchor_only."""
-    prose = placed.where((F.col("fence") == 0) & (F.col("level") == 0) & ~F.rlike("line", F.lit(r"^\s*>")))
-    spans = F.arrays_zip(F.regexp_extract_all("line", F.lit(LINK), F.lit(2)).alias("href"), F.regexp_extract_all("line", F.lit(LINK), F.lit(1)).alias("text"))
-    found = prose.where(F.contains("line", F.lit("]("))).select("path", "section_id", "pos", F.posexplode(spans).alias("nth", "x"))
-    href = F.col("x.href")
-    return found.select("path", "section_id", "pos", "nth", href.alias("href"), F.col("x.text").alias("text"), (F.startswith(href, F.lit("/en/")) | F.startswith(href, F.lit("./")) | F.startswith(href, F.lit("../"))).alias("is_internal"), F.startswith(href, F.lit("#")).alias("is_anchor_only"))
+    return sourced_links(placed).drop("source_kind")
 
 
 def sourced_links(placed: DataFrame) -> DataFrame:
     """links with source_kind: navigation_table, table, or prose, by the table that a link's line is part of."""
-    kind = tables(placed).select("path", "section_id", "table", F.when(F.col("navigates"), "navigation_table").otherwise("table").alias("source_kind"))
-    of_line = table_lines(placed).select("path", "section_id", "table", "pos").join(kind, ["path", "section_id", "table"]).select("path", "pos", "source_kind")
-    return links(placed).join(of_line, ["path", "pos"], "left").withColumn("source_kind", F.coalesce("source_kind", F.lit("prose")))
+    href = F.col("href")
+    told = part(placed, "links").withColumn("is_internal", F.startswith(href, F.lit("/en/")) | F.startswith(href, F.lit("./")) | F.startswith(href, F.lit("../"))).withColumn("is_anchor_only", F.startswith(href, F.lit("#")))
+    return told.select("path", "section_id", "pos", "nth", "href", "text", "is_internal", "is_anchor_only", "source_kind")
+
+
+def held_sections(placed: DataFrame) -> DataFrame:
+    """The sections that kept_sections keeps, told in the walk: those with a text, code, rows of data, callouts, links, or a section under them."""
+    return part(placed, "held")
 
 
 def kept_sections(found: DataFrame, texts: DataFrame, used: DataFrame) -> DataFrame:
@@ -595,21 +243,14 @@ def kept_sections(found: DataFrame, texts: DataFrame, used: DataFrame) -> DataFr
 
 
 def page_header(pages: DataFrame, descriptions: DataFrame, volatile: tuple[str, ...] = (), prefix: str = "", told: DataFrame | None = None) -> DataFrame:
-    """path, url, title, description and its source, volatile, content_hash.  descriptions: url, description; told: the pages' lines, where they have been read."""
-    marked = headings(lines(normalised(pages))) if told is None else told
-    title = marked.where("level = 1").groupBy("path").agg(F.min_by("heading", "pos").alias("title"), F.min("pos").alias("title_pos"))
-    said = quotes(marked.withColumn("section_id", F.lit(None).cast("string"))).select("path", "pos", F.regexp_replace("text", r"^> ", "").alias("quote"))
-    quote = said.join(title, "path").where("pos > title_pos")
-    next_heading = marked.where("level > 0").join(title, "path").where("pos > title_pos").groupBy("path").agg(F.min("pos").alias("next_pos"))
-    quote = quote.join(next_heading, "path", "left").where("next_pos IS NULL OR pos < next_pos").groupBy("path").agg(F.min_by("quote", "pos").alias("quote"))
-    url = F.concat(F.lit(prefix), F.translate("path", "\\", "/"))
+    """path, url, title, description and its source, volatile, content_hash.  descriptions: url, description; told: the pages' parts, where they have been read."""
+    own = part(_placed(pages, prefix) if told is None else told, "header").withColumn("url", F.concat(F.lit(prefix), F.translate("path", "\\", "/")))
     flag = F.lit(False)
     for v in volatile:
         flag = flag | (F.col("path") == v) | F.startswith("path", F.lit(v))
-    joined = pages.select("path", "text", url.alias("url")).join(title, "path", "left").join(quote, "path", "left").join(descriptions, "url", "left")
-    return joined.select(
+    return own.join(descriptions, "url", "left").select(
         "path", "url", F.coalesce("title", "path").alias("title"), F.coalesce("description", "quote", F.lit("")).alias("description"),
-        F.when(F.col("description").isNotNull(), "index").when(F.col("quote").isNotNull(), "blockquote").otherwise("missing").alias("description_source"), flag.alias("volatile"), tx.content_hash(F.col("text")).alias("content_hash"),
+        F.when(F.col("description").isNotNull(), "index").when(F.col("quote").isNotNull(), "blockquote").otherwise("missing").alias("description_source"), flag.alias("volatile"), "content_hash",
     )
 
 

@@ -14,6 +14,10 @@ from tessera.sources.shared import saved
 NODE = ("page_id", "node_id", "node_label", "title", "breadcrumb", "anchor", "raw_text", "language", "position", "group_id")
 
 
+#: What is read of the pages.
+PARTS = ("outline", "held", "whole_texts", "blocks", "rows", "callouts", "links", "header")
+
+
 @dataclass
 class Graph:
     pages: DataFrame  # page_id (its URL), path, title, description, description_source, volatile, content_hash
@@ -28,17 +32,14 @@ def build(pages: DataFrame, descriptions: DataFrame, site: str, prefix: str, vol
 
     Sections without text that are nobody's parent and hold nothing go, and with them what points to them; each page has one at least.
     """
-    told = parse.read(pages, prefix)
-    found, placed = parse.split_sections(told)
+    told = parse.read(pages, prefix, PARTS)
     header = saved(parse.page_header(pages, descriptions, volatile, prefix, told).withColumnRenamed("url", "page_id"), "pages")
-    named = header.select("path", "page_id")
-    code, rows, notes, links = (saved(f(placed), "parsed") for f in (parse.code_blocks, parse.table_rows, parse.callouts, parse.sourced_links))
-    texts = saved(parse.section_text(placed, navigation=True), "texts")
-    used = code.select("section_id").union(rows.select("section_id")).union(notes.select("section_id")).union(links.select("section_id"))
-    some = saved(parse.kept_sections(found, texts, used).join(named, "path"), "sections")
+    # an ID is its prefix and path, so that what is of a page needs no join to name it
+    url = F.concat(F.lit(prefix), F.translate("path", "\\", "/")).alias("page_id")
+    code, rows, notes, links, texts = (f(told) for f in (parse.code_blocks, parse.table_rows, parse.callouts, parse.sourced_links, lambda t: parse.section_text(t, navigation=True)))
+    some = parse.held_sections(told).select("*", url)
     # a page that is left without a section gets an empty one
-    counted = found.groupBy("path").agg(F.count("*").cast("int").alias("n"))
-    lacking = header.join(some.select("path").distinct(), "path", "left_anti").join(counted, "path", "left")
+    lacking = header.join(told.where(F.size("held") == 0).select("path", F.size("outline").alias("n")), "path")
     given = {"pos": F.lit(-1), "position": F.coalesce("n", F.lit(0)), "level": F.lit(2), "heading": F.lit("Overview"), "anchor": F.lit("overview"), "section_id": F.concat("page_id", F.lit("#overview")), "breadcrumb": tx.breadcrumb(F.array("title", F.lit("Overview"))), "synthesized": F.lit(False)}
     kept = some.unionByName(lacking.select("path", "page_id", *[v.cast(some.schema[k].dataType).alias(k) for k, v in given.items()], F.lit(None).cast("string").alias("parent_id")))
 
@@ -46,7 +47,7 @@ def build(pages: DataFrame, descriptions: DataFrame, site: str, prefix: str, vol
         return df.select(*[(given.get(c, F.lit(None).cast("int" if c == "position" else "string"))).alias(c) if c != "node_label" else F.lit(label).alias(c) for c in NODE])
 
     c = F.col
-    of_page = lambda df: df.join(named, "path")
+    of_page = lambda df: df.select("*", url)
     cells = F.array_join(F.zip_with("headers", "cells", lambda h, v: F.concat_ws(": ", F.nullif(h, F.lit("")), v)), "; ")
     parts = [
         node(header, "Page", page_id=c("page_id"), node_id=c("page_id"), title=c("title"), raw_text=c("description")),
@@ -60,7 +61,7 @@ def build(pages: DataFrame, descriptions: DataFrame, site: str, prefix: str, vol
         nodes = nodes.unionByName(p)
     sections = kept.select("section_id", F.col("page_id").alias("page_url"), "anchor", "position", "parent_id")
     keyed = links.withColumn("link_id", F.concat_ws(":", "path", "pos", "nth"))
-    resolved = saved(resolve.resolve(keyed.select("link_id", "path", "section_id", "href", "text", "source_kind"), named.withColumnRenamed("page_id", "url"), sections, site, aliases), "resolved")
+    resolved = saved(resolve.resolve(keyed.select("link_id", "path", "section_id", "href", "text", "source_kind"), header.select("path", F.col("page_id").alias("url")), sections, site, aliases), "resolved")
     contained = resolve.containment_edges(sections, code, rows, notes)
     pairs = graph.equivalents(code.where("group_id IS NOT NULL")).select(F.lit("EQUIVALENT_TO").alias("type"), "source_id", "target_id")
     pairs = pairs.withColumn("id", tx.edge_id(c("type"), c("source_id"), c("target_id"), F.lit("")))

@@ -813,7 +813,7 @@ def B05_component_pages(s: SparkSession, d: str) -> DataFrame:
         F.lit("# T\n\nexport const W = ({a = '}'}) => {\nreturn (\n<p>{a}</p>\n);\n};\n<Steps>\n  <Step title={`"), blank("source"), F.lit("`}>\n    Intro "), plain, F.lit("\n\n    <Note>\n      Mind <b>"), blank("lang"),
         F.lit("</b>\n    </Note>\n\n    ````py\n    x = 1\n      y\n    ````\n\n    | Tool |\n    |---|\n    | [t](Step_"), c("doc_id").cast("string"), F.lit(") |\n  </Step>\n</Steps>\n<Hero big>\n  <b>gone</b>\n</Hero>\n\nend\n"),
     )
-    _, placed = parse.located(table(s, d, "documents").select(c("doc_id").cast("string").alias("path"), text.alias("text")))
+    placed = parse.read(table(s, d, "documents").select(c("doc_id").cast("string").alias("path"), text.alias("text")), parts=("texts", "callouts", "blocks", "links"))
     texts = parse.section_text(placed).select(F.regexp_replace("section_id", "#.*", "").alias("path"), "text")
     joined = texts.join(parse.callouts(placed).select("path", c("text").alias("callout")), "path").join(parse.code_blocks(placed).select("path", c("text").alias("code")), "path").join(parse.links(placed).select("path", "href"), "path")
     return joined.select(c("path").cast("long").alias("doc_id"), "text", "callout", "code", "href")
@@ -994,9 +994,8 @@ def F04_preceding_text(s: SparkSession, d: str) -> DataFrame:
 WHERE n > 0 OR a NOT IN ('bullets', 'rows', 'links')""")
 def B37_kept_sections(s: SparkSession, d: str) -> DataFrame:
     """Sections without those that have no text, nothing in them, and no section under them."""
-    found, placed = _pieces(s, d)
-    used = [f(placed).select("section_id") for f in (parse.code_blocks, parse.table_rows, parse.callouts, parse.links)]
-    return parse.kept_sections(found, parse.section_text(placed, navigation=True), choose.union_all(used)).select("path", "level", "section_id")
+    _, placed = _pieces(s, d)
+    return parse.held_sections(placed).select("path", "level", "section_id")
 
 
 # ---- choices: kinds, labels, properties, optional filters, unions ---------------------------------

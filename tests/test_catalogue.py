@@ -1,6 +1,7 @@
 """Every query of the catalogue against DuckDB on the smallest tables."""
 
 import math
+from pathlib import Path
 
 import duckdb
 import pytest
@@ -68,3 +69,12 @@ def test_questions_are_searched_whole(spark):
     entities = spark.createDataFrame([], "node_id string, label string, name string")
     got = qa.answer(nodes, entities, asked).first()
     assert not got["no_results"] and [c["node_id"] for c in got["citations"]] == ["d1"]
+
+
+@pytest.mark.parametrize("name", ["B29_callouts"])
+def test_parts_of_pages_are_read_where_the_pages_are(spark, name):
+    folder = Path(spark.conf.get("spark.checkpoint.dir").removeprefix("file://"))
+    before = {p.name for p in folder.iterdir()}
+    plan = QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Window" not in plan and plan.count("MapInArrow") == 1
+    assert {p.name for p in folder.iterdir()} == before  # and nothing is written on the way

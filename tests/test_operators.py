@@ -177,6 +177,11 @@ def test_exports_and_expressions_go_and_what_follows_stays(spark, block):
     assert [r["text"] for r in parse.code_blocks(placed).collect()] == ["export const y = {\n{a}"]
 
 
+def test_a_page_of_statements_alone_is_an_empty_page(spark):
+    found, placed = parsed(spark, "export const x = 5")
+    assert [r["anchor"] for r in found.collect()] == ["overview"] and parse.section_text(placed).count() == 0
+
+
 def test_braces_that_never_end_are_text(spark):
     _, placed = parsed(spark, "## A\n\n{open and more\n\nlast")
     assert [r["text"] for r in parse.section_text(placed).collect()] == ["{open and more\n\nlast"]

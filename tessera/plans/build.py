@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions import text as tx
-from tessera.operators import graph, parse, resolve
+from tessera.operators import choose, graph, parse, resolve
 from tessera.sources.shared import saved
 
 NODE = ("page_id", "node_id", "node_label", "title", "breadcrumb", "anchor", "raw_text", "language", "position", "group_id")
@@ -66,6 +66,7 @@ def build(pages: DataFrame, descriptions: DataFrame, site: str, prefix: str, vol
     pairs = graph.equivalents(code.where("group_id IS NOT NULL")).select(F.lit("EQUIVALENT_TO").alias("type"), "source_id", "target_id")
     pairs = pairs.withColumn("id", tx.edge_id(c("type"), c("source_id"), c("target_id"), F.lit("")))
     every = resolve.link_edges(resolved, sections).unionByName(contained, allowMissingColumns=True).unionByName(pairs, allowMissingColumns=True)
-    owners = nodes.select("page_id", F.col("node_id").alias("source_id"))
+    # edges go out from pages, sections and code blocks, which are named here without their texts
+    owners = choose.union_all([df.select("page_id", F.col(of).alias("source_id")) for df, of in ((header, "page_id"), (kept, "section_id"), (of_page(code), "node_id"))])
     edges = every.join(owners, "source_id").select("page_id", F.col("id").alias("edge_id"), "type", "source_id", "target_id", "href", "text")
     return Graph(header, nodes, edges, resolve.unresolved(resolved), resolve.external_links(resolved))

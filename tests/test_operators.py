@@ -901,6 +901,15 @@ def test_texts_of_pages_are_made_once(spark):
     assert parse.normalised(pages).count() == 6 and seen.value == 6
 
 
+def test_a_graph_is_built_of_pages_walked_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+    made = F.udf(lambda x: (seen.add(1), f"# T\n\n## A\n\n[b](p{x + 1}#a)\n\n```py\nx\n```\n")[1], "string")
+    pages = spark.range(6).select(F.concat(F.lit("p"), F.col("id").cast("string"), F.lit(".md")).alias("path"), made("id").alias("text"))
+    g = build(pages, spark.createDataFrame([], "url string, description string"), "s.example", "https://s.example/docs/")
+    assert {(r["type"], r["n"]) for r in g.edges.groupBy("type").agg(F.count("*").alias("n")).collect()} == {("HAS_SECTION", 6), ("CONTAINS_CODE", 6), ("LINKS_TO", 5)}
+    assert g.nodes.count() == 18 and seen.value == 6
+
+
 def test_full_text_search_makes_no_rows_of_nodes_and_queries(spark):
     nodes = spark.range(400).select(F.col("id").alias("node_id"), F.concat(F.lit("the of and w"), (F.col("id") % 7).cast("string")).alias("indexed_text"))
     asked = spark.range(60).select(F.col("id").alias("query_id"), F.lit("the of and").alias("text"))

@@ -71,7 +71,7 @@ def test_questions_are_searched_whole(spark):
     assert not got["no_results"] and [c["node_id"] for c in got["citations"]] == ["d1"]
 
 
-@pytest.mark.parametrize("name", ["B28_section_texts", "B29_callouts", "B32_table_rows", "B37_kept_sections"])
+@pytest.mark.parametrize("name", ["B28_section_texts", "B29_callouts", "B32_table_rows", "B37_kept_sections", "F04_preceding_text"])
 def test_parts_of_pages_are_read_where_the_pages_are(spark, name):
     folder = Path(spark.conf.get("spark.checkpoint.dir").removeprefix("file://"))
     before = {p.name for p in folder.iterdir()}
